@@ -28,7 +28,7 @@ from sluice.plans import claims as C  # noqa: E402
 from sluice.plans.fixtures import raw_claim, raw_contract  # noqa: E402
 from sluice.plans.job import run_job  # noqa: E402
 from sluice.session import shared_dir  # noqa: E402
-from sluice.sources.readers import read_table  # noqa: E402
+from sluice.sources.readers import read_table, spread  # noqa: E402
 from sluice.sources.sinks import read_batches, write_batch, write_quarantine, write_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -40,12 +40,17 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _big(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A fact table, spread over all cores when its file is a single split."""
+    return spread(_t(spark, sf, name))
+
+
 def _contract(spark, sf):
-    return raw_contract(_t(spark, sf, "orders"))
+    return raw_contract(_big(spark, sf, "orders"))
 
 
 def _claim(spark, sf):
-    return raw_claim(_t(spark, sf, "lineitem"))
+    return raw_claim(_big(spark, sf, "lineitem"))
 
 
 def _valid(spark, sf):
@@ -241,7 +246,8 @@ def q_enrich_by_key(spark, sf):
 
 def _digest_query(algo):
     def run(spark, sf):
-        docs = _t(spark, sf, "documents")
+        # md4 runs in Python workers: spread the texts over all cores first
+        docs = _big(spark, sf, "documents") if algo == "md4" else _t(spark, sf, "documents")
         return docs.select("doc_id", digest("text", algo).alias(f"text_{algo}"))
 
     return run

@@ -46,7 +46,13 @@ def _text(name: str) -> Column:
 
 
 def _optional(pred: Column, c: Column) -> Column:
-    return pred | c.isNull() | (c == F.lit(""))
+    # pred OR c IS NULL OR c = '', with one reference to c
+    return pred | F.coalesce(c == F.lit(""), F.lit(True))
+
+
+def _present(c: Column) -> Column:
+    # c IS NOT NULL AND c <> '' (never NULL), with one reference to c
+    return F.coalesce(c != F.lit(""), F.lit(False))
 
 
 def cast_type(cast_to: str | None) -> str | None:
@@ -68,7 +74,7 @@ def column_checks(rule: ColumnRule) -> list[Column]:
     c = _text(rule.name)
     checks: list[Column] = []
     if rule.required:
-        checks.append(c.isNotNull() & (c != F.lit("")))
+        checks.append(_present(c))
     preds: list[Column] = []
     if rule.regex is not None:
         preds.append(c.rlike(rule.regex))
@@ -141,7 +147,9 @@ def cast_declared(df: DataFrame, rules: TableRules) -> DataFrame:
             log.warning("unknown cast type %r for column %s; left unchanged", rule.cast_to, name)
             exprs.append(F.col(name))
         else:
-            exprs.append(F.col(name).try_cast(t).alias(name))
+            # '' casts to null anyway; mapping it first skips Spark's per-row
+            # exception path for unparsable text, which dominates optional columns
+            exprs.append(F.nullif(F.col(name), F.lit("")).try_cast(t).alias(name))
     return df.select(*exprs)
 
 

@@ -75,3 +75,22 @@ def read_sources(
 ) -> dict[str, DataFrame]:
     """Read several named inputs; every path is resolved before any data is read."""
     return {name: read_table(spark, path, fmt, **kwargs) for name, path in sources.items()}
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than cores.
+
+    A large table arrives in many splits and is returned unchanged (no
+    shuffle). A file that cannot be split (one parquet row group, one
+    compressed file) would otherwise put every downstream row through a
+    single task. Apply it right after the read, before column derivations,
+    so only the pruned input columns cross the exchange. Only the plan is
+    inspected; no job runs.
+    """
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (Connect): leave the plan as it is
+        return df
+    return df.repartition(target) if current < target else df
