@@ -28,6 +28,7 @@ from sluice.plans import claims as C  # noqa: E402
 from sluice.plans.fixtures import raw_claim, raw_contract  # noqa: E402
 from sluice.plans.job import run_job  # noqa: E402
 from sluice.session import shared_dir  # noqa: E402
+from sluice.streaming.incremental import start_incremental_job  # noqa: E402
 from sluice.sources.readers import read_table, spread  # noqa: E402
 from sluice.sources.sinks import read_batches, write_batch, write_quarantine, write_table  # noqa: E402
 
@@ -93,6 +94,33 @@ def q_claims_job_csv(spark, sf):
     return read_batches(spark, out, "TRANSACTIONS", "csv", batch_id=BATCH_ID)
 
 
+def q_claims_stream(spark, sf):
+    """The job run incrementally: claim files are picked up by a file stream
+    (two files per micro-batch), each micro-batch is validated, quarantined,
+    joined to the valid contracts and published as its own batch."""
+    root = shared_dir(spark, "claims_stream")
+    claim_dir = posixpath.join(root, "in", "claim")
+    write_table(_contract(spark, sf), posixpath.join(root, "in", "contract"), "csv")
+    write_table(_claim(spark, sf), claim_dir, "csv")
+    contract = read_table(spark, posixpath.join(root, "in", "contract"), "csv")
+    valid_contract = validate(contract, C.CONTRACT_RULES).valid
+    out = posixpath.join(root, "out")
+    q = start_incremental_job(
+        spark,
+        claim_dir,
+        C.CLAIM_RULES,
+        lambda claims: C.claims_transform({"contract": valid_contract, "claim": claims}, digest="md5", run_ts=RUN_TS),
+        output_base=out,
+        output_name="TRANSACTIONS",
+        checkpoint=posixpath.join(root, "checkpoint"),
+        max_files_per_trigger=2,
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return read_batches(spark, out, "TRANSACTIONS", "csv").drop("batch_date")
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 
@@ -298,6 +326,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "claims_transactions": q_claims_transactions,
     "claims_transactions_md4": q_claims_transactions_md4,
     "claims_job_csv": q_claims_job_csv,
+    "claims_stream": q_claims_stream,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_permissive_malformed": q_csv_permissive_malformed,
     "json_roundtrip": _roundtrip("json"),
@@ -507,6 +536,17 @@ SELECT CONTRACT_SOURCE_SYSTEM,
        strftime(CREATION_DATE, '{_TS_TEXT}') AS CREATION_DATE,
        strftime(SYSTEM_TIMESTAMP, '{_TS_TEXT}') AS SYSTEM_TIMESTAMP,
        NSE_ID, '{BATCH_ID}' AS batch_date
+FROM transactions""",
+    "claims_stream": f"""{_BASE}
+SELECT CONTRACT_SOURCE_SYSTEM,
+       CAST(CONTRACT_SOURCE_SYSTEM_ID AS VARCHAR) AS CONTRACT_SOURCE_SYSTEM_ID,
+       CAST(SOURCE_SYSTEM_ID AS VARCHAR) AS SOURCE_SYSTEM_ID,
+       TRANSACTION_TYPE, TRANSACTION_DIRECTION,
+       CAST(CONFORMED_VALUE AS VARCHAR) AS CONFORMED_VALUE,
+       strftime(BUSINESS_DATE, '%Y-%m-%d') AS BUSINESS_DATE,
+       strftime(CREATION_DATE, '{_TS_TEXT}') AS CREATION_DATE,
+       strftime(SYSTEM_TIMESTAMP, '{_TS_TEXT}') AS SYSTEM_TIMESTAMP,
+       NSE_ID
 FROM transactions""",
     "csv_roundtrip": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
