@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_if_blank
+from .joins import SkewSalt, left_join_on_keys
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -101,13 +102,13 @@ def enrich_by_key(
     default: str = "UNKNOWN_HASH",
     retry: Retry | None = None,
     partitions: int | None = None,
+    skew: SkewSalt | None = None,
 ) -> DataFrame:
     """Attach ``out = resolver(key)`` to every row, calling it once per distinct key.
 
-    A null key, a failed call or an empty answer gives ``default``.
+    A null key, a failed call or an empty answer gives ``default``. The
+    join back is a plain left join on the key (``skew`` salts hot keys).
     """
-    resolved = resolve_keys(
-        distinct_keys(df, key), key, resolver, value="__val", retry=retry, partitions=partitions
-    ).withColumnRenamed(key, "__key")
-    joined = df.join(resolved, df[key] == resolved["__key"], "left")
-    return joined.withColumn(out, default_if_blank(F.col("__val"), default)).drop("__key", "__val")
+    resolved = resolve_keys(distinct_keys(df, key), key, resolver, value="__val", retry=retry, partitions=partitions)
+    joined = left_join_on_keys(df, resolved, [(key, key)], right_columns={"__val": "__val"}, skew=skew)
+    return joined.withColumn(out, default_if_blank(F.col("__val"), default)).drop("__val")

@@ -23,7 +23,7 @@ from functools import reduce
 from operator import and_
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_if_blank
@@ -94,13 +94,14 @@ def left_join_on_keys(
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
-    key: str | Column,
+    key: str,
     lookup_key: str,
     lookup_value: str,
     out: str,
     *,
     default: str = "UNKNOWN",
     unique: bool = True,
+    skew: SkewSalt | None = None,
 ) -> DataFrame:
     """Key -> value lookup with a default.
 
@@ -112,6 +113,5 @@ def lookup_join(
     lk = lookup.select(F.col(lookup_key).alias("__lk"), F.col(lookup_value).cast("string").alias("__lv"))
     if unique:
         lk = lk.where(F.col("__lk").isNotNull()).groupBy("__lk").agg(F.max("__lv").alias("__lv"))
-    k = F.col(key) if isinstance(key, str) else key
-    joined = df.join(lk, k == lk["__lk"], "left")
-    return joined.withColumn(out, default_if_blank(F.col("__lv"), default)).drop("__lk", "__lv")
+    joined = left_join_on_keys(df, lk, [(key, "__lk")], right_columns={"__lv": "__lv"}, skew=skew)
+    return joined.withColumn(out, default_if_blank(F.col("__lv"), default)).drop("__lv")

@@ -98,3 +98,14 @@ def test_enrich_by_key_partitions(spark, partitions):
     df = spark.range(100).select((F.col("id") % 10).cast("string").alias("k"))
     out = enrich_by_key(df, "k", _resolver, "id", partitions=partitions)
     assert out.where(F.col("id") == F.concat(F.lit("h:"), F.col("k"))).count() == 100
+
+
+def test_lookup_and_enrich_with_salting_match_plain(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("k"))
+    lk = spark.range(40).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
+    salt = SkewSalt(buckets=4, min_rows=100, max_hot_keys=5)
+    a = lookup_join(df, lk, "k", "k", "v", "name").collect()
+    b = lookup_join(df, lk, "k", "k", "v", "name", skew=salt).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(b) == 2000
+    c = enrich_by_key(df.select(F.col("k").cast("string").alias("k")), "k", _resolver, "id", skew=salt)
+    assert c.count() == 2000 and c.where(F.col("id") == "h:1").count() == 1000 + 40
