@@ -9,7 +9,11 @@ is collected to the driver and no single task sees all keys.
 
 from __future__ import annotations
 
+import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from dataclasses import dataclass, field
 from typing import Callable, Iterator
 
@@ -30,6 +34,10 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).where(cond).distinct()
 
 
+class TransientError(Exception):
+    """A failure worth retrying (for instance an HTTP 5xx answer)."""
+
+
 @dataclass(frozen=True)
 class Retry:
     """Retry policy for a resolver call.
@@ -42,7 +50,7 @@ class Retry:
 
     max_attempts: int = 3
     backoff: float = 2.0
-    retry_on: tuple[type[BaseException], ...] = (TimeoutError,)
+    retry_on: tuple[type[BaseException], ...] = (TimeoutError, TransientError)
     sleep: Callable[[float], None] = field(default=time.sleep, compare=False)
 
     def call(self, fn: Callable[[object], object], value: object) -> object | None:
@@ -59,6 +67,45 @@ class Retry:
         return None
 
 
+def _http_get(url: str, timeout: float) -> tuple[int, bytes]:
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as resp:
+            return resp.status, resp.read()
+    except urllib.error.HTTPError as e:
+        return e.code, b""
+    except urllib.error.URLError as e:
+        if isinstance(e.reason, TimeoutError):
+            raise TimeoutError(str(e.reason)) from e
+        raise
+
+
+@dataclass(frozen=True)
+class HttpJsonResolver:
+    """Resolve a key with ``GET <url_prefix><quoted key>`` and read one JSON field.
+
+    Runs inside the executors' resolver tasks of :func:`enrich_by_key`.
+    Time-outs and 5xx answers raise (retryable under :class:`Retry`); a 4xx
+    answer, an empty key or an empty field give None (the default value).
+    ``get`` is injectable, e.g. for a client with connection pooling.
+    """
+
+    url_prefix: str
+    field: str = "Digest"
+    timeout: float = 5.0
+    get: Callable[[str, float], tuple[int, bytes]] = _http_get
+
+    def __call__(self, value: object) -> str | None:
+        if value is None or value == "":
+            return None
+        status, body = self.get(self.url_prefix + urllib.parse.quote(str(value)), self.timeout)
+        if status >= 500:
+            raise TransientError(f"server error {status}")
+        if status >= 400:
+            return None
+        answer = json.loads(body or b"{}").get(self.field)
+        return str(answer) if answer else None
+
+
 def _resolve_partition(
     resolver: Callable[[object], object], retry: Retry | None, key: str, value: str
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:

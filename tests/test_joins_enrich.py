@@ -109,3 +109,29 @@ def test_lookup_and_enrich_with_salting_match_plain(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(b) == 2000
     c = enrich_by_key(df.select(F.col("k").cast("string").alias("k")), "k", _resolver, "id", skew=salt)
     assert c.count() == 2000 and c.where(F.col("id") == "h:1").count() == 1000 + 40
+
+
+def test_http_json_resolver_statuses_and_retry():
+    from sluice.operators.enrich import HttpJsonResolver, TransientError
+
+    calls = []
+
+    def fake_get(answers):
+        def get(url, timeout):
+            calls.append(url)
+            a = answers.pop(0)
+            if isinstance(a, BaseException):
+                raise a
+            return a
+        return get
+
+    r = HttpJsonResolver("http://digest.invalid/md4?value=", get=fake_get([(200, b'{"Digest": "abc"}')]))
+    assert r("CL 1") == "abc" and calls[-1].endswith("value=CL%201")
+    assert HttpJsonResolver("u", get=fake_get([(404, b"")]))("x") is None
+    assert HttpJsonResolver("u", get=fake_get([(200, b'{"Digest": ""}')]))("x") is None
+    assert HttpJsonResolver("u", get=fake_get([]))("") is None
+    with pytest.raises(TransientError):
+        HttpJsonResolver("u", get=fake_get([(503, b"")]))("x")
+    # server error, then time-out, then success: retried (a 5xx is retried too)
+    flaky = HttpJsonResolver("u", get=fake_get([(503, b""), TimeoutError("t"), (200, b'{"Digest": "d"}')]))
+    assert Retry(max_attempts=3, sleep=lambda s: None).call(flaky, "x") == "d"

@@ -1,0 +1,40 @@
+"""A key holding a third of all rows must not land in one join task."""
+
+from pyspark.sql import functions as F
+
+from sluice.operators.joins import SkewSalt, left_join_on_keys
+
+from .helpers import plan_text
+
+
+def _max_share(df) -> float:
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_salting_spreads_a_hot_key_over_sort_merge_tasks(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",  # force the sort-merge plan of a large right side
+        "spark.sql.adaptive.enabled": "false",  # show the static plan's balance, without AQE's own splitting
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        left = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+        )
+        right = spark.range(-1, n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        plain = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"})
+        salted = left_join_on_keys(
+            left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=16, min_rows=1000, max_hot_keys=4)
+        )
+        assert "SortMergeJoin" in plan_text(salted, "simple")
+        assert _max_share(plain) > 0.33  # the hot key sits in one task
+        assert _max_share(salted) < 0.15  # spread over the salt buckets
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
