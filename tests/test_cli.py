@@ -21,6 +21,6 @@ def test_cli_runs_the_claims_job(tmp_path):
     report = json.loads(done.stdout.strip().splitlines()[-1])
     assert report["published_rows"] == 7 and report["quality"]["claim"]["valid"] == 7
     assert (tmp_path / "out" / "TRANSACTIONS" / "batch_date=b1").is_dir()
-    bad = subprocess.run(cmd[:4] + [str(tmp_path / "nope")] + cmd[5:], capture_output=True, text=True,
+    bad = subprocess.run(cmd[:5] + [str(tmp_path / "nope")] + cmd[6:], capture_output=True, text=True,
                          env=env, cwd=REPO, timeout=600)
     assert bad.returncode == 1
