@@ -54,9 +54,17 @@ def _quality_metrics(flag) -> list:
     ]
 
 
-def stage_annotated(spark: SparkSession, annotated: DataFrame, name: str) -> DataFrame:
-    """Write an annotated frame once (parquet, partitioned by verdict) and read it back."""
+def stage_annotated(
+    spark: SparkSession, annotated: DataFrame, name: str, observation: Observation | None = None
+) -> DataFrame:
+    """Write an annotated frame once (parquet, partitioned by verdict) and read it back.
+
+    ``observation`` collects the quality counts during this write, which
+    passes every row anyway; later reads then only touch their own half.
+    """
     path = shared_dir(spark, "stage", name)
+    if observation is not None:
+        annotated = annotated.observe(observation, *_quality_metrics(F.col(VALID_FLAG)))
     annotated.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(path)
     # partition values come back as text; the filter on the cast still prunes directories
     staged = spark.read.parquet(path)
@@ -97,11 +105,14 @@ def run_job(
     for name, df in sources.items():
         tr = rules[name]
         annotated = annotate(df, tr, on_unknown=on_unknown)
-        if stage == "table":
-            annotated = stage_annotated(spark, annotated, name).select(*annotated.columns)
         obs = _quality_observation(name)
-        observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
         observations[name] = obs
+        if stage == "table":
+            annotated = stage_annotated(spark, annotated, name, obs).select(*annotated.columns)
+            observed = annotated
+        else:
+            # the quarantine job evaluates every row's verdict anyway: count there
+            observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
         v = split_annotated(annotated, tr, cast=True)
         iv = split_annotated(observed, tr, cast=True, cast_invalid=quarantine_cast)
         valid[name] = v.valid
@@ -119,7 +130,7 @@ def run_job(
     write_batch(result, output_base, output_name, batch_id, fmt, observation=out_obs)
 
     quality: dict[str, dict[str, int]] = {}
-    if on_invalid == "write":
+    if on_invalid == "write" or stage == "table":
         for name, obs in observations.items():
             quality[name] = dict(obs.get)
             log.info("%s: %s", name, quality[name])

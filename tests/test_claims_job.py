@@ -111,3 +111,16 @@ def test_flagship_plan_prunes_and_stays_in_codegen(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
     assert "l_tax" not in text and "l_discount" not in text
     assert "BatchEvalPython" not in text  # md5 path: no Python in the plan
+
+
+def test_staged_halves_are_pruned_by_partition(spark, tmp_path):
+    from sluice.operators.validate import annotate, split_annotated
+    from sluice.plans.claims import CLAIM_RULES
+    from sluice.plans.job import stage_annotated
+
+    staged = stage_annotated(spark, annotate(_inputs(spark, tmp_path)["claim"], CLAIM_RULES), "claim")
+    split = split_annotated(staged, CLAIM_RULES)
+    # each half reads only its own verdict partition
+    assert "NOT cast(is_valid" in plan_text(split.invalid, "simple").split("PartitionFilters: ")[1].split("]")[0]
+    assert "cast(is_valid" in plan_text(split.valid, "simple").split("PartitionFilters: ")[1].split("]")[0]
+    assert split.valid.count() == 7 and split.invalid.count() == 0
