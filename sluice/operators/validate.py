@@ -85,7 +85,7 @@ def column_checks(rule: ColumnRule) -> list[Column]:
     if rule.checks_timestamp:
         preds.append(F.try_to_timestamp(c, F.lit(rule.timestamp_format)).isNotNull())
     if rule.extra.get("castable") and cast_type(rule.cast_to):
-        preds.append(c.try_cast(cast_type(rule.cast_to)).isNotNull())
+        preds.append(F.nullif(c, F.lit("")).try_cast(cast_type(rule.cast_to)).isNotNull())
     for p in preds:
         checks.append(p if rule.required else _optional(p, c))
     return checks
