@@ -7,7 +7,6 @@ the session's shared checkpoint directory and return the read-back frame.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import posixpath
 import sys
@@ -25,12 +24,19 @@ from sluice.operators.header import conform_header  # noqa: E402
 from sluice.operators.joins import SkewSalt, lookup_join  # noqa: E402
 from sluice.operators.validate import column_verdict, quality_report, validate  # noqa: E402
 from sluice.plans import claims as C  # noqa: E402
-from sluice.plans.fixtures import raw_claim, raw_contract  # noqa: E402
+from sluice.plans.fixtures import ClaimDigestService, no_wait, raw_claim, raw_contract  # noqa: E402
 from sluice.plans.job import run_job  # noqa: E402
-from sluice.session import shared_dir  # noqa: E402
+from sluice.session import ship_package, shared_dir  # noqa: E402
 from sluice.streaming.incremental import start_incremental_job  # noqa: E402
 from sluice.sources.readers import read_table, spread  # noqa: E402
-from sluice.sources.sinks import read_batches, write_batch, write_quarantine, write_table  # noqa: E402
+from sluice.sources.sinks import (  # noqa: E402
+    TEXT_DATE_FORMAT,
+    TEXT_TIMESTAMP_FORMAT,
+    read_batches,
+    write_batch,
+    write_quarantine,
+    write_table,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 RUN_TS = "2024-01-01 00:00:00"
@@ -38,6 +44,7 @@ BATCH_ID = "20240101_000000"
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship_package(spark)  # executors import the package for UDFs and resolvers
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -163,6 +170,17 @@ def q_batch_write_readback(spark, sf):
     return read_batches(spark, base, "TRANSACTIONS", "parquet")
 
 
+def q_json_batch_readback(spark, sf):
+    """The result published as a JSON batch (null fields kept, fixed text
+    formats for dates and timestamps) and read back with its schema."""
+    base = shared_dir(spark, "json_batch")
+    result = q_claims_transactions(spark, sf)
+    write_batch(result, base, "TRANSACTIONS", BATCH_ID, "json")
+    schema = result.schema.add("batch_date", "string")
+    opts = {"timestampFormat": TEXT_TIMESTAMP_FORMAT, "dateFormat": TEXT_DATE_FORMAT}
+    return read_batches(spark, base, "TRANSACTIONS", "json", options=opts, schema=schema)
+
+
 def q_quarantine_readback(spark, sf):
     base = shared_dir(spark, "quarantine")
     invalid = validate(_claim(spark, sf), C.CLAIM_RULES).invalid
@@ -241,34 +259,9 @@ def q_distinct_keys(spark, sf):
     return distinct_keys(_claim(spark, sf), "CLAIM_ID")
 
 
-class ClaimDigestService:
-    """Stands in for a remote digest service: md5 of the id; numeric part
-    divisible by 7 -> hard failure, by 11 -> empty answer, by 5 -> one
-    time-out before it answers."""
-
-    def __init__(self):
-        self.calls: dict[str, int] = {}
-
-    def __call__(self, claim_id):
-        n = int(str(claim_id).rsplit("_", 1)[-1])
-        seen = self.calls.get(claim_id, 0)
-        self.calls[claim_id] = seen + 1
-        if n % 7 == 0:
-            raise ValueError("rejected")
-        if n % 11 == 0:
-            return ""
-        if n % 5 == 0 and seen == 0:
-            raise TimeoutError("slow")
-        return hashlib.md5(str(claim_id).encode()).hexdigest()
-
-
-def _no_wait(_seconds):
-    return None
-
-
 def q_enrich_by_key(spark, sf):
     claims = _claim(spark, sf).select("CLAIM_ID")
-    retry = Retry(max_attempts=3, backoff=2.0, retry_on=(TimeoutError,), sleep=_no_wait)
+    retry = Retry(max_attempts=3, backoff=2.0, retry_on=(TimeoutError,), sleep=no_wait)
     return enrich_by_key(claims, "CLAIM_ID", ClaimDigestService(), "NSE_ID", default=C.UNKNOWN_ID, retry=retry)
 
 
@@ -333,6 +326,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orc_roundtrip": _roundtrip("orc"),
     "parquet_roundtrip": _roundtrip("parquet"),
     "batch_write_readback": q_batch_write_readback,
+    "json_batch_readback": q_json_batch_readback,
     "quarantine_readback": q_quarantine_readback,
     "header_alias_rename": q_header_alias_rename,
     "rule_required": _rule_query("contract", "CONTRACT_ID", "SOURCE_SYSTEM"),
@@ -556,6 +550,7 @@ FROM transactions""",
     "orc_roundtrip": "SELECT * FROM orders",
     "parquet_roundtrip": "SELECT * FROM orders",
     "batch_write_readback": f"{_BASE}\nSELECT *, '{BATCH_ID}' AS batch_date FROM transactions",
+    "json_batch_readback": f"{_BASE}\nSELECT *, '{BATCH_ID}' AS batch_date FROM transactions",
     "quarantine_readback": f"""{_BASE}
 SELECT {", ".join(f"NULLIF({c}, '') AS {c}" for c in _CLAIM_SPECS)},
        {_message_sql(_CLAIM_SPECS)} AS validation_error, '{BATCH_ID}' AS batch_date

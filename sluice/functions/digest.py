@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .columns import _c
+from ..session import ship_package
 from .md4 import md4_hex
 
 DIGESTS = ("md4", "md5", "sha1", "sha224", "sha256", "sha384", "sha512", "xxhash64", "crc32")
@@ -40,6 +41,7 @@ def digest(col: str | Column, algo: str = "md5") -> Column:
     if a == "crc32":
         return F.crc32(c)
     if a == "md4":
+        ship_package()  # the UDF runs in the executors' Python workers
         return md4_hex_udf(c)
     raise ValueError(f"unknown digest {algo!r}; choose from {DIGESTS}")
 

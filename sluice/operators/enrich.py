@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_if_blank
+from ..session import ship_package
 from .joins import SkewSalt, left_join_on_keys
 
 
@@ -132,6 +133,7 @@ def resolve_keys(
     partitions: int | None = None,
 ) -> DataFrame:
     """Run ``resolver`` once per row of a distinct-key frame -> (key, value)."""
+    ship_package(keys.sparkSession)  # the resolver runs in the executors' Python workers
     if partitions:
         keys = keys.repartition(partitions, key)
     key_type = keys.schema[key].dataType.simpleString()

@@ -9,6 +9,8 @@ unknown contracts, and the two header misspellings.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,3 +68,30 @@ def raw_claim(lineitem: DataFrame) -> DataFrame:
         .alias("AMOUNT"),
         _stamp_text("l_shipdate").alias("CREATION_DATE"),
     )
+
+
+class ClaimDigestService:
+    """Stands in for a remote digest service, deterministically per key:
+    md5 of the id, except numeric part divisible by 7 -> hard failure, by 11
+    -> empty answer, by 5 -> one time-out before it answers. Retries of a key
+    come back to back, so only the last key's attempt count is kept."""
+
+    def __init__(self):
+        self._last: tuple[object, int] = (None, 0)
+
+    def __call__(self, claim_id):
+        n = int(str(claim_id).rsplit("_", 1)[-1])
+        key, seen = self._last
+        seen = seen if key == claim_id else 0
+        self._last = (claim_id, seen + 1)
+        if n % 7 == 0:
+            raise ValueError("rejected")
+        if n % 11 == 0:
+            return ""
+        if n % 5 == 0 and seen == 0:
+            raise TimeoutError("slow")
+        return hashlib.md5(str(claim_id).encode()).hexdigest()
+
+
+def no_wait(_seconds: float) -> None:
+    return None

@@ -36,3 +36,58 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A fresh directory path under the shared checkpoint root."""
     tail = list(parts) + ([uuid.uuid4().hex] if unique else [])
     return posixpath.join(checkpoint_root(spark), "sluice", *tail)
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def _package_zip() -> str:
+    """Zip this package once per process (named by a hash of its sources)."""
+    if _ZIP:
+        return _ZIP[0]
+    import hashlib
+    import os
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent
+    files = sorted(p for p in root.rglob("*.py") if "__pycache__" not in p.parts)
+    digest = hashlib.sha1()
+    for p in files:
+        digest.update(str(p.relative_to(root)).encode())
+        digest.update(p.read_bytes())
+    zpath = os.path.join(tempfile.gettempdir(), f"sluice-{digest.hexdigest()[:16]}.zip")
+    if not os.path.exists(zpath):
+        tmp = f"{zpath}.{uuid.uuid4().hex}"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+            for p in files:
+                zf.write(p, posixpath.join(root.name, *p.relative_to(root).parts))
+        os.replace(tmp, zpath)
+    _ZIP.append(zpath)
+    return zpath
+
+
+def ship_package(spark: SparkSession | None = None) -> str | None:
+    """Make this package importable in the executors' Python workers.
+
+    The same as ``spark-submit --py-files``: the package source is zipped on
+    the driver and registered with ``addPyFile``, which Spark copies to every
+    executor. Only plans that run Python on the executors need it (the MD4
+    pandas UDF, the resolver in ``mapInPandas``, ``foreachBatch``).
+    Idempotent per application; returns the zip path (None without a
+    SparkContext, e.g. under Spark Connect, where the client adds artifacts).
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return None
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:
+        return None
+    zpath = _package_zip()
+    if app not in _SHIPPED:
+        sc.addPyFile(zpath)
+        _SHIPPED.add(app)
+    return zpath

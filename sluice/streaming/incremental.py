@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.validate import annotate, split_annotated
 from ..rules import TableRules
+from ..session import ship_package
 from ..sources.readers import csv_options
 from ..sources.sinks import QUARANTINE_DIR, write_batch
 
@@ -62,6 +63,7 @@ def start_incremental_job(
     publish (it may join static tables). ``available_now`` processes what is
     there and stops; otherwise ``processing_time`` sets the trigger.
     """
+    ship_package(spark)  # foreachBatch and any UDF in the transform import this package
     schema = schema or text_schema(spark, source_dir)
     reader = spark.readStream.schema(schema).options(**csv_options())
     if max_files_per_trigger:
