@@ -2,6 +2,7 @@
 
     python -m sluice claims --input IN --output OUT [--format csv] [--input-format csv]
                             [--batch-id ID] [--stage table|recompute] [--digest md4]
+                            [--config application.json] [--rules-dir DIR]
 
 Reads ``IN/Contract.csv`` and ``IN/Claim.csv`` (files or folders), quarantines
 invalid rows under ``OUT/invalid/<name>/batch_date=<id>`` and publishes
@@ -35,28 +36,49 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--stage", default="table", choices=["table", "recompute"])
     p.add_argument("--digest", default="md4")
     p.add_argument("--on-unknown", default="quarantine", choices=["quarantine", "drop"])
+    p.add_argument("--config", default=None,
+                   help='application JSON: {"file_formats": {"input_format", "output_format"}, "csv_options": {...}}')
+    p.add_argument("--rules-dir", default=None, help="folder with contract_validation.json and claim_validation.json")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     from pyspark.sql import SparkSession
 
-    from .plans.claims import RULES, claims_transform
+    from .plans.claims import HEADER_ALIASES, RULES, claims_transform
     from .plans.job import run_job
-    from .sources.readers import read_table
+    from .rules import TableRules
+    from .sources.readers import csv_options_from_config, read_table
+
+    config: dict = {}
+    if args.config:
+        with open(args.config, encoding="utf-8") as f:
+            config = json.load(f)
+    formats = config.get("file_formats", {})
+    input_format = formats.get("input_format", args.input_format)
+    output_format = formats.get("output_format", args.format)
+    read_opts = csv_options_from_config(config) if input_format.lower() == "csv" else {}
+    rules = dict(RULES)
+    if args.rules_dir:
+        rules = {
+            name: TableRules.from_json(posixpath.join(args.rules_dir, f"{name}_validation.json")).with_aliases(
+                HEADER_ALIASES
+            )
+            for name in RULES
+        }
 
     spark = SparkSession.builder.appName("sluice-claims").getOrCreate()
     try:
         sources = {
-            "contract": read_table(spark, posixpath.join(args.input, CONTRACT_FILE), args.input_format),
-            "claim": read_table(spark, posixpath.join(args.input, CLAIM_FILE), args.input_format),
+            "contract": read_table(spark, posixpath.join(args.input, CONTRACT_FILE), input_format, options=read_opts),
+            "claim": read_table(spark, posixpath.join(args.input, CLAIM_FILE), input_format, options=read_opts),
         }
         result = run_job(
             spark,
             sources,
-            RULES,
+            rules,
             lambda valid: claims_transform(valid, digest=args.digest),
             output_base=args.output,
-            fmt=args.format,
+            fmt=output_format,
             batch_id=args.batch_id,
             stage=args.stage,
             on_unknown=args.on_unknown,

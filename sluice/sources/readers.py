@@ -27,6 +27,24 @@ CSV_READ_OPTIONS = {
 
 READ_FORMATS = ("csv", "json", "parquet", "orc")
 
+# Keys of an application config's "csv_options" block and the
+# Spark reader option each one sets.
+CONFIG_CSV_KEYS = {
+    "delimiter": "sep",
+    "quote_char": "quote",
+    "escape_char": "escape",
+    "header": "header",
+    "mode": "mode",
+    "multiline": "multiLine",
+}
+
+
+def csv_options_from_config(config: Mapping[str, object]) -> dict[str, str]:
+    """Reader options from a config's ``csv_options`` block (unknown keys ignored)."""
+    block = config.get("csv_options", {}) or {}
+    return {CONFIG_CSV_KEYS[k]: str(v).lower() if isinstance(v, bool) else str(v)
+            for k, v in dict(block).items() if k in CONFIG_CSV_KEYS}
+
 
 def csv_options(multiline: bool = False, **overrides: str) -> dict[str, str]:
     """The CSV read options. ``multiline`` is opt-in: it makes every file a
