@@ -110,7 +110,10 @@ def q_claims_stream(spark, sf):
     write_table(_contract(spark, sf), posixpath.join(root, "in", "contract"), "csv")
     write_table(_claim(spark, sf), claim_dir, "csv")
     contract = read_table(spark, posixpath.join(root, "in", "contract"), "csv")
-    valid_contract = validate(contract, C.CONTRACT_RULES).valid
+    # the static side is validated once into a table, not once per micro-batch
+    contract_table = posixpath.join(root, "contract_valid")
+    write_table(validate(contract, C.CONTRACT_RULES).valid, contract_table, "parquet")
+    valid_contract = read_table(spark, contract_table, "parquet")
     out = posixpath.join(root, "out")
     q = start_incremental_job(
         spark,
