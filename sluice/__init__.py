@@ -11,7 +11,7 @@ from .functions.columns import (
     to_type,
 )
 from .functions.digest import digest, surrogate_id
-from .operators.enrich import Retry, distinct_keys, enrich_by_key, resolve_keys
+from .operators.enrich import HttpJsonResolver, Retry, TransientError, distinct_keys, enrich_by_key, resolve_keys
 from .operators.header import HeaderError, check_header, conform_header
 from .operators.joins import SkewSalt, left_join_on_keys, lookup_join
 from .operators.validate import (
@@ -24,8 +24,10 @@ from .operators.validate import (
     split_annotated,
     validate,
 )
+from .plans.job import JobResult, run_job
 from .rules import ColumnRule, TableRules
-from .sources.readers import read_sources, read_table
+from .session import ship_package, shared_dir
+from .sources.readers import csv_options_from_config, read_sources, read_table, spread
 from .sources.sinks import read_batches, write_batch, write_quarantine, write_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]

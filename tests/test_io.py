@@ -67,3 +67,16 @@ def test_text_formats_of_published_values(spark, tmp_path):
     write_table(df, str(tmp_path / "j"), "json")
     text = "".join(open(os.path.join(tmp_path / "j", f)).read() for f in os.listdir(tmp_path / "j") if f.endswith(".json"))
     assert '"n":null' in text and '"ts":"2022-01-17T14:45:00.000Z"' in text
+
+
+def test_spread_only_widens_narrow_scans(spark, tmp_path):
+    from sluice.sources.readers import spread
+
+    one = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    narrow = spark.read.parquet(one)
+    assert narrow.rdd.getNumPartitions() == 1
+    wide = spread(narrow, 4)
+    assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
+    many = spark.range(1000).repartition(6)
+    assert spread(many, 4) is many  # already wide enough: no shuffle added
