@@ -29,6 +29,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import default_if_blank
 
 
+_KEEPS_LEFT = ("left", "left_outer", "leftouter", "full", "full_outer", "fullouter", "outer")
+_NULL_BUCKETS = 1024
+_NULL_SEED = 29
+
+
 @dataclass(frozen=True)
 class SkewSalt:
     buckets: int = 32
@@ -62,7 +67,9 @@ def left_join_on_keys(
 
     Only ``right_columns`` (``{right_name: output_name}``) of the right side
     are kept, so the right side is pruned before the exchange and no name
-    can clash. Null keys never match; duplicate right keys fan out.
+    can clash. Null keys never match; duplicate right keys fan out. For
+    joins that keep unmatched left rows, null-key rows are spread over many
+    shuffle partitions instead of all hashing to one.
     """
     rkeys = [f"__rk{i}" for i in range(len(keys))]
     rsel = [F.col(rk).alias(rkeys[i]) for i, (_, rk) in enumerate(keys)]
@@ -72,15 +79,32 @@ def left_join_on_keys(
     lkeys = [lk for lk, _ in keys]
 
     if skew is None:
-        cond = reduce(and_, [left[lk] == r[rkeys[i]] for i, lk in enumerate(lkeys)])
-        return left.join(r, cond, how).drop(*rkeys)
+        if how not in _KEEPS_LEFT:
+            cond = reduce(and_, [left[lk] == r[rkeys[i]] for i, lk in enumerate(lkeys)])
+            return left.join(r, cond, how).drop(*rkeys)
+        # Left rows with a null key are kept but can never match. Hash
+        # partitioning on the keys would send all of them to one task. Join on
+        # struct(keys, bucket) instead: the bucket is 0 on the right and for
+        # every left row with complete keys, and random in [1, N] for a left
+        # row with a null key, so those rows spread over all tasks and still
+        # match nothing. (A plain extra key column with a constant 0 on the
+        # right would be folded out of the join keys by the optimizer.)
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in lkeys])
+        bucket = F.when(any_null, F.floor(F.rand(_NULL_SEED) * _NULL_BUCKETS) + 1).otherwise(0).cast("bigint")
+        lk = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(lkeys)], bucket.alias("nb"))
+        rk = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(rkeys)], F.lit(0).cast("bigint").alias("nb"))
+        ln = left.withColumn("__jk", lk)
+        rn = r.withColumn("__jk", rk)
+        return ln.join(rn, ln["__jk"] == rn["__jk"], how).drop(*rkeys).drop(ln["__jk"]).drop(rn["__jk"])
 
     hot = _hot_keys(left, lkeys, skew)
     b = skew.buckets
     lm = _mark_hot(left, lkeys, hot)
+    # hot keys and null keys (which match nothing) are spread over the salts
+    spread_row = F.col("__is_hot") | reduce(lambda a, c: a | c, [F.col(k).isNull() for k in lkeys])
     lm = lm.withColumn(
         "__salt",
-        F.when(F.col("__is_hot"), F.floor(F.rand(skew.seed) * F.lit(b)).cast("int")).otherwise(F.lit(0)),
+        F.when(spread_row, F.floor(F.rand(skew.seed) * F.lit(b)).cast("int")).otherwise(F.lit(0)),
     ).drop("__is_hot")
     rm = _mark_hot(r, rkeys, hot)
     rm = rm.withColumn(

@@ -38,3 +38,27 @@ def test_salting_spreads_a_hot_key_over_sort_merge_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_null_keys_of_kept_left_rows_are_spread(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        left = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k"), F.col("id").alias("v")
+        )  # a third of the rows have a null key
+        right = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        for skew in (None, SkewSalt(buckets=16, min_rows=1000, max_hot_keys=4)):
+            out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=skew)
+            assert _max_share(out) < 0.15
+            rows = out.collect()
+            assert len(rows) == n
+            assert sum(1 for r in rows if r.w is None) == n // 3
+            assert all(r.w == 2 * r.k for r in rows if r.k is not None)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
