@@ -37,7 +37,7 @@ STAGES = ("recompute", "table")
 class JobResult:
     batch_id: str
     output_path: str
-    quality: dict[str, dict[str, int]] = field(default_factory=dict)
+    quality: dict[str, dict[str, float]] = field(default_factory=dict)
     published_rows: int | None = None
 
 
@@ -129,10 +129,12 @@ def run_job(
     out_obs = Observation("published")
     write_batch(result, output_base, output_name, batch_id, fmt, observation=out_obs)
 
-    quality: dict[str, dict[str, int]] = {}
+    quality: dict[str, dict[str, float]] = {}
     if on_invalid == "write" or stage == "table":
         for name, obs in observations.items():
-            quality[name] = dict(obs.get)
+            q = dict(obs.get)
+            q["invalid_rate"] = (q["invalid"] / q["rows"]) if q["rows"] else 0.0
+            quality[name] = q
             log.info("%s: %s", name, quality[name])
     published = out_obs.get.get("rows")
     return JobResult(batch_id, f"{output_base}/{output_name}", quality, published)

@@ -70,8 +70,8 @@ def test_golden_sample_job(spark, tmp_path):
         spark, _inputs(spark, tmp_path), RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
         output_base=out, fmt="parquet", batch_id="20240101_000000",
     )
-    assert res.quality["contract"] == {"rows": 5, "valid": 5, "invalid": 0, "unknown": 0}
-    assert res.quality["claim"] == {"rows": 7, "valid": 7, "invalid": 0, "unknown": 0}
+    assert res.quality["contract"] == {"rows": 5, "valid": 5, "invalid": 0, "unknown": 0, "invalid_rate": 0.0}
+    assert res.quality["claim"] == {"rows": 7, "valid": 7, "invalid": 0, "unknown": 0, "invalid_rate": 0.0}
     assert res.published_rows == 7
     back = read_batches(spark, out, "TRANSACTIONS", "parquet")
     assert back.columns == OUTPUT_COLUMNS + ["batch_date"]
@@ -96,7 +96,7 @@ def test_staged_job_equals_recomputed_and_quarantines(spark, tmp_path):
         out = str(tmp_path / stage)
         res = run_job(spark, inputs, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
                       output_base=out, fmt="csv", batch_id="b1", stage=stage)
-        assert res.quality["claim"] == {"rows": 9, "valid": 7, "invalid": 2, "unknown": 0}
+        assert res.quality["claim"] == {"rows": 9, "valid": 7, "invalid": 2, "unknown": 0, "invalid_rate": 2 / 9}
         q = read_batches(spark, f"{out}/invalid", "claim", "csv").collect()
         assert [r.validation_error for r in q] == ["Failed columns: CLAIM_TYPE, AMOUNT"] * 2
         outs[stage] = sorted(tuple(map(str, r)) for r in read_batches(spark, out, "TRANSACTIONS", "csv").collect())

@@ -53,6 +53,6 @@ def test_cli_reads_application_config_and_rule_files(tmp_path):
         capture_output=True, text=True, env=env, cwd=REPO, timeout=600)
     assert done.returncode == 0, done.stderr[-2000:]
     report = json.loads(done.stdout.strip().splitlines()[-1])
-    assert report["quality"]["claim"] == {"rows": 7, "valid": 3, "invalid": 4, "unknown": 0}  # four type-2 claims
+    assert report["quality"]["claim"] == {"rows": 7, "valid": 3, "invalid": 4, "unknown": 0, "invalid_rate": 4 / 7}  # four type-2 claims
     assert report["published_rows"] == 3
     assert any(f.endswith(".json") for f in os.listdir(tmp_path / "out" / "TRANSACTIONS" / "batch_date=b1"))

@@ -18,5 +18,5 @@ def test_job_survives_a_lost_worker(tmp_path):
     out = json.loads(done.stdout.strip().splitlines()[-1])
     assert out["crashed"]  # a task really failed and was retried
     assert out["published"] == 7
-    assert out["quality"]["claim"] == {"rows": 7, "valid": 7, "invalid": 0, "unknown": 0}
+    assert out["quality"]["claim"] == {"rows": 7, "valid": 7, "invalid": 0, "unknown": 0, "invalid_rate": 0.0}
     assert out["ids"] == sorted(g[-1] for g in GOLDEN)  # nothing lost, nothing doubled
