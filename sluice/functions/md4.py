@@ -25,19 +25,29 @@ ROUND2_ORDER = (0, 4, 8, 12, 1, 5, 9, 13, 2, 6, 10, 14, 3, 7, 11, 15)
 ROUND3_ORDER = (0, 8, 4, 12, 2, 10, 6, 14, 1, 9, 5, 13, 3, 11, 7, 15)
 
 # Upper bound on the padded bytes hashed at once, to keep memory per task flat.
-_CHUNK_BYTES = 32 << 20
+_CHUNK_BYTES = 64 << 20
 
 
-def _f(x, y, z):
-    return (x & y) | (~x & z)
+def _f(b, c, d, t, u):
+    # t = (b & c) | (~b & d)
+    np.bitwise_and(b, c, out=t)
+    np.invert(b, out=u)
+    np.bitwise_and(u, d, out=u)
+    np.bitwise_or(t, u, out=t)
 
 
-def _g(x, y, z):
-    return (x & y) | (x & z) | (y & z)
+def _g(b, c, d, t, u):
+    # t = (b & c) | (b & d) | (c & d) == (b & (c | d)) | (c & d)
+    np.bitwise_or(c, d, out=t)
+    np.bitwise_and(t, b, out=t)
+    np.bitwise_and(c, d, out=u)
+    np.bitwise_or(t, u, out=t)
 
 
-def _h(x, y, z):
-    return x ^ y ^ z
+def _h(b, c, d, t, u):
+    # t = b ^ c ^ d
+    np.bitwise_xor(b, c, out=t)
+    np.bitwise_xor(t, d, out=t)
 
 
 _ROUNDS = (
@@ -47,22 +57,33 @@ _ROUNDS = (
 )
 
 
-def _rotl(x: np.ndarray, s: int) -> np.ndarray:
-    return (x << np.uint32(s)) | (x >> np.uint32(32 - s))
-
-
 def _compress(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
-    """One 64-byte block for every row: ``words`` is (n, 16) uint32."""
-    a, b, c, d = state
+    """One 64-byte block for every row: ``words`` is (16, n) uint32, contiguous.
+
+    All work happens in place in a few row-length buffers, one numpy call
+    per bit operation of the round function.
+    """
+    a, b, c, d = (x.copy() for x in state)
+    t = np.empty_like(a)
+    u = np.empty_like(a)
     for func, const, order, shifts in _ROUNDS:
         k_const = np.uint32(const)
         for i, k in enumerate(order):
-            t = a + func(b, c, d) + words[:, k]
+            s = shifts[i % 4]
+            func(b, c, d, t, u)
+            np.add(t, a, out=t)
+            np.add(t, words[k], out=t)
             if const:
-                t = t + k_const
-            # the register just written moves to position b; the others rotate
-            a, b, c, d = d, _rotl(t, shifts[i % 4]), b, c
-    return [state[0] + a, state[1] + b, state[2] + c, state[3] + d]
+                np.add(t, k_const, out=t)
+            # rotate left into a's buffer (its old value is used up), then
+            # the register just written moves to position b
+            np.left_shift(t, np.uint32(s), out=a)
+            np.right_shift(t, np.uint32(32 - s), out=u)
+            np.bitwise_or(a, u, out=a)
+            a, b, c, d = d, a, b, c
+    for acc, x in zip((a, b, c, d), state):
+        np.add(acc, x, out=acc)
+    return [a, b, c, d]
 
 
 def _digest_group(msgs: list[bytes]) -> np.ndarray:
@@ -83,17 +104,21 @@ def _digest_group(msgs: list[bytes]) -> np.ndarray:
     end = nblocks * 64 - 8
     for j in range(8):
         buf[rows, end + j] = bits[:, j]
-    words = buf.view("<u4").astype(np.uint32).reshape(n, width // 4)
+    nb = width // 64
+    # (blocks, 16 words, rows): each block's words are contiguous per word
+    words = np.ascontiguousarray(buf.view("<u4").astype(np.uint32).reshape(n, nb, 16).transpose(1, 2, 0))
+    del buf
 
     state = [np.full(n, v, dtype=np.uint32) for v in INIT_STATE]
     uniform = bool((nblocks == nblocks[0]).all())
-    for blk in range(width // 64):
-        new = _compress(state, words[:, blk * 16 : blk * 16 + 16])
+    for blk in range(nb):
+        new = _compress(state, words[blk])
         if uniform:
             state = new
         else:
             live = blk < nblocks
-            state = [np.where(live, nv, ov) for nv, ov in zip(new, state)]
+            for old, nv in zip(state, new):
+                np.copyto(old, nv, where=live)
     return np.stack(state, axis=1).astype("<u4").view(np.uint8).reshape(n, 16)
 
 
