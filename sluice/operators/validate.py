@@ -28,12 +28,12 @@ from .header import conform_header
 
 log = logging.getLogger(__name__)
 
-# Message format of a quarantined row.
+# The quarantined row's message column and its format.
+ERROR_COLUMN = "validation_error"
 FAILED_PREFIX = "Failed columns: "
 FAILED_SEPARATOR = ", "
 FAILED_FALLBACK = "Validation failed"
 
-ERROR_COLUMN = "validation_error"
 FAILED_LIST_COLUMN = "failed_columns"
 VALID_FLAG = "is_valid"
 

@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from .readers import read_table
 
-BATCH_COLUMN = "batch_date"
-BATCH_ID_FORMAT = "%Y%m%d_%H%M%S"
-
 WRITE_FORMATS = ("csv", "json", "parquet", "orc")
 
-# Per-format write options of the published files.
+# Batch partition column, batch id format, quarantine folder,
+# and the per-format write options of the published files.
+BATCH_COLUMN = "batch_date"
+BATCH_ID_FORMAT = "%Y%m%d_%H%M%S"
+QUARANTINE_DIR = "invalid"
 TEXT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 TEXT_DATE_FORMAT = "yyyy-MM-dd"
 FORMAT_WRITE_OPTIONS: dict[str, dict[str, str]] = {
@@ -110,9 +111,6 @@ def write_batch(
     return batch_id
 
 
-QUARANTINE_DIR = "invalid"
-
-
 def write_quarantine(
     invalid: Mapping[str, DataFrame],
     base: str,
