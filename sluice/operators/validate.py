@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..rules import ColumnRule, TableRules
 from .header import conform_header
@@ -136,6 +137,7 @@ def cast_declared(df: DataFrame, rules: TableRules) -> DataFrame:
     becomes null.
     """
     by_name = {r.name: r for r in rules}
+    text_cols = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     exprs = []
     for name in df.columns:
         rule = by_name.get(name)
@@ -146,10 +148,12 @@ def cast_declared(df: DataFrame, rules: TableRules) -> DataFrame:
         if t is None:
             log.warning("unknown cast type %r for column %s; left unchanged", rule.cast_to, name)
             exprs.append(F.col(name))
-        else:
+        elif name in text_cols:
             # '' casts to null anyway; mapping it first skips Spark's per-row
             # exception path for unparsable text, which dominates optional columns
             exprs.append(F.nullif(F.col(name), F.lit("")).try_cast(t).alias(name))
+        else:
+            exprs.append(F.col(name).try_cast(t).alias(name))
     return df.select(*exprs)
 
 

@@ -173,3 +173,15 @@ def test_no_rules_means_all_valid(spark):
 def test_validation_plan_is_narrow(spark):
     df = spark.createDataFrame([good_claim()], CLAIM_DDL)
     assert "Exchange" not in plan_text(validate(df, CLAIM_RULES).valid)
+
+
+def test_typed_source_is_checked_on_its_text_and_cast(ansi_spark):
+    # a parquet-like source where ids already arrive as numbers
+    df = ansi_spark.createDataFrame(
+        [("S", 12, None, "01.01.2020", "01.01.2021", "01.01.2020 10:00"), ("", 7, "Direct", "x", "y", "z")],
+        "SOURCE_SYSTEM string, CONTRACT_ID bigint, CONTRACT_TYPE string, INSURED_PERIOD_FROM string, "
+        "INSURED_PERIOD_TO string, CREATION_DATE string",
+    )
+    valid, invalid = validate(df, CONTRACT_RULES)
+    assert [(r.CONTRACT_ID, r.CONTRACT_TYPE) for r in valid.collect()] == [(12, None)]
+    assert invalid.count() == 1
