@@ -92,7 +92,13 @@ def left_join_on_keys(
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in lkeys])
         bucket = F.when(any_null, F.floor(F.rand(_NULL_SEED) * _NULL_BUCKETS) + 1).otherwise(0).cast("bigint")
         lk = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(lkeys)], bucket.alias("nb"))
-        rk = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(rkeys)], F.lit(0).cast("bigint").alias("nb"))
+        # struct equality needs equal field types: bring each right key to its left key's type
+        ltypes = [left.schema[k].dataType for k in lkeys]
+        rfields = [
+            (F.col(k) if r.schema[k].dataType == ltypes[i] else F.col(k).try_cast(ltypes[i])).alias(f"k{i}")
+            for i, k in enumerate(rkeys)
+        ]
+        rk = F.struct(*rfields, F.lit(0).cast("bigint").alias("nb"))
         ln = left.withColumn("__jk", lk)
         rn = r.withColumn("__jk", rk)
         return ln.join(rn, ln["__jk"] == rn["__jk"], how).drop(*rkeys).drop(ln["__jk"]).drop(rn["__jk"])

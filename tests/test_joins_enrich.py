@@ -135,3 +135,13 @@ def test_http_json_resolver_statuses_and_retry():
     # server error, then time-out, then success: retried (a 5xx is retried too)
     flaky = HttpJsonResolver("u", get=fake_get([(503, b""), TimeoutError("t"), (200, b'{"Digest": "d"}')]))
     assert Retry(max_attempts=3, sleep=lambda s: None).call(flaky, "x") == "d"
+
+
+def test_left_join_with_differently_typed_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (3, "y")], "k bigint, w string")
+    out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"})
+    assert {(r.v, r.w) for r in out.collect()} == {("a", "x"), ("b", None), ("c", None)}
+    rs = spark.createDataFrame([("1", "x")], "k string, w string")
+    out2 = left_join_on_keys(left, rs, [("k", "k")], right_columns={"w": "w"})
+    assert {(r.v, r.w) for r in out2.collect()} == {("a", "x"), ("b", None), ("c", None)}
