@@ -92,7 +92,7 @@ def test_staged_job_equals_recomputed_and_quarantines(spark, tmp_path):
     )
     inputs["claim"] = bad
     outs = {}
-    for stage in ("recompute", "table"):
+    for stage in ("recompute", "table", "persist"):
         out = str(tmp_path / stage)
         res = run_job(spark, inputs, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
                       output_base=out, fmt="csv", batch_id="b1", stage=stage)
@@ -100,7 +100,7 @@ def test_staged_job_equals_recomputed_and_quarantines(spark, tmp_path):
         q = read_batches(spark, f"{out}/invalid", "claim", "csv").collect()
         assert [r.validation_error for r in q] == ["Failed columns: CLAIM_TYPE, AMOUNT"] * 2
         outs[stage] = sorted(tuple(map(str, r)) for r in read_batches(spark, out, "TRANSACTIONS", "csv").collect())
-    assert outs["recompute"] == outs["table"] and len(outs["table"]) == 7
+    assert outs["recompute"] == outs["table"] == outs["persist"] and len(outs["table"]) == 7
 
 
 def test_flagship_plan_prunes_and_stays_in_codegen(spark):
