@@ -1,7 +1,7 @@
 """Command line: run the claims job on a folder of raw files.
 
     python -m sluice claims --input IN --output OUT [--format csv] [--input-format csv]
-                            [--batch-id ID] [--stage table|recompute] [--digest md4]
+                            [--batch-id ID] [--stage table|recompute|persist] [--digest md4]
                             [--config application.json] [--rules-dir DIR]
 
 Reads ``IN/Contract.csv`` and ``IN/Claim.csv`` (files or folders), quarantines
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--input-format", default="csv")
     p.add_argument("--format", default="csv")
     p.add_argument("--batch-id", default=None)
-    p.add_argument("--stage", default="table", choices=["table", "recompute"])
+    p.add_argument("--stage", default="table", choices=["table", "recompute", "persist"])
     p.add_argument("--digest", default="md4")
     p.add_argument("--on-unknown", default="quarantine", choices=["quarantine", "drop"])
     p.add_argument("--config", default=None,
