@@ -124,3 +124,30 @@ def test_staged_halves_are_pruned_by_partition(spark, tmp_path):
     assert "NOT cast(is_valid" in plan_text(split.invalid, "simple").split("PartitionFilters: ")[1].split("]")[0]
     assert "cast(is_valid" in plan_text(split.valid, "simple").split("PartitionFilters: ")[1].split("]")[0]
     assert split.valid.count() == 7 and split.invalid.count() == 0
+
+
+def test_invalid_handler_variants_and_header_errors(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from sluice.operators.header import HeaderError
+
+    inputs = _inputs(spark, tmp_path)
+    seen = {}
+
+    def keep(invalid):
+        seen.update({k: v.count() for k, v in invalid.items()})
+
+    out = str(tmp_path / "cb")
+    res = run_job(spark, inputs, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
+                  output_base=out, fmt="parquet", batch_id="b1", on_invalid=keep)
+    assert seen == {"contract": 0, "claim": 0} and res.published_rows == 7
+    assert not os.path.exists(os.path.join(out, "invalid"))
+    res = run_job(spark, inputs, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
+                  output_base=str(tmp_path / "none"), fmt="parquet", batch_id="b1", on_invalid=None)
+    assert res.published_rows == 7 and res.quality == {}
+    broken = dict(inputs, claim=inputs["claim"].drop("AMOUNT"))
+    with pytest.raises(HeaderError, match="AMOUNT"):
+        run_job(spark, broken, RULES, claims_transform, output_base=str(tmp_path / "bad"), batch_id="b1")
+    assert not os.path.exists(tmp_path / "bad")  # nothing written before the header check failed

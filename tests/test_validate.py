@@ -185,3 +185,11 @@ def test_typed_source_is_checked_on_its_text_and_cast(ansi_spark):
     valid, invalid = validate(df, CONTRACT_RULES)
     assert [(r.CONTRACT_ID, r.CONTRACT_TYPE) for r in valid.collect()] == [(12, None)]
     assert invalid.count() == 1
+
+
+def test_quality_report_drop_mode_leaves_unknown_uncounted(spark):
+    df = spark.createDataFrame([good_claim(), good_claim(CLAIM_TYPE="3")], CLAIM_DDL)
+    quarantine = {r.column_name: r.n_failed for r in quality_report(df, CLAIM_RULES).collect()}
+    drop = {r.column_name: r.n_failed for r in quality_report(df, CLAIM_RULES, on_unknown="drop").collect()}
+    assert quarantine["CLAIM_TYPE"] == 1 and quarantine["__row__"] == 1
+    assert drop["CLAIM_TYPE"] == 0 and drop["__row__"] == 0  # the NULL verdict is neither pass nor fail
