@@ -225,6 +225,13 @@ def q_quality_report(spark, sf):
     )
 
 
+def q_quality_report_drop(spark, sf):
+    """Quality counts in parity mode: a NULL verdict is neither pass nor fail."""
+    return quality_report(_contract(spark, sf), C.CONTRACT_RULES, on_unknown="drop").unionByName(
+        quality_report(_claim(spark, sf), C.CLAIM_RULES, on_unknown="drop")
+    )
+
+
 def q_unknown_verdict_drop(spark, sf):
     v = validate(_claim(spark, sf), C.CLAIM_RULES, on_unknown="drop", cast=False)
     return v.valid.withColumn("split", F.lit("valid")).unionByName(
@@ -342,6 +349,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_verdict_invalid": q_row_verdict_invalid,
     "failed_columns_message": q_failed_columns_message,
     "quality_report": q_quality_report,
+    "quality_report_drop": q_quality_report_drop,
     "unknown_verdict_drop": q_unknown_verdict_drop,
     "conform_types": q_conform_types,
     "claim_contract_left_join": q_claim_contract_left_join,
@@ -520,6 +528,11 @@ _DROP_BASE = _with(
     _RAW_CTES.strip(),
     _checked_cte("claim", "claim_named", _CLAIM_SPECS, three_valued=True),
 )
+_DROP_BOTH = _with(
+    _RAW_CTES.strip(),
+    _checked_cte("contract", "contract_named", _CONTRACT_SPECS, three_valued=True),
+    _checked_cte("claim", "claim_named", _CLAIM_SPECS, three_valued=True),
+)
 
 _ORACLE = {
     "claims_transactions": f"{_BASE}\nSELECT * FROM transactions",
@@ -571,6 +584,7 @@ SELECT {_CONTRACT_COLS}, {_message_sql(_CONTRACT_SPECS)} AS validation_error FRO
     "failed_columns_message": f"""{_BASE}
 SELECT CLAIM_ID, {_message_sql(_CLAIM_SPECS)} AS validation_error FROM claim_flag WHERE NOT v_row""",
     "quality_report": f"{_BASE}\n{_quality_sql('contract', _CONTRACT_SPECS)}\nUNION ALL\n{_quality_sql('claim', _CLAIM_SPECS)}",
+    "quality_report_drop": f"{_DROP_BOTH}\n{_quality_sql('contract', _CONTRACT_SPECS)}\nUNION ALL\n{_quality_sql('claim', _CLAIM_SPECS)}",
     "unknown_verdict_drop": f"""{_DROP_BASE}
 SELECT {_CLAIM_COLS}, 'valid' AS split FROM claim_flag WHERE v_row
 UNION ALL
