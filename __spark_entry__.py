@@ -101,6 +101,23 @@ def q_claims_job_csv(spark, sf):
     return read_batches(spark, out, "TRANSACTIONS", "csv", batch_id=BATCH_ID)
 
 
+def q_claims_job_persisted(spark, sf):
+    """The job on the parquet-derived inputs with the annotated inputs held in
+    executor memory/disk for both writes, published as a parquet batch."""
+    out = shared_dir(spark, "claims_job_persisted")
+    run_job(
+        spark,
+        {"contract": _contract(spark, sf), "claim": _claim(spark, sf)},
+        C.RULES,
+        lambda valid: C.claims_transform(valid, digest="md5", run_ts=RUN_TS),
+        output_base=out,
+        fmt="parquet",
+        batch_id=BATCH_ID,
+        stage="persist",
+    )
+    return read_batches(spark, out, "TRANSACTIONS", "parquet")
+
+
 def q_claims_stream(spark, sf):
     """The job run incrementally: claim files are picked up by a file stream
     (two files per micro-batch), each micro-batch is validated, quarantined,
@@ -329,6 +346,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "claims_transactions": q_claims_transactions,
     "claims_transactions_md4": q_claims_transactions_md4,
     "claims_job_csv": q_claims_job_csv,
+    "claims_job_persisted": q_claims_job_persisted,
     "claims_stream": q_claims_stream,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_permissive_malformed": q_csv_permissive_malformed,
@@ -547,6 +565,7 @@ SELECT CONTRACT_SOURCE_SYSTEM,
        strftime(SYSTEM_TIMESTAMP, '{_TS_TEXT}') AS SYSTEM_TIMESTAMP,
        NSE_ID, '{BATCH_ID}' AS batch_date
 FROM transactions""",
+    "claims_job_persisted": f"{_BASE}\nSELECT *, '{BATCH_ID}' AS batch_date FROM transactions",
     "claims_stream": f"""{_BASE}
 SELECT CONTRACT_SOURCE_SYSTEM,
        CAST(CONTRACT_SOURCE_SYSTEM_ID AS VARCHAR) AS CONTRACT_SOURCE_SYSTEM_ID,
