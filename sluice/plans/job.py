@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.validate import VALID_FLAG, annotate, split_annotated
 from ..rules import TableRules
-from ..session import shared_dir
+from ..session import remove_path, shared_dir
 from ..sources.sinks import new_batch_id, write_batch, write_quarantine
 
 log = logging.getLogger(__name__)
@@ -59,14 +59,18 @@ def _quality_metrics(flag) -> list:
 
 
 def stage_annotated(
-    spark: SparkSession, annotated: DataFrame, name: str, observation: Observation | None = None
+    spark: SparkSession,
+    annotated: DataFrame,
+    name: str,
+    observation: Observation | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Write an annotated frame once (parquet, partitioned by verdict) and read it back.
 
     ``observation`` collects the quality counts during this write, which
     passes every row anyway; later reads then only touch their own half.
     """
-    path = shared_dir(spark, "stage", name)
+    path = path or shared_dir(spark, "stage", name)
     if observation is not None:
         annotated = annotated.observe(observation, *_quality_metrics(F.col(VALID_FLAG)))
     annotated.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(path)
@@ -89,11 +93,14 @@ def run_job(
     on_unknown: str = "quarantine",
     stage: str = "recompute",
     quarantine_cast: bool = False,
+    cleanup: bool = True,
 ) -> JobResult:
     """Run one batch of a rule-driven job and publish it.
 
     ``on_invalid``: ``"write"`` quarantines to ``<output_base>/invalid/<name>``;
     a callable receives the invalid frames instead; None ignores them.
+    ``cleanup`` removes the staged tables (``stage="table"``) once the batch
+    is published (or the job failed).
     Any error aborts the job and propagates.
     """
     if stage not in STAGES:
@@ -107,13 +114,16 @@ def run_job(
     invalid: dict[str, DataFrame] = {}
     observations: dict[str, Observation] = {}
     persisted: list[DataFrame] = []
+    staged: list[str] = []
     for name, df in sources.items():
         tr = rules[name]
         annotated = annotate(df, tr, on_unknown=on_unknown)
         obs = _quality_observation(name)
         observations[name] = obs
         if stage == "table":
-            annotated = stage_annotated(spark, annotated, name, obs).select(*annotated.columns)
+            staged_path = shared_dir(spark, "stage", name)
+            staged.append(staged_path)
+            annotated = stage_annotated(spark, annotated, name, obs, staged_path).select(*annotated.columns)
             observed = annotated
         elif stage == "persist":
             annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
@@ -141,6 +151,10 @@ def run_job(
     finally:
         for df in persisted:
             df.unpersist()
+        if cleanup:
+            # the staged copies are only needed until the batch is published
+            for path in staged:
+                remove_path(spark, path)
 
     quality: dict[str, dict[str, float]] = {}
     if on_invalid == "write" or stage == "table":

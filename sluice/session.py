@@ -91,3 +91,17 @@ def ship_package(spark: SparkSession | None = None) -> str | None:
         sc.addPyFile(zpath)
         _SHIPPED.add(app)
     return zpath
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this package wrote (e.g. a staged table) on whatever
+    filesystem its URI names, through Hadoop's FileSystem API. Returns False
+    when it cannot (no JVM gateway, e.g. Spark Connect) and leaves the folder
+    to the checkpoint folder's retention."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(hpath, True))
+    except Exception:
+        return False

@@ -151,3 +151,18 @@ def test_invalid_handler_variants_and_header_errors(spark, tmp_path):
     with pytest.raises(HeaderError, match="AMOUNT"):
         run_job(spark, broken, RULES, claims_transform, output_base=str(tmp_path / "bad"), batch_id="b1")
     assert not os.path.exists(tmp_path / "bad")  # nothing written before the header check failed
+
+
+def test_staged_tables_are_removed_after_publishing(spark, tmp_path):
+    import glob
+    import os
+
+    from sluice.session import checkpoint_root
+
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(os.path.join(root, "sluice", "stage", "*", "*")))
+    res = run_job(spark, _inputs(spark, tmp_path), RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
+                  output_base=str(tmp_path / "out"), fmt="parquet", batch_id="b1", stage="table")
+    assert res.published_rows == 7
+    after = set(glob.glob(os.path.join(root, "sluice", "stage", "*", "*")))
+    assert after <= before  # nothing left behind by this run
