@@ -15,6 +15,7 @@ import datetime as _dt
 import posixpath
 from typing import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,14 +145,23 @@ def read_batches(
     schema=None,
 ) -> DataFrame:
     """Read a published table back (K6); ``batch_date`` is discovered from the
-    directory names as text. Filtering on it prunes partitions at the scan."""
+    directory names as text. Filtering on it prunes partitions at the scan.
+
+    A table with no batch yet (an empty quarantine writes none) reads as an
+    empty frame when ``schema`` is given.
+    """
     opts = {"basePath": posixpath.join(base, name)}
     f = fmt.lower()
     if f == "csv":
         opts.update({"header": "true"})
     if options:
         opts.update(options)
-    df = read_table(spark, posixpath.join(base, name), f, options=opts, schema=schema)
+    try:
+        df = read_table(spark, posixpath.join(base, name), f, options=opts, schema=schema)
+    except AnalysisException as e:
+        if schema is None or "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        df = spark.createDataFrame([], schema)
     if batch_id is not None:
         df = df.where(F.col(BATCH_COLUMN) == F.lit(batch_id))
     return df

@@ -80,3 +80,15 @@ def test_spread_only_widens_narrow_scans(spark, tmp_path):
     assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
     many = spark.range(1000).repartition(6)
     assert spread(many, 4) is many  # already wide enough: no shuffle added
+
+
+def test_reading_a_table_without_batches(spark, tmp_path):
+    import pytest
+
+    base = str(tmp_path)
+    empty = spark.createDataFrame([], "a string, validation_error string")
+    write_quarantine({"claim": empty}, base, "20240101_000000", "csv")
+    schema = "a string, validation_error string, batch_date string"
+    assert read_batches(spark, os.path.join(base, "invalid"), "claim", "csv", schema=schema).count() == 0
+    with pytest.raises(Exception):
+        read_batches(spark, os.path.join(base, "invalid"), "claim", "csv").collect()
