@@ -24,7 +24,14 @@ from sluice.operators.header import conform_header  # noqa: E402
 from sluice.operators.joins import SkewSalt, lookup_join  # noqa: E402
 from sluice.operators.validate import column_verdict, quality_report, validate  # noqa: E402
 from sluice.plans import claims as C  # noqa: E402
-from sluice.plans.fixtures import ClaimDigestService, no_wait, raw_claim, raw_contract  # noqa: E402
+from sluice.plans.fixtures import (  # noqa: E402
+    CLAIM_SOURCE_COLUMNS,
+    CONTRACT_SOURCE_COLUMNS,
+    ClaimDigestService,
+    no_wait,
+    raw_claim,
+    raw_contract,
+)
 from sluice.plans.job import run_job  # noqa: E402
 from sluice.session import ship_package, shared_dir  # noqa: E402
 from sluice.streaming.incremental import start_incremental_job  # noqa: E402
@@ -53,12 +60,18 @@ def _big(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spread(_t(spark, sf, name))
 
 
+def _source(spark: SparkSession, sf: str, name: str, columns: list[str]) -> DataFrame:
+    """The columns a derivation reads, re-split once (checkpoint) when the file
+    is a single split, so derivation and validation run on all cores."""
+    return spread(_t(spark, sf, name).select(*columns), materialize=True)
+
+
 def _contract(spark, sf):
-    return raw_contract(_big(spark, sf, "orders"))
+    return raw_contract(_source(spark, sf, "orders", CONTRACT_SOURCE_COLUMNS))
 
 
 def _claim(spark, sf):
-    return raw_claim(_big(spark, sf, "lineitem"))
+    return raw_claim(_source(spark, sf, "lineitem", CLAIM_SOURCE_COLUMNS))
 
 
 def _valid(spark, sf):

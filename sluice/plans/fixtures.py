@@ -15,6 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Input columns each derivation reads.
+CONTRACT_SOURCE_COLUMNS = ["o_orderkey", "o_orderdate"]
+CLAIM_SOURCE_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"]
+
+
 def _txt(c: Column) -> Column:
     return c.cast("string")
 

@@ -95,15 +95,21 @@ def read_sources(
     return {name: read_table(spark, path, fmt, **kwargs) for name, path in sources.items()}
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, *, materialize: bool = False) -> DataFrame:
     """Round-robin repartition a scan that yields fewer partitions than cores.
 
     A large table arrives in many splits and is returned unchanged (no
-    shuffle). A file that cannot be split (one parquet row group, one
+    shuffle, no job). A file that cannot be split (one parquet row group, one
     compressed file) would otherwise put every downstream row through a
-    single task. Apply it right after the read, before column derivations,
-    so only the pruned input columns cross the exchange. Only the plan is
-    inspected; no job runs.
+    single task. Apply it right after the read and the column selection, so
+    only the needed columns cross the exchange.
+
+    Catalyst pushes deterministic filters below a repartition, so filters
+    applied later would still run in the single scan task. With
+    ``materialize=True`` the spread rows are also written once with a
+    reliable ``checkpoint()`` to the session's ``spark.checkpoint.dir``: the
+    lineage is cut there, and everything after it (filters included) runs
+    on all partitions. This runs one job, and only when spreading is needed.
     """
     spark = df.sparkSession
     try:
@@ -111,4 +117,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         current = df.rdd.getNumPartitions()
     except Exception:  # no SparkContext (Connect): leave the plan as it is
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    spread_df = df.repartition(target)
+    if not materialize:
+        return spread_df
+    from ..session import checkpoint_root
+
+    checkpoint_root(spark)  # makes sure a checkpoint folder is set
+    return spread_df.checkpoint(eager=True)
