@@ -92,3 +92,22 @@ def test_reading_a_table_without_batches(spark, tmp_path):
     assert read_batches(spark, os.path.join(base, "invalid"), "claim", "csv", schema=schema).count() == 0
     with pytest.raises(Exception):
         read_batches(spark, os.path.join(base, "invalid"), "claim", "csv").collect()
+
+
+def test_materialized_spread_cuts_lineage_and_filters_run_wide(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sluice.sources.readers import spread
+
+    from .helpers import plan_text
+
+    one = str(tmp_path / "one")
+    spark.range(2000).coalesce(1).write.parquet(one)
+    src = spark.read.parquet(one)
+    wide = spread(src, 4, materialize=True)
+    assert wide.rdd.getNumPartitions() == 4
+    text = plan_text(wide.where(F.col("id") % 2 == 0), "simple")
+    assert "Scan ExistingRDD" in text and "FileScan" not in text  # the filter now runs after the cut
+    assert wide.where(F.col("id") % 2 == 0).count() == 1000
+    many = spark.range(100).repartition(8)
+    assert spread(many, 4, materialize=True) is many  # wide enough: nothing written
