@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
+BASE_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_LABELLED = 20_000
-BINS = 32
+BINS = 16
 FEATURES = ("n_words", "mean_word", "symbols", "marks", "capitals", "digits", "dup_lines", "repeats", "distinct_words")
 
 
@@ -90,7 +91,9 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "distinct_words": F.col("_distinct") / words,
     }
     t = t.withColumn("_f", F.struct(*[values[f].cast("double").alias(f) for f in FEATURES]))
-    return t.drop("_text", "_words", "_lines", "_grams", "_sorted", "_marks", "_capitals", "_digits", "_distinct", "_n_lines")
+    # a generator of one row: later filters stay above it, instead of being
+    # pushed down with the array expressions written out again inside
+    return t.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(F.array(F.struct(*BASE_COUNTS, "_f"))))
 
 
 def base_failed() -> Column:
@@ -142,9 +145,10 @@ def _cells(docs: DataFrame, labels: DataFrame, label_col: str, max_labelled: int
     sample = _sample(labels, label_col, max_labelled)
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text")).join(sample, "_id")
     rows = stored(with_counts(rows).select("_f", "_y", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(3)).alias("_part")), "quality_features")
-    points = [k / BINS for k in range(1, BINS)]
-    found = rows.agg(*[F.percentile_approx(f"_f.{f}", points, 10_000).alias(f) for f in FEATURES]).first()
-    cuts = {f: sorted(set(found[f] or ())) for f in FEATURES}
+    # thresholds at quantiles of either class, its extremes included
+    points = [k / BINS for k in range(BINS + 1)]
+    found = rows.groupBy("_y").agg(*[F.percentile_approx(f"_f.{f}", points, 10_000).alias(f) for f in FEATURES]).collect()
+    cuts = {f: sorted({x for r in found for x in r[f]}) for f in FEATURES}
     binned = [_bin(f, cuts[f]).alias(f) for f in FEATURES]
     counted = rows.select(*binned, "_y", (F.col("_part") == 0).alias("_prune")).groupBy(*FEATURES, "_prune").agg(
         F.sum((F.col("_y") == 0).cast("long")).alias("bad"), F.sum((F.col("_y") != 0).cast("long")).alias("good")
