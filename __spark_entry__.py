@@ -399,13 +399,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _training_data():
+    """Queries and oracles of the training-data subpackage and its pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from sluice.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as e:
+        if (e.name or "").split(".")[0] not in ("corpus_pipeline", "sluice"):
+            raise
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLE_SQL | pipeline_sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship on sf0.001: claims -> transaction records, MD4 surrogate ids."""
     return q_claims_transactions(spark, SMOKE_DIR, "md4")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 # ================================================================ oracle SQL (DuckDB)
@@ -657,4 +670,4 @@ SELECT 'Europe 3' AS CONTRACT_SOURCE_SYSTEM, CLAIM_ID, CONTRAT_ID AS CONTRACT_ID
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query. claims_transactions_md4 and digest_md4 have none
     (DuckDB has no MD4); pytest checks them against RFC 1320 vectors."""
-    return dict(_ORACLE)
+    return _ORACLE | _training_data()[1]
