@@ -8,12 +8,11 @@ forced, so a right side that grows with the data is never broadcast blindly.
 Skew: when one key holds a large share of the left rows, AQE's skew-join
 handling splits the oversized left partition (left outer joins allow
 splitting the left side). ``SkewSalt`` adds an explicit alternative that
-does not depend on runtime statistics: the hottest keys are found with one
-partially-aggregated count, their left rows are spread over ``buckets``
-salts and only their right rows are replicated. The choice of salted keys
-is bounded (``max_hot_keys``) so the key list is small enough to broadcast;
-keys beyond the bound take the ordinary path, so the result is the same
-either way.
+does not depend on runtime statistics: the hot keys are found with one
+partially aggregated count, each gets salts in proportion to its rows, its
+left rows are dealt over them by a hash of the row, and only its right rows
+are replicated. All hot keys are split; the list of them is an ordinary join
+side, broadcast only if Catalyst finds it small.
 """
 
 from __future__ import annotations
@@ -30,28 +29,27 @@ from ..functions.columns import default_if_blank
 
 
 _KEEPS_LEFT = ("left", "left_outer", "leftouter", "full", "full_outer", "fullouter", "outer")
-_NULL_BUCKETS = 1024
-_NULL_SEED = 29
 
 
 @dataclass(frozen=True)
 class SkewSalt:
+    """Keys with at least ``min_rows`` left rows are split, each into as many
+    salts as it holds that many rows, ``buckets`` at least."""
+
     buckets: int = 32
     min_rows: int = 1_000_000
-    max_hot_keys: int = 10_000
-    seed: int = 17
 
 
 def _hot_keys(left: DataFrame, lkeys: Sequence[str], salt: SkewSalt) -> DataFrame:
+    """Every hot key with its number of salts: at most rows / min_rows keys."""
     counts = left.groupBy(*lkeys).count().where(F.col("count") >= F.lit(salt.min_rows))
-    top = counts.orderBy(F.col("count").desc()).limit(salt.max_hot_keys)
-    return top.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(lkeys)], F.lit(True).alias("__is_hot"))
+    salts = F.greatest(F.lit(salt.buckets), F.ceil(F.col("count") / salt.min_rows)).cast("int")
+    return counts.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(lkeys)], salts.alias("__salts"))
 
 
 def _mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     cond = reduce(and_, [df[k] == hot[f"__hot{i}"] for i, k in enumerate(keys)])
-    marked = df.join(F.broadcast(hot), cond, "left")
-    return marked.drop(*[f"__hot{i}" for i in range(len(keys))])
+    return df.join(hot, cond, "left").drop(*[f"__hot{i}" for i in range(len(keys))])
 
 
 def left_join_on_keys(
@@ -62,14 +60,16 @@ def left_join_on_keys(
     right_columns: Mapping[str, str] | None = None,
     how: str = "left",
     skew: SkewSalt | None = None,
+    split_nulls: bool = False,
 ) -> DataFrame:
     """``left ⟕ right`` on ``left[lk] = right[rk]`` for each ``(lk, rk)``.
 
     Only ``right_columns`` (``{right_name: output_name}``) of the right side
     are kept, so the right side is pruned before the exchange and no name
-    can clash. Null keys never match; duplicate right keys fan out. For
-    joins that keep unmatched left rows, null-key rows are spread over many
-    shuffle partitions instead of all hashing to one.
+    can clash. Null keys never match; duplicate right keys fan out. The join
+    is a plain equi-join, so later filters reach the left scan. With
+    ``split_nulls`` the null-key rows of a join that keeps left rows pass
+    beside the join instead of being shuffled to one partition.
     """
     rkeys = [f"__rk{i}" for i in range(len(keys))]
     rsel = [F.col(rk).alias(rkeys[i]) for i, (_, rk) in enumerate(keys)]
@@ -78,45 +78,24 @@ def left_join_on_keys(
     r = right.select(*rsel)
     lkeys = [lk for lk, _ in keys]
 
+    any_null = reduce(lambda a, c: a | c, [F.col(k).isNull() for k in lkeys])
     if skew is None:
-        if how not in _KEEPS_LEFT:
-            cond = reduce(and_, [left[lk] == r[rkeys[i]] for i, lk in enumerate(lkeys)])
-            return left.join(r, cond, how).drop(*rkeys)
-        # Left rows with a null key are kept but can never match. Hash
-        # partitioning on the keys would send all of them to one task. Join on
-        # struct(keys, bucket) instead: the bucket is 0 on the right and for
-        # every left row with complete keys, and random in [1, N] for a left
-        # row with a null key, so those rows spread over all tasks and still
-        # match nothing. (A plain extra key column with a constant 0 on the
-        # right would be folded out of the join keys by the optimizer.)
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in lkeys])
-        bucket = F.when(any_null, F.floor(F.rand(_NULL_SEED) * _NULL_BUCKETS) + 1).otherwise(0).cast("bigint")
-        lk = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(lkeys)], bucket.alias("nb"))
-        # struct equality needs equal field types: bring each right key to its left key's type
-        ltypes = [left.schema[k].dataType for k in lkeys]
-        rfields = [
-            (F.col(k) if r.schema[k].dataType == ltypes[i] else F.col(k).try_cast(ltypes[i])).alias(f"k{i}")
-            for i, k in enumerate(rkeys)
-        ]
-        rk = F.struct(*rfields, F.lit(0).cast("bigint").alias("nb"))
-        ln = left.withColumn("__jk", lk)
-        rn = r.withColumn("__jk", rk)
-        return ln.join(rn, ln["__jk"] == rn["__jk"], how).drop(*rkeys).drop(ln["__jk"]).drop(rn["__jk"])
+        inner = left.where(~any_null) if split_nulls and how in _KEEPS_LEFT else left
+        cond = reduce(and_, [inner[lk] == r[rkeys[i]] for i, lk in enumerate(lkeys)])
+        joined = inner.join(r, cond, how).drop(*rkeys)
+        if inner is left:
+            return joined
+        empty = [F.lit(None).cast(r.schema[c].dataType).alias(c) for c in rcols.values()]
+        return joined.unionByName(left.where(any_null).select(*left.columns, *empty))
 
     hot = _hot_keys(left, lkeys, skew)
-    b = skew.buckets
+    # a salt is a hash of the row itself: a task that runs again deals its rows alike;
+    # null keys (which match nothing) are dealt over the least number of salts
+    salts = F.coalesce("__salts", F.when(any_null, F.lit(skew.buckets)), F.lit(1))
     lm = _mark_hot(left, lkeys, hot)
-    # hot keys and null keys (which match nothing) are spread over the salts
-    spread_row = F.col("__is_hot") | reduce(lambda a, c: a | c, [F.col(k).isNull() for k in lkeys])
-    lm = lm.withColumn(
-        "__salt",
-        F.when(spread_row, F.floor(F.rand(skew.seed) * F.lit(b)).cast("int")).otherwise(F.lit(0)),
-    ).drop("__is_hot")
+    lm = lm.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), salts).cast("int")).drop("__salts")
     rm = _mark_hot(r, rkeys, hot)
-    rm = rm.withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(b - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("__is_hot")
+    rm = rm.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
     cond = reduce(and_, [lm[lk] == rm[rkeys[i]] for i, lk in enumerate(lkeys)]) & (lm["__salt"] == rm["__salt"])
     return lm.join(rm, cond, how).drop(*rkeys).drop(lm["__salt"]).drop(rm["__salt"])
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import SkewSalt, left_join_on_keys
+from sluice.operators.joins import SkewSalt, _hot_keys, left_join_on_keys
 
 from .helpers import plan_text
 
@@ -29,7 +29,7 @@ def test_salting_spreads_a_hot_key_over_sort_merge_tasks(spark):
         right = spark.range(-1, n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
         plain = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"})
         salted = left_join_on_keys(
-            left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=16, min_rows=1000, max_hot_keys=4)
+            left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=16, min_rows=1000)
         )
         assert "SortMergeJoin" in plan_text(salted, "simple")
         assert _max_share(plain) > 0.33  # the hot key sits in one task
@@ -52,8 +52,8 @@ def test_null_keys_of_kept_left_rows_are_spread(spark):
             F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k"), F.col("id").alias("v")
         )  # a third of the rows have a null key
         right = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        for skew in (None, SkewSalt(buckets=16, min_rows=1000, max_hot_keys=4)):
-            out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=skew)
+        for skew in (None, SkewSalt(buckets=16, min_rows=1000)):
+            out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=skew, split_nulls=skew is None)
             assert _max_share(out) < 0.15
             rows = out.collect()
             assert len(rows) == n
@@ -62,3 +62,16 @@ def test_null_keys_of_kept_left_rows_are_spread(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_every_hot_key_is_split(spark):
+    left = spark.range(40_000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    hot = _hot_keys(left, ["k"], SkewSalt(buckets=2, min_rows=250))
+    assert hot.count() == 40 and {r["__salts"] for r in hot.collect()} == {4}
+
+
+def test_a_later_filter_reaches_the_left_scan(spark, tmp_path):
+    spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "l"))
+    left, right = spark.read.parquet(str(tmp_path / "l")), spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("w"))
+    plan = plan_text(left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}).where("v > 90"), "simple")
+    assert "GreaterThan(v,90)" in plan
