@@ -35,7 +35,7 @@ from sluice.plans.fixtures import (  # noqa: E402
 from sluice.plans.job import run_job  # noqa: E402
 from sluice.session import ship_package, shared_dir  # noqa: E402
 from sluice.streaming.incremental import start_incremental_job  # noqa: E402
-from sluice.sources.readers import read_table, spread  # noqa: E402
+from sluice.sources.readers import read_table  # noqa: E402
 from sluice.sources.sinks import (  # noqa: E402
     TEXT_DATE_FORMAT,
     TEXT_TIMESTAMP_FORMAT,
@@ -55,15 +55,9 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _big(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A fact table, spread over all cores when its file is a single split."""
-    return spread(_t(spark, sf, name))
-
-
 def _source(spark: SparkSession, sf: str, name: str, columns: list[str]) -> DataFrame:
-    """The columns a derivation reads, re-split once (checkpoint) when the file
-    is a single split, so derivation and validation run on all cores."""
-    return spread(_t(spark, sf, name).select(*columns), materialize=True)
+    """The columns a derivation reads; its filters reach the parquet scan."""
+    return _t(spark, sf, name).select(*columns)
 
 
 def _contract(spark, sf):
@@ -283,7 +277,7 @@ def q_claim_contract_left_join(spark, sf):
 
 def q_claim_contract_salted_join(spark, sf):
     v = _valid(spark, sf)
-    return C.join_claims_to_contracts(v["contract"], v["claim"], skew=SkewSalt(buckets=4, min_rows=5, max_hot_keys=1000))
+    return C.join_claims_to_contracts(v["contract"], v["claim"], skew=SkewSalt(buckets=4, min_rows=5))
 
 
 def q_lookup_default(spark, sf):
@@ -307,9 +301,7 @@ def q_enrich_by_key(spark, sf):
 
 def _digest_query(algo):
     def run(spark, sf):
-        # md4 runs in Python workers: spread the texts over all cores first
-        docs = _big(spark, sf, "documents") if algo == "md4" else _t(spark, sf, "documents")
-        return docs.select("doc_id", digest("text", algo).alias(f"text_{algo}"))
+        return _t(spark, sf, "documents").select("doc_id", digest("text", algo).alias(f"text_{algo}"))
 
     return run
 

@@ -26,6 +26,7 @@ from typing import Any, Callable, Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.validate import VALID_FLAG, annotate, split_annotated
 from ..rules import TableRules
@@ -75,7 +76,8 @@ def stage_annotated(
         annotated = annotated.observe(observation, *_quality_metrics(F.col(VALID_FLAG)))
     annotated.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(path)
     # partition values come back as text; the filter on the cast still prunes directories
-    staged = spark.read.parquet(path)
+    schema = StructType([f for f in annotated.schema.fields if f.name != VALID_FLAG]).add(VALID_FLAG, "string")
+    staged = spark.read.schema(schema).parquet(path)  # an empty frame writes no file to infer from
     return staged.withColumn(VALID_FLAG, F.col(VALID_FLAG).cast("boolean"))
 
 

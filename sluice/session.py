@@ -2,8 +2,9 @@
 
 Staged tables and scratch output live under the shared folder the cluster
 names in ``spark.checkpoint.dir`` (read from the session), never under a
-machine-local temp folder. Only when the session has none (a local test)
-is a private temporary folder set as the checkpoint directory.
+machine-local temp folder. Only when the session has none and runs in one
+process (a local test) is a private temporary folder set as the checkpoint
+directory; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

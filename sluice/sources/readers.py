@@ -1,7 +1,9 @@
 """Sources (S1-S6): read a table by format with the dialect options applied.
 
 CSV is read with every column as text and names taken from the header: a
-user schema would bind by position and hide a reordered file. Column
+user schema would bind by position and hide a reordered file. Each file's
+header is checked (``enforceSchema=false``), so a file whose columns are in
+another order is an error instead of wrong columns. Column
 selection and filters on the result reach the scan through Catalyst, so a
 parquet or ORC source only reads what the job uses.
 """
@@ -21,6 +23,7 @@ CSV_READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    "enforceSchema": "false",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
 }
@@ -93,36 +96,3 @@ def read_sources(
 ) -> dict[str, DataFrame]:
     """Read several named inputs; every path is resolved before any data is read."""
     return {name: read_table(spark, path, fmt, **kwargs) for name, path in sources.items()}
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, *, materialize: bool = False) -> DataFrame:
-    """Round-robin repartition a scan that yields fewer partitions than cores.
-
-    A large table arrives in many splits and is returned unchanged (no
-    shuffle, no job). A file that cannot be split (one parquet row group, one
-    compressed file) would otherwise put every downstream row through a
-    single task. Apply it right after the read and the column selection, so
-    only the needed columns cross the exchange.
-
-    Catalyst pushes deterministic filters below a repartition, so filters
-    applied later would still run in the single scan task. With
-    ``materialize=True`` the spread rows are also written once with a
-    reliable ``checkpoint()`` to the session's ``spark.checkpoint.dir``: the
-    lineage is cut there, and everything after it (filters included) runs
-    on all partitions. This runs one job, and only when spreading is needed.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext (Connect): leave the plan as it is
-        return df
-    if current >= target:
-        return df
-    spread_df = df.repartition(target)
-    if not materialize:
-        return spread_df
-    from ..session import checkpoint_root
-
-    checkpoint_root(spark)  # makes sure a checkpoint folder is set
-    return spread_df.checkpoint(eager=True)

@@ -34,6 +34,10 @@ FORMAT_WRITE_OPTIONS: dict[str, dict[str, str]] = {
     "csv": {
         "header": "true",
         "nullValue": "",
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
         "timestampFormat": TEXT_TIMESTAMP_FORMAT,
         "dateFormat": TEXT_DATE_FORMAT,
     },
@@ -94,20 +98,19 @@ def write_batch(
 ) -> str:
     """Publish ``df`` as batch ``batch_id`` of table ``<base>/<name>`` (K1).
 
-    Returns the batch id. Only that batch's partition is replaced.
+    Returns the batch id. Only that batch's folder is replaced, also by an
+    empty frame: a rerun never leaves rows of an earlier run behind.
     ``observation`` (if given) collects its metrics during this same write.
     """
     batch_id = batch_id or new_batch_id()
-    out = df.withColumn(BATCH_COLUMN, F.lit(batch_id))
+    out = df.drop(BATCH_COLUMN)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     (
         out.write.format(fmt.lower())
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .options(**write_options(fmt, options))
-        .partitionBy(BATCH_COLUMN)
-        .save(posixpath.join(base, name))
+        .save(batch_path(base, name, batch_id))
     )
     return batch_id
 
@@ -123,7 +126,7 @@ def write_quarantine(
 ) -> str:
     """Write each invalid frame to ``<base>/invalid/<name>/batch_date=<id>`` (K2).
 
-    Earlier batches are kept; an empty frame writes no partition.
+    Earlier batches are kept; an empty frame writes an empty batch.
     """
     batch_id = batch_id or new_batch_id()
     for name, df in invalid.items():
@@ -153,7 +156,10 @@ def read_batches(
     opts = {"basePath": posixpath.join(base, name)}
     f = fmt.lower()
     if f == "csv":
-        opts.update({"header": "true"})
+        # published values come back as written: line breaks and padding included
+        opts.update(
+            {"header": "true", "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        )
     if options:
         opts.update(options)
     try:

@@ -169,3 +169,15 @@ def test_staged_tables_are_removed_after_publishing(spark, tmp_path):
     assert res.published_rows == 7
     after = set(glob.glob(os.path.join(root, "sluice", "stage", "*", "*")))
     assert after <= before  # nothing left behind by this run
+
+
+def test_empty_inputs_pass_in_every_stage(spark, tmp_path):
+    """Empty frames give an empty published batch and zero counts, not an error."""
+    for stage in ("table", "recompute", "persist"):
+        sources = {n: spark.createDataFrame([], ", ".join(f"`{r.name}` string" for r in RULES[n].columns)) for n in RULES}
+        result = run_job(
+            spark, sources, RULES, lambda v: claims_transform(v, digest="md5", run_ts="2024-01-01 00:00:00"),
+            output_base=str(tmp_path / stage), fmt="parquet", batch_id="B1", stage=stage,
+        )
+        assert result.published_rows == 0
+        assert spark.read.parquet(f"{result.output_path}/batch_date=B1").count() == 0

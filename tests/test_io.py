@@ -47,12 +47,13 @@ def test_batches_keep_siblings_and_rerun_replaces(spark, tmp_path, fmt):
     assert one.count() == 1
 
 
-def test_empty_quarantine_leaves_no_partition(spark, tmp_path):
+def test_empty_quarantine_is_an_empty_batch(spark, tmp_path):
     base = str(tmp_path)
     empty = spark.createDataFrame([], "a string, validation_error string")
     some = spark.createDataFrame([("x", "Failed columns: a")], "a string, validation_error string")
     write_quarantine({"claim": empty, "contract": some}, base, "20240101_000000")
-    assert not any(d.startswith("batch_date=") for d in os.listdir(tmp_path / "invalid" / "claim"))
+    schema = "a string, validation_error string, batch_date string"
+    assert read_batches(spark, os.path.join(base, "invalid"), "claim", "csv", schema=schema).count() == 0
     assert os.path.isdir(tmp_path / "invalid" / "contract" / "batch_date=20240101_000000")
 
 
@@ -69,45 +70,30 @@ def test_text_formats_of_published_values(spark, tmp_path):
     assert '"n":null' in text and '"ts":"2022-01-17T14:45:00.000Z"' in text
 
 
-def test_spread_only_widens_narrow_scans(spark, tmp_path):
-    from sluice.sources.readers import spread
-
-    one = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    narrow = spark.read.parquet(one)
-    assert narrow.rdd.getNumPartitions() == 1
-    wide = spread(narrow, 4)
-    assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
-    many = spark.range(1000).repartition(6)
-    assert spread(many, 4) is many  # already wide enough: no shuffle added
+def test_published_csv_reads_back_as_written(spark, tmp_path):
+    values = ['say "hi", ok', "two\nlines", "  pad ", "a\\b", '"', "plain"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    write_quarantine({"t": df}, str(tmp_path), "20240101_000000", "csv")
+    back = read_batches(spark, os.path.join(str(tmp_path), "invalid"), "t", "csv")
+    assert [r.v for r in sorted(back.collect(), key=lambda r: int(r.i))] == values
 
 
-def test_reading_a_table_without_batches(spark, tmp_path):
-    import pytest
-
+def test_empty_rerun_replaces_the_batch(spark, tmp_path):
     base = str(tmp_path)
-    empty = spark.createDataFrame([], "a string, validation_error string")
-    write_quarantine({"claim": empty}, base, "20240101_000000", "csv")
-    schema = "a string, validation_error string, batch_date string"
-    assert read_batches(spark, os.path.join(base, "invalid"), "claim", "csv", schema=schema).count() == 0
-    with pytest.raises(Exception):
-        read_batches(spark, os.path.join(base, "invalid"), "claim", "csv").collect()
-
-
-def test_materialized_spread_cuts_lineage_and_filters_run_wide(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from sluice.sources.readers import spread
-
-    from .helpers import plan_text
-
-    one = str(tmp_path / "one")
-    spark.range(2000).coalesce(1).write.parquet(one)
-    src = spark.read.parquet(one)
-    wide = spread(src, 4, materialize=True)
-    assert wide.rdd.getNumPartitions() == 4
-    text = plan_text(wide.where(F.col("id") % 2 == 0), "simple")
-    assert "Scan ExistingRDD" in text and "FileScan" not in text  # the filter now runs after the cut
-    assert wide.where(F.col("id") % 2 == 0).count() == 1000
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4, materialize=True) is many  # wide enough: nothing written
+    for fmt in ("parquet", "csv"):
+        name = f"t_{fmt}"
+        full = spark.createDataFrame([("x",)], "a string")
+        write_batch(full, base, name, "B1", fmt)
+        write_batch(full, base, name, "B2", fmt)
+        write_batch(full.limit(0), base, name, "B1", fmt)
+        back = read_batches(spark, base, name, fmt, schema="a string, batch_date string")
+        assert [tuple(r) for r in back.collect()] == [("x", "B2")]
+    write_batch(full.limit(0), base, "none", "B1", "parquet")
+    assert read_batches(spark, base, "none", "parquet").columns == ["a", "batch_date"]
+
+
+def test_files_with_reordered_columns_are_an_error(spark, tmp_path):
+    for name, text in (("a.csv", "K,V\n1,2\n"), ("b.csv", "V,K\n2,1\n")):
+        (tmp_path / name).write_text(text)
+    with pytest.raises(Exception, match="header"):
+        read_table(spark, str(tmp_path), "csv").collect()
