@@ -143,7 +143,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class BytePairs:
-    CACHED = 500_000
+    CACHED = 250_000
     LONG = 48
 
     def __init__(self, path: str):

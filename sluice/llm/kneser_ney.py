@@ -49,7 +49,7 @@ def _tokens(batch: pa.RecordBatch):
     """Parts of a batch: token hashes (words, then one end per text) and the texts' token ends."""
     data, offs = text_buffer(batch.column("text"))
     data = LOWER[data]
-    for i, j in row_chunks(offs):
+    for i, j in row_chunks(offs, 4 << 20):
         part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         starts, ends, first = find_words(part, o, SPACED)
         words = signed(hash_words(part, starts, ends))

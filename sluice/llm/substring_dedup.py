@@ -50,7 +50,7 @@ def _chunks(batch: pa.RecordBatch):
     """(doc ids, word hashes, word offsets by row, row keys) of batch parts."""
     data, offs = text_buffer(batch.column("text"))
     ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-    for i, j in row_chunks(offs):
+    for i, j in row_chunks(offs, 4 << 20):
         part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         starts, ends, first = find_words(part, o, SPACED)
         yield ids[i:j].astype(np.int64), hash_words(part, starts, ends), first, (i, j)
