@@ -135,7 +135,7 @@ class Shard:
 class PieceEncoder:
     """tokenizers' ids of whole texts, through a bounded cache of pieces."""
 
-    CACHED = 700_000
+    CACHED = 1_800_000
     LONG = 48
     _odd = re.compile(r" (?=\s|\Z)")
     _cut = re.compile(r" (?=\S)")
