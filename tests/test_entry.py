@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -16,7 +18,9 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     qs, oracle = E.queries(), E.oracle_sql()
     assert set(oracle) <= set(qs)
-    assert set(qs) - set(oracle) == {"claims_transactions_md4", "digest_md4"}
+    # the training-data queries may be absent; tests/llm compares them with plain versions
+    without = {q for q in set(qs) - set(oracle) if q != "pipeline" and not re.match(r"op\d+_", q)}
+    assert without == {"claims_transactions_md4", "digest_md4"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
