@@ -33,7 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, and digests of the ids and of the decoded bytes."""
     ranks = _vocabulary("byte_bpe_50k.tiktoken")
-    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, keep=["doc_id"]), ranks)
+    both = byte_bpe.encode_and_decode(docs, ranks, keep=["doc_id"])
     return both.select(
         F.col("kept.doc_id").alias("doc_id"),
         "ids",

@@ -284,12 +284,16 @@ def _schema(df: DataFrame, drop: list[str], **more) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name not in drop] + [T.StructField(k, v) for k, v in more.items()])
 
 
+def _rows(docs: DataFrame, text_col: str, keep: list[str] | None) -> DataFrame:
+    keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col]
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_pad")).alias("kept"), F.col(f"`{text_col}`").alias("text"))
+
+
 def encode(docs: DataFrame, ranks: str, *, text_col: str = "text", keep: list[str] | None = None, with_offsets: bool = False) -> DataFrame:
     """`kept` (a struct of the kept columns), ids (array of int) and, if asked
     for, slice_ends: the byte end of every pre-token."""
     prepare(docs)
-    keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_pad")).alias("kept"), F.col(f"`{text_col}`").alias("text"))
+    rows = _rows(docs, text_col, keep)
     more = {"ids": T.ArrayType(T.IntegerType())} | ({"slice_ends": T.ArrayType(T.IntegerType())} if with_offsets else {})
     return rows.mapInArrow(_encode(ranks, with_offsets), _schema(rows, ["text"], **more))
 
@@ -300,9 +304,19 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     return encoded.mapInArrow(_decode(ranks), _schema(encoded, [], decoded=T.BinaryType()))
 
 
+def encode_and_decode(docs: DataFrame, ranks: str, *, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`kept`, ids and the bytes `decoded` from them, as of `encode` and then
+    `decode`, but one Python worker a task runs both."""
+    prepare(docs)
+    rows = _rows(docs, text_col, keep)
+    there, back = _encode(ranks, False), _decode(ranks)
+    schema = _schema(rows, ["text"], ids=T.ArrayType(T.IntegerType()), decoded=T.BinaryType())
+    return rows.mapInArrow(lambda batches: back(there(batches)), schema)
+
+
 def round_trip(docs: DataFrame, ranks: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 per document."""
-    both = decode(encode(docs, ranks, keep=["doc_id"]), ranks)
+    both = encode_and_decode(docs, ranks, keep=["doc_id"])
     return both.select(
         F.col("kept.doc_id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),

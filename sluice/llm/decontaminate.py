@@ -80,7 +80,10 @@ class WindowBlock:
                     k += 1
 
 
-def _scan(block_value):
+def _scan(block_value, finish=None):
+    """Adds n_words, merged spans and items; what an earlier block found is in
+    `before`. `finish` goes on with the batches in the same Python worker."""
+
     def run(batches):
         block = block_value.value
         for batch in batches:
@@ -100,6 +103,11 @@ def _scan(block_value):
                 rows["n_words"] += np.diff(first).tolist()
                 rows["spans"] += [_merged(s) for s in spans]
                 rows["items"] += [sorted(x) for x in items]
+            if "before" in batch.schema.names:
+                for k, b in enumerate(batch.column("before").to_pylist()):
+                    rows["spans"][k] = _merged(rows["spans"][k] + b["spans"])
+                    rows["items"][k] = sorted({*rows["items"][k], *b["items"]})
+                batch = batch.select(["kept", "text"])
             extra = [
                 pa.array(rows["n_words"], pa.int64()),
                 pa.array(rows["spans"], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
@@ -107,7 +115,7 @@ def _scan(block_value):
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *rows])
 
-    return run
+    return run if finish is None else lambda batches: finish(run(batches))
 
 
 def _merged(spans: list[dict]) -> list[dict]:
@@ -121,8 +129,9 @@ def _merged(spans: list[dict]) -> list[dict]:
 
 
 def _blocks(benchmark: DataFrame, n: int, block_windows: int, item_col: str, text_col: str):
-    """Blocks of benchmark items, each of at most `block_windows` words. Items
-    are dealt to blocks in Spark; the driver holds one block at a time."""
+    """Blocks of benchmark items, each of about `block_windows` words, and
+    whether each is the last. Items are dealt to blocks in Spark; the driver
+    holds one block at a time."""
     items = benchmark.select(
         F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
@@ -137,7 +146,7 @@ def _blocks(benchmark: DataFrame, n: int, block_windows: int, item_col: str, tex
             s, e, _ = find_words(data, np.array([0, len(data)]), ALNUM)
             raw = data.tobytes()
             rows.append((item, [raw[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]))
-        yield WindowBlock(rows, n)
+        yield WindowBlock(rows, n), b == count - 1
 
 
 _SPAN = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
@@ -150,6 +159,22 @@ _FOUND = T.StructType(
 )
 
 
+def _found(docs, benchmark, n, keep, text_col, item_col, item_text_col, block_windows, finish=None, schema=None) -> DataFrame:
+    """kept, text, n_words, spans and items; or what `finish` makes of them."""
+    spark = prepare(docs)
+    out = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep if c != text_col], F.lit(0).alias("_")).alias("kept"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+    plain = T.StructType([*out.schema.fields, *_FOUND.fields])
+    for block, last in _blocks(benchmark, n, block_windows, item_col, item_text_col):
+        value = spark.sparkContext.broadcast(block)
+        if last:
+            return out.mapInArrow(_scan(value, finish), schema or plain)
+        found = stored(out.mapInArrow(_scan(value), plain), "contamination")
+        out = found.select("kept", "text", F.struct("spans", "items").alias("before"))
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -163,37 +188,12 @@ def find_contamination(
 ) -> DataFrame:
     """Per document: the kept columns, its text, n_words, merged hit spans
     (word positions, end exclusive) and the ids of the items found (sorted)."""
-    spark = prepare(docs)
-    keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col]
-    base = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("kept"), F.col(f"`{text_col}`").alias("text")
-    )
-    out = None
-    for block in _blocks(benchmark, n, block_windows, item_col, item_text_col):
-        value = spark.sparkContext.broadcast(block)
-        found = base if out is None else out.select("kept", "text", F.struct("n_words", "spans", "items").alias("before"))
-        now = found.mapInArrow(_scan(value), T.StructType([*found.schema.fields, *_FOUND.fields]))
-        if out is not None:
-            now = now.select(
-                "kept",
-                "text",
-                "n_words",
-                F.array_sort(F.concat("spans", "before.spans")).alias("spans"),
-                F.array_sort(F.array_union("items", "before.items")).alias("items"),
-            )
-            now = stored(now, "contamination")
-        out = now
-    return out
+    return _found(docs, benchmark, n, keep if keep is not None else docs.columns, text_col, item_col, item_text_col, block_windows)
 
 
 def _covered():
-    """Words inside any span; spans may overlap after several blocks."""
-    step = lambda acc, s: F.struct(
-        (acc["n"] + F.greatest(F.lit(0).cast("long"), s["last"] - F.greatest(s["first"], acc["end"]))).alias("n"),
-        F.greatest(acc["end"], s["last"]).alias("end"),
-    )
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
-    return F.aggregate("spans", zero, step, lambda acc: acc["n"])
+    """Words inside any of the merged spans."""
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
@@ -210,31 +210,51 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, n: int = 10) ->
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, n: int = 10, *, drop_share: float = 0.5, text_col: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    n: int = 10,
+    *,
+    drop_share: float = 0.5,
+    text_col: str = "text",
+    block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
     """Remove hit spans from the text; drop documents of which more than
     `drop_share` of the words are hit. Clean documents pass unchanged."""
     columns = docs.columns
-    found = find_contamination(docs, benchmark, n, text_col=text_col)
-    share = _covered() / F.greatest(F.col("n_words"), F.lit(1))
-    kept = found.where((F.size("spans") == 0) | (share <= drop_share))
-    cut = kept.drop("n_words", "items").mapInArrow(_cut, T.StructType(kept.select("kept", "text").schema.fields))
+    schema = T.StructType(
+        [
+            T.StructField("kept", T.StructType([f for f in docs.schema.fields if f.name != text_col] + [T.StructField("_", T.IntegerType())])),
+            T.StructField("text", T.StringType()),
+        ]
+    )
+    cut = _found(docs, benchmark, n, columns, text_col, "item_id", "text", block_windows, _cut(drop_share), schema)
     return cut.select(*[F.col("text").alias(c) if c == text_col else F.col(f"kept.`{c}`").alias(c) for c in columns])
 
 
-def _cut(batches):
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        spans = batch.column("spans").to_pylist()
-        for k, s in enumerate(spans):
-            if not s:
+def _cut(drop_share: float):
+    def run(batches):
+        for batch in batches:
+            spans = batch.column("spans").to_pylist()
+            n_words = batch.column("n_words").to_pylist()
+            stay = [sum(x["last"] - x["first"] for x in s) <= drop_share * n for s, n in zip(spans, n_words, strict=True)]
+            batch = batch.select(["kept", "text"]).filter(pa.array(stay, pa.bool_()))
+            spans = [s for s, x in zip(spans, stay, strict=True) if x]
+            if not any(spans):
+                yield batch
                 continue
-            raw = texts[k].encode()
-            data = np.frombuffer(raw, dtype=np.uint8)
-            starts, ends, _ = find_words(data, np.array([0, len(data)]), ALNUM)
-            out, at = [], 0
-            for x in _merged(s):
-                out.append(raw[at : starts[x["first"]]])
-                at = int(ends[x["last"] - 1])
-            texts[k] = b"".join([*out, raw[at:]]).decode()
-        yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], names=["kept", "text"])
+            texts = batch.column("text").to_pylist()
+            for k, s in enumerate(spans):
+                if s:
+                    texts[k] = _without(texts[k].encode(), s)
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], names=["kept", "text"])
+
+    return run
+
+
+def _without(raw: bytes, spans: list[dict]) -> str:
+    starts, ends, _ = find_words(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), ALNUM)
+    out, at = [], 0
+    for x in spans:
+        out.append(raw[at : starts[x["first"]]])
+        at = int(ends[x["last"] - 1])
+    return b"".join([*out, raw[at:]]).decode()

@@ -135,6 +135,8 @@ def test_byte_bpe(docs, rows, empty):
         want.append((d, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(t or "")))
     same(byte_bpe.round_trip(docs, path), want)
     assert byte_bpe.round_trip(empty, path).count() == 0
+    one, two = byte_bpe.encode_and_decode(docs, path, keep=["doc_id"]), byte_bpe.decode(byte_bpe.encode(docs, path, keep=["doc_id"]), path)
+    assert one.schema == two.schema and one.exceptAll(two).count() == 0
     ends = byte_bpe.encode(docs, path, keep=["doc_id"], with_offsets=True).where("kept.doc_id = 10063").first()
     assert ends.slice_ends[-1:] == [len((dict(rows[:-2])[10063] or "").encode())] or not ends.slice_ends
 
@@ -251,6 +253,10 @@ def test_decontaminate(spark, docs, rows, empty):
     blocks = decontaminate.find_contamination(docs, bench, keep=["doc_id"], block_windows=500)
     same(blocks.select("kept.doc_id", F.size("items")), [(w[0], w[3]) for w in want])
     same(blocks.select("kept.doc_id", decontaminate._covered()), [(w[0], w[2]) for w in want])
+    whole = decontaminate.decontaminate(docs, bench)
+    assert whole.columns == docs.columns
+    pieces = decontaminate.decontaminate(docs, bench, block_windows=500)
+    same(pieces.select("doc_id", "text"), [(r.doc_id, r.text) for r in whole.collect()])
     assert decontaminate.contamination_report(empty, bench).count() == 0
     assert decontaminate.contamination_report(docs, bench.limit(0)).where("contaminated").count() == 0
 
