@@ -2,8 +2,9 @@
 
 The Python standard library no longer ships MD4 on OpenSSL 3, and Spark has
 no built-in for it, so this is the one digest computed in Python. It runs
-inside an Arrow-batched pandas UDF: messages of similar padded length are
-hashed together, one numpy operation per MD4 step for the whole group.
+inside an Arrow-batched pandas UDF: messages of similar length are hashed
+together, one numpy operation per MD4 step for the whole group. Memory beyond
+the input is two padded copies of at most ``_CHUNK_BYTES`` (or of one message).
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ ROUND2_ORDER = (0, 4, 8, 12, 1, 5, 9, 13, 2, 6, 10, 14, 3, 7, 11, 15)
 ROUND3_ORDER = (0, 8, 4, 12, 2, 10, 6, 14, 1, 9, 5, 13, 3, 11, 7, 15)
 
 # Upper bound on the padded bytes hashed at once, to keep memory per task flat.
-_CHUNK_BYTES = 64 << 20
+_CHUNK_BYTES = 16 << 20
+# Below this many messages numpy's cost per call is larger than plain Python's.
+_FEW = 12
 
 
 def _f(b, c, d, t, u):
@@ -86,61 +89,60 @@ def _compress(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
     return [a, b, c, d]
 
 
-def _digest_group(msgs: list[bytes]) -> np.ndarray:
-    """(n, 16) uint8 digests for messages; rows may differ in block count."""
-    n = len(msgs)
-    lens = np.fromiter((len(m) for m in msgs), dtype=np.int64, count=n)
-    nblocks = (lens + 72) // 64
-    width = int(nblocks.max()) * 64
-    buf = np.zeros((n, width), dtype=np.uint8)
-    total = int(lens.sum())
-    rows = np.arange(n)
-    if total:
-        flat = np.frombuffer(b"".join(msgs), dtype=np.uint8)
-        starts = np.repeat(np.cumsum(lens) - lens, lens)
-        buf[np.repeat(rows, lens), np.arange(total) - starts] = flat
-    buf[rows, lens] = 0x80
-    bits = (lens.astype("<u8") * 8).view(np.uint8).reshape(n, 8)
-    end = nblocks * 64 - 8
-    for j in range(8):
-        buf[rows, end + j] = bits[:, j]
-    nb = width // 64
-    # (blocks, 16 words, rows): each block's words are contiguous per word
-    words = np.ascontiguousarray(buf.view("<u4").astype(np.uint32).reshape(n, nb, 16).transpose(1, 2, 0))
-    del buf
+def _digest_group(msgs: list[bytes], nblocks: np.ndarray) -> np.ndarray:
+    """(n, 16) uint8 digests of messages in descending order of their blocks.
+
+    One padded buffer holds the messages; each block's words are laid out
+    word by word only when the block's turn comes, for the rows that reach so
+    far. The last few rows go on without numpy.
+    """
+    n, width = len(msgs), int(nblocks[0]) * 64
+    buf = np.frombuffer(bytearray().join([(m + b"\x80").ljust(width, b"\0") for m in msgs]), dtype="<u4").reshape(n, width // 4)
+    bits = np.fromiter((len(m) * 8 for m in msgs), dtype="<u8", count=n)
+    buf.view("<u8")[np.arange(n), nblocks * 8 - 1] = bits
 
     state = [np.full(n, v, dtype=np.uint32) for v in INIT_STATE]
-    uniform = bool((nblocks == nblocks[0]).all())
-    for blk in range(nb):
-        new = _compress(state, words[blk])
-        if uniform:
-            state = new
-        else:
-            live = blk < nblocks
-            for old, nv in zip(state, new):
-                np.copyto(old, nv, where=live)
+    live_rows = np.searchsorted(-nblocks, -np.arange(width // 64), side="left")  # rows with more than blk blocks
+    for blk, live in enumerate(live_rows.tolist()):
+        if live < _FEW:
+            for i in range(live):
+                now = tuple(int(x[i]) for x in state)
+                for block in buf[i, blk * 16 : int(nblocks[i]) * 16].reshape(-1, 16):
+                    now = _scalar_block(now, block.tolist())
+                for x, v in zip(state, now):
+                    x[i] = v
+            break
+        words = np.ascontiguousarray(buf[:live, blk * 16 : blk * 16 + 16].T, dtype=np.uint32)
+        for x, v in zip(state, _compress([x[:live] for x in state], words)):
+            x[:live] = v
     return np.stack(state, axis=1).astype("<u4").view(np.uint8).reshape(n, 16)
 
 
+def _scalar_block(state: tuple[int, int, int, int], x: Sequence[int]) -> tuple[int, int, int, int]:
+    a, b, c, d = state
+    mask = 0xFFFFFFFF
+    for rnd, (_, const, order, shifts) in enumerate(_ROUNDS):
+        for i, k in enumerate(order):
+            f = (b & c) | (~b & d) if rnd == 0 else (b & c) | (b & d) | (c & d) if rnd == 1 else b ^ c ^ d
+            t = (a + f + x[k] + const) & mask
+            s = shifts[i % 4]
+            a, b, c, d = d, ((t << s) | (t >> (32 - s))) & mask, b, c
+    return tuple((p + q) & mask for p, q in zip(state, (a, b, c, d)))
+
+
 def md4_digests(values: Sequence[bytes | None]) -> list[bytes | None]:
     """Raw 16-byte MD4 digests; None stays None."""
     out: list[bytes | None] = [None] * len(values)
     idx = [i for i, v in enumerate(values) if v is not None]
-    if not idx:
-        return out
-    lens = np.array([len(values[i]) for i in idx], dtype=np.int64)
-    nblocks = (lens + 72) // 64
-    # bucket by ceil(log2(blocks)): a bucket's padding overhead stays below 2x
-    bucket = np.ceil(np.log2(nblocks)).astype(np.int64)
-    for b in np.unique(bucket):
-        members = np.flatnonzero(bucket == b)
-        per_row = int(nblocks[members].max()) * 64
-        step = max(1, _CHUNK_BYTES // per_row)
-        for s in range(0, len(members), step):
-            part = members[s : s + step]
-            digests = _digest_group([values[idx[j]] for j in part])
-            for j, dgst in zip(part, digests):
-                out[idx[j]] = dgst.tobytes()
+    idx.sort(key=lambda i: -len(values[i]))
+    nblocks = np.fromiter(((len(values[i]) + 72) // 64 for i in idx), dtype=np.int64, count=len(idx))
+    s = 0
+    while s < len(idx):
+        e = s + max(1, _CHUNK_BYTES // (int(nblocks[s]) * 64))
+        part = idx[s:e]
+        for i, dgst in zip(part, _digest_group([values[i] for i in part], nblocks[s:e])):
+            out[i] = dgst.tobytes()
+        s = e
     return out
 
 
