@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, kneser_ney, pii, quality_rules, simhash, substring_dedup, token_store, toxicity, url_templates
+from . import byte_bpe, decontaminate, kneser_ney, oracles, pii, quality_rules, simhash, substring_dedup, token_store, toxicity, url_templates
 
 
 def _vocabulary(name: str) -> str:
@@ -75,4 +75,7 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op8_decontaminate": oracles.DECONTAMINATE,
+}
