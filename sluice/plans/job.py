@@ -2,8 +2,9 @@
 
 Actions per run: one write per non-empty quarantine table's job plus one
 write for the result (optionally one staging write per input). Quality
-counts ride on those writes as :class:`Observation` metrics, so no
-``count()`` is ever run.
+counts ride on the quarantine or staging writes as :class:`Observation`
+metrics. Where neither write happens (``on_invalid`` is None or a callable and
+nothing is staged), one aggregate per input counts instead.
 
 Staging (``stage="table"``) writes each annotated input once as parquet
 under the shared checkpoint folder, partitioned by the row verdict. The raw
@@ -115,25 +116,30 @@ def run_job(
     valid: dict[str, DataFrame] = {}
     invalid: dict[str, DataFrame] = {}
     observations: dict[str, Observation] = {}
+    uncounted: dict[str, DataFrame] = {}
     persisted: list[DataFrame] = []
     staged: list[str] = []
     for name, df in sources.items():
         tr = rules[name]
         annotated = annotate(df, tr, on_unknown=on_unknown)
         obs = _quality_observation(name)
-        observations[name] = obs
         if stage == "table":
             staged_path = shared_dir(spark, "stage", name)
             staged.append(staged_path)
             annotated = stage_annotated(spark, annotated, name, obs, staged_path).select(*annotated.columns)
             observed = annotated
-        elif stage == "persist":
-            annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-            persisted.append(annotated)
-            observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
+            observations[name] = obs
         else:
-            # the quarantine job evaluates every row's verdict anyway: count there
-            observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
+            if stage == "persist":
+                annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+                persisted.append(annotated)
+            if on_invalid == "write":
+                # the quarantine job evaluates every row's verdict anyway: count there
+                observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
+                observations[name] = obs
+            else:
+                observed = annotated
+                uncounted[name] = annotated
         v = split_annotated(annotated, tr, cast=True)
         iv = split_annotated(observed, tr, cast=True, cast_invalid=quarantine_cast)
         valid[name] = v.valid
@@ -150,6 +156,7 @@ def run_job(
         result = transform(valid)
         out_obs = Observation("published")
         write_batch(result, output_base, output_name, batch_id, fmt, observation=out_obs)
+        counts = {name: df.agg(*_quality_metrics(F.col(VALID_FLAG))).first().asDict() for name, df in uncounted.items()}
     finally:
         for df in persisted:
             df.unpersist()
@@ -158,12 +165,12 @@ def run_job(
             for path in staged:
                 remove_path(spark, path)
 
+    counts |= {name: dict(obs.get) for name, obs in observations.items()}
     quality: dict[str, dict[str, float]] = {}
-    if on_invalid == "write" or stage == "table":
-        for name, obs in observations.items():
-            q = dict(obs.get)
-            q["invalid_rate"] = (q["invalid"] / q["rows"]) if q["rows"] else 0.0
-            quality[name] = q
-            log.info("%s: %s", name, quality[name])
+    for name in sources:
+        q = counts[name]
+        q["invalid_rate"] = (q["invalid"] / q["rows"]) if q["rows"] else 0.0
+        quality[name] = q
+        log.info("%s: %s", name, quality[name])
     published = out_obs.get.get("rows")
     return JobResult(batch_id, f"{output_base}/{output_name}", quality, published)

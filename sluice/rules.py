@@ -10,10 +10,14 @@ only: no rows are touched.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field, replace
 from pathlib import Path
 from typing import Any, Iterable, Mapping
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
+
 # Rule keys that change behaviour. Anything else (role, description, type
 # values other than date/timestamp) is carried along as metadata.
 _KNOWN_KEYS = {
@@ -126,7 +130,8 @@ class TableRules:
 
     @classmethod
     def from_json(cls, source: str | Path | Mapping[str, Any], name: str | None = None) -> "TableRules":
-        """Load from a JSON file path, a JSON string, or an already parsed dict.
+        """Load from a JSON file path, a URI of storage that Spark reads, a JSON
+        string, or an already parsed dict.
 
         Missing file -> FileNotFoundError; empty or malformed JSON -> ValueError.
         """
@@ -134,7 +139,11 @@ class TableRules:
             return cls.from_dict(name or "rules", source)
         text: str
         path = Path(source) if not str(source).lstrip().startswith("{") else None
-        if path is not None:
+        if path is not None and re.match(r"[A-Za-z][A-Za-z0-9+.-]*://", str(source)):
+            text = _read_uri(str(source))
+            if name is None:
+                name = path.stem.removesuffix("_validation")
+        elif path is not None:
             if not path.exists():
                 raise FileNotFoundError(f"rule file not found: {path}")
             text = path.read_text(encoding="utf-8")
@@ -151,3 +160,15 @@ class TableRules:
         if not isinstance(spec, dict):
             raise ValueError("rule file must hold a JSON object of column -> rule")
         return cls.from_dict(name or "rules", spec)
+
+
+def _read_uri(uri: str) -> str:
+    """A small text file by its URI, through Spark's own file systems."""
+    spark = SparkSession.builder.getOrCreate()
+    try:
+        rows = spark.read.text(uri, wholetext=True).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise FileNotFoundError(f"rule file not found: {uri}") from e
+    return rows[0].value if rows else ""

@@ -147,9 +147,13 @@ def test_invalid_handler_variants_and_header_errors(spark, tmp_path):
                   output_base=out, fmt="parquet", batch_id="b1", on_invalid=keep)
     assert seen == {"contract": 0, "claim": 0} and res.published_rows == 7
     assert not os.path.exists(os.path.join(out, "invalid"))
-    res = run_job(spark, inputs, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
-                  output_base=str(tmp_path / "none"), fmt="parquet", batch_id="b1", on_invalid=None)
-    assert res.published_rows == 7 and res.quality == {}
+    assert res.quality["contract"] == {"rows": 5, "valid": 5, "invalid": 0, "unknown": 0, "invalid_rate": 0.0}
+    worse = dict(inputs, claim=inputs["claim"].unionByName(inputs["claim"].limit(1).withColumn("AMOUNT", F.lit("x"))))
+    for stage in ("recompute", "persist", "table"):
+        res = run_job(spark, worse, RULES, lambda v: claims_transform(v, run_ts="2024-01-01 00:00:00"),
+                      output_base=str(tmp_path / f"none_{stage}"), fmt="parquet", batch_id="b1", on_invalid=None, stage=stage)
+        assert res.published_rows == 7
+        assert res.quality["claim"] == {"rows": 8, "valid": 7, "invalid": 1, "unknown": 0, "invalid_rate": 1 / 8}
     broken = dict(inputs, claim=inputs["claim"].drop("AMOUNT"))
     with pytest.raises(HeaderError, match="AMOUNT"):
         run_job(spark, broken, RULES, claims_transform, output_base=str(tmp_path / "bad"), batch_id="b1")

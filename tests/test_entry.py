@@ -20,7 +20,7 @@ def test_registry_consistent():
     assert set(oracle) <= set(qs)
     # the training-data queries may be absent; tests/llm compares them with plain versions
     without = {q for q in set(qs) - set(oracle) if q != "pipeline" and not re.match(r"op\d+_", q)}
-    assert without == {"claims_transactions_md4", "digest_md4"}
+    assert without == {"digest_md4"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

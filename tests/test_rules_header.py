@@ -62,3 +62,11 @@ def test_conform_header_renames_and_projects(spark):
     )
     out = conform_header(df, CONTRACT_RULES)
     assert out.columns == CONTRACT_RULES.names
+
+
+def test_rules_by_uri(spark, tmp_path):
+    p = tmp_path / "claim_validation.json"
+    p.write_text(json.dumps(CLAIM_RULES_SPEC, indent=1))
+    assert TableRules.from_json(f"file://{p}") == TableRules.from_json(p)
+    with pytest.raises(FileNotFoundError):
+        TableRules.from_json(f"file://{tmp_path}/none_validation.json")
