@@ -137,6 +137,7 @@ class PieceEncoder:
 
     CACHED = 1_800_000
     LONG = 48
+    LINE = 256
     _odd = re.compile(r" (?=\s|\Z)")
     _cut = re.compile(r" (?=\S)")
     _pairs = ("  ", " \n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f")
@@ -150,16 +151,37 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        line = self._ids(["\n"])[0]
+        self.line = line[0] if len(line) == 1 else None
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
     def _learn(self, pieces, known: dict[str, bytes], lead: str) -> None:
+        """Ids of new pieces. Those without white space go in lines of many:
+        no token crosses a line break before a space, and its id is in no such
+        piece, so the ids are cut at it."""
         pieces = list(pieces)
+        if lead and self.line is not None:
+            plain = [p for p in pieces if p.split() == [p]]
+            pieces = [p for p in pieces if p.split() != [p]]
+            for i in range(0, len(plain), self.LINE):
+                part = plain[i : i + self.LINE]
+                ids = np.array(self._ids([lead + f"\n{lead}".join(part)])[0], dtype=self.dtype)
+                cuts = np.flatnonzero(ids == self.line).tolist()
+                if len(cuts) != len(part) - 1:
+                    pieces += part
+                    continue
+                raw, width, at = ids.tobytes(), ids.itemsize, 0
+                for p, cut in zip(part, [*cuts, len(ids)], strict=True):
+                    known[p] = raw[width * at : width * cut]
+                    at = cut + 1
         for i in range(0, len(pieces), 4096):
             part = pieces[i : i + 4096]
-            found = self.tokenizer.encode_batch_fast([lead + p for p in part], add_special_tokens=False)
-            for p, e in zip(part, found, strict=True):
-                known[p] = np.array(e.ids, dtype=self.dtype).tobytes()
+            for p, ids in zip(part, self._ids([lead + p for p in part]), strict=True):
+                known[p] = np.array(ids, dtype=self.dtype).tobytes()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _split(self, text: str) -> list[str]:
         plain = text.isascii() and not any(x in text for x in self._pairs) and text[-1:] != " "
