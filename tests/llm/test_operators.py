@@ -108,6 +108,19 @@ def test_token_store(docs, rows, empty):
     assert token_store.read_token_store(token_store.write_token_store(empty, path)).count() == 0
 
 
+def test_pieces_match_the_library():
+    import numpy as np
+    import public_tokenizers
+
+    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(5)
+    parts = [" ", "  ", "\n", "\t", "\u3000", "\x85", "\x1c", "a", "it's", "'ll", "\u00e9", "\u65e5\u672c", "12", "#$", "<|endoftext|>", "\x00", "."]
+    for _ in range(50):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(40)]
+        want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert encoder.encode(texts) == [np.array(e.ids, dtype=encoder.dtype).tobytes() for e in want]
+
+
 def test_elias_fano():
     rng = random.Random(5)
     for _ in range(60):
