@@ -14,7 +14,8 @@ Level 2 extends the survivors to twice the length. The full windows that one
 half-window speaks for are a run, hashed first as one segment: an equal
 segment in a smaller document settles the whole run with one row. Only the
 first copy of each distinct segment, and only where a half-window has several
-distinct segments, is taken apart into single windows. The doubling ends when
+distinct segments, is taken apart into single windows; what they lose, every
+run of that segment in the same document loses. The doubling ends when
 no candidate survives or the target length is reached (longer repeats are
 unions of target windows, so going on would change nothing).
 
@@ -171,12 +172,12 @@ def _single_windows(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(col("h")),
+                pa.array(col("seg")),
                 pa.array(signed(combine(np.frombuffer(b"".join(raw), dtype=U64), (col("off") - k).astype(np.int64).view(U64)))),
                 pa.array(col("doc")),
-                pa.array(col("text_key")),
-                pa.array((col("lo") + k).astype(np.int32)),
+                pa.array(k.astype(np.int32)),
             ],
-            names=["h", "window", "doc", "text_key", "lo"],
+            names=["h", "seg", "window", "doc", "k"],
         )
 
 
@@ -228,19 +229,25 @@ def duplicate_spans(docs: DataFrame, min_words: int = 50) -> DataFrame:
     leads = (
         runs.where("windows is not null")
         .join(segments.join(several, "h", "left_semi").withColumnRenamed("source_doc", "doc"), ["h", "seg", "doc"])
-        .select("h", "doc", "text_key", "lo", "off", "windows")
-    )
-    single = stored(
-        leads.mapInArrow(_single_windows, "h long, window long, doc long, text_key long, lo int"), "dedup_windows"
+        .select("h", "seg", "doc", "off", "windows")
     )
+    single = stored(leads.mapInArrow(_single_windows, "h long, seg long, window long, doc long, k int"), "dedup_windows")
     sources = stored(
         single.groupBy("h", "window").agg(F.min("doc").alias("source_doc"), F.max("doc").alias("last_doc")).where("source_doc < last_doc"),
         "dedup_sources",
     )
-    parts = (
+    # all windows of a run hold its half-window, so those found overlap: they cover one span
+    found = (
         single.join(sources, ["h", "window"])
         .where("source_doc < doc")
-        .select("doc", "text_key", F.col("lo").alias("first"), (F.col("lo") + F.lit(min_words)).alias("last"))
+        .groupBy("h", "seg", "doc")
+        .agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    )
+    # the lead speaks for all runs of its segment in its document, and in others of the same doc_id
+    parts = (
+        runs.select("h", "seg", "doc", "text_key", "lo")
+        .join(found, ["h", "seg", "doc"])
+        .select("doc", "text_key", (F.col("lo") + F.col("low")).alias("first"), (F.col("lo") + F.col("high") + F.lit(min_words)).alias("last"))
     )
     return (
         whole.unionByName(parts)

@@ -86,6 +86,18 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
+def test_substring_dedup_of_repeats_inside_a_document(spark):
+    """A document that holds the shared passage several times loses every copy whole."""
+    p, a, x, y = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 100), ("a", 30), ("x", 30), ("y", 30)))
+    cases = {"P P P": " ".join([p, p, p]), "(A P) x 4": " ".join([a, p] * 4)}
+    cols = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    for case, removed in (("P P P", 300), ("(A P) x 4", 400)):
+        rows = [(1, f"{x} {p} {y}"), (2, cases[case]), (2, f"{cases[case]} {x}")]
+        want = brute.substring_dedup(rows)
+        assert want[1][2] == removed
+        same(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select(cols), want)
+
+
 def test_token_store(docs, rows, empty):
     from tokenizers import Tokenizer
 
