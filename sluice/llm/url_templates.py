@@ -2,7 +2,7 @@
 
 Each host has a tree of path segments. Segments that vary by form (numbers,
 hex strings, mixed ids) become wildcards at once; a branch point with many
-different children becomes one wildcard child. Branches whose share of
+different children becomes one wildcard child, down to the deepest path. Branches whose share of
 blocked pages does not differ significantly from their siblings' are merged
 into a wildcard too. Every url that an explicit rule judges is a labelled
 example. A template is rejected if its purity, the share of blocked examples
@@ -21,6 +21,8 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,6 @@ RULES = (
     ("block", "net/fr/"),
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 4
 MANY_CHILDREN = 24
 SMOOTHING = 8.0
 _Z = 1.96
@@ -71,11 +72,7 @@ _FORM_SQL = (
 
 
 def _segments() -> Column:
-    return F.expr(f"transform(slice(filter(split(path, '/'), s -> s != ''), 1, {DEPTH}), s -> {_FORM_SQL})")
-
-
-def _segment(depth: int) -> Column:
-    return F.coalesce(F.get("segments", F.lit(depth)), F.lit(""))
+    return F.expr(f"transform(filter(split(path, '/'), s -> s != ''), s -> {_FORM_SQL})")
 
 
 def _paths(pages: DataFrame) -> DataFrame:
@@ -88,18 +85,34 @@ def _paths(pages: DataFrame) -> DataFrame:
 
 
 def _generalise(paths: DataFrame) -> DataFrame:
-    """`template` of every path: level by level, branch points with many children become wildcards."""
-    out = paths.withColumn("template", F.lit(""))
-    for depth in range(DEPTH):
-        children = out.where(F.size("segments") > depth).groupBy("host", "template").agg(
-            F.approx_count_distinct(_segment(depth)).alias("children")
+    """`template` (segments) of every path: level by level, branch points with
+    many children become wildcards. A path is done at its last segment, or
+    where too few paths are left below its branch point for any wildcard."""
+    going, done, depth = paths.withColumn("template", F.expr("slice(segments, 1, 0)")), [], 0
+    while True:
+        points = going.groupBy("host", "template").agg(
+            F.count(F.lit(1)).alias("paths"), F.approx_count_distinct(F.get("segments", F.lit(depth))).alias("children")
         )
-        wide = stored(children.where(F.col("children") > MANY_CHILDREN).select("host", "template", F.lit(True).alias("wide")), "url_wide")
-        step = F.when(F.size("segments") <= depth, F.col("template")).otherwise(
-            F.concat_ws("/", "template", F.when(F.col("wide"), F.lit("*")).otherwise(_segment(depth)))
+        points = points.where(F.col("paths") > MANY_CHILDREN).select("host", "template", (F.col("children") > MANY_CHILDREN).alias("wide"))
+        child = F.when(F.col("wide"), F.lit("*")).otherwise(F.get("segments", F.lit(depth)))
+        rest = F.expr(f"slice(segments, {depth + 1}, size(segments))")
+        ends = (F.size("segments") <= depth) | F.col("wide").isNull()
+        out = stored(
+            going.join(stored(points, "url_points"), ["host", "template"], "left")
+            .withColumn("template", F.when(ends, F.concat("template", rest)).otherwise(F.concat("template", F.array(child))))
+            .withColumn("ends", ends)
+            .drop("wide"),
+            "url_paths",
         )
-        out = stored(out.join(wide, ["host", "template"], "left").withColumn("template", step).drop("wide"), "url_paths")
-    return out
+        done.append(out.where("ends").drop("ends"))
+        going, depth = out.where(~F.col("ends")).drop("ends"), depth + 1
+        if going.isEmpty():
+            break
+    return stored(reduce(DataFrame.unionByName, done), "url_templates")
+
+
+def _joined(template: str) -> Column:
+    return F.concat_ws("/", F.lit(""), F.col(template))
 
 
 def _sums(df: DataFrame, *keys: str) -> DataFrame:
@@ -126,7 +139,7 @@ def _merge(stats: DataFrame) -> DataFrame:
 
 def template_verdicts(pages: DataFrame) -> DataFrame:
     """host, segments, template, purity of every distinct path."""
-    paths = _generalise(stored(_paths(pages), "url_paths"))
+    paths = _generalise(stored(_paths(pages), "url_paths")).withColumn("template", _joined("template"))
     merged = stored(_merge(_sums(paths, "host", "template")).select("host", "template", "merged", "n", "examples", "blocked"), "url_merged")
     by_host = _sums(merged, "host", "merged")
     everywhere = stored(

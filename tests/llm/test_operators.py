@@ -198,6 +198,20 @@ def test_url_templates_learn(spark):
     assert verdict == {"/buy/7": "block", "/read/7": "allow"}
 
 
+def test_url_templates_deep_paths(spark):
+    """Urls that differ from the fifth segment on have templates and verdicts of their own."""
+    rules = (("block", "a.com/q/r/s/t/buy/"), ("allow", "a.com/q/r/s/t/read/"))
+    urls = [f"http://a.com/q/r/s/t/{s}/{i}" for s in ("buy", "read") for i in range(50)]
+    urls += ["http://b.org/q/r/s/t/buy/7", "http://b.org/q/r/s/t/read/7"] + [f"http://b.org/q/r/s/t/u/v/page{chr(97 + i)}/x" for i in range(26)]
+    urls += ["http://c.org/" + "/".join(["loop"] * 300), "http://c.org"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.host, r.path): r for r in url_templates.judge_urls(df, rules=rules).collect()}
+    assert got["b.org", "/q/r/s/t/buy/7"].verdict == "block" and got["b.org", "/q/r/s/t/read/7"].verdict == "allow"
+    assert got["b.org", "/q/r/s/t/buy/7"].template == "/q/r/s/t/buy/{n}"
+    assert got["b.org", "/q/r/s/t/u/v/pagea/x"].template == "/q/r/s/t/u/v/*/x"
+    assert got["c.org", "/loop" * 300].template == "/loop" * 300 and got["c.org", ""].template == ""
+
+
 def test_quality_counts(spark, docs, rows, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     out = quality_rules.quality_report(docs, labels)
