@@ -4,9 +4,10 @@ Each host has a tree of path segments. Segments that vary by form (numbers,
 hex strings, mixed ids) become wildcards at once; a branch point with many
 different children becomes one wildcard child, down to the deepest path. Branches whose share of
 blocked pages does not differ significantly from their siblings' are merged
-into a wildcard too. Every url that an explicit rule judges is a labelled
+into a wildcard too, at every depth, the deepest first. Every url that an explicit rule judges is a labelled
 example. A template is rejected if its purity, the share of blocked examples
-smoothed towards the same template over all hosts and then towards the whole
+smoothed towards the same template over all hosts (a host without examples
+keeps literal names, so merged branches count under theirs too) and then towards the whole
 table, is above one half. Urls without a rule get their template's verdict.
 
 Statistics are partially aggregated per (host, template); a host that holds a
@@ -119,37 +120,60 @@ def _sums(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "examples", "blocked")])
 
 
-def _merge(stats: DataFrame) -> DataFrame:
-    """`merged` template per (host, template): a literal branch joins its
-    siblings as a wildcard unless its share of blocked examples differs."""
-    first = F.regexp_replace("template", r"^/[^/{*]+", "/*")
-    pooled = _sums(stats.withColumn("general", first), "host", "general").select(
+def _merge_level(stats: DataFrame, depth: int) -> DataFrame:
+    """host, merged, general: the templates whose literal segment at `depth`
+    becomes a wildcard, as their share of blocked examples does not differ
+    from that of their siblings."""
+    general = F.expr(f"concat(slice(merged, 1, {depth}), array('*'), slice(merged, {depth + 2}, size(merged)))")
+    literal = ~F.coalesce(F.get("merged", F.lit(depth)), F.lit("*")).rlike(r"^([*]$|\{(n|hex|id)\})")
+    # a branch without examples of its own keeps its literal name, and adds nothing to its siblings' sums
+    branches = _sums(stats.where(literal & (F.col("examples") > 0)), "host", "merged").withColumn("general", general)
+    branches = stored(branches, "url_branches")
+    pooled = _sums(branches, "host", "general").select(
         "host", "general", F.col("examples").alias("all_examples"), F.col("blocked").alias("all_blocked")
     )
-    both = stats.withColumn("general", first).join(stored(pooled, "url_pooled"), ["host", "general"])
+    both = branches.join(stored(pooled, "url_pooled"), ["host", "general"])
     rest_n, rest_b = F.col("all_examples") - F.col("examples"), F.col("all_blocked") - F.col("blocked")
-    share = F.col("all_blocked") / F.greatest(F.col("all_examples"), F.lit(1))
-    gap = F.col("blocked") / F.greatest(F.col("examples"), F.lit(1)) - rest_b / F.greatest(rest_n, F.lit(1))
-    error = F.sqrt(share * (1 - share) * (1 / F.greatest(F.col("examples"), F.lit(1)) + 1 / F.greatest(rest_n, F.lit(1))))
-    similar = (F.col("examples") == 0) | (rest_n == 0) | (F.abs(gap) <= _Z * error)
-    # a branch without examples of its own, or without siblings to compare, keeps its literal name
-    keep = (F.col("examples") == 0) | (rest_n == 0) | ~similar
-    return both.withColumn("merged", F.when(keep, F.col("template")).otherwise(F.col("general")))
+    share = F.col("all_blocked") / F.col("all_examples")
+    gap = F.col("blocked") / F.col("examples") - rest_b / F.greatest(rest_n, F.lit(1))
+    error = F.sqrt(share * (1 - share) * (1 / F.col("examples") + 1 / F.greatest(rest_n, F.lit(1))))
+    # nor does a branch change that has no siblings to compare
+    return both.where((rest_n > 0) & (F.abs(gap) <= _Z * error)).select("host", "merged", "general")
+
+
+def _merge(stats: DataFrame) -> DataFrame:
+    """`merged` template per (host, template): from the deepest segments up,
+    literal branches join their similar siblings as wildcards."""
+    out = stats.withColumn("merged", F.col("template"))
+    deepest = stats.where("examples > 0").agg(F.max(F.size("template"))).first()[0] or 0
+    for depth in reversed(range(deepest)):
+        step = stored(_merge_level(out, depth), "url_step")
+        if step.isEmpty():
+            continue
+        out = out.join(step, ["host", "merged"], "left").withColumn("merged", F.coalesce("general", "merged")).drop("general")
+        out = stored(out, "url_merged")
+    return out
 
 
 def template_verdicts(pages: DataFrame) -> DataFrame:
     """host, segments, template, purity of every distinct path."""
-    paths = _generalise(stored(_paths(pages), "url_paths")).withColumn("template", _joined("template"))
-    merged = stored(_merge(_sums(paths, "host", "template")).select("host", "template", "merged", "n", "examples", "blocked"), "url_merged")
+    paths = _generalise(stored(_paths(pages), "url_paths"))
+    merged = stored(
+        _merge(stored(_sums(paths, "host", "template"), "url_templates")).withColumns({c: _joined(c) for c in ("template", "merged")}),
+        "url_merged",
+    )
     by_host = _sums(merged, "host", "merged")
+    # a template's examples over all hosts; what a host merged still counts under its literal name for hosts that did not
+    named = merged.unionByName(merged.where("template <> merged").withColumn("merged", F.col("template")))
     everywhere = stored(
-        _sums(by_host, "merged").select("merged", F.col("examples").alias("g_examples"), F.col("blocked").alias("g_blocked")), "url_general"
+        _sums(named, "merged").select("merged", F.col("examples").alias("g_examples"), F.col("blocked").alias("g_blocked")), "url_general"
     )
-    total = everywhere.agg(F.sum("g_examples").alias("t_examples"), F.sum("g_blocked").alias("t_blocked")).first()
+    total = merged.agg(F.sum("examples").alias("t_examples"), F.sum("blocked").alias("t_blocked")).first()
     prior = (total["t_blocked"] or 0) / max(total["t_examples"] or 0, 1)
     general = (F.col("g_blocked") + SMOOTHING * prior) / (F.col("g_examples") + SMOOTHING)
     purity = (F.col("blocked") + SMOOTHING * general) / (F.col("examples") + SMOOTHING)
     scored = stored(by_host.join(everywhere, "merged").select("host", "merged", purity.alias("purity")), "url_purity")
+    paths = paths.withColumn("template", _joined("template"))
     named = paths.select("host", "segments", "template").join(merged.select("host", "template", "merged"), ["host", "template"])
     return named.join(scored, ["host", "merged"]).select("host", "segments", F.col("merged").alias("template"), "purity")
 

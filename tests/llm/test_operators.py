@@ -212,6 +212,20 @@ def test_url_templates_deep_paths(spark):
     assert got["c.org", "/loop" * 300].template == "/loop" * 300 and got["c.org", ""].template == ""
 
 
+def test_url_templates_merge_at_every_depth(spark):
+    """Similar branches below the first segment share a template; one that differs stays apart."""
+    rules = (("block", "a.com/shop/"), ("allow", "a.com/shop/cart/"), ("block", "a.com/shop/cart/z/"))
+    urls = [f"http://a.com/shop/{s}/{t}/{i}" for s in ("one", "two", "cart") for t in "xy" for i in range(40)]
+    urls += [f"http://a.com/shop/cart/z/{i}" for i in range(40)] + ["http://b.org/shop/one/x/7", "http://b.org/shop/cart/y/7"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.host, r.path): r for r in url_templates.judge_urls(df, rules=rules).collect()}
+    assert {got["a.com", f"/shop/{s}/{t}/1"].template for s in ("one", "two") for t in "xy"} == {"/shop/*/*/{n}"}
+    assert got["a.com", "/shop/cart/z/1"].template == "/shop/cart/z/{n}"
+    assert got["a.com", "/shop/cart/x/1"].template == "/shop/cart/x/{n}"
+    # a host without examples still learns from branches that another host merged
+    assert got["b.org", "/shop/one/x/7"].verdict == "block" and got["b.org", "/shop/cart/y/7"].verdict == "allow"
+
+
 def test_quality_counts(spark, docs, rows, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     out = quality_rules.quality_report(docs, labels)
