@@ -5,16 +5,20 @@ letters, marks and invisible characters dropped, everything else a space. The
 lexicon holds word beginnings and whole words, learned from labelled
 documents: candidates are those in enough toxic documents, weighted by the
 log ratio of their document shares; the shortest precise beginning stands for
-all that start with it. Words that start like an entry but are themselves
-common in clean documents become exception phrases. All documents are scanned
+all that start with it. Words that start like an entry, and pairs of words
+with one that an entry hits, become exceptions if commoner in clean documents
+than in toxic ones; they are counted over the whole sample once the entries
+are known. A pair must be so by its smoothed weight, as most pairs are rare.
+All documents are scanned
 with one Aho-Corasick automaton of entries and exceptions; an entry inside an
 exception does not count. The weight of what is left, and that weight by the
 text's length, go through a logistic curve fitted on the labelled sample.
 
 Labels are read from about `max_labelled` documents at most (by hash of the
 id; a parameter), of those whose crc32(doc_id as text) mod 5 is not 0. Two
-candidate counts are taken over that sample in Spark; the driver gets the
-entries and two numbers per sampled document.
+candidate counts and one of exceptions are taken over that sample in Spark;
+the driver gets the entries, the exceptions and two numbers per sampled
+document.
 
 Edge cases: a null or empty text has no words and scores the curve's value at
 zero; null labels or ids are not used for learning and a null id counts as
@@ -27,7 +31,9 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -129,18 +135,77 @@ class Lexicon:
 
     def weigh(self, text: str) -> tuple[float, int]:
         """Weight of the hits outside exceptions, and the number of words."""
-        folded = fold(text)
-        n = len(folded.split())
+        words = fold(text).split()
+        folded, n = f" {' '.join(words)} ", len(words)
         if not self.entries:
             return 0.0, n
         hits, skip = [], []
         for last, (size, weight) in self.automaton().iter(folded):
             (hits if weight is not None else skip).append((last + 1 - size, last + 1, weight))
         if skip:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in skip)]
+            skip.sort(key=lambda s: s[0])
+            # the furthest end of the exceptions that start no later
+            starts, ends = [s[0] for s in skip], list(accumulate((s[1] for s in skip), max))
+            hits = [h for h in hits if not ((i := bisect_right(starts, h[0])) and h[1] <= ends[i - 1])]
         return sum(h[2] for h in hits), n
 
 
+def _phrases(text: str, entries, known: dict[str, tuple[bool, bool]]) -> set[str]:
+    """A text's distinct words that start with an entry, and its pairs of words with one that an entry hits."""
+    out, before, hit_before = set(), "", False
+    for w in fold(text).split():
+        if (found := known.get(w)) is None:
+            starts = any(w[:k] in entries for k in range(SHORTEST, min(len(w), LONGEST) + 1))
+            found = known[w] = (starts, starts or f"{w} " in entries)
+        starts, hit = found
+        if starts:
+            out.add(w)
+        if before and (hit or hit_before):
+            out.add(f"{before} {w}")
+        before, hit_before = w, hit
+    return out
+
+
+def _count_phrases(entries):
+    def run(batches):
+        among, known = entries.value, {}
+        for batch in batches:
+            counts: Counter = Counter()
+            for t, y in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                counts.update((p, y) for p in _phrases(t.as_py() or "", among, known))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([p for p, _ in counts], pa.string()),
+                    pa.array([n if y else 0 for (_, y), n in counts.items()], pa.int64()),
+                    pa.array([0 if y else n for (_, y), n in counts.items()], pa.int64()),
+                ],
+                names=["phrase", "toxic", "clean"],
+            )
+
+    return run
+
+
+def learn_exceptions(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int, entries: dict[str, float]) -> set[str]:
+    """Words and pairs of words that hold an entry's hit and are commoner in clean documents."""
+    texts = toxic.select("text", F.lit(1).alias("toxic")).unionByName(clean.select("text", F.lit(0).alias("toxic")))
+    among = toxic.sparkSession.sparkContext.broadcast(frozenset(entries))
+    counts = texts.mapInArrow(_count_phrases(among), "phrase string, toxic long, clean long").groupBy("phrase")
+    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    pair = F.instr("phrase", " ") > 0
+    half = F.when(pair, 0.5).otherwise(0.0)  # the weights' smoothing
+    commoner = (F.col("clean") + half) / max(n_clean, 1) > (F.col("toxic") + half) / n_toxic
+    found = {r["phrase"] for r in counts.where(commoner).select("phrase").collect()}
+
+    def needed(phrase: str) -> bool:
+        """Whether a pair takes out a hit that its words do not."""
+        return any(
+            w not in found and (f"{w} " in entries or any(w[:k] in entries for k in range(SHORTEST, min(len(w), LONGEST) + 1)))
+            for w in phrase.split()
+        )
+
+    return {p for p in found if " " not in p or needed(p)}
+
+
 def learn_lexicon(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     """Entries and exceptions from documents with a column `text`."""
     sc = toxic.sparkSession.sparkContext
@@ -158,12 +223,7 @@ def learn_lexicon(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int
             continue
         entries[f] = math.log((a + 0.5 / n_toxic) / (b + 0.5 / max(n_clean, 1)))
     entries = {f: w for f, w in entries.items() if w > 0}
-    exceptions = {
-        f[:-1]
-        for f, (a, b) in share.items()
-        if f.endswith(" ") and b > a and any(f[:k] in entries for k in range(SHORTEST, len(f)))
-    }
-    return Lexicon(entries, exceptions)
+    return Lexicon(entries, learn_exceptions(toxic, clean, n_toxic, n_clean, entries) if entries else set())
 
 
 def _weigh(lexicon):

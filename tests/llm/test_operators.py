@@ -388,6 +388,19 @@ def test_toxicity(spark, docs, rows, empty):
     assert {r.score for r in toxicity.toxicity_scores(df, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_exceptions_of_clean_documents(spark):
+    """Innocent words that start like an entry, in clean documents only, and pairs with an entry."""
+    rng = random.Random(8)
+    neutral = [f"word{c}{d}" for c in "abcdef" for d in "ghijkl"]
+    text = lambda *more: " ".join([*(rng.choice(neutral) for _ in range(20)), *more])
+    toxic = [text("scumbag"), *(text(f"scum{x}") for x in ("", "my", "s")), *[text("you", "vermin")] * 5] * 20
+    clean = [text() for _ in range(400)] + [text("scumble,")] * 3 + [text("Crop vermin.")] * 8
+    frames = [spark.createDataFrame([(t,) for t in x], "text string") for x in (toxic, clean)]
+    lex = toxicity.learn_lexicon(*frames, len(toxic), len(clean))
+    assert lex.weigh("a scumble")[0] == 0 and lex.weigh("scumbag")[0] > 0
+    assert lex.weigh("crop - vermin")[0] == 0 and lex.weigh("you vermin")[0] > 0 and lex.weigh("the vermin")[0] > 0
+
+
 def test_folding_and_exceptions():
     assert toxicity.fold("Ѕс0rе, ÉTÉ a\u200bb").split() == ["score", "ete", "ab"]
     lex = toxicity.Lexicon({"scum": 2.0, "rat": 1.0}, {"rather", "lab rat"})
