@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""Interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark.
 
 1. Training tokens are counted by 64-bit word hash. The counts are ranged by
    hash and written as sorted arrays; a word's id is its place in them.
@@ -20,6 +20,16 @@ discounts, come from the counts of counts at both orders.
     p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + gamma(v) p(w)
     p(w)     = max(n(.w) - D'(n(.w)), 0) / n(..) + gamma' / (V + 1)
 
+Order 3 counts triples first, dealt by a hash of the whole triple, so no
+context is too large for a shard; statistics of contexts go through an exchange
+of their own. Step 2 then takes n(.vw), the distinct words before a pair, as the
+pair's count; after the start mark, where nothing comes before, its plain count.
+
+    p(w | u v) = max(c(uvw) - D''(c(uvw)), 0) / c(uv.) + gamma(u v) p(w | v)
+
+A text's first word has the start mark alone as its context. Triples are told
+apart by a 64-bit hash of their ids.
+
 Tokens are the words of the A-Z lower-cased text, then one end; the first
 word's context is a start mark that is never predicted. A word or context not
 seen in training has count 0 and falls back to p(w) or the uniform share.
@@ -38,9 +48,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import map_file, prepare, shared_folder, stored, write_file
-from .text import LOWER, SPACED, find_words, hash_words, row_chunks, signed, text_buffer
+from .text import LOWER, SPACED, U64, combine, find_words, hash_words, row_chunks, signed, text_buffer
 
 TOKENS_PER_SHARD = 6_000_000
+TRIPLES_PER_SHARD = 500_000
 FLUSH_PAIRS = 2_000_000
 _END = np.int64(-0x61C8864680B583EB)  # the end token, beside the word hashes
 
@@ -249,6 +260,162 @@ def _merge_pairs(folder: str, hot, parts: int, size: int):
     return run
 
 
+def _previous(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
+    """The id before each token; the start mark at a text's first."""
+    out = np.empty_like(ids)
+    out[1:] = ids[:-1]
+    out[np.r_[0, ends[:-1]]] = start
+    return out
+
+
+def _triple_keys(context: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return combine(context.view(U64), w.astype(U64))
+
+
+def _dealt(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> U64(32)) % U64(shards)).astype(np.int64)
+
+
+def _summed_triples(context: np.ndarray, w: np.ndarray, counts: np.ndarray):
+    order = np.lexsort((w, context))
+    context, w, counts = context[order], w[order], counts[order]
+    at = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (w[1:] != w[:-1])])
+    return context[at], w[at], np.add.reduceat(counts, at)
+
+
+def _joined(raw: list[bytes], *kinds: str) -> list[np.ndarray]:
+    """Columns of packed parts: a row count, then each column."""
+    cols: list[list[np.ndarray]] = [[] for _ in kinds]
+    for x in raw:
+        n, at = int.from_bytes(x[:8], "little"), 8
+        for col, kind in zip(cols, kinds, strict=True):
+            col.append(np.frombuffer(x, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+    return [np.concatenate(c) for c in cols]
+
+
+def _split(part: np.ndarray, *columns: np.ndarray):
+    """(part, its rows packed) for each part."""
+    order = np.argsort(part, kind="stable")
+    part, columns = part[order], [c[order] for c in columns]
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
+    for a, b in zip(cut, cut[1:], strict=False):
+        yield int(part[a]), b"".join([int(b - a).to_bytes(8, "little"), *(c[a:b].tobytes() for c in columns)])
+
+
+def _count_triples(vocab, shards: int):
+    def run(batches):
+        words = vocab.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush():
+            context, w = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            context, w, n = _summed_triples(context, w, np.ones(len(w), np.int64))
+            rows = list(_split(_dealt(_triple_keys(context, w), shards), context, w.astype("<u4"), n.astype("<u4")))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "triples"]
+            )
+
+        for batch in batches:
+            for *_, tokens, ends in _tokens(batch):
+                distinct, back = np.unique(tokens, return_inverse=True)
+                ids = words.find(distinct)[0][back]
+                v = _previous(ids, ends, len(words))
+                held.append((_previous(v, ends, len(words)) << 32 | v, ids))
+                size += len(tokens)
+                if size >= FLUSH_PAIRS:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    return run
+
+
+def _merge_triples(folder: str, sharding, shards: int, start: int):
+    def run(key, table):
+        context, w, n = _summed_triples(*(x.astype(np.int64) for x in _joined(table.column("triples").to_pylist(), "<i8", "<u4", "<u4")))
+        # a first word has no context of two words: its plain count is the pair's
+        inner = context != (start << 32 | start)
+        own, counts = context[inner], n[inner]
+        keys = _triple_keys(own, w[inner])
+        order = np.argsort(keys)
+
+        def write(out):
+            out.write(keys[order].tobytes())
+            out.write(counts[order].astype("<u4").tobytes())
+
+        shard, none = key[0].as_py(), {"uri": None, "n": 0, "c1": 0, "c2": 0, "c3": 0, "c4": 0}
+        rows = [{"kind": "triples", "words": None} | _file_row(shard, write_file(folder, write), len(keys), counts)]
+        if len(own):
+            ctx, stats = _context_stats(own, counts)
+            parts = _split(_dealt(combine(ctx.view(U64)), shards), ctx, stats[:, 0], *(stats[:, k].astype("<u4") for k in (1, 2, 3)))
+            rows += [none | {"kind": "contexts", "part": k, "words": raw} for k, raw in parts]
+        keys2, n2 = _summed((context & 0xFFFFFFFF) << 32 | w, np.where(inner, 1, n))
+        deal = sharding.value.of(keys2 >> 32, keys2 & 0xFFFFFFFF)
+        for k in np.unique(deal).tolist():
+            at = deal == k
+            rows.append(none | {"kind": "pairs", "part": k, "words": _pack(keys2[at], n2[at])})
+        return pa.Table.from_pylist(rows, schema=_arrow(_MERGED))
+
+    return run
+
+
+def _merge_contexts(folder: str):
+    def run(key, table):
+        ctx, *stats = _joined(table.column("words").to_pylist(), "<i8", "<i8", "<u4", "<u4", "<u4")
+        order = np.argsort(ctx, kind="stable")
+        ctx = ctx[order]
+        at = np.flatnonzero(np.r_[True, ctx[1:] != ctx[:-1]])
+
+        def write(out):
+            out.write(ctx[at].tobytes())
+            for x, kind in zip(stats, ("<i8", "<u4", "<u4", "<u4"), strict=True):
+                out.write(np.add.reduceat(x[order].astype(np.int64), at).astype(kind).tobytes())
+
+        row = _file_row(key[0].as_py(), write_file(folder, write), len(at), np.zeros(0))
+        return pa.Table.from_pylist([row], schema=_arrow(_FILES))
+
+    return run
+
+
+class Triples:
+    """Counts of triples and statistics of their contexts, in files by hash."""
+
+    def __init__(self, triples: list[dict], contexts: list[dict], shards: int):
+        self.triples, self.contexts = ({f["part"]: (f["uri"], f["n"]) for f in files} for files in (triples, contexts))
+        self.shards, self.d = shards, np.array([0.0, *_discounts(triples)])
+
+    def _groups(self, hashes: np.ndarray, files: dict):
+        part = _dealt(hashes, self.shards)
+        for k in np.unique(part).tolist():
+            if k in files and files[k][1]:
+                yield np.flatnonzero(part == k), _mapped(files[k][0]), files[k][1]
+
+    def given(self, context: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """p(w | u v) of distinct (context, word), given p(w | v); -1 is unknown."""
+        stats, count = np.zeros((len(w), 4), np.int64), np.zeros(len(w), np.int64)
+        known = np.flatnonzero(context >= 0)
+        for at, raw, n in self._groups(combine(context[known].view(U64)), self.contexts):
+            at, keys = known[at], raw[: 8 * n].view(np.int64)
+            p = np.minimum(np.searchsorted(keys, context[at]), n - 1)
+            hit, p = at[keys[p] == context[at]], p[keys[p] == context[at]]
+            stats[hit, 0] = raw[8 * n : 16 * n].view(np.int64)[p]
+            for k in (1, 2, 3):
+                stats[hit, k] = raw[(12 + 4 * k) * n : (16 + 4 * k) * n].view("<u4")[p]
+        known = np.flatnonzero((context >= 0) & (w >= 0))
+        wanted = _triple_keys(context[known], w[known])
+        for at, raw, n in self._groups(wanted, self.triples):
+            keys = raw[: 8 * n].view(U64)
+            p = np.minimum(np.searchsorted(keys, wanted[at]), n - 1)
+            hit = keys[p] == wanted[at]
+            count[known[at[hit]]] = raw[8 * n :].view("<u4")[p[hit]]
+        total = np.maximum(stats[:, 0], 1)
+        gamma = np.where(stats[:, 0] > 0, (stats[:, 1:] * self.d[1:]).sum(axis=1) / total, 1.0)
+        return np.maximum(count - self.d[np.minimum(count, 3)], 0) / total + gamma * low
+
+
 def _merge_words(folder: str, parts: int, size: int):
     def run(key, table):
         part = key[0].as_py()
@@ -279,7 +446,8 @@ def _discounts(files: list[dict]) -> list[float]:
 class Model:
     """The scorer's view: manifests on the driver's side, arrays mapped on first use."""
 
-    def __init__(self, words: list[dict], pairs: list[dict], follow: list[dict], hot: dict, sharding, tokens: int):
+    def __init__(self, words: list[dict], pairs: list[dict], follow: list[dict], hot: dict, sharding, tokens: int, triples: Triples | None = None):
+        self.triples = triples
         self.words, self.sharding, self.tokens = Vocabulary(words), sharding, tokens
         self.pairs = {f["part"]: f["uri"] for f in pairs}
         self.follow = {f["part"]: f["uri"] for f in follow}
@@ -355,7 +523,14 @@ class Model:
         code = (before + 1) * len(distinct) + back
         some, again = np.unique(code, return_inverse=True)
         v, d = some // len(distinct) - 1, some % len(distinct)
-        p = np.log10(self.pair(v, ids[d], low[d]))
+        p = self.pair(v, ids[d], low[d])
+        if self.triples:
+            code = (_previous(before, ends, size) + 1) * len(some) + again
+            some3, again3 = np.unique(code, return_inverse=True)
+            u, pair = some3 // len(some) - 1, some3 % len(some)
+            context = np.where((u >= 0) & (v[pair] >= 0), u << 32 | v[pair], -1)
+            p, again = self.triples.given(context, ids[d][pair], p[pair]), again3
+        p = np.log10(p)
         return (
             np.diff(np.r_[0, ends]),
             np.add.reduceat((counts[back] > 0).astype(np.int64), starts),
@@ -385,8 +560,21 @@ def _score(model):
     return run
 
 
-def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD) -> Model:
+def _fit_triples(texts: DataFrame, folder: str, vocab, sharding, shards: int) -> tuple[DataFrame, Triples]:
+    """The pairs with their continuation counts, dealt for `_merge_pairs`, and the model's files of triples."""
+    dealt = texts.mapInArrow(_count_triples(vocab, shards), "shard int, triples binary")
+    start = len(vocab.value)
+    merged = stored(dealt.groupBy("shard").applyInArrow(_merge_triples(folder, sharding, shards, start), _MERGED), "lm_triples")
+    contexts = merged.where("kind = 'contexts'").select("part", "words").groupBy("part").applyInArrow(_merge_contexts(folder), _FILES)
+    files = [[r.asDict() for r in f.collect()] for f in (merged.where("kind = 'triples'").drop("words"), stored(contexts, "lm_contexts"))]
+    pairs = merged.where("kind = 'pairs'").select(F.col("part").alias("shard"), F.col("words").alias("pairs"))
+    return pairs, Triples(*files, shards)
+
+
+def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD, order: int = 2) -> Model:
     """Count the training texts (column `text`) and write the model's files."""
+    if order not in (2, 3):
+        raise ValueError(f"order is 2 or 3, not {order}")
     spark = prepare(texts)
     sc = spark.sparkContext
     folder = shared_folder(spark, "kneser_ney")
@@ -403,7 +591,12 @@ def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD) -> Model:
     hot = np.sort(np.r_[vocab.find(words)[0] if len(words) else np.zeros(0, np.int64), len(vocab)])
     sharding = Sharding(len(vocab), shards, hot)
     size = max(len(vocab), 1)
-    dealt = texts.mapInArrow(_count_pairs(sc.broadcast(vocab), sc.broadcast(sharding)), "shard int, pairs binary")
+    all_words, deal, triples = sc.broadcast(vocab), sc.broadcast(sharding), None
+    if order == 3:
+        fine = int(tokens // min(tokens_per_shard, TRIPLES_PER_SHARD)) + 1
+        dealt, triples = _fit_triples(texts, folder, all_words, deal, fine)
+    else:
+        dealt = texts.mapInArrow(_count_pairs(all_words, deal), "shard int, pairs binary")
     merged = stored(
         dealt.groupBy("shard").applyInArrow(_merge_pairs(folder, sc.broadcast(hot), shards, size), _MERGED), "lm_pairs"
     )
@@ -414,7 +607,7 @@ def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD) -> Model:
         merged.where("kind = 'words'").select("part", "words").groupBy("part").applyInArrow(_merge_words(folder, shards, size), _FILES),
         "lm_follow",
     )
-    return Model(files, pairs, [r.asDict() for r in follow.collect()], hot_rows, sharding, int(tokens))
+    return Model(files, pairs, [r.asDict() for r in follow.collect()], hot_rows, sharding, int(tokens), triples)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 10):
@@ -422,14 +615,15 @@ def held_out(id_col: str = "doc_id", folds: int = 10):
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string")) % folds == 0, F.lit(True))
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, order: int = 2) -> DataFrame:
     """Fit on the rows that are not held out, score all: doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score, score, perplexity."""
     spark = prepare(docs)
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), held_out(id_col, folds).alias("held_out")
     )
-    model = fit(rows.where(~F.col("held_out")))
+    train = rows.where(~F.col("held_out"))
+    model = fit(train) if order == 2 else fit(train, order=order)
     scored = rows.mapInArrow(
         _score(spark.sparkContext.broadcast(model)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",

@@ -44,7 +44,7 @@ def op6_pii(spark, sf):
 
 
 def op7_kneser_ney(spark, sf):
-    return kneser_ney.lm_scores(_table(spark, sf, "documents"))
+    return kneser_ney.lm_scores(_table(spark, sf, "documents"), order=3)
 
 
 def op8_decontaminate(spark, sf):

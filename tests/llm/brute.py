@@ -170,6 +170,41 @@ def kneser_ney(rows):
     return out
 
 
+def kneser_ney_3(rows):
+    """Modified Kneser-Ney trigram scores, straight from the formulas."""
+    toks = [(doc, [*SPACED.findall(lower(text)), None]) for doc, text in rows]
+    train = [t for doc, t in toks if not held(doc, 10)]
+    v = len({x for t in train for x in t})
+    marks = lambda t, k: [*["<s>"] * k, *((x, 0) for x in t[:-1])][: len(t)]
+    triples = Counter(x for t in train for x in list(zip(marks(t, 2), marks(t, 1), t))[1:])
+    pairs = Counter((b, w) for _, b, w in triples) + Counter(("<s>", t[0]) for t in train)
+    levels = [{(a, b): {} for a, b, _ in triples}, {b: {} for b, _ in pairs}, {(): Counter(w for _, w in pairs)}]
+    for (a, b, w), k in triples.items():
+        levels[0][a, b][w] = k
+    for (b, w), k in pairs.items():
+        levels[1][b][w] = k
+    discounts = []
+    for level in levels:
+        m = Counter(k for c in level.values() for k in c.values())
+        y = m[1] / (m[1] + 2 * m[2]) if m[1] + 2 * m[2] else 0
+        d = [k - (k + 1) * y * m[k + 1] / m[k] if m[k] else 0 for k in (1, 2, 3)]
+        discounts.append([0] + [x if 0 < x < k else 0.5 for k, x in zip((1, 2, 3), d)])
+
+    sums = [{c: (sum(n.values()), sum(d[min(x, 3)] for x in n.values())) for c, n in level.items()} for level, d in zip(levels, discounts)]
+
+    def p(depth, a, b, w):
+        if depth == 3:
+            return 1 / (v + 1)
+        context, d = ((a, b), b, ())[depth], discounts[depth]
+        low = p(depth + 1, a, b, w)
+        if not levels[depth].get(context):
+            return low
+        k, (total, gamma) = levels[depth][context].get(w, 0), sums[depth][context]
+        return max(k - d[min(k, 3)], 0) / total + gamma / total * low
+
+    return [(doc, sum(math.log10(p(0, a, b, w)) for a, b, w in zip(marks(t, 2), marks(t, 1), t))) for doc, t in toks]
+
+
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 

@@ -277,6 +277,14 @@ def test_kneser_ney(docs, rows, empty):
     assert kneser_ney.lm_scores(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard", [6_000_000, 2000])
+def test_kneser_ney_order_3(docs, rows, empty, monkeypatch, shard):
+    monkeypatch.setattr(kneser_ney, "TRIPLES_PER_SHARD", shard)
+    monkeypatch.setattr(kneser_ney, "FLUSH_PAIRS", shard)
+    same(kneser_ney.lm_scores(docs, order=3).select("doc_id", "score"), brute.kneser_ney_3(rows), digits=9)
+    assert kneser_ney.lm_scores(empty, order=3).count() == 0
+
+
 def test_kneser_ney_many_shards(docs, rows, monkeypatch):
     """The same scores when counts are dealt over many shards and flushed often."""
     real = kneser_ney.fit
