@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, kneser_ney, oracles, pii, quality_rules, simhash, substring_dedup, token_store, toxicity, url_templates
+from . import (
+    byte_bpe,
+    decontaminate,
+    kneser_ney,
+    minhash,
+    oracles,
+    pii,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_alignment,
+    token_store,
+    toxicity,
+    url_templates,
+    vector_codes,
+)
 
 
 def _vocabulary(name: str) -> str:
@@ -59,6 +74,20 @@ def op10_toxicity(spark, sf):
     return toxicity.toxicity_scores(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op11_minhash(spark, sf):
+    return minhash.minhash_groups(_table(spark, sf, "documents"), shingle=4, percent=80)
+
+
+def op12_token_alignment(spark, sf):
+    return token_alignment.alignment_report(
+        _table(spark, sf, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model")
+    )
+
+
+def op13_vector_codes(spark, sf):
+    return vector_codes.vector_codes(_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +101,9 @@ QUERIES = {
         op8_decontaminate,
         op9_simhash,
         op10_toxicity,
+        op11_minhash,
+        op12_token_alignment,
+        op13_vector_codes,
     )
 }
 

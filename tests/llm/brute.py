@@ -218,3 +218,141 @@ def url(u):
         if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(rule) > len(best[0] or ""):
             best = (rule, verdict)
     return host, path, *best
+
+
+def _nearest_links(ids, linked):
+    """Smallest id reachable, by position; null ids never name a group."""
+    group = list(range(len(ids)))
+    for a in range(len(ids)):
+        for b in range(a):
+            if group[a] != group[b] and linked(a, b):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    low = {}
+    for i, g in zip(ids, group, strict=True):
+        if i is not None:
+            low[g] = min(low.get(g, i), i)
+    return [low.get(g) for g in group]
+
+
+def minhash(rows, size=4, percent=80):
+    sets = []
+    for _, text in rows:
+        w = SPACED.findall(lower(text))
+        sets.append({tuple(w[i : i + size]) for i in range(max(len(w) - size, 0) + 1)} if w else set())
+
+    def linked(a, b):
+        x, y = sets[a], sets[b]
+        both = len(x & y)
+        return bool(x and y) and 100 * both >= percent * (len(x) + len(y) - both)
+
+    low = _nearest_links([doc for doc, _ in rows], linked)
+    return [(doc, len(s), c, doc == c) for (doc, _), s, c in zip(rows, sets, low, strict=True)]
+
+
+def alignment(rows, a_path, b_path):
+    """Links as all overlapping byte ranges, one document at a time."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_tool = Tokenizer.from_file(a_path)
+    a_tool.encode_special_tokens = True
+    b_tool = sentencepiece.SentencePieceProcessor(model_file=b_path)
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+    def a_bytes(i):
+        return bytes(letter[c] for c in a_tool.id_to_token(i))
+
+    def b_bytes(i):
+        p = b_tool.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b_tool.is_byte(i) else p.replace("▁", " ").encode()
+
+    def ranges(sizes):
+        at, out = 0, []
+        for n in sizes:
+            out.append((at, at + n))
+            at += n
+        return out
+
+    docs, count = [], Counter()
+    for doc, text in rows:
+        if not text:
+            docs.append((doc, [], [], [], ""))
+            continue
+        a = a_tool.encode(" " + text, add_special_tokens=False).ids
+        b = b_tool.encode(text)
+        x, y = [a_bytes(i) for i in a], [b_bytes(i) for i in b]
+        if b"".join(x) != (" " + text).encode() or b"".join(y) != (" " + text).encode():
+            docs.append((doc, [], [], [], ""))
+            continue
+        ra, rb = ranges(map(len, x)), ranges(map(len, y))
+        links, low = [], 0
+        for i, (s, e) in enumerate(ra):
+            while rb[low][1] <= s:
+                low += 1
+            j = low
+            while j < len(rb) and rb[j][0] < e:
+                links.append((a[i], b[j]))
+                j += 1
+        count.update(links)
+        cuts = sorted({e for _, e in ra} & {e for _, e in rb})
+        groups, i, j = [], 0, 0
+        for cut in cuts:
+            p, q = i, j
+            while i < len(ra) and ra[i][1] <= cut:
+                i += 1
+            while j < len(rb) and rb[j][1] <= cut:
+                j += 1
+            groups.append(",".join(map(str, a[p:i])) + "|" + ",".join(map(str, b[q:j])))
+        docs.append((doc, a, b, links, ";".join(groups)))
+    best = {}
+    for (_, j), n in count.items():
+        best[j] = max(best.get(j, 0), n)
+    out = []
+    for doc, a, b, links, groups in docs:
+        n_best = sum(count[x] == best[x[1]] for x in links)
+        digest = sha(groups) if a else ""
+        out.append((doc, len(a), len(b), groups.count(";") + 1 if a else 0, len(links), n_best, sum(count[x] for x in links), digest))
+    return out
+
+
+def vector_codes(rows, parts=4, size=256, rounds=4):
+    """(vec_id, embedding, label) rows; every distance is computed."""
+    kept = [(i, [math.floor(1024 * c) for c in v], label) for i, v, label in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    if not kept:
+        return []
+    regular = sorted(((i, v) for i, v, _ in kept if len(v) % parts == 0 and all(abs(c) < 1 << 27 for c in v)), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    dims = len(regular[0][1])
+    regular = [(i, v) for i, v in regular if len(v) == dims]
+    width = dims // parts
+
+    def cut(v):
+        return [v[p * width : (p + 1) * width] for p in range(parts)]
+
+    books = [[cut(v)[p] for _, v in regular[:size]] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((s - t) ** 2 for s, t in zip(x, e, strict=True)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        new = []
+        for p in range(parts):
+            members = defaultdict(list)
+            for _, v in regular:
+                x = cut(v)[p]
+                members[nearest(p, x)[1]].append(x)
+            new.append([[sum(c) // len(c) for c in zip(*members[k], strict=True)] if k in members else e for k, e in enumerate(books[p])])
+        books = new
+    digest = sha(",".join(str(c) for book in books for e in book for c in e))
+    out, total = [], {}
+    for i, v, label in kept:
+        if len(v) != dims or any(abs(c) >= 1 << 27 for c in v):
+            out.append((i, None, None, label))
+            continue
+        found = [nearest(p, x) for p, x in enumerate(cut(v))]
+        error = sum(d for d, _ in found)
+        total[label] = total.get(label, 0) + error
+        out.append((i, "".join(f"{k:02x}" for _, k in found), error, label))
+    return [(i, code, error, total.get(label), digest) for i, code, error, label in out]
