@@ -2,33 +2,37 @@
 
 1. Training tokens are counted by 64-bit word hash. The counts are ranged by
    hash and written as sorted arrays; a word's id is its place in them.
-2. Each task counts its (word, next word) ids locally and deals them to
-   shards by context. Contexts that hold more than a shard's share of tokens
-   (fewer than 4 per shard, by counting) are dealt by both words instead. One
-   group per shard merges the counts into a file of sorted keys and counts,
-   with the statistics of its contexts.
-3. Continuation counts (distinct words before a word) go through one more
-   exchange, by ranges of ids, into dense arrays.
-4. Documents are scored where they are: workers memory-map the files, look
-   the distinct words and pairs of a batch up by binary search, and add
-   log10 probabilities up.
-
-Files lie in the shared folder; the number of shards follows the token count,
-so a task holds a bounded part of the corpus at any size. `D(c)`, the
-discounts, come from the counts of counts at both orders.
-
-    p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v.) + gamma(v) p(w)
-    p(w)     = max(n(.w) - D'(n(.w)), 0) / n(..) + gamma' / (V + 1)
-
-Order 3 counts triples first, dealt by a hash of the whole triple, so no
-context is too large for a shard; statistics of contexts go through an exchange
-of their own. Step 2 then takes n(.vw), the distinct words before a pair, as the
-pair's count; after the start mark, where nothing comes before, its plain count.
+2. Each task counts its triples (u, v, w) locally and deals them to shards by
+   the middle word v, packed: ids sorted and delta-coded, in byte planes,
+   compressed. So a shard holds all of v's contexts (u, v) and pairs (v, w), and
+   writes both with their statistics; nothing of them travels again. (At order
+   2 there is no u.)
+3. A word v that holds more than a shard's share of tokens (fewer than 4 per
+   shard, by counting) is dealt by the whole triple instead, so no context is
+   too large for a shard. The statistics of such contexts and pairs are partial
+   in a shard; they go out as rows that Spark sums, and into files of their own.
+4. Continuation counts (distinct words before a word) are rows that Spark sums,
+   in dense arrays by ranges of ids.
+5. Documents are scored where they are: workers memory-map the files, look
+   the distinct words, pairs and triples of a batch up by binary search, one
+   file after the other, whose pages are given back after it, and add log10
+   probabilities up.
+
+Files lie in the shared folder under names that follow from the shard, written
+whole (a repeated task writes the same file again), so no list of files passes
+through the driver: it gets sums only, the word files' sizes and the hot words.
+The number of shards follows the token count, so a task holds a bounded part of
+the corpus at any size. Counts have 64 bits. `D(c)`, the discounts, come from
+the counts of counts at each order.
 
     p(w | u v) = max(c(uvw) - D''(c(uvw)), 0) / c(uv.) + gamma(u v) p(w | v)
+    p(w | v)   = max(n(.vw) - D(n(.vw)), 0) / n(.v.) + gamma(v) p(w)
+    p(w)       = max(n(.w) - D'(n(.w)), 0) / n(..) + gamma' / (V + 1)
 
-A text's first word has the start mark alone as its context. Triples are told
-apart by a 64-bit hash of their ids.
+n(.vw) are the distinct words before a pair; after the start mark, where nothing
+comes before, and at order 2 it is the pair's plain count. A text's first word
+has the start mark alone as its context. Ids are compared themselves, not
+hashes of them; the 64-bit word hash alone stands for a word's text.
 
 Tokens are the words of the A-Z lower-cased text, then one end; the first
 word's context is a start mark that is never predicted. A word or context not
@@ -37,22 +41,24 @@ seen in training has count 0 and falls back to p(w) or the uniform share.
 Edge cases: a null or empty text is the end alone; a null doc_id counts as
 held out; repeated rows count each time; with no training rows every token has
 probability 1 / (V + 1) = 1; an empty table gives an empty result; other
-columns are ignored.
+columns are ignored. More than 2**32 - 2 distinct words are refused.
 """
 
 from __future__ import annotations
 
+import mmap
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import map_file, prepare, shared_folder, stored, write_file
-from .text import LOWER, SPACED, U64, combine, find_words, hash_words, row_chunks, signed, text_buffer
+from .text import LOWER, SPACED, U64, combine, find_words, hash_words, mix, row_chunks, signed, text_buffer
 
-TOKENS_PER_SHARD = 6_000_000
-TRIPLES_PER_SHARD = 500_000
-FLUSH_PAIRS = 2_000_000
+TOKENS_PER_SHARD = 1_000_000
+ROWS_PER_FILE = 1_000_000
+FLUSH_TOKENS = 1_000_000
 _END = np.int64(-0x61C8864680B583EB)  # the end token, beside the word hashes
 
 
@@ -74,11 +80,59 @@ def _count_words(batches):
             yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(c.astype(np.int64))], names=["w", "c"])
 
 
-_FILES = "part int, uri string, n long, c1 long, c2 long, c3 long, c4 long"
+_WORD_FILES = "part int, name string, n long, first long, last long"
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
+
+
+def _save(folder: str, name: str, *arrays: np.ndarray) -> str:
+    """Arrays in one file: their number, then kinds and lengths, then the data, each on 8 bytes."""
+
+    def write(out):
+        out.write(np.array([len(arrays)], "<i8").tobytes())
+        for x in arrays:
+            out.write(x.dtype.str[1:].ljust(8).encode() + np.array([x.size], "<i8").tobytes())
+        for x in arrays:
+            raw = np.ascontiguousarray(x).tobytes()
+            out.write(raw + bytes(-len(raw) % 8))
+
+    return write_file(folder, write, name)
+
 
+_MAPPED: dict[str, np.ndarray | None] = {}
 
-def _file_row(part: int, uri: str, n: int, counts: np.ndarray) -> dict:
-    return {"part": part, "uri": uri, "n": n} | {f"c{k}": int((counts == k).sum()) for k in (1, 2, 3, 4)}
+
+class Mapped:
+    """A file's arrays for the time of a `with`; its pages are given back after it."""
+
+    def __init__(self, folder: str, name: str):
+        self.uri = f"{folder}/{name}"
+
+    def __enter__(self) -> list[np.ndarray] | None:
+        if self.uri not in _MAPPED:
+            try:
+                _MAPPED[self.uri] = map_file(self.uri)
+            except FileNotFoundError:  # a shard without rows
+                _MAPPED[self.uri] = None
+        raw = self.raw = _MAPPED[self.uri]
+        if raw is None:
+            return None
+        n = int(raw[:8].view("<i8")[0])
+        out, at = [], 8 + 16 * n
+        for k in range(n):
+            head = raw[8 + 16 * k : 24 + 16 * k].tobytes()
+            kind, size = np.dtype("<" + head[:8].decode().strip()), int.from_bytes(head[8:], "little")
+            out.append(raw[at : at + size * kind.itemsize].view(kind))
+            at += -(-size * kind.itemsize // 8) * 8
+        return out
+
+    def __exit__(self, *_) -> None:
+        whole = getattr(self.raw, "_mmap", None)
+        if whole is not None:
+            whole.madvise(mmap.MADV_DONTNEED)
 
 
 def _write_words(folder: str):
@@ -92,37 +146,20 @@ def _write_words(folder: str):
         if not w or not sum(map(len, w)):
             return
         w, c = np.concatenate(w), np.concatenate(c)
-
-        def write(out):
-            out.write(w.tobytes())
-            out.write(c.tobytes())
-
+        part = TaskContext.get().partitionId()
+        name = _save(folder, f"words-{part}", w, c)
         yield pa.RecordBatch.from_pylist(
-            [_file_row(TaskContext.get().partitionId(), write_file(folder, write), len(w), c)], schema=_arrow(_FILES)
+            [{"part": part, "name": name, "n": len(w), "first": int(w[0]), "last": int(w[-1])}], schema=_arrow(_WORD_FILES)
         )
 
     return run
 
 
-def _arrow(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
-
-
-_MAPPED: dict[str, np.ndarray] = {}
-
-
-def _mapped(uri: str) -> np.ndarray:
-    if uri not in _MAPPED:
-        _MAPPED[uri] = map_file(uri)
-    return _MAPPED[uri]
-
-
 class Vocabulary:
     """Sorted word hashes in memory-mapped files; a word's id is its rank."""
 
-    def __init__(self, files: list[dict]):
-        self.files = files
+    def __init__(self, folder: str, files: list[dict]):
+        self.folder, self.files = folder, files
         self.base = np.concatenate([[0], np.cumsum([f["n"] for f in files])]).astype(np.int64)
 
     def __len__(self) -> int:
@@ -132,132 +169,35 @@ class Vocabulary:
         """Ids (-1: unknown) and training counts of ascending distinct hashes."""
         ids, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
         for f, base in zip(self.files, self.base.tolist(), strict=False):
-            raw = _mapped(f["uri"])
-            known, c = raw[: 8 * f["n"]].view(np.int64), raw[8 * f["n"] :].view(np.int64)
-            a, b = np.searchsorted(words, known[0]), np.searchsorted(words, known[-1], side="right")
-            at = np.searchsorted(known, words[a:b])
-            hit = known[at] == words[a:b]
-            ids[a:b][hit], counts[a:b][hit] = at[hit] + base, c[at[hit]]
+            a, b = np.searchsorted(words, f["first"]), np.searchsorted(words, f["last"], side="right")
+            if a == b:
+                continue
+            with Mapped(self.folder, f["name"]) as (known, c):
+                at = np.searchsorted(known, words[a:b])
+                hit = known[at] == words[a:b]
+                ids[a:b][hit], counts[a:b][hit] = at[hit] + base, c[at[hit]]
         return ids, counts
 
 
 class Sharding:
-    """Which shard counts a pair: by range of the context's id, hot contexts by both words."""
-
-    def __init__(self, size: int, shards: int, hot: np.ndarray):
-        self.size, self.shards, self.hot = size + 1, shards, hot
-
-    def of(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-        out = v * self.shards // self.size
-        if len(self.hot):
-            spread = np.isin(v, self.hot)
-            out[spread] = (w[spread] * 0x9E3779B1 + v[spread]) % self.shards
-        return out
-
-
-def _pairs(tokens: np.ndarray, ends: np.ndarray, ids: np.ndarray, start: int) -> np.ndarray:
-    """(context id << 32 | word id) of each token; -1 where one is unknown."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[0] = start
-    before[ends[:-1]] = start
-    return np.where((before < 0) | (ids < 0), -1, before << 32 | ids)
-
-
-def _count_pairs(vocab, sharding):
-    def run(batches):
-        words, deal = vocab.value, sharding.value
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            shard = deal.of(keys >> 32, keys & 0xFFFFFFFF)
-            order = np.argsort(shard, kind="stable")
-            keys, counts, shard = keys[order], counts[order], shard[order]
-            cut = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
-            rows = [(int(shard[a]), _pack(keys[a:b], counts[a:b])) for a, b in zip(cut, cut[1:], strict=False)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "pairs"]
-            )
-
-        for batch in batches:
-            for *_, tokens, ends in _tokens(batch):
-                distinct, back = np.unique(tokens, return_inverse=True)
-                ids = words.find(distinct)[0][back]
-                held.append(_pairs(tokens, ends, ids, len(words)))
-                size += len(tokens)
-                if size >= FLUSH_PAIRS:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
-
-    return run
+    """Which shard counts a triple: by its middle word, hot ones by the whole triple."""
 
+    def __init__(self, shards: int, hot: np.ndarray):
+        self.shards, self.hot = shards, hot
 
-def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as distinct contexts with run lengths, words and counts."""
-    v = keys >> 32
-    at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-    runs = np.diff(np.r_[at, len(v)])
-    head = np.array([len(at), len(keys)], dtype="<i8")
-    parts = [head, v[at].astype("<u4"), runs.astype("<u4"), (keys & 0xFFFFFFFF).astype("<u4"), counts.astype("<u4")]
-    return b"".join(p.tobytes() for p in parts)
-
-
-def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n_v, n = np.frombuffer(raw[:16], "<i8").tolist()
-    x = np.frombuffer(raw, "<u4", offset=16).astype(np.int64)
-    return np.repeat(x[:n_v], x[n_v : 2 * n_v]) << 32 | x[2 * n_v : 2 * n_v + n], x[2 * n_v + n :]
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[at], np.add.reduceat(counts, at)
-
-
-def _context_stats(v: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct contexts and, in columns, their tokens and types of count 1, 2, 3 or more."""
-    at = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-    each = np.stack([counts, counts == 1, counts == 2, counts >= 3], axis=1).astype(np.int64)
-    return v[at], np.add.reduceat(each, at, axis=0)
+    def is_hot(self, v: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hot, v), len(self.hot) - 1)
+        return self.hot[at] == v
 
-
-_MERGED = "kind string, part int, uri string, n long, c1 long, c2 long, c3 long, c4 long, words binary"
+    def of(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        out = _part(mix(v.astype(U64)), self.shards)
+        hot = self.is_hot(v)
+        out[hot] = _part(combine(*(x[hot].astype(U64) for x in (v, u, w))), self.shards)
+        return out
 
 
-def _merge_pairs(folder: str, hot, parts: int, size: int):
-    def run(key, table):
-        both = [_unpack(x) for x in table.column("pairs").to_pylist()]
-        keys, counts = _summed(np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both]))
-        v, w = keys >> 32, keys & 0xFFFFFFFF
-        ctx, stats = _context_stats(v, counts)
-        shared = np.isin(ctx, hot.value)
-        own, own_stats = ctx[~shared], stats[~shared]
-
-        def write(out):
-            for x in (np.array([len(keys), len(own)]), keys, own, own_stats, counts.astype("<u4")):
-                out.write(np.ascontiguousarray(x).tobytes())
-
-        shard = key[0].as_py()
-        rows = [{"kind": "pairs", "words": None} | _file_row(shard, write_file(folder, write), len(keys), counts)]
-        rows += [
-            {"kind": "hot", "part": None, "uri": None, "n": int(c), "words": None} | {f"c{k + 1}": int(x) for k, x in enumerate(s)}
-            for c, s in zip(ctx[shared], stats[shared], strict=True)
-        ]
-        # how many distinct contexts each word has here, dealt by ranges of ids
-        word, n = np.unique(w, return_counts=True)
-        part = word * parts // size
-        cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-        none = {"kind": "words", "uri": None, "n": 0, "c1": 0, "c2": 0, "c3": 0, "c4": 0}
-        for a, b in zip(cut, cut[1:], strict=False):
-            rows.append(none | {"part": int(part[a]), "words": _pack(word[a:b], n[a:b])})
-        return pa.Table.from_pylist(rows, schema=_arrow(_MERGED))
-
-    return run
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> U64(32)) % U64(parts)).astype(np.int64)
 
 
 def _previous(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
@@ -268,51 +208,71 @@ def _previous(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def _triple_keys(context: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return combine(context.view(U64), w.astype(U64))
+def _high(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return v.astype(U64) << U64(32) | w.astype(U64)
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """The first row of each run of equal keys."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
 
 
-def _dealt(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> U64(32)) % U64(shards)).astype(np.int64)
+def _sums(counts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(counts, at) if len(at) else counts[:0]
 
 
-def _summed_triples(context: np.ndarray, w: np.ndarray, counts: np.ndarray):
+def _summed(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray):
+    """Triples in order of (v, u, w), each once."""
+    context = _high(v, u)
     order = np.lexsort((w, context))
-    context, w, counts = context[order], w[order], counts[order]
-    at = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (w[1:] != w[:-1])])
-    return context[at], w[at], np.add.reduceat(counts, at)
+    v, u, w, n = v[order], u[order], w[order], n[order]
+    at = _starts(v, u, w)
+    return v[at], u[at], w[at], _sums(n, at)
 
 
-def _joined(raw: list[bytes], *kinds: str) -> list[np.ndarray]:
-    """Columns of packed parts: a row count, then each column."""
-    cols: list[list[np.ndarray]] = [[] for _ in kinds]
-    for x in raw:
-        n, at = int.from_bytes(x[:8], "little"), 8
-        for col, kind in zip(cols, kinds, strict=True):
-            col.append(np.frombuffer(x, kind, n, at))
-            at += n * np.dtype(kind).itemsize
-    return [np.concatenate(c) for c in cols]
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of 64-bit numbers by significance: the high ones are mostly zero."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _split(part: np.ndarray, *columns: np.ndarray):
-    """(part, its rows packed) for each part."""
-    order = np.argsort(part, kind="stable")
-    part, columns = part[order], [c[order] for c in columns]
-    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
-    for a, b in zip(cut, cut[1:], strict=False):
-        yield int(part[a]), b"".join([int(b - a).to_bytes(8, "little"), *(c[a:b].tobytes() for c in columns)])
+def pack(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted triples as contexts with run lengths, words and counts of any size."""
+    at = _starts(v, u)
+    runs = np.diff(np.r_[at, len(v)])
+    middle = np.diff(v[at], prepend=0)
+    raw = b"".join(map(_planes, (middle, u[at], runs, w, n)))
+    return np.array([len(at), len(v)], "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
 
+def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    m, n = np.frombuffer(packed[:16], "<i8").tolist()
+    raw = np.frombuffer(pa.decompress(packed[16:], 8 * (3 * m + 2 * n), codec="zstd", asbytes=True), np.uint8)
+    out, at = [], 0
+    for size in (m, m, m, n, n):
+        out.append(np.ascontiguousarray(raw[at : at + 8 * size].reshape(8, size).T).view("<i8").ravel())
+        at += 8 * size
+    middle, u, runs, w, count = out
+    return np.repeat(np.cumsum(middle), runs), np.repeat(u, runs), w, count
 
-def _count_triples(vocab, shards: int):
+
+def _count_triples(vocab, sharding, order: int):
     def run(batches):
-        words = vocab.value
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        words, deal = vocab.value, sharding.value
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush():
-            context, w = (np.concatenate([h[k] for h in held]) for k in (0, 1))
-            context, w, n = _summed_triples(context, w, np.ones(len(w), np.int64))
-            rows = list(_split(_dealt(_triple_keys(context, w), shards), context, w.astype("<u4"), n.astype("<u4")))
+            v, u, w = (np.concatenate([h[k] for h in held]) for k in range(3))
+            v, u, w, n = _summed(v, u, w, np.ones(len(v), np.int64))
+            shard = deal.of(v, u, w)
+            by = np.argsort(shard, kind="stable")
+            shard, v, u, w, n = (x[by] for x in (shard, v, u, w, n))
+            at = _starts(shard)
+            rows = [(int(shard[a]), pack(v[a:b], u[a:b], w[a:b], n[a:b])) for a, b in zip(at, np.r_[at[1:], len(v)], strict=True)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "triples"]
             )
@@ -322,9 +282,9 @@ def _count_triples(vocab, shards: int):
                 distinct, back = np.unique(tokens, return_inverse=True)
                 ids = words.find(distinct)[0][back]
                 v = _previous(ids, ends, len(words))
-                held.append((_previous(v, ends, len(words)) << 32 | v, ids))
+                held.append((v, _previous(v, ends, len(words)) if order == 3 else np.zeros_like(v), ids))
                 size += len(tokens)
-                if size >= FLUSH_PAIRS:
+                if size >= FLUSH_TOKENS:
                     yield flush()
                     held, size = [], 0
         if size:
@@ -333,108 +293,121 @@ def _count_triples(vocab, shards: int):
     return run
 
 
-def _merge_triples(folder: str, sharding, shards: int, start: int):
+def _stats(counts: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Per run: tokens, and types of count 1, 2, 3 or more."""
+    return [_sums(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts >= 3)]
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as their largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max())) if len(counts) else np.uint8)
+
+
+_MERGED = "kind string, a long, b long, n long, n1 long, n2 long, n3 long"
+
+
+def _rows(kind: str, *columns) -> pa.RecordBatch:
+    fields = _arrow(_MERGED)
+    size = len(columns[0])
+    given = [pa.array([kind] * size, pa.string()), *(pa.array(np.asarray(c).astype(np.int64)) for c in columns)]
+    return pa.RecordBatch.from_arrays(given + [pa.nulls(size, pa.int64())] * (len(fields) - len(given)), schema=fields)
+
+
+def _counts_of_counts(kind: str, counts: np.ndarray) -> pa.RecordBatch:
+    return _rows(kind, *([x] for x in (0, 0, *((counts == k).sum() for k in (1, 2, 3, 4)))))
+
+
+def _merge(folder: str, sharding, order: int, start: int):
+    """One shard: its files of triples and pairs, and rows of what is partial here."""
+
     def run(key, table):
-        context, w, n = _summed_triples(*(x.astype(np.int64) for x in _joined(table.column("triples").to_pylist(), "<i8", "<u4", "<u4")))
+        deal, shard = sharding.value, key[0].as_py()
+        v, u, w, n = _summed(*map(np.concatenate, zip(*map(unpack, table.column("triples").to_pylist()), strict=True)))
         # a first word has no context of two words: its plain count is the pair's
-        inner = context != (start << 32 | start)
-        own, counts = context[inner], n[inner]
-        keys = _triple_keys(own, w[inner])
-        order = np.argsort(keys)
-
-        def write(out):
-            out.write(keys[order].tobytes())
-            out.write(counts[order].astype("<u4").tobytes())
-
-        shard, none = key[0].as_py(), {"uri": None, "n": 0, "c1": 0, "c2": 0, "c3": 0, "c4": 0}
-        rows = [{"kind": "triples", "words": None} | _file_row(shard, write_file(folder, write), len(keys), counts)]
-        if len(own):
-            ctx, stats = _context_stats(own, counts)
-            parts = _split(_dealt(combine(ctx.view(U64)), shards), ctx, stats[:, 0], *(stats[:, k].astype("<u4") for k in (1, 2, 3)))
-            rows += [none | {"kind": "contexts", "part": k, "words": raw} for k, raw in parts]
-        keys2, n2 = _summed((context & 0xFFFFFFFF) << 32 | w, np.where(inner, 1, n))
-        deal = sharding.value.of(keys2 >> 32, keys2 & 0xFFFFFFFF)
-        for k in np.unique(deal).tolist():
-            at = deal == k
-            rows.append(none | {"kind": "pairs", "part": k, "words": _pack(keys2[at], n2[at])})
-        return pa.Table.from_pylist(rows, schema=_arrow(_MERGED))
+        inner = (u != start) | (v != start) if order == 3 else np.zeros(len(v), dtype=bool)
+        out = []
+        if order == 3:
+            x, y, z, count = v[inner], u[inner], w[inner], n[inner]
+            at = _starts(x, y)
+            stats = _stats(count, at)
+            place = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(x)]))
+            _save(folder, f"triples-{shard}", _high(x[at], y[at]), *stats, _high(place, z), _narrow(count))
+            hot = deal.is_hot(x[at])
+            out.append(_rows("context", x[at][hot], y[at][hot], *(s[hot] for s in stats)))
+            out.append(_counts_of_counts("triples", count))
+        by = np.lexsort((w, v))
+        v, w, n = v[by], w[by], np.where(inner, 1, n)[by]
+        at = _starts(v, w)
+        v, w, n = v[at], w[at], _sums(n, at)
+        hot = deal.is_hot(v)
+        out.append(_rows("pair", v[hot], w[hot], n[hot]))
+        v, w, n = v[~hot], w[~hot], n[~hot]
+        at = _starts(v)
+        _save(folder, f"pairs-{shard}", v[at], *_stats(n, at), _high(v, w), _narrow(n))
+        out.append(_counts_of_counts("pairs", n))
+        word, before = np.unique(w, return_counts=True)
+        out.append(_rows("word", word, np.zeros(len(word)), before))
+        return pa.Table.from_batches(out)
 
     return run
 
 
-def _merge_contexts(folder: str):
+def _save_group(folder: str, name: str, make):
+    """A group of rows as one file; a row of its size comes back."""
+
     def run(key, table):
-        ctx, *stats = _joined(table.column("words").to_pylist(), "<i8", "<i8", "<u4", "<u4", "<u4")
-        order = np.argsort(ctx, kind="stable")
-        ctx = ctx[order]
-        at = np.flatnonzero(np.r_[True, ctx[1:] != ctx[:-1]])
+        part = key[0].as_py()
+        _save(folder, f"{name}-{part}", *make(part, *(table.column(c).to_numpy() for c in table.column_names if c != "part")))
+        return pa.table({"rows": pa.array([table.num_rows], pa.int64())})
 
-        def write(out):
-            out.write(ctx[at].tobytes())
-            for x, kind in zip(stats, ("<i8", "<u4", "<u4", "<u4"), strict=True):
-                out.write(np.add.reduceat(x[order].astype(np.int64), at).astype(kind).tobytes())
+    return run
 
-        row = _file_row(key[0].as_py(), write_file(folder, write), len(at), np.zeros(0))
-        return pa.Table.from_pylist([row], schema=_arrow(_FILES))
 
-    return run
+def _sorted_contexts(part, a, b, *stats):
+    key = _high(a, b)
+    by = np.argsort(key)
+    return key[by], *(s[by] for s in stats)
 
 
-class Triples:
-    """Counts of triples and statistics of their contexts, in files by hash."""
-
-    def __init__(self, triples: list[dict], contexts: list[dict], shards: int):
-        self.triples, self.contexts = ({f["part"]: (f["uri"], f["n"]) for f in files} for files in (triples, contexts))
-        self.shards, self.d = shards, np.array([0.0, *_discounts(triples)])
-
-    def _groups(self, hashes: np.ndarray, files: dict):
-        part = _dealt(hashes, self.shards)
-        for k in np.unique(part).tolist():
-            if k in files and files[k][1]:
-                yield np.flatnonzero(part == k), _mapped(files[k][0]), files[k][1]
-
-    def given(self, context: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """p(w | u v) of distinct (context, word), given p(w | v); -1 is unknown."""
-        stats, count = np.zeros((len(w), 4), np.int64), np.zeros(len(w), np.int64)
-        known = np.flatnonzero(context >= 0)
-        for at, raw, n in self._groups(combine(context[known].view(U64)), self.contexts):
-            at, keys = known[at], raw[: 8 * n].view(np.int64)
-            p = np.minimum(np.searchsorted(keys, context[at]), n - 1)
-            hit, p = at[keys[p] == context[at]], p[keys[p] == context[at]]
-            stats[hit, 0] = raw[8 * n : 16 * n].view(np.int64)[p]
-            for k in (1, 2, 3):
-                stats[hit, k] = raw[(12 + 4 * k) * n : (16 + 4 * k) * n].view("<u4")[p]
-        known = np.flatnonzero((context >= 0) & (w >= 0))
-        wanted = _triple_keys(context[known], w[known])
-        for at, raw, n in self._groups(wanted, self.triples):
-            keys = raw[: 8 * n].view(U64)
-            p = np.minimum(np.searchsorted(keys, wanted[at]), n - 1)
-            hit = keys[p] == wanted[at]
-            count[known[at[hit]]] = raw[8 * n :].view("<u4")[p[hit]]
-        total = np.maximum(stats[:, 0], 1)
-        gamma = np.where(stats[:, 0] > 0, (stats[:, 1:] * self.d[1:]).sum(axis=1) / total, 1.0)
-        return np.maximum(count - self.d[np.minimum(count, 3)], 0) / total + gamma * low
+def _sorted_pairs(part, a, b, n):
+    key = _high(a, b)
+    by = np.argsort(key)
+    return key[by], _narrow(n[by])
 
 
-def _merge_words(folder: str, parts: int, size: int):
-    def run(key, table):
-        part = key[0].as_py()
-        first, last = -(-part * size // parts), -(-(part + 1) * size // parts)
-        total = np.zeros(last - first, dtype=np.int64)
-        for raw in table.column("words").to_pylist():
-            n_v, n = np.frombuffer(raw[:16], "<i8").tolist()
-            x = np.frombuffer(raw, "<u4", offset=16).astype(np.int64)
-            total[x[2 * n_v : 2 * n_v + n] - first] += x[2 * n_v + n :]
-        uri = write_file(folder, lambda out: out.write(total.tobytes()))
-        row = _file_row(part, uri, int(total.sum()), total)
-        return pa.Table.from_pylist([row], schema=_arrow(_FILES))
+def _sorted_stats(part, a, *stats):
+    by = np.argsort(a)
+    return a[by], *(s[by] for s in stats)
+
+
+def _dense(size: int):
+    def make(part, a, n):
+        first = part * size
+        total = np.zeros(size, dtype=np.int64)
+        total[a - first] = n
+        return (total,)
+
+    return make
 
-    return run
 
+def _in_files(rows: DataFrame, part, folder: str, name: str, make) -> None:
+    columns = rows.columns
+    parts = rows.select(part.alias("part"), *columns).groupBy("part").applyInArrow(_save_group(folder, name, make), "rows long")
+    parts.agg(F.sum("rows")).first()
 
-def _discounts(files: list[dict]) -> list[float]:
-    """D1, D2, D3+ of modified Kneser-Ney; half a count where the counts of counts give none."""
-    n = [sum(f[f"c{k}"] for f in files) for k in (1, 2, 3, 4)]
+
+def _hash_part(parts: int):
+    """The file of a key of two ids, in Spark as in `_hash_part_of`."""
+    return F.pmod(F.col("a") * 31 + F.col("b"), F.lit(parts)).cast("int")
+
+
+def _hash_part_of(a: np.ndarray, b: np.ndarray, parts: int) -> np.ndarray:
+    return (a * 31 + b) % parts
+
+
+def _discounts(n: list[int]) -> list[float]:
+    """D1, D2, D3+ of modified Kneser-Ney from the counts of counts 1 to 4;
+    half a count where they give none."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] + 2 * n[1] else 0.0
     out = []
     for k in (1, 2, 3):
@@ -444,69 +417,100 @@ def _discounts(files: list[dict]) -> list[float]:
 
 
 class Model:
-    """The scorer's view: manifests on the driver's side, arrays mapped on first use."""
-
-    def __init__(self, words: list[dict], pairs: list[dict], follow: list[dict], hot: dict, sharding, tokens: int, triples: Triples | None = None):
-        self.triples = triples
-        self.words, self.sharding, self.tokens = Vocabulary(words), sharding, tokens
-        self.pairs = {f["part"]: f["uri"] for f in pairs}
-        self.follow = {f["part"]: f["uri"] for f in follow}
-        self.hot_ids = np.array(sorted(hot), dtype=np.int64)
-        self.hot_stats = np.array([hot[k] for k in sorted(hot)], dtype=np.int64).reshape(-1, 4)
-        self.d2, self.d1 = np.array([0.0, *_discounts(pairs)]), np.array([0.0, *_discounts(follow)])
-        self.types = sum(f["n"] for f in follow)
-        self.ones, self.twos = (sum(f[c] for f in follow) for c in ("c1", "c2"))
-
-    def _shard(self, k: int):
-        raw = _mapped(self.pairs[k])
-        n, m = raw[:16].view(np.int64).tolist()
-        x = raw[16 : 16 + 8 * (n + 5 * m)].view(np.int64)
-        return x[:n], x[n : n + m], x[n + m :].reshape(m, 4), raw[16 + 8 * (n + 5 * m) :].view("<u4")
+    """The scorer's view: sums and file names; arrays are mapped when needed."""
+
+    def __init__(self, folder: str, words: Vocabulary, sharding: Sharding, order: int, tokens: int, sums: dict):
+        self.folder, self.words, self.sharding, self.order, self.tokens = folder, words, sharding, order, tokens
+        self.sums = sums
+        self.d = {k: np.array([0.0, *_discounts(sums[k])]) for k in ("words", "pairs", "triples")}
 
     def unigram(self, ids: np.ndarray) -> np.ndarray:
         """p(w) of ids; -1 is an unknown word."""
-        size, parts = len(self.words), self.sharding.shards
+        size, types = len(self.words), self.sums["types"]
+        if not types:
+            return np.full(len(ids), 1 / (size + 1))
         cont = np.zeros(len(ids), dtype=np.int64)
-        part = np.where(ids >= 0, ids * parts // max(size, 1), -1)
+        rows = self.sums["rows_per_file"]
+        part = np.where(ids >= 0, ids // rows, -1)
         for k in np.unique(part[part >= 0]).tolist():
-            if k in self.follow:
-                at = part == k
-                cont[at] = _mapped(self.follow[k]).view(np.int64)[ids[at] - -(-k * size // parts)]
-        if not self.types:
-            return np.full(len(ids), 1 / (size + 1))
+            with Mapped(self.folder, f"follow-{k}") as found:
+                if found:
+                    cont[part == k] = found[0][ids[part == k] - k * rows]
+        ones, twos, d = self.sums["words"][0], self.sums["words"][1], self.d["words"]
         # every training word follows a word or the start, so all `size` words have a count
-        gamma = (self.d1[1] * self.ones + self.d1[2] * self.twos + self.d1[3] * (size - self.ones - self.twos)) / self.types
-        return np.maximum(cont - self.d1[np.minimum(cont, 3)], 0) / self.types + gamma / (size + 1)
+        gamma = (d[1] * ones + d[2] * twos + d[3] * (size - ones - twos)) / types
+        return np.maximum(cont - d[np.minimum(cont, 3)], 0) / types + gamma / (size + 1)
+
+    def _by_file(self, rows: np.ndarray, part: np.ndarray, name: str):
+        """(rows, arrays) of each file that some of the rows are in."""
+        by = np.argsort(part, kind="stable")
+        rows, part = rows[by], part[by]
+        at = _starts(part) if len(part) else []
+        for a, b in zip(at, np.r_[at[1:], len(part)].astype(int) if len(part) else [], strict=True):
+            with Mapped(self.folder, f"{name}-{part[a]}") as found:
+                if found and len(found[0]):
+                    yield rows[a:b], found
+
+    @staticmethod
+    def _at(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the wanted are there, and the places of those."""
+        p = np.minimum(np.searchsorted(known, wanted), max(len(known) - 1, 0))
+        hit = known[p] == wanted if len(known) else np.zeros(len(wanted), dtype=bool)
+        return hit, p[hit]
+
+    def _interpolated(self, d: np.ndarray, stats: np.ndarray, count: np.ndarray, low: np.ndarray) -> np.ndarray:
+        total = np.maximum(stats[:, 0], 1)
+        gamma = np.where(stats[:, 0] > 0, (stats[:, 1:] * d[1:]).sum(axis=1) / total, 1.0)
+        return np.maximum(count - d[np.minimum(count, 3)], 0) / total + gamma * low
 
     def pair(self, v: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """p(w | v) for ascending distinct pairs of ids, given p(w)."""
-        out = low.copy()
-        shard = np.where(v >= 0, self.sharding.of(v, w), -1)
-        known = np.flatnonzero(v >= 0)
-        order = known[np.argsort(shard[known], kind="stable")]
-        cut = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True]) if len(order) else [0]
-        for a, b in zip(cut, cut[1:], strict=False):
-            at = order[a:b]
-            stats = np.zeros((len(at), 4), dtype=np.int64)
-            count = np.zeros(len(at), dtype=np.int64)
-            if (k := int(shard[at[0]])) in self.pairs:
-                keys, ctx, ctx_stats, counts = self._shard(k)
-                key = v[at] << 32 | w[at]
-                p = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = (keys[p] == key) & (w[at] >= 0)
-                count[hit] = counts[p[hit]]
-                if len(ctx):
-                    p = np.minimum(np.searchsorted(ctx, v[at]), len(ctx) - 1)
-                    hit = ctx[p] == v[at]
-                    stats[hit] = ctx_stats[p[hit]]
-            if len(self.hot_ids):
-                p = np.minimum(np.searchsorted(self.hot_ids, v[at]), len(self.hot_ids) - 1)
-                hit = self.hot_ids[p] == v[at]
-                stats[hit] = self.hot_stats[p[hit]]
-            total = np.maximum(stats[:, 0], 1)
-            gamma = np.where(stats[:, 0] > 0, (stats[:, 1:] * self.d2[1:]).sum(axis=1) / total, 1.0)
-            out[at] = np.maximum(count - self.d2[np.minimum(count, 3)], 0) / total + gamma * low[at]
-        return out
+        """p(w | v) of pairs of ids, given p(w); -1 is unknown."""
+        stats, count = np.zeros((len(v), 4), np.int64), np.zeros(len(v), np.int64)
+        hot = self.sharding.is_hot(v)
+        cold = np.flatnonzero(~hot & (v >= 0))
+        for rows, (ctx, *own, keys, n) in self._by_file(cold, _part(mix(v[cold].astype(U64)), self.sharding.shards), "pairs"):
+            hit, p = self._at(ctx, v[rows])
+            for k, s in enumerate(own):
+                stats[rows[hit], k] = s[p]
+            hit, p = self._at(keys, _high(v[rows], np.maximum(w[rows], 0)))
+            hit, p = hit & (w[rows] >= 0), p[(w[rows] >= 0)[hit]]
+            count[rows[hit]] = n[p]
+        warm = np.flatnonzero(hot)
+        with Mapped(self.folder, "hot-0") as found:
+            if found and len(warm):
+                hit, p = self._at(found[0], v[warm])
+                for k, s in enumerate(found[1:]):
+                    stats[warm[hit], k] = s[p]
+        warm = warm[w[warm] >= 0]
+        for rows, (keys, n) in self._by_file(warm, _hash_part_of(v[warm], w[warm], self.sums["pair_files"]), "hotpairs"):
+            hit, p = self._at(keys, _high(v[rows], w[rows]))
+            count[rows[hit]] = n[p]
+        return self._interpolated(self.d["pairs"], stats, count, low)
+
+    def triple(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """p(w | u v) of triples of ids, given p(w | v); -1 is unknown."""
+        start = len(self.words)
+        stats, count = np.zeros((len(v), 4), np.int64), np.zeros(len(v), np.int64)
+        known = (u >= 0) & (v >= 0) & ((u != start) | (v != start))
+        hot = self.sharding.is_hot(v) & known
+        # of an unknown word the context's statistics alone count; a hot context has them elsewhere
+        rows = np.flatnonzero(known & (~hot | (w >= 0)))
+        z = np.maximum(w, 0)
+        for rows, (ctx, *own, keys, n) in self._by_file(rows, self.sharding.of(v[rows], u[rows], z[rows]), "triples"):
+            hit, p = self._at(ctx, _high(v[rows], u[rows]))
+            for k, s in enumerate(own):
+                stats[rows[hit], k] = s[p]
+            rows = rows[hit]
+            hit, q = self._at(keys, _high(p, z[rows]))
+            hit, q = hit & (w[rows] >= 0), q[(w[rows] >= 0)[hit]]
+            count[rows[hit]] = n[q]
+        warm = np.flatnonzero(hot)
+        stats[warm] = 0
+        for rows, (ctx, *own) in self._by_file(warm, _hash_part_of(v[warm], u[warm], self.sums["context_files"]), "contexts"):
+            hit, p = self._at(ctx, _high(v[rows], u[rows]))
+            for k, s in enumerate(own):
+                stats[rows[hit], k] = s[p]
+        return self._interpolated(self.d["triples"], stats, count, low)
 
     def score(self, tokens: np.ndarray, ends: np.ndarray):
         """Per text: n_tokens, n_known, base_score, score."""
@@ -515,22 +519,19 @@ class Model:
         ids, counts = self.words.find(distinct)
         base = np.log10((counts + 0.1) / (self.tokens + 0.1 * (size + 1)))
         low = self.unigram(ids)
-        before = np.empty(len(tokens), np.int64)
-        before[1:] = ids[back][:-1]
-        starts = np.r_[0, ends[:-1]]
-        before[starts] = size
+        before = _previous(ids[back], ends, size)
         # one lookup per distinct (context, word) of the batch
         code = (before + 1) * len(distinct) + back
         some, again = np.unique(code, return_inverse=True)
         v, d = some // len(distinct) - 1, some % len(distinct)
         p = self.pair(v, ids[d], low[d])
-        if self.triples:
+        if self.order == 3:
             code = (_previous(before, ends, size) + 1) * len(some) + again
             some3, again3 = np.unique(code, return_inverse=True)
             u, pair = some3 // len(some) - 1, some3 % len(some)
-            context = np.where((u >= 0) & (v[pair] >= 0), u << 32 | v[pair], -1)
-            p, again = self.triples.given(context, ids[d][pair], p[pair]), again3
+            p, again = self.triple(u, v[pair], ids[d][pair], p[pair]), again3
         p = np.log10(p)
+        starts = np.r_[0, ends[:-1]]
         return (
             np.diff(np.r_[0, ends]),
             np.add.reduceat((counts[back] > 0).astype(np.int64), starts),
@@ -560,15 +561,9 @@ def _score(model):
     return run
 
 
-def _fit_triples(texts: DataFrame, folder: str, vocab, sharding, shards: int) -> tuple[DataFrame, Triples]:
-    """The pairs with their continuation counts, dealt for `_merge_pairs`, and the model's files of triples."""
-    dealt = texts.mapInArrow(_count_triples(vocab, shards), "shard int, triples binary")
-    start = len(vocab.value)
-    merged = stored(dealt.groupBy("shard").applyInArrow(_merge_triples(folder, sharding, shards, start), _MERGED), "lm_triples")
-    contexts = merged.where("kind = 'contexts'").select("part", "words").groupBy("part").applyInArrow(_merge_contexts(folder), _FILES)
-    files = [[r.asDict() for r in f.collect()] for f in (merged.where("kind = 'triples'").drop("words"), stored(contexts, "lm_contexts"))]
-    pairs = merged.where("kind = 'pairs'").select(F.col("part").alias("shard"), F.col("words").alias("pairs"))
-    return pairs, Triples(*files, shards)
+def _of_counts(rows: DataFrame, n: str = "n") -> list[int]:
+    """How many counts are 1, 2, 3 and 4."""
+    return list(rows.agg(*[F.count_if(F.col(n) == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first())
 
 
 def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD, order: int = 2) -> Model:
@@ -582,32 +577,44 @@ def fit(texts: DataFrame, tokens_per_shard: int = TOKENS_PER_SHARD, order: int =
     counts = stored(texts.mapInArrow(_count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "lm_words")
     tokens = counts.agg(F.sum("c")).first()[0] or 0
     ranged = counts.repartitionByRange("w").sortWithinPartitions("w")
-    files = [r.asDict() for r in stored(ranged.mapInArrow(_write_words(folder), _FILES), "lm_word_files").orderBy("part").collect()]
-    vocab = Vocabulary(files)
+    files = [r.asDict() for r in stored(ranged.mapInArrow(_write_words(folder), _WORD_FILES), "lm_word_files").orderBy("part").collect()]
+    vocab = Vocabulary(folder, files)
+    if len(vocab) >= (1 << 32) - 1:
+        raise ValueError(f"{len(vocab)} distinct words; ids have 32 bits")
     shards = int(tokens // tokens_per_shard) + 1
     # a shard's share: fewer than 4 * shards words can exceed a quarter of it
     heavy = counts.where(F.col("c") > max(1, tokens // (4 * shards))).select("w")
     words = np.sort(np.array([r.w for r in heavy.collect()], dtype=np.int64))
     hot = np.sort(np.r_[vocab.find(words)[0] if len(words) else np.zeros(0, np.int64), len(vocab)])
-    sharding = Sharding(len(vocab), shards, hot)
-    size = max(len(vocab), 1)
-    all_words, deal, triples = sc.broadcast(vocab), sc.broadcast(sharding), None
-    if order == 3:
-        fine = int(tokens // min(tokens_per_shard, TRIPLES_PER_SHARD)) + 1
-        dealt, triples = _fit_triples(texts, folder, all_words, deal, fine)
-    else:
-        dealt = texts.mapInArrow(_count_pairs(all_words, deal), "shard int, pairs binary")
-    merged = stored(
-        dealt.groupBy("shard").applyInArrow(_merge_pairs(folder, sc.broadcast(hot), shards, size), _MERGED), "lm_pairs"
-    )
-    pairs = [r.asDict() for r in merged.where("kind = 'pairs'").drop("words").collect()]
-    hot_stats = merged.where("kind = 'hot'").groupBy("n").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in (1, 2, 3, 4)])
-    hot_rows = {r["n"]: [r[f"c{k}"] for k in (1, 2, 3, 4)] for r in hot_stats.collect()}
-    follow = stored(
-        merged.where("kind = 'words'").select("part", "words").groupBy("part").applyInArrow(_merge_words(folder, shards, size), _FILES),
-        "lm_follow",
+    sharding = sc.broadcast(Sharding(shards, hot))
+    dealt = texts.mapInArrow(_count_triples(sc.broadcast(vocab), sharding, order), "shard int, triples binary")
+    merged = stored(dealt.groupBy("shard").applyInArrow(_merge(folder, sharding, order, len(vocab)), _MERGED), "lm_merged")
+    stats = [F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3")]
+    plain = {r["kind"]: [r[c] or 0 for c in ("n", "n1", "n2", "n3")] for r in merged.where("kind in ('triples', 'pairs')").groupBy("kind").agg(*stats).collect()}
+
+    contexts = stored(merged.where("kind = 'context'").groupBy("a", "b").agg(*stats), "lm_contexts")
+    context_files = int(contexts.count() // ROWS_PER_FILE) + 1
+    _in_files(contexts, _hash_part(context_files), folder, "contexts", _sorted_contexts)
+    pairs = stored(merged.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("n")), "lm_pairs")
+    pair_files = int(pairs.count() // ROWS_PER_FILE) + 1
+    _in_files(pairs, _hash_part(pair_files), folder, "hotpairs", _sorted_pairs)
+    of_hot = pairs.groupBy("a").agg(
+        F.sum("n").alias("n"), *[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2)], F.count_if(F.col("n") >= 3).alias("n3")
     )
-    return Model(files, pairs, [r.asDict() for r in follow.collect()], hot_rows, sharding, int(tokens), triples)
+    _in_files(of_hot, F.lit(0), folder, "hot", _sorted_stats)
+    before = merged.where("kind = 'word'").select("a", "n").unionByName(pairs.groupBy(F.col("b").alias("a")).agg(F.count(F.lit(1)).alias("n")))
+    follow = stored(before.groupBy("a").agg(F.sum("n").alias("n")), "lm_follow")
+    _in_files(follow, F.expr(f"cast(a div {ROWS_PER_FILE} as int)"), folder, "follow", _dense(ROWS_PER_FILE))
+    sums = {
+        "types": follow.agg(F.sum("n")).first()[0] or 0,
+        "words": _of_counts(follow),
+        "pairs": [a + b for a, b in zip(plain.get("pairs", [0] * 4), _of_counts(pairs), strict=True)],
+        "triples": plain.get("triples", [0] * 4),
+        "context_files": context_files,
+        "pair_files": pair_files,
+        "rows_per_file": ROWS_PER_FILE,
+    }
+    return Model(folder, vocab, sharding.value, order, int(tokens), sums)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 10):

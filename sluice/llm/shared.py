@@ -37,24 +37,32 @@ def _local(uri: str) -> str | None:
     return unquote(parts.path) if parts.scheme in ("", "file") else None
 
 
-def write_file(uri: str, write) -> str:
+def write_file(uri: str, write, name: str | None = None) -> str:
     """Run `write(stream)` on a new file under `uri` (a folder) and return the
     file's uri. Each attempt of a task gets a name of its own; only names
-    returned by attempts that Spark commits are ever read."""
-    name = f"{uuid.uuid4().hex}.bin"
+    returned by attempts that Spark commits are ever read. With a `name` the
+    file appears whole under it and the name is returned; attempts that write
+    the same rows may replace each other's file."""
+    own = f"{uuid.uuid4().hex}.bin"
     path = _local(uri)
     if path is not None:
         os.makedirs(path, exist_ok=True)
-        with open(os.path.join(path, name), "wb") as out:
+        with open(os.path.join(path, own), "wb") as out:
             write(out)
+        if name:
+            os.replace(os.path.join(path, own), os.path.join(path, name))
+            return name
     else:
         from pyarrow import fs
 
         store, root = fs.FileSystem.from_uri(uri)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(posixpath.join(root, name)) as out:
+        with store.open_output_stream(posixpath.join(root, own)) as out:
             write(out)
-    return posixpath.join(uri, name)
+        if name:
+            store.move(posixpath.join(root, own), posixpath.join(root, name))
+            return name
+    return posixpath.join(uri, own)
 
 
 def map_file(uri: str) -> np.ndarray:

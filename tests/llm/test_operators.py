@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,8 +280,10 @@ def test_kneser_ney(docs, rows, empty):
 
 @pytest.mark.parametrize("shard", [6_000_000, 2000])
 def test_kneser_ney_order_3(docs, rows, empty, monkeypatch, shard):
-    monkeypatch.setattr(kneser_ney, "TRIPLES_PER_SHARD", shard)
-    monkeypatch.setattr(kneser_ney, "FLUSH_PAIRS", shard)
+    real = kneser_ney.fit
+    monkeypatch.setattr(kneser_ney, "fit", lambda t, order: real(t, tokens_per_shard=shard, order=order))
+    monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", shard)
+    monkeypatch.setattr(kneser_ney, "ROWS_PER_FILE", max(50, shard // 20))
     same(kneser_ney.lm_scores(docs, order=3).select("doc_id", "score"), brute.kneser_ney_3(rows), digits=9)
     assert kneser_ney.lm_scores(empty, order=3).count() == 0
 
@@ -289,19 +292,42 @@ def test_kneser_ney_many_shards(docs, rows, monkeypatch):
     """The same scores when counts are dealt over many shards and flushed often."""
     real = kneser_ney.fit
     monkeypatch.setattr(kneser_ney, "fit", lambda t: real(t, tokens_per_shard=2000))
-    monkeypatch.setattr(kneser_ney, "FLUSH_PAIRS", 5000)
+    monkeypatch.setattr(kneser_ney, "FLUSH_TOKENS", 5000)
     cols = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     same(kneser_ney.lm_scores(docs).select(cols), brute.kneser_ney(rows), digits=9)
 
 
-def test_kneser_ney_sums_to_one():
-    rows = [(1, "a b a c a b"), (2, "b c"), (3, "a a b d")]
-    score = {}
-    vocabulary = ["a", "b", "c", "d", "unseen"]
-    for w in vocabulary:
-        *_, s = brute.kneser_ney([*rows, (None, f"a {w}")])[-1]
-        score[w] = s
-    assert all(x < 0 for x in score.values())
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("shard", [5, 10_000])
+def test_kneser_ney_sums_to_one(spark, order, shard):
+    """Over all words and the unknown one, after every context: the fitted model's own probabilities."""
+    texts = spark.createDataFrame([("a b a c a b",), ("b c",), ("a a b d",), (None,)], "text string")
+    model = kneser_ney.fit(texts, tokens_per_shard=shard, order=order)
+    size = len(model.words)
+    assert size == 5
+    ids = np.arange(-1, size)
+    low = model.unigram(ids)
+    assert math.isclose(low.sum(), 1)
+    for v in range(-1, size + 1):
+        p = model.pair(np.full(size + 1, v), ids, low)
+        assert (p > 0).all() and math.isclose(p.sum(), 1), v
+        for u in range(-1, size + 1) if order == 3 else ():
+            q = model.triple(np.full(size + 1, u), np.full(size + 1, v), ids, p)
+            assert (q > 0).all() and math.isclose(q.sum(), 1), (u, v)
+
+
+def test_kneser_ney_counts_beyond_32_bits(tmp_path):
+    big = np.array([3, (1 << 32) + 5, 1 << 50])
+    v, u, w = np.array([1, 1, 7]), np.array([0, 0, (1 << 32) - 2]), np.array([2, 9, 4])
+    back = kneser_ney.unpack(kneser_ney.pack(v, u, w, big))
+    assert all((x == y).all() for x, y in zip(back, (v, u, w, big), strict=True))
+    *_, n = kneser_ney._summed(*(np.concatenate([x, y]) for x, y in zip(back, (v, u, w, big), strict=True)))
+    assert n.tolist() == [6, 2 * ((1 << 32) + 5), 1 << 51]
+    kneser_ney._save(str(tmp_path), "f", kneser_ney._narrow(n), kneser_ney._narrow(np.array([1, 200])), np.zeros(0, np.int64))
+    with kneser_ney.Mapped(str(tmp_path), "f") as (a, b, c):
+        assert a.tolist() == n.tolist() and b.tolist() == [1, 200] and b.itemsize == 1 and len(c) == 0
+    with kneser_ney.Mapped(str(tmp_path), "none") as none:
+        assert none is None
 
 
 def test_decontaminate(spark, docs, rows, empty):
