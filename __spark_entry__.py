@@ -22,7 +22,8 @@ from sluice.functions.digest import digest  # noqa: E402
 from sluice.operators.enrich import Retry, distinct_keys, enrich_by_key  # noqa: E402
 from sluice.operators.header import conform_header  # noqa: E402
 from sluice.operators.joins import SkewSalt, lookup_join  # noqa: E402
-from sluice.operators.validate import column_verdict, quality_report, validate  # noqa: E402
+from sluice.operators.keys import foreign_key, reject_duplicates, reject_orphans  # noqa: E402
+from sluice.operators.validate import annotate, column_verdict, quality_report, validate  # noqa: E402
 from sluice.plans import claims as C  # noqa: E402
 from sluice.plans.fixtures import (  # noqa: E402
     CLAIM_SOURCE_COLUMNS,
@@ -30,6 +31,7 @@ from sluice.plans.fixtures import (  # noqa: E402
     ClaimDigestService,
     no_wait,
     raw_claim,
+    raw_claim_by_order,
     raw_contract,
 )
 from sluice.plans.job import run_job  # noqa: E402
@@ -267,6 +269,41 @@ def q_conform_types(spark, sf):
     return validate(_claim(spark, sf), C.CLAIM_RULES).valid
 
 
+# ---------------------------------------------------------------- declared keys
+
+
+def q_key_uniqueness(spark, sf):
+    """Claims with repeated ids, one of them on a third of all rows."""
+    claims = raw_claim_by_order(_source(spark, sf, "lineitem", CLAIM_SOURCE_COLUMNS))
+    checked = reject_duplicates(annotate(claims, C.CLAIM_RULES), C.CLAIM_RULES, broadcast_keys=100, hot_rows=50)
+    return checked.select("CLAIM_ID", "CONTRACT_ID", "AMOUNT", "is_valid", "validation_error")
+
+
+def q_foreign_key_presence(spark, sf):
+    contracts = annotate(_contract(spark, sf), C.CONTRACT_RULES).where("is_valid")
+    fk = foreign_key(C.CLAIM_RULES, C.CONTRACT_RULES)
+    checked = reject_orphans(annotate(_claim(spark, sf), C.CLAIM_RULES), contracts, fk)
+    return checked.select("CLAIM_ID", "CONTRACT_SOURCE_SYSTEM", "CONTRACT_ID", "is_valid", "validation_error")
+
+
+def q_claims_job_keys(spark, sf):
+    """The job with its declared keys checked."""
+    out = shared_dir(spark, "claims_job_keys")
+    run_job(
+        spark,
+        {"contract": _contract(spark, sf), "claim": _claim(spark, sf)},
+        C.RULES,
+        lambda valid: C.claims_transform(valid, digest="md5", run_ts=RUN_TS),
+        output_base=out,
+        fmt="parquet",
+        batch_id=BATCH_ID,
+        stage="table",
+        unique=["contract", "claim"],
+        references={"claim": [foreign_key(C.CLAIM_RULES, C.CONTRACT_RULES)]},
+    )
+    return read_batches(spark, out, "TRANSACTIONS", "parquet")
+
+
 # ---------------------------------------------------------------- joins, keys, enrichment
 
 
@@ -375,6 +412,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report_drop": q_quality_report_drop,
     "unknown_verdict_drop": q_unknown_verdict_drop,
     "conform_types": q_conform_types,
+    "key_uniqueness": q_key_uniqueness,
+    "foreign_key_presence": q_foreign_key_presence,
+    "claims_job_keys": q_claims_job_keys,
     "claim_contract_left_join": q_claim_contract_left_join,
     "claim_contract_salted_join": q_claim_contract_salted_join,
     "lookup_default": q_lookup_default,
@@ -529,6 +569,14 @@ _BASE = _with(
 )
 
 
+_UNIQUE_BASE = _BASE
+for _table, _key in (("contract", "CONTRACT_ID"), ("claim", "CLAIM_ID")):
+    _UNIQUE_BASE = _UNIQUE_BASE.replace(
+        f"FROM {_table}_flag WHERE v_row)",
+        f"FROM {_table}_flag WHERE v_row QUALIFY count(*) OVER (PARTITION BY {_table}_flag.SOURCE_SYSTEM, {_table}_flag.{_key}) = 1)",
+    )
+
+
 def _md4_sql(source: str, column: str) -> str:
     """Distinct texts of at most 55 ASCII bytes with their MD4: one 64-byte block, a subquery for each of the 48 steps."""
     words = ", ".join(
@@ -653,6 +701,30 @@ SELECT {_CLAIM_COLS}, 'valid' AS split FROM claim_flag WHERE v_row
 UNION ALL
 SELECT {_CLAIM_COLS}, 'invalid' AS split FROM claim_flag WHERE NOT v_row""",
     "conform_types": f"{_BASE}\nSELECT * FROM claim_valid",
+    "key_uniqueness": f"""{_BASE},
+by_order AS (
+  SELECT * REPLACE (CASE WHEN CAST(CONTRACT_ID AS BIGINT) % 3 = 0 THEN 'CX_0'
+                    ELSE concat(substr(CLAIM_ID, 1, 2), '_', CONTRACT_ID) END AS CLAIM_ID)
+  FROM claim_named
+),
+{_checked_cte("by_order", "by_order", _CLAIM_SPECS)},
+counted AS (SELECT *, count(*) FILTER (WHERE v_row) OVER (PARTITION BY SOURCE_SYSTEM, CLAIM_ID) AS n FROM by_order_flag)
+SELECT CLAIM_ID, CONTRACT_ID, AMOUNT, v_row AND n = 1 AS is_valid,
+       CASE WHEN NOT v_row THEN {_message_sql(_CLAIM_SPECS)}
+            WHEN n > 1 THEN 'Duplicate key: SOURCE_SYSTEM, CLAIM_ID' END AS validation_error
+FROM counted""",
+    "foreign_key_presence": f"""{_BASE},
+found AS (
+  SELECT c.*, EXISTS (SELECT 1 FROM contract_flag k WHERE k.v_row AND k.SOURCE_SYSTEM = c.CONTRACT_SOURCE_SYSTEM
+                      AND k.CONTRACT_ID = c.CONTRACT_ID) AS has_parent
+  FROM claim_flag c
+)
+SELECT CLAIM_ID, CONTRACT_SOURCE_SYSTEM, CONTRACT_ID, v_row AND has_parent AS is_valid,
+       CASE WHEN NOT v_row THEN {_message_sql(_CLAIM_SPECS)}
+            WHEN NOT has_parent THEN 'Missing parent: CONTRACT_SOURCE_SYSTEM, CONTRACT_ID in contract' END AS validation_error
+FROM found""",
+    "claims_job_keys": f"""{_UNIQUE_BASE}
+SELECT *, '{BATCH_ID}' AS batch_date FROM transactions WHERE CONTRACT_SOURCE_SYSTEM_ID IS NOT NULL""",
     "claim_contract_left_join": f"{_BASE}\nSELECT * FROM joined",
     "claim_contract_salted_join": f"{_BASE}\nSELECT * FROM joined",
     "lookup_default": """SELECT c.c_custkey, c.c_nationkey,

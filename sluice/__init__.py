@@ -11,9 +11,20 @@ from .functions.columns import (
     to_type,
 )
 from .functions.digest import digest, surrogate_id
-from .operators.enrich import HttpJsonResolver, Retry, TransientError, distinct_keys, enrich_by_key, resolve_keys
+from .operators.enrich import (
+    BreakerOpen,
+    Calls,
+    HttpJsonResolver,
+    KeyStore,
+    Retry,
+    TransientError,
+    distinct_keys,
+    enrich_by_key,
+    resolve_keys,
+)
 from .operators.header import HeaderError, check_header, conform_header
 from .operators.joins import SkewSalt, left_join_on_keys, lookup_join
+from .operators.keys import ForeignKey, KeySet, duplicate_keys, foreign_key, orphan_keys, reject_duplicates, reject_orphans
 from .operators.validate import (
     Validated,
     annotate,

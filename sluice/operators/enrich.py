@@ -2,27 +2,44 @@
 
 The value for each distinct key is resolved once, on the executors:
 ``distinct`` (map-side partial dedup, so a hot key is collapsed before the
-shuffle) -> optional ``repartition`` to set the resolver's parallelism ->
-``mapInPandas`` calling the resolver -> left join back to the rows. Nothing
-is collected to the driver and no single task sees all keys.
+shuffle) -> anti-join with the answers a ``KeyStore`` holds already ->
+resolver calls -> left join back to the rows. Nothing is collected to the
+driver and no single task sees all keys.
+
+A ``KeyStore`` is a folder of answers in the shared storage. A task appends
+its answers in small files as they come, under its partition's own folder, and
+reads that folder first: a task that runs again calls only what its earlier
+attempts had not written. Later actions, jobs and sessions read the store and
+call only keys without an answer.
+
+``Calls`` bounds what a task asks of the service: so many calls at once, taken
+in order, and no more calls after so many failures in a row (the breaker).
 """
 
 from __future__ import annotations
 
 import json
+import posixpath
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
+import uuid
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Callable, Iterator
+from typing import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import default_if_blank
-from ..session import ship_package
+from ..session import shared_dir, ship_package
 from .joins import SkewSalt, left_join_on_keys
 
 
@@ -55,17 +72,70 @@ class Retry:
     sleep: Callable[[float], None] = field(default=time.sleep, compare=False)
 
     def call(self, fn: Callable[[object], object], value: object) -> object | None:
+        return self.outcome(fn, value)[1]
+
+    def outcome(self, fn: Callable[[object], object], value: object) -> tuple[bool, object | None]:
+        """Whether the call gave an answer (an empty one is one), and the answer."""
         attempts = max(1, int(self.max_attempts))
         for attempt in range(attempts):
             try:
                 result = fn(value)
-                return result if result else None
+                return True, result if result else None
             except self.retry_on:
                 if attempt < attempts - 1:
                     self.sleep(self.backoff**attempt)
             except Exception:
-                return None
-        return None
+                return False, None
+        return False, None
+
+
+class BreakerOpen(Exception):
+    """The service failed too often in a row and ``on_open`` is "raise"."""
+
+
+@dataclass(frozen=True)
+class Calls:
+    """How a task calls a resolver.
+
+    ``at_once`` calls run at the same time (threads); answers come in the
+    order of the keys, so the result is the serial one. After ``max_failures``
+    failed keys in a row (None: never) no further key is asked: with
+    ``on_open="skip"`` the rest is left without an answer for a later run, with
+    ``"raise"`` the task fails. Up to ``at_once - 1`` calls are under way by
+    then; their answers are kept.
+    """
+
+    retry: Retry = Retry(max_attempts=1)
+    at_once: int = 1
+    max_failures: int | None = None
+    on_open: str = "skip"
+
+    def __post_init__(self) -> None:
+        if self.at_once < 1 or self.on_open not in ("skip", "raise"):
+            raise ValueError("at_once must be 1 or more and on_open 'skip' or 'raise'")
+
+    def run(self, resolver: Callable[[object], object], keys: Iterable[object]) -> Iterator[tuple[object, bool, object | None]]:
+        """(key, answered, answer) of the keys asked, in order."""
+        failures, waiting = 0, iter(keys)
+        with ThreadPoolExecutor(self.at_once) as pool:
+            under_way: deque = deque()
+            is_open = False
+            while True:
+                while not is_open and len(under_way) < self.at_once:
+                    try:
+                        key = next(waiting)
+                    except StopIteration:
+                        break
+                    under_way.append((key, pool.submit(self.retry.outcome, resolver, key)))
+                if not under_way:
+                    break
+                key, call = under_way.popleft()
+                answered, value = call.result()
+                yield key, answered, value
+                failures = 0 if answered else failures + 1
+                is_open = is_open or (self.max_failures is not None and failures >= self.max_failures)
+        if is_open and self.on_open == "raise":
+            raise BreakerOpen(f"{failures} failures in a row")
 
 
 def _http_get(url: str, timeout: float) -> tuple[int, bytes]:
@@ -142,6 +212,112 @@ def resolve_keys(
     )
 
 
+ANSWER_SCHEMA = "answered boolean, value string"
+
+
+def _answer_partition(calls: Calls, resolver: Callable[[object], object], folder: str, flush: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        mine = posixpath.join(root, f"{TaskContext.get().partitionId():06d}")
+        store.create_dir(mine, recursive=True)
+        done: set = set()
+        for info in store.get_file_info(fs.FileSelector(mine)):
+            if info.base_name.endswith(".parquet") and not info.base_name.startswith("."):
+                with store.open_input_file(info.path) as f:
+                    done.update(pq.read_table(f, columns=["key"]).column("key").to_pylist())
+        kept: list[tuple] = []
+        counts = {"called": 0, "failed": 0}
+
+        def write(key_type: pa.DataType) -> None:
+            if not kept:
+                return
+            keys, answered, values = zip(*kept, strict=True)
+            table = pa.table(
+                {"key": pa.array(keys, key_type), "answered": pa.array(answered), "value": pa.array(values, pa.string())}
+            )
+            name = f"{uuid.uuid4().hex}.parquet"
+            with store.open_output_stream(posixpath.join(mine, "." + name)) as f:
+                pq.write_table(table, f)
+            store.move(posixpath.join(mine, "." + name), posixpath.join(mine, name))  # whole files only
+            kept.clear()
+
+        key_type = None
+
+        def keys() -> Iterator[object]:
+            nonlocal key_type
+            for batch in batches:
+                key_type = batch.schema.field(0).type
+                yield from (k for k in batch.column(0).to_pylist() if k not in done)
+
+        try:
+            for key, answered, value in calls.run(resolver, keys()):
+                counts["called"] += 1
+                counts["failed"] += not answered
+                kept.append((key, answered, None if value is None else str(value)))
+                if len(kept) >= flush:
+                    write(key_type)
+        finally:
+            write(key_type)  # also when the task fails: its next attempt goes on from here
+        yield pa.RecordBatch.from_pylist([counts])
+
+    return run
+
+
+class KeyStore:
+    """Answers of a resolver by key, in a folder that driver and executors share.
+
+    Without a path the store is private to its session and lies under the
+    session's shared folder. A key is asked once; keys whose call failed count
+    as asked too, unless ``resolve(..., again=True)``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, key_type: T.DataType | str = "string"):
+        self.spark, self.path = spark, path or shared_dir(spark, "answers")
+        kind = key_type if isinstance(key_type, str) else key_type.simpleString()
+        self.schema = f"key {kind}, {ANSWER_SCHEMA}"
+
+    def table(self) -> DataFrame:
+        """key, answered, value: one row per key (two attempts may have asked one)."""
+        try:
+            rows = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            rows = self.spark.createDataFrame([], self.schema)
+        best = rows.groupBy("key").agg(F.max(F.struct("answered", "value")).alias("a"))
+        return best.select("key", "a.answered", "a.value")
+
+    def resolve(
+        self,
+        keys: DataFrame,
+        key: str,
+        resolver: Callable[[object], object],
+        *,
+        calls: Calls = Calls(),
+        partitions: int | None = None,
+        flush: int = 100,
+        again: bool = False,
+    ) -> dict[str, int]:
+        """Ask for the distinct, non-null ``keys`` without an answer, at once.
+
+        Returns how many were called and failed. A task writes its answers
+        every ``flush`` keys, and what it has when it fails."""
+        ship_package(self.spark)  # the resolver runs in the executors' Python workers
+        known = self.table()
+        if again:
+            known = known.where("answered")
+        fresh = keys.select(F.col(f"`{key}`").alias("key")).join(known.select("key"), "key", "left_anti")
+        # by key hash: a task that runs again has the same keys
+        fresh = fresh.repartition(partitions, "key") if partitions else fresh.repartition("key")
+        folder = posixpath.join(self.path, uuid.uuid4().hex)
+        run = fresh.mapInArrow(_answer_partition(calls, resolver, folder, flush), "called long, failed long")
+        total = run.agg(F.sum("called").alias("called"), F.sum("failed").alias("failed")).first()
+        return {"called": total["called"] or 0, "failed": total["failed"] or 0}
+
+
 def enrich_by_key(
     df: DataFrame,
     key: str,
@@ -152,12 +328,20 @@ def enrich_by_key(
     retry: Retry | None = None,
     partitions: int | None = None,
     skew: SkewSalt | None = None,
+    calls: Calls | None = None,
+    store: KeyStore | None = None,
 ) -> DataFrame:
     """Attach ``out = resolver(key)`` to every row, calling it once per distinct key.
 
-    A null key, a failed call or an empty answer gives ``default``. The
-    join back is a plain left join on the key (``skew`` salts hot keys).
+    The keys are resolved here, by a job, into ``store`` (a new private one by
+    default); the result only joins its answers, so any number of actions on
+    it calls nothing. A null key, a failed call or an empty answer gives
+    ``default``. The join back is a plain left join on the key (``skew``
+    treats hot keys).
     """
-    resolved = resolve_keys(distinct_keys(df, key), key, resolver, value="__val", retry=retry, partitions=partitions)
-    joined = left_join_on_keys(df, resolved, [(key, key)], right_columns={"__val": "__val"}, skew=skew)
+    store = store or KeyStore(df.sparkSession, key_type=df.schema[key].dataType)
+    calls = calls or Calls(retry or Retry(max_attempts=1))
+    store.resolve(distinct_keys(df, key), key, resolver, calls=calls, partitions=partitions)
+    answers = store.table().where("value is not null")
+    joined = left_join_on_keys(df, answers, [(key, "key")], right_columns={"value": "__val"}, skew=skew)
     return joined.withColumn(out, default_if_blank(F.col("__val"), default)).drop("__val")

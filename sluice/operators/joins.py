@@ -8,48 +8,102 @@ forced, so a right side that grows with the data is never broadcast blindly.
 Skew: when one key holds a large share of the left rows, AQE's skew-join
 handling splits the oversized left partition (left outer joins allow
 splitting the left side). ``SkewSalt`` adds an explicit alternative that
-does not depend on runtime statistics: the hot keys are found with one
-partially aggregated count, each gets salts in proportion to its rows, its
-left rows are dealt over them by a hash of the row, and only its right rows
-are replicated. All hot keys are split; the list of them is an ordinary join
-side, broadcast only if Catalyst finds it small.
+does not depend on runtime statistics. The keys are counted first (one
+partially aggregated pass, stored), then the rows go three ways:
+
+* Rows of hot keys never meet the shuffle of their key. The list of hot keys
+  is broadcast: a key is hot from ``min_rows`` rows, or from the share of all
+  rows that keeps the list within ``broadcast_rows`` keys, so the list is
+  bounded whatever the data. If the right rows of the hot keys, which are
+  counted, are as few, they are broadcast too and the rows stay where they
+  were read. Otherwise the rows are written once with a salt that numbers them
+  within their task, so equal rows spread and a repeated read finds the same
+  salts, and the right rows are replicated per salt.
+* Rows with a null key match nothing and pass beside the join.
+* All other rows take the plain join, in which no key is hot.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_if_blank
-
+from ..session import staged
 
 _KEEPS_LEFT = ("left", "left_outer", "leftouter", "full", "full_outer", "fullouter", "outer")
+_INNER = {"right": "inner", "right_outer": "inner", "rightouter": "inner", "full": "left", "full_outer": "left",
+          "fullouter": "left", "outer": "left"}
 
 
 @dataclass(frozen=True)
 class SkewSalt:
-    """Keys with at least ``min_rows`` left rows are split, each into as many
-    salts as it holds that many rows, ``buckets`` at least."""
+    """A key is hot from ``min_rows`` left rows; a salt takes about as many,
+    and a hot key has ``buckets`` salts at least. At most ``broadcast_rows`` hot
+    keys, or right rows of hot keys, are broadcast."""
 
     buckets: int = 32
     min_rows: int = 1_000_000
+    broadcast_rows: int = 1_000_000
 
 
-def _hot_keys(left: DataFrame, lkeys: Sequence[str], salt: SkewSalt) -> DataFrame:
-    """Every hot key with its number of salts: at most rows / min_rows keys."""
-    counts = left.groupBy(*lkeys).count().where(F.col("count") >= F.lit(salt.min_rows))
-    salts = F.greatest(F.lit(salt.buckets), F.ceil(F.col("count") / salt.min_rows)).cast("int")
-    return counts.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(lkeys)], salts.alias("__salts"))
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
+def _on(left: DataFrame, lkeys: Sequence[str], right: DataFrame, rkeys: Sequence[str]) -> Column:
+    return reduce(and_, [left[a] == right[b] for a, b in zip(lkeys, rkeys, strict=True)])
 
 
-def _mark_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    cond = reduce(and_, [df[k] == hot[f"__hot{i}"] for i, k in enumerate(keys)])
-    return df.join(hot, cond, "left").drop(*[f"__hot{i}" for i in range(len(keys))])
+def hot_from(counts: DataFrame, n: str, min_rows: int, broadcast_rows: int) -> int:
+    """The number of rows from which a key is hot: fewer than
+    ``broadcast_rows`` keys can have that many of the counted rows each."""
+    total = counts.agg(F.sum(n).alias("rows")).first()["rows"] or 0
+    return max(min_rows, total // max(1, broadcast_rows) + 1)
+
+
+def _hot_keys(left: DataFrame, lkeys: Sequence[str], salt: SkewSalt) -> DataFrame:
+    """Every hot key with its number of salts, as a stored table."""
+    counts = left.where(~any_null(lkeys)).groupBy(*lkeys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = staged(counts.where(F.col("__n") >= F.lit(min(salt.min_rows, 1 << 62))), "hot_keys")
+    least = hot_from(counts, "__n", salt.min_rows, salt.broadcast_rows)
+    salts = F.greatest(F.lit(salt.buckets), F.ceil(F.col("__n") / salt.min_rows)).cast("int")
+    named = [F.col(k).alias(f"__hot{i}") for i, k in enumerate(lkeys)]
+    return counts.where(F.col("__n") >= least).select(*named, salts.alias("__salts"))
+
+
+def _join_salted(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], how: str) -> DataFrame:
+    """Hot rows dealt over ``__salts`` by their number, which the write fixes."""
+    numbered = left.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.col("__salts")).cast("int"))
+    spread = staged(numbered.drop("__salts"), "salted")
+    r = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
+    cond = _on(spread, lkeys, r, rkeys) & (spread["__salt"] == r["__salt_r"])
+    return spread.join(r, cond, how).drop("__salt", "__salt_r")
+
+
+def _split_join(left: DataFrame, r: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], how: str, skew: SkewSalt) -> DataFrame:
+    hot = F.broadcast(_hot_keys(left, lkeys, skew))
+    names = [f"__hot{i}" for i in range(len(lkeys))]
+    marked = left.join(hot, _on(left, lkeys, hot, names), "left").drop(*names)
+    is_hot, nulls = F.col("__salts").isNotNull(), any_null(lkeys)
+    hot_right = r.join(hot, _on(r, rkeys, hot, names), "inner").drop(*names)
+    # every right row of a hot key has left partners: the kind of join keeps left rows at most
+    beside = _INNER.get(how, how)
+    if hot_right.limit(skew.broadcast_rows + 1).count() <= skew.broadcast_rows:
+        stay, few = marked.where(is_hot | nulls).drop("__salts"), F.broadcast(hot_right.drop("__salts"))
+        out = stay.join(few, _on(stay, lkeys, few, rkeys), beside)
+    else:
+        out = _join_salted(marked.where(is_hot), hot_right, lkeys, rkeys, beside)
+        stay, none = marked.where(nulls).drop("__salts"), F.broadcast(r.limit(0))
+        out = out.unionByName(stay.join(none, _on(stay, lkeys, none, rkeys), beside))
+    rest = marked.where(~is_hot & ~nulls).drop("__salts")
+    rest_right = r.join(hot, _on(r, rkeys, hot, names), "left_anti")
+    return out.unionByName(rest.join(rest_right, _on(rest, lkeys, rest_right, rkeys), how))
 
 
 def left_join_on_keys(
@@ -69,7 +123,8 @@ def left_join_on_keys(
     can clash. Null keys never match; duplicate right keys fan out. The join
     is a plain equi-join, so later filters reach the left scan. With
     ``split_nulls`` the null-key rows of a join that keeps left rows pass
-    beside the join instead of being shuffled to one partition.
+    beside the join instead of being shuffled to one partition. With ``skew``
+    the left keys are counted by a job at once (see the module's notes).
     """
     rkeys = [f"__rk{i}" for i in range(len(keys))]
     rsel = [F.col(rk).alias(rkeys[i]) for i, (_, rk) in enumerate(keys)]
@@ -77,27 +132,15 @@ def left_join_on_keys(
     rsel += [F.col(src).alias(dst) for src, dst in rcols.items()]
     r = right.select(*rsel)
     lkeys = [lk for lk, _ in keys]
-
-    any_null = reduce(lambda a, c: a | c, [F.col(k).isNull() for k in lkeys])
-    if skew is None:
-        inner = left.where(~any_null) if split_nulls and how in _KEEPS_LEFT else left
-        cond = reduce(and_, [inner[lk] == r[rkeys[i]] for i, lk in enumerate(lkeys)])
-        joined = inner.join(r, cond, how).drop(*rkeys)
-        if inner is left:
-            return joined
-        empty = [F.lit(None).cast(r.schema[c].dataType).alias(c) for c in rcols.values()]
-        return joined.unionByName(left.where(any_null).select(*left.columns, *empty))
-
-    hot = _hot_keys(left, lkeys, skew)
-    # a salt is a hash of the row itself: a task that runs again deals its rows alike;
-    # null keys (which match nothing) are dealt over the least number of salts
-    salts = F.coalesce("__salts", F.when(any_null, F.lit(skew.buckets)), F.lit(1))
-    lm = _mark_hot(left, lkeys, hot)
-    lm = lm.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), salts).cast("int")).drop("__salts")
-    rm = _mark_hot(r, rkeys, hot)
-    rm = rm.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
-    cond = reduce(and_, [lm[lk] == rm[rkeys[i]] for i, lk in enumerate(lkeys)]) & (lm["__salt"] == rm["__salt"])
-    return lm.join(rm, cond, how).drop(*rkeys).drop(lm["__salt"]).drop(rm["__salt"])
+    if skew is not None:
+        return _split_join(left, r, lkeys, rkeys, how, skew).drop(*rkeys)
+    nulls = any_null(lkeys)
+    inner = left.where(~nulls) if split_nulls and how in _KEEPS_LEFT else left
+    joined = inner.join(r, _on(inner, lkeys, r, rkeys), how).drop(*rkeys)
+    if inner is left:
+        return joined
+    empty = [F.lit(None).cast(r.schema[c].dataType).alias(c) for c in rcols.values()]
+    return joined.unionByName(left.where(nulls).select(*left.columns, *empty))
 
 
 def lookup_join(

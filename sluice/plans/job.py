@@ -16,22 +16,28 @@ cheaper choice for columnar sources. ``stage="persist"`` keeps the
 annotated input in executor memory and local disk (MEMORY_AND_DISK) for the
 two writes and releases it afterwards: no extra files, but a lost executor
 means recomputing its blocks from the source.
+
+``unique`` and ``references`` turn on the declared keys: rows that pass their
+column rules but share a primary key, and then rows whose foreign key no valid
+row of the parent has, are quarantined with that reason. The annotated inputs
+that take part are written once before, as the checks read them several times.
 """
 
 from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from typing import Any, Callable, Mapping
+from typing import Any, Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.keys import ForeignKey, reject_duplicates, reject_orphans
 from ..operators.validate import VALID_FLAG, annotate, split_annotated
 from ..rules import TableRules
-from ..session import remove_path, shared_dir
+from ..session import scratch, staged, staging_path
 from ..sources.sinks import new_batch_id, write_batch, write_quarantine
 
 log = logging.getLogger(__name__)
@@ -72,7 +78,7 @@ def stage_annotated(
     ``observation`` collects the quality counts during this write, which
     passes every row anyway; later reads then only touch their own half.
     """
-    path = path or shared_dir(spark, "stage", name)
+    path = path or staging_path(spark, name)
     if observation is not None:
         annotated = annotated.observe(observation, *_quality_metrics(F.col(VALID_FLAG)))
     annotated.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(path)
@@ -82,6 +88,34 @@ def stage_annotated(
     return staged.withColumn(VALID_FLAG, F.col(VALID_FLAG).cast("boolean"))
 
 
+def check_keys(
+    annotated: Mapping[str, DataFrame],
+    rules: Mapping[str, TableRules],
+    unique: Iterable[str] = (),
+    references: Mapping[str, Iterable[ForeignKey]] | None = None,
+) -> dict[str, DataFrame]:
+    """The annotated inputs with their key verdicts; parents before children."""
+    references = {name: list(keys) for name, keys in (references or {}).items()}
+    unique = set(unique)
+    used = unique | set(references) | {fk.parent for keys in references.values() for fk in keys}
+    if unknown := used - set(annotated):
+        raise ValueError(f"no inputs for the keys of: {sorted(unknown)}")
+    out = dict(annotated)
+    for name in unique:
+        out[name] = reject_duplicates(staged(out[name], "annotated"), rules[name])
+    left = dict(references)
+    while left:
+        ready = [n for n, keys in left.items() if not any(fk.parent in left and fk.parent != n for fk in keys)]
+        if not ready:
+            raise ValueError(f"references in a circle: {sorted(left)}")
+        for name in ready:
+            for fk in left.pop(name):
+                out[name] = staged(out[name], "annotated")
+                parent = out[name] if fk.parent == name else staged(out[fk.parent], "annotated")
+                out[name] = reject_orphans(out[name], parent.where(VALID_FLAG), fk)
+    return out
+
+
 def run_job(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -97,13 +131,16 @@ def run_job(
     stage: str = "recompute",
     quarantine_cast: bool = False,
     cleanup: bool = True,
+    unique: Iterable[str] = (),
+    references: Mapping[str, Iterable[ForeignKey]] | None = None,
 ) -> JobResult:
     """Run one batch of a rule-driven job and publish it.
 
     ``on_invalid``: ``"write"`` quarantines to ``<output_base>/invalid/<name>``;
     a callable receives the invalid frames instead; None ignores them.
-    ``cleanup`` removes the staged tables (``stage="table"``) once the batch
-    is published (or the job failed).
+    ``cleanup`` removes the staged tables once the batch is published (or the
+    job failed). ``unique`` names the inputs whose primary key is checked,
+    ``references`` the foreign keys per input.
     Any error aborts the job and propagates.
     """
     if stage not in STAGES:
@@ -113,20 +150,28 @@ def run_job(
         raise ValueError(f"no rules for inputs: {sorted(missing)}")
     batch_id = batch_id or new_batch_id()
 
+    with scratch(spark, keep=not cleanup):
+        return _run(
+            spark, sources, rules, transform, output_base, output_name, fmt, batch_id, on_invalid, on_unknown, stage,
+            quarantine_cast, unique, references,
+        )
+
+
+def _run(
+    spark, sources, rules, transform, output_base, output_name, fmt, batch_id, on_invalid, on_unknown, stage,
+    quarantine_cast, unique, references,
+) -> JobResult:
     valid: dict[str, DataFrame] = {}
     invalid: dict[str, DataFrame] = {}
     observations: dict[str, Observation] = {}
     uncounted: dict[str, DataFrame] = {}
     persisted: list[DataFrame] = []
-    staged: list[str] = []
-    for name, df in sources.items():
+    checked = check_keys({n: annotate(df, rules[n], on_unknown=on_unknown) for n, df in sources.items()}, rules, unique, references)
+    for name, annotated in checked.items():
         tr = rules[name]
-        annotated = annotate(df, tr, on_unknown=on_unknown)
         obs = _quality_observation(name)
         if stage == "table":
-            staged_path = shared_dir(spark, "stage", name)
-            staged.append(staged_path)
-            annotated = stage_annotated(spark, annotated, name, obs, staged_path).select(*annotated.columns)
+            annotated = stage_annotated(spark, annotated, name, obs).select(*annotated.columns)
             observed = annotated
             observations[name] = obs
         else:
@@ -160,10 +205,6 @@ def run_job(
     finally:
         for df in persisted:
             df.unpersist()
-        if cleanup:
-            # the staged copies are only needed until the batch is published
-            for path in staged:
-                remove_path(spark, path)
 
     counts |= {name: dict(obs.get) for name, obs in observations.items()}
     quality: dict[str, dict[str, float]] = {}

@@ -12,8 +12,10 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -42,6 +44,36 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return posixpath.join(checkpoint_root(spark), "sluice", *tail)
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("sluice_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: bool = False):
+    """Tables staged inside go to one folder, which is removed at the end."""
+    path = shared_dir(spark, "scratch")
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        if not keep:
+            remove_path(spark, path)
+
+
+def staging_path(spark: SparkSession, *name: str) -> str:
+    base = _SCRATCH.get()
+    return posixpath.join(base, *name, uuid.uuid4().hex) if base else shared_dir(spark, "stage", *name)
+
+
+def staged(df: DataFrame, *name: str) -> DataFrame:
+    """Write to a fresh shared folder as parquet and read back: later plans
+    know the size, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = staging_path(spark, *name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty frame leaves nothing to infer from
+
+
 _SHIPPED: set[str] = set()
 _ZIP: list[str] = []
 

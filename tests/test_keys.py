@@ -1,0 +1,208 @@
+"""Declared keys: repeated primary keys and missing parents."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.operators.keys import (
+    ForeignKey,
+    KeySet,
+    bloom_words,
+    duplicate_keys,
+    foreign_key,
+    key_columns,
+    orphan_keys,
+    reject_duplicates,
+    reject_orphans,
+)
+from sluice.operators.validate import annotate
+from sluice.plans.claims import CLAIM_RULES, CONTRACT_RULES
+from sluice.plans.job import check_keys, run_job
+from sluice.rules import TableRules
+from sluice.sources.sinks import read_batches
+
+from .helpers import plan_text
+
+PARCEL = TableRules.from_dict(
+    "parcel",
+    {
+        "DEPOT": {"required": True, "role": "primary_key"},
+        "PARCEL_NO": {"required": True, "regex": "^[0-9]+$", "role": "primary_key"},
+        "ROUTE": {"role": "foreign_key"},
+        "NOTE": {},
+    },
+)
+ROUTE = TableRules.from_dict("route", {"ROUTE_NO": {"required": True, "role": "primary_key"}, "TOWN": {}})
+
+
+def _parcels(spark, rows):
+    return spark.createDataFrame(rows, "DEPOT string, PARCEL_NO string, ROUTE string, NOTE string")
+
+
+def test_key_columns_and_foreign_key():
+    assert key_columns(CLAIM_RULES) == ["SOURCE_SYSTEM", "CLAIM_ID"]
+    fk = foreign_key(CLAIM_RULES, CONTRACT_RULES)
+    assert fk == ForeignKey(("CONTRACT_SOURCE_SYSTEM", "CONTRACT_ID"), "contract", ("SOURCE_SYSTEM", "CONTRACT_ID"))
+    with pytest.raises(ValueError):
+        foreign_key(PARCEL, CONTRACT_RULES)
+
+
+def test_duplicates_are_rejected_all_of_them_and_named(spark):
+    rows = [("n", "1", "r", "a"), ("n", "1", "r", "b"), ("s", "1", "r", "c"), ("n", "x", "r", "d"), ("n", "x", "r", "e"),
+            ("", "7", "r", "f"), ("", "7", "r", "g"), (None, "7", "r", "h"), ("n", "2", None, "i")]
+    out = reject_duplicates(annotate(_parcels(spark, rows), PARCEL, with_failed_list=True), PARCEL)
+    got = {r.NOTE: (r.is_valid, r.validation_error, r.failed_columns) for r in out.collect()}
+    assert got["a"] == got["b"] == (False, "Duplicate key: DEPOT, PARCEL_NO", ["DEPOT", "PARCEL_NO"])
+    assert got["c"] == got["i"] == (True, None, None)
+    # rows that failed their rules keep their reason and do not count
+    assert got["d"][1] == got["e"][1] == "Failed columns: PARCEL_NO"
+    assert got["f"][1] == got["h"][1] == "Failed columns: DEPOT"
+
+
+def test_one_valid_row_beside_an_invalid_one_with_its_key_stays(spark):
+    rules = TableRules.from_dict("t", {"K": {"role": "primary_key"}, "V": {"required": True}})
+    df = spark.createDataFrame([("1", "v"), ("1", ""), (None, "v"), (None, "v")], "K string, V string")
+    out = reject_duplicates(annotate(df, rules), rules)
+    assert sorted((r.K or "", r.V, r.is_valid) for r in out.collect()) == [("", "v", True), ("", "v", True), ("1", "", False), ("1", "v", True)]
+
+
+def test_no_key_and_empty_table(spark):
+    rules = TableRules.from_dict("t", {"V": {}})
+    df = annotate(spark.createDataFrame([("a",), ("a",)], "V string"), rules)
+    assert reject_duplicates(df, rules) is df
+    assert reject_duplicates(annotate(_parcels(spark, []), PARCEL), PARCEL).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [{}, {"broadcast_keys": 3, "hot_rows": 20}, {"broadcast_keys": 0, "hot_rows": 1}])
+def test_marking_is_the_same_by_any_way(spark, sizes):
+    rng = random.Random(7)
+    rows = [(rng.choice("ab"), str(0 if rng.random() < 0.3 else rng.randrange(200)), None, str(i)) for i in range(600)]
+    df = _parcels(spark, [*rows, (None, "0", None, "n"), ("a", None, None, "m")]).repartition(5)
+    n = {}
+    for d, p, _, _ in rows:
+        n[d, p] = n.get((d, p), 0) + 1
+    marked = duplicate_keys(df, ["DEPOT", "PARCEL_NO"]).mark(df, "twice", **sizes).collect()
+    assert len(marked) == 602
+    assert all(r.twice == (n.get((r.DEPOT, r.PARCEL_NO), 0) > 1) for r in marked)
+
+
+def test_a_hot_key_stays_out_of_the_shuffle(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(30_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.expr("cast(id div 4 as string)")).alias("K"), F.col("id")
+        )
+        marked = duplicate_keys(df, ["K"]).mark(df, "twice", broadcast_keys=100, hot_rows=1000)
+        sizes = [r.n for r in marked.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 4_500
+        assert marked.where("K = 'hot' and not twice").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_bloom_filter_denies_no_present_key_and_is_bounded(spark):
+    keys = spark.range(4000).select(F.col("id").cast("string").alias("k"))
+    words = bloom_words(keys, ["k"], 1000)
+    assert words.count() <= 1000
+    parent = spark.range(4000).select(F.col("id").alias("no"))
+    child = spark.range(8000).select(F.col("id").cast("string").alias("k"))
+    orphans = orphan_keys(child, parent, ForeignKey(("k",), "p", ("no",)))
+    assert sorted(int(r.k) for r in orphans.table.collect()) == list(range(4000, 8000))
+
+
+def test_orphans_with_and_without_the_filter(spark):
+    routes = spark.createDataFrame([("r1",), ("r2",), (None,), ("",)], "ROUTE_NO string")
+    rows = [("n", "1", "r1", "a"), ("n", "2", "r9", "b"), ("n", "3", None, "c"), ("n", "x", "r9", "d"), ("n", "4", "", "e")]
+    fk = ForeignKey(("ROUTE",), "route", ("ROUTE_NO",))
+    for most in (0, 1000):
+        out = reject_orphans(annotate(_parcels(spark, rows), PARCEL), routes, fk, max_words=most)
+        got = {r.NOTE: (r.is_valid, r.validation_error) for r in out.collect()}
+        assert got["b"] == (False, "Missing parent: ROUTE in route") and got["d"] == (False, "Failed columns: PARCEL_NO")
+        assert got["a"] == got["c"] == got["e"] == (True, None)
+    none = reject_orphans(annotate(_parcels(spark, rows), PARCEL), routes.limit(0), fk)
+    assert {r.NOTE for r in none.where("is_valid").collect()} == {"c", "e"}
+
+
+def test_the_filter_stands_before_the_exchange_of_the_exact_check(spark, monkeypatch):
+    """The child keys' filter is a broadcast join on the word; only what passes is exchanged."""
+    from sluice.operators import keys as K
+
+    plans = []
+    stage = K.staged
+
+    def seen(df, name):
+        plans.append((name, plan_text(df, "simple")))
+        return stage(df, name)
+
+    monkeypatch.setattr(K, "staged", seen)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parent = spark.range(100).select(F.col("id").alias("no"))
+        orphan_keys(spark.range(300).select(F.col("id").cast("string").alias("k")), parent, ForeignKey(("k",), "p", ("no",)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    found = dict(plans)
+    assert "BroadcastHashJoin [__word" in found["child_keys"]
+    lines = found["orphan_keys"].splitlines()
+    join = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x and "LeftAnti" in x)
+    exchange = next(i for i, x in enumerate(lines) if i > join and "Exchange hashpartitioning" in x)
+    assert any("__maybe" in x and "Filter" in x for x in lines[exchange:])
+
+
+def test_references_are_checked_parents_first_and_circles_refused(spark):
+    a = TableRules.from_dict("a", {"A": {"role": "primary_key"}, "B": {"role": "foreign_key"}})
+    b = TableRules.from_dict("b", {"B": {"role": "primary_key"}, "C": {"role": "foreign_key"}})
+    c = TableRules.from_dict("c", {"C": {"role": "primary_key"}})
+    rows = {
+        "a": annotate(spark.createDataFrame([("1", "x"), ("2", "y")], "A string, B string"), a),
+        "b": annotate(spark.createDataFrame([("x", "k"), ("y", "gone")], "B string, C string"), b),
+        "c": annotate(spark.createDataFrame([("k",)], "C string"), c),
+    }
+    rules = {"a": a, "b": b, "c": c}
+    ab, bc = ForeignKey(("B",), "b", ("B",)), ForeignKey(("C",), "c", ("C",))
+    out = check_keys(rows, rules, references={"a": [ab], "b": [bc]})
+    # y is no valid row of b, so 2 has no parent
+    assert [r.A for r in out["a"].where("is_valid").collect()] == ["1"]
+    with pytest.raises(ValueError, match="circle"):
+        check_keys(rows, rules, references={"a": [ab], "b": [ForeignKey(("C",), "a", ("A",))]})
+    with pytest.raises(ValueError, match="no inputs"):
+        check_keys(rows, rules, unique=["d"])
+
+
+def test_a_table_may_refer_to_itself(spark):
+    t = TableRules.from_dict("t", {"ID": {"role": "primary_key"}, "BOSS": {"role": "foreign_key"}})
+    df = spark.createDataFrame([("1", None), ("2", "1"), ("3", "9")], "ID string, BOSS string")
+    out = check_keys({"t": annotate(df, t)}, {"t": t}, references={"t": [foreign_key(t, t)]})
+    assert sorted(r.ID for r in out["t"].where("is_valid").collect()) == ["1", "2"]
+
+
+@pytest.mark.parametrize("stage", ["recompute", "table", "persist"])
+def test_job_quarantines_keys_with_their_reason(spark, tmp_path, stage):
+    parcels = _parcels(spark, [("n", "1", "r1", "a"), ("n", "2", "r1", "b"), ("n", "2", "r1", "c"), ("n", "3", "r7", "d"), ("n", "y", "r1", "e")])
+    routes = spark.createDataFrame([("r1", "Uppsala"), ("r2", "Lund"), ("r2", "Lund")], "ROUTE_NO string, TOWN string")
+    out = str(tmp_path / "out")
+    result = run_job(
+        spark, {"parcel": parcels, "route": routes}, {"parcel": PARCEL, "route": ROUTE}, lambda v: v["parcel"], output_base=out,
+        output_name="P", fmt="parquet", batch_id="b1", stage=stage, unique=["parcel", "route"], references={"parcel": [foreign_key(PARCEL, ROUTE)]},
+    )
+    assert [r.NOTE for r in read_batches(spark, out, "P", "parquet").collect()] == ["a"]
+    bad = read_batches(spark, f"{out}/invalid", "parcel", "parquet")
+    assert {r.NOTE: r.validation_error for r in bad.collect()} == {
+        "b": "Duplicate key: DEPOT, PARCEL_NO", "c": "Duplicate key: DEPOT, PARCEL_NO", "d": "Missing parent: ROUTE in route",
+        "e": "Failed columns: PARCEL_NO",
+    }
+    assert result.quality["parcel"] == {"rows": 5, "valid": 1, "invalid": 4, "unknown": 0, "invalid_rate": 0.8}
+    assert result.quality["route"]["invalid"] == 2 and result.published_rows == 1
+
+
+def test_key_set_of_typed_columns(spark):
+    table = spark.createDataFrame([(1, 5)], "k int, n long")
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    got = KeySet(table, ("k",)).mark(df, "found").collect()
+    assert {(r.k, r.found) for r in got} == {(1, True), (2, False), (None, False)}
