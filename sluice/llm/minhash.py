@@ -5,26 +5,26 @@ collections of `width` keys are computed, each key joins `rows` minhashes. Table
 (i, j) is keyed by key i of the first collection and key j of the second, so
 width**2 tables need 2 * width * rows minhashes instead of 2 * width**2 * rows.
 A pair of similarity s shares a table with probability
-(1 - (1 - s**rows)**width)**2; at 0.8 with 2 rows and a width of 12 that is
-0.99999, for closer pairs more. Whatever shares a table is compared on the full
+(1 - (1 - s**rows)**width)**2; at 0.8 with 3 rows and a width of 16 that is
+0.99998, for closer pairs more. Whatever shares a table is compared on the full
 sets, so no link is wrong.
 
 Equal sets are one node, so copies never meet. A half key that one node alone
 has cannot meet in any table; such halves go before the tables are formed, and
-most documents send nothing further.
-
-A bucket's pairs are not listed. First every node is compared with the smallest
-node it shares a bucket with, and the links' components are found. Then, as
-long as a bucket holds several components, some of its nodes outside its
-largest component are pivots: they are compared with the bucket's nodes of
-other components and leave the bucket. Nodes of one component are not
-compared, and when no bucket is mixed every candidate pair has been compared
-or is connected. The number of pivots grows fourfold a round.
-
-A comparison is a row of a pivot's group: the pivot's set goes once to each of
-the group's parts (their number follows the counted group size, so a hot pivot
-is spread), the other sets stream past it. Sets are read from the texts of
-nodes in shared buckets only.
+most documents send nothing further. The nodes of a table's bucket are tied to
+its smallest node; what is tied together is a family, and only nodes of one
+family can link.
+
+Pairs are not listed. A family's sets are dealt to blocks by the number of
+their shingles, one task's memory each, and a block is searched from node to
+node: what a node links with leaves the rest and is searched from in turn, so
+a family of copies costs one search per node over the few that are left. The
+rest is indexed by shingle. A node asks its rarest shingles first (two sets of
+that similarity share one among the rarest fifth of each) and counts whole
+overlaps only if some answer. A node with too many shingles of its own in the
+block links with none there. A family of several blocks is searched again for
+every two blocks, between them only and only across the components found so
+far. Sets are read from the texts of family nodes alone.
 
 Edge cases: null texts and texts without words have an empty set, link with
 nothing and are their own component; fewer words than a shingle make one
@@ -46,9 +46,10 @@ from .components import connected_components
 from .shared import prepare, stored
 from .text import LOWER, SPACED, U64, Grams, combine, find_words, hash_words, mix, row_chunks, signed, text_buffer
 
-ROWS = 2
-WIDTH = 12
-GROUP = 2048
+ROWS = 3
+WIDTH = 16
+BLOCK_SHINGLES = 1 << 20
+NODE_WEIGHT = 32
 BROADCAST_ROWS = 200_000
 
 
@@ -146,34 +147,113 @@ def _with_digests(size: int):
     return run
 
 
-def _compare(percent: int):
-    """Links among rows sorted by (pivot, part); each part's first row (node
-    null) holds the pivot's set."""
+class _Index:
+    """Which of the nodes hold a code, by code."""
+
+    def __init__(self, codes: np.ndarray, nodes: np.ndarray, size: int):
+        order = np.argsort(codes, kind="stable")
+        self.nodes = nodes[order]
+        self.start = np.searchsorted(codes[order], np.arange(size + 1))
+
+    def holders(self, codes: np.ndarray) -> np.ndarray:
+        """Nodes with each of the codes, one after the other."""
+        first, n = self.start[codes], self.start[codes + 1] - self.start[codes]
+        total = int(n.sum())
+        return self.nodes[np.repeat(first - np.cumsum(n) + n, n) + np.arange(total)]
+
+
+def search(hashes: np.ndarray, offsets: np.ndarray, group: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (positions) that connect all sets of enough similarity, directly or
+    through others, given sets that are connected already (same `group`).
+    Sets of one `side` are not compared unless it is negative."""
+    n = np.diff(offsets)
+    owner = np.repeat(np.arange(len(n)), n)
+    _, codes, spread = np.unique(hashes, return_inverse=True, return_counts=True)
+    # codes by rarity: the rarest of a set come first
+    rank = np.empty(len(spread), np.int64)
+    rank[np.argsort(spread, kind="stable")] = np.arange(len(spread))
+    own = np.bincount(owner, spread[codes] == 1, len(n)).astype(np.int64)
+    codes = rank[codes]
+    order = np.lexsort((codes, owner))
+    codes = codes[order]
+    head = n - (percent * n + 99) // 100 + 1
+    nth = np.arange(len(codes)) - offsets[:-1][owner]
+    rare = nth < head[owner]
+    left = 100 * (n - own) >= percent * n
+
+    def indexed():
+        at = left[owner]
+        return _Index(codes[at & rare], owner[at & rare], len(spread)), _Index(codes[at], owner[at], len(spread)), int(left.sum())
+
+    by_group: dict[int, list[int]] = {}
+    for k, g in enumerate(group.tolist()):
+        if left[k]:
+            by_group.setdefault(g, []).append(k)
+    if len(by_group) < 2:
+        return []
+    rarest, whole, size = indexed()
+    remain = size
+    links: list[tuple[int, int]] = []
+    for g in sorted(by_group, key=lambda g: -len(by_group[g])):
+        front = by_group.pop(g, None)
+        if front is None:
+            continue
+        left[front] = False
+        remain -= len(front)
+        while front and by_group:
+            x = front.pop()
+            mine = codes[offsets[x] : offsets[x + 1]]
+            near = rarest.holders(mine[: head[x]])
+            near = near[left[near]]
+            if side[x] >= 0:
+                near = near[side[near] != side[x]]
+            if not len(near):
+                continue
+            near = np.unique(near)
+            both = np.bincount(whole.holders(mine), minlength=len(n))[near]
+            for y in near[100 * both >= percent * (n[x] + n[near] - both)].tolist():
+                if left[y]:
+                    links.append((x, y))
+                    joined = by_group.pop(int(group[y]))
+                    left[joined] = False
+                    remain -= len(joined)
+                    front += joined
+            if 2 * remain < size:
+                rarest, whole, size = indexed()
+    return links
+
+
+def _search_blocks(percent: int):
+    """Links in each block; rows come sorted by (family, part, node)."""
 
     def run(batches):
-        pivot, own = None, None
+        rows: list[tuple] = []
+        at = None
+
+        def found():
+            lists = [r[3] for r in rows]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+            group, side = (np.array([r[k] for r in rows], dtype=np.int64) for k in (1, 2))
+            return [(rows[x][0], rows[y][0]) for x, y in search(np.concatenate(lists), offsets, group, side, percent)]
+
+        def batch_of(links):
+            x = np.array(links, dtype=np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy())], names=["a", "b"])
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
             lists = batch.column("hashes")
             ends = np.asarray(lists.offsets).astype(np.int64)
             flat = lists.values.to_numpy(zero_copy_only=False).view(U64)
-            pivots = batch.column("pivot").to_pylist()
-            a, b = [], []
-            for k, node in enumerate(batch.column("node").to_pylist()):
-                hashes = flat[ends[k] : ends[k + 1]]
-                if node is None:
-                    pivot, own = pivots[k], hashes.copy()
-                    continue
-                if pivot != pivots[k]:
-                    raise ValueError(f"no set of pivot {pivots[k]}")
-                at = np.searchsorted(own, hashes)
-                both = int((own[np.minimum(at, len(own) - 1)] == hashes).sum())
-                if 100 * both >= percent * (len(hashes) + len(own) - both):
-                    a.append(pivot)
-                    b.append(node)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            keys = zip(batch.column("family").to_pylist(), batch.column("part").to_pylist(), strict=True)
+            others = (batch.column(c).to_pylist() for c in ("node", "c", "side"))
+            for k, (key, node, c, side) in enumerate(zip(keys, *others, strict=True)):
+                if key != at:
+                    if rows and (links := found()):
+                        yield batch_of(links)
+                    rows, at = [], key
+                rows.append((node, c, side, flat[ends[k] : ends[k + 1]].copy()))
+        if rows and (links := found()):
+            yield batch_of(links)
 
     return run
 
@@ -183,27 +263,8 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _links(candidates: DataFrame, sets: DataFrame, percent: int, group: int) -> DataFrame:
-    """The candidate pairs (pivot, node) whose full sets are similar enough."""
-    sizes = candidates.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
-    parts = stored(sizes.select("pivot", F.ceil(F.col("n") / group).cast("int").alias("parts")), "minhash_pivots")
-    others = (
-        candidates.join(_small(parts), "pivot")
-        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .select("pivot", "part", "node")
-        .join(sets, "node")
-        .select("pivot", "part", "node", "hashes")
-    )
-    own = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(
-        sets.withColumnRenamed("node", "pivot"), "pivot"
-    )
-    both = own.select("pivot", "part", F.lit(None).cast("long").alias("node"), "hashes").unionByName(others)
-    rows = both.repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.col("node").asc_nulls_first())
-    return stored(rows.mapInArrow(_compare(percent), "a long, b long"), "minhash_links")
-
-
-def _members(nodes: DataFrame, width: int) -> DataFrame:
-    """key, node of every table in which another node has the same key."""
+def _ties(nodes: DataFrame, width: int) -> DataFrame:
+    """(node, the smallest node of a table's bucket that it is in)."""
     half = nodes.select("node", F.posexplode("halves").alias("slot", "half"))
     met = half.groupBy("slot", "half").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = half.join(met.select("slot", "half"), ["slot", "half"], "left_semi")
@@ -220,58 +281,51 @@ def _members(nodes: DataFrame, width: int) -> DataFrame:
     )
     rows = sides.select("node", F.explode(tables).alias("key"))
     met = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    return stored(rows.join(met.select("key", "low"), "key"), "minhash_members")
+    ties = rows.join(met.select("key", "low"), "key").where("node != low")
+    return stored(ties.select(F.col("node").alias("a"), F.col("low").alias("b")).distinct(), "minhash_ties")
+
 
+def _linked(rows: DataFrame, percent: int) -> DataFrame:
+    """Links among rows (family, part, node, c, side, hashes)."""
+    dealt = rows.repartition("family", "part").sortWithinPartitions("family", "part", "node")
+    return stored(dealt.mapInArrow(_search_blocks(percent), "a long, b long"), "minhash_links")
 
-def _size_allows(percent: int):
-    """A pair whose smaller set is below the share of the larger cannot link."""
-    return F.lit(100) * F.least("n", "pivot_n") >= F.lit(percent) * F.greatest("n", "pivot_n")
+
+def _families(nodes: DataFrame, width: int, block: int) -> DataFrame:
+    """node, family, blocks, block of every node that shares a table with another."""
+    ties = _ties(nodes, width)
+    tied = stored(connected_components(ties), "minhash_families")
+    named = tied.select("node", F.col("component").alias("family")).unionByName(
+        tied.select(F.col("component").alias("node"), F.col("component").alias("family")).distinct()
+    )
+    named = stored(named.join(nodes.select("node", "n"), "node"), "minhash_families")
+    sizes = named.groupBy("family").agg(F.ceil(F.sum(F.col("n") + NODE_WEIGHT) / block).alias("blocks"))
+    dealt = named.join(_small(stored(sizes, "minhash_sizes")), "family")
+    return stored(
+        dealt.select("node", "family", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")),
+        "minhash_blocks",
+    )
 
 
-def similar_nodes(nodes: DataFrame, sets_of, *, width: int = WIDTH, percent: int = 80, group: int = GROUP) -> DataFrame:
+def similar_nodes(nodes: DataFrame, sets_of, *, width: int = WIDTH, percent: int = 80) -> DataFrame:
     """(node, component) of all nodes (node, n, halves) that link with another.
 
-    `sets_of(members)` gives node, hashes of the nodes in `members`."""
-    members = _members(nodes, width)
-    sizes = nodes.select("node", "n")
-    sets = sets_of(members.select("node").distinct())
-    pivots = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sizes, "node").join(pivots, "pivot").where(_size_allows(percent)).select("pivot", "node")
-
-    # every node with the smallest node that it meets anywhere
-    nearest = members.where("node != low").groupBy("node").agg(F.min("low").alias("pivot"))
-    links = _links(stored(fitting(nearest), "minhash_candidates"), sets, percent, group)
-    # the pairs compared so far are gone from the buckets only where the pivot is their smallest node
-    live = members.select("key", "node")
-    ways = 1
-    while True:
-        found = stored(connected_components(links), "minhash_components")
-        named = live.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        kinds = named.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-        mixed = kinds.groupBy("key").agg(
-            F.count(F.lit(1)).alias("kinds"), F.max(F.struct("n", (-F.col("c")).alias("c"))).alias("big")
-        )
-        mixed = stored(mixed.where("kinds > 1").select("key", (-F.col("big.c")).alias("big")), "minhash_mixed")
-        if mixed.isEmpty():
-            return found
-        live = stored(named.join(_small(mixed), "key"), "minhash_live")
-        chosen = stored(
-            live.where("c != big")
-            .groupBy("key", F.pmod(F.xxhash64("node"), F.lit(ways)).alias("way"))
-            .agg(F.min(F.struct("node", "c")).alias("p"))
-            .select("key", F.col("p.node").alias("pivot"), F.col("p.c").alias("pivot_c")),
-            "minhash_chosen",
-        )
-        few = _small(chosen)
-        pairs = live.join(few, "key").where("c != pivot_c").select("pivot", "node")
-        pairs = pairs.select(F.least("pivot", "node").alias("pivot"), F.greatest("pivot", "node").alias("node")).distinct()
-        more = _links(stored(fitting(pairs), "minhash_candidates"), sets, percent, group)
-        links = stored(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "minhash_links")
-        gone = chosen.select("key", F.col("pivot").alias("node"))
-        live = live.select("key", "node").join(F.broadcast(gone) if few is not chosen else gone, ["key", "node"], "left_anti")
-        ways = min(ways * 4, 1 << 20)
+    `sets_of(members)` adds the members' hashes."""
+    families = _families(nodes, width, BLOCK_SHINGLES)
+    sets = sets_of(families)
+    alone = sets.select("family", F.col("block").alias("part"), "node", F.col("node").alias("c"), F.lit(-1).cast("long").alias("side"), "hashes")
+    links = _linked(alone, percent)
+    found = stored(connected_components(links), "minhash_components")
+    wide = sets.where("blocks > 1")
+    if families.where("blocks > 1").isEmpty():
+        return found
+    # every two blocks of a family: a node goes to the pairs that its block is in
+    named = wide.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    pairs = named.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("other != block")
+    pairs = pairs.withColumn("part", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
+    across = _linked(pairs.select("family", "part", "node", "c", F.col("block").alias("side"), "hashes"), percent)
+    links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across)
+    return stored(connected_components(links), "minhash_components")
 
 
 def _groups(texts: DataFrame, shingle: int, percent: int, rows: int, width: int) -> DataFrame:
@@ -287,11 +341,11 @@ def _groups(texts: DataFrame, shingle: int, percent: int, rows: int, width: int)
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash_nodes")
 
     def sets_of(members: DataFrame) -> DataFrame:
-        wanted = stored(nodes.join(members, "node", "left_semi").select("node", "d1", "d2", "low_id"), "minhash_wanted")
+        wanted = stored(nodes.select("node", "d1", "d2", "low_id").join(members, "node"), "minhash_wanted")
         ids = wanted.where("low_id is not null").select(F.col("low_id").alias("doc_id")).distinct()
         some = texts.join(_small(ids), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
         full = some.mapInArrow(_full_sets(shingle), "d1 long, d2 long, hashes array<long>")
-        found = stored(full.join(_small(wanted.select("node", "d1", "d2")), ["d1", "d2"]).select("node", "hashes"), "minhash_sets")
+        found = stored(full.join(_small(wanted.drop("low_id")), ["d1", "d2"]).drop("d1", "d2"), "minhash_sets")
         # rows repeated under one id give a set twice
         return found if found.count() == wanted.count() else stored(found.dropDuplicates(["node"]), "minhash_sets")
 

@@ -48,33 +48,46 @@ def test_minhash_chains_and_families(spark):
     same(minhash.minhash_groups(df), expected)
 
 
-def test_minhash_mixed_buckets_are_compared_to_the_end(spark):
-    """Keys of one minhash put families that do not link into common buckets."""
-    sample = list(enumerate(_near_copies()[:40]))
+@pytest.mark.parametrize("block", [300, 3000])
+def test_minhash_families_of_several_blocks(spark, monkeypatch, block):
+    """Keys of one minhash tie families that do not link; their sets are searched block by block."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
+    sample = list(enumerate(_near_copies()))
     df = spark.createDataFrame(sample, "doc_id long, text string")
     texts = minhash._rows(df, "doc_id", "text")
     got = minhash._groups(texts, 4, 80, rows=1, width=6).select("doc_id", "component_id")
     same(got, [(d, c) for d, _, c, _ in brute.minhash(sample)])
 
 
-def test_minhash_spreads_a_hot_pivot(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "GROUP", 3)
-    rng = random.Random(5)
-    base = [f"h{i}" for i in range(120)]
-    sample = []
-    for i in range(40):
-        copy = list(base)
-        copy[rng.randrange(120)] = f"x{i}"
-        sample.append((i, " ".join(copy)))
-    df = spark.createDataFrame(sample, "doc_id long, text string")
-    candidates = spark.createDataFrame([(0, i) for i in range(1, 40)], "pivot long, node long")
-    sets = df.mapInArrow(minhash._full_sets(4), "d1 long, d2 long, hashes array<long>").select("hashes")
-    ids = [r.doc_id for r in df.collect()]
-    table = spark.createDataFrame([(i, list(r.hashes)) for i, r in zip(ids, sets.collect(), strict=True)], "node long, hashes array<long>")
-    links = minhash._links(candidates, table, 80, 3).collect()
-    words = [set(zip(*(t.split()[k:] for k in range(4)), strict=False)) for _, t in sample]
-    want = {(0, i) for i in range(1, 40) if 100 * len(words[0] & words[i]) >= 80 * len(words[0] | words[i])}
-    assert {(r.a, r.b) for r in links} == want and len(links) == len(want) > 30
+def test_minhash_search_finds_every_connection():
+    rng = np.random.default_rng(9)
+
+    def components(n, edges):
+        group = list(range(n))
+        for a, b in edges:
+            old, new = group[a], group[b]
+            group = [new if g == old else g for g in group]
+        return [group.index(g) for g in group]
+
+    for trial in range(30):
+        base = rng.integers(0, 1 << 40, 60, dtype=np.uint64)
+        sets = []
+        for _ in range(rng.integers(2, 60)):
+            x = base[: rng.integers(3, 60)].copy()
+            x[rng.random(len(x)) < rng.choice([0.02, 0.08, 0.2])] = rng.integers(0, 1 << 40, dtype=np.uint64)
+            sets.append(np.unique(np.r_[x, rng.integers(0, 1 << 40, rng.integers(0, 8), dtype=np.uint64)]))
+        n = len(sets)
+        alike = [(a, b) for a in range(n) for b in range(a) if 100 * (k := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (len(sets[a]) + len(sets[b]) - k)]
+        flat, offs = np.concatenate(sets), np.r_[0, np.cumsum([len(s) for s in sets])]
+        links = minhash.search(flat, offs, np.arange(n), np.full(n, -1), 80)
+        assert set(links) <= {*alike, *((b, a) for a, b in alike)} and len(links) < n
+        assert components(n, links) == components(n, alike)
+        # between two sides, given what each has by itself
+        side = rng.integers(0, 2, n)
+        inner = [(a, b) for a, b in alike if side[a] == side[b]]
+        across = minhash.search(flat, offs, np.array(components(n, inner)), side, 80)
+        assert all(side[a] != side[b] for a, b in across)
+        assert components(n, inner + across) == components(n, alike)
 
 
 def test_minhash_half_keys_meet_as_often_as_computed():
