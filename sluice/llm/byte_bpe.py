@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import prepare
+from .shared import free_name, prepare
 from .text import row_chunks, text_buffer
 
 # symbols
@@ -286,7 +286,8 @@ def _schema(df: DataFrame, drop: list[str], **more) -> T.StructType:
 
 def _rows(docs: DataFrame, text_col: str, keep: list[str] | None) -> DataFrame:
     keep = [c for c in (keep if keep is not None else docs.columns) if c != text_col]
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_pad")).alias("kept"), F.col(f"`{text_col}`").alias("text"))
+    pad = F.lit(0).alias(free_name(keep))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], pad).alias("kept"), F.col(f"`{text_col}`").alias("text"))
 
 
 def encode(docs: DataFrame, ranks: str, *, text_col: str = "text", keep: list[str] | None = None, with_offsets: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import prepare, stored
+from .shared import free_name, prepare, stored
 from .text import ALNUM, LOWER, Grams, find_words, hash_words, row_chunks, text_buffer
 
 BLOCK_WINDOWS = 2_000_000
@@ -163,7 +163,7 @@ def _found(docs, benchmark, n, keep, text_col, item_col, item_text_col, block_wi
     """kept, text, n_words, spans and items; or what `finish` makes of them."""
     spark = prepare(docs)
     out = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep if c != text_col], F.lit(0).alias("_")).alias("kept"),
+        F.struct(*[F.col(f"`{c}`") for c in keep if c != text_col], F.lit(0).alias(free_name(keep))).alias("kept"),
         F.col(f"`{text_col}`").alias("text"),
     )
     plain = T.StructType([*out.schema.fields, *_FOUND.fields])
@@ -223,7 +223,7 @@ def decontaminate(
     columns = docs.columns
     schema = T.StructType(
         [
-            T.StructField("kept", T.StructType([f for f in docs.schema.fields if f.name != text_col] + [T.StructField("_", T.IntegerType())])),
+            T.StructField("kept", T.StructType([f for f in docs.schema.fields if f.name != text_col] + [T.StructField(free_name(columns), T.IntegerType())])),
             T.StructField("text", T.StringType()),
         ]
     )

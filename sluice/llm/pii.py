@@ -1,23 +1,25 @@
 """Personal data: fixed-form entities, and more by bootstrapped contexts.
 
 One narrow scan finds the base entities (email, ip, card, phone) of whole
-texts and the identifier-like tokens with the words to their left. Base
-entities are the seeds. Spark then works on the graph of patterns (left words
-and token form) and instances (tokens): a pattern's confidence is the smoothed
-share of its occurrences that are known instances, an instance's score is the
-noisy-or of its confident patterns; rounds alternate until the number of
-rounds is reached. Tokens in confident patterns, and confident instances
-anywhere, are the discovered spans. Base spans always stay.
+texts and the identifier-like tokens beside them (four or more characters, one
+of them a digit). Both are instances, with the one and the two words to their
+left on the line, alone and with the form of the instance, as patterns. Every
+base entity is a seed. Spark then works on the graph of patterns and instances:
+a pattern's confidence is the smoothed share of its occurrences that are known
+instances, an instance's score is the noisy-or of its confident patterns; both
+alternate until a round makes no pattern confident and no instance known that
+was not. Tokens in confident patterns, and confident instances anywhere, are
+the discovered spans. Base spans always stay.
 
 Pattern and instance statistics are partially aggregated sums over all
 documents; scores return by joins of stored tables. Only the token graph is
 shuffled, never the texts.
 
 Edge cases: a null or empty text has no spans; spans are in code points of
-the whole text; a discovered span that meets a base span is dropped; equal
-rows get equal results; a null doc_id is an ordinary value; without seeds or
-candidates nothing is discovered; an empty table gives an empty result; other
-columns are kept by `redact` and ignored by `find_pii`.
+the whole text; a discovered span never meets a base span; equal rows get
+equal results; a null doc_id is an ordinary value; without seeds or candidates
+nothing is discovered; an empty table gives an empty result; other columns are
+kept by `redact`, whatever their names, and ignored by `find_pii`.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,14 +42,14 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]*[0-9])[A-Za-z0-9@._%+-]{6,}")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]*[0-9])[A-Za-z0-9@._%+-]{4,}")
 _LEFT = re.compile(r"[^\W\d_]+|[=:#]")
-_LEFT_CHARS = 48
+LEAST_CHARS = 4
 
 MIN_SUPPORT = 5
 MIN_CONFIDENCE = 0.8
 SMOOTHING = 1.0
-ROUNDS = 2
+KNOWN = 0.5
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -100,30 +102,53 @@ def _form(token: str) -> str:
     return f"{kinds}{len(token).bit_length()}"
 
 
-def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Identifier-like tokens with their left words, and the kind of the base entity that they meet."""
-    out = []
-    spans = sorted((a, b, k) for k, a, b in base)
+def _instances(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, str | None]]:
+    """Base entities and identifier-like tokens that meet none, by start."""
+    out: list[tuple[int, int, str | None]] = [(a, b, k) for k, a, b in base]
+    # base spans as one ascending list of covered stretches
+    covered: list[list[int]] = []
+    for a, b, _ in sorted(out):
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
     at = 0
     for m in _TOKEN.finditer(text):
         start, end = m.start(), m.end()
         while end > start and text[end - 1] in ".-%+":
             end -= 1
-        while spans and at < len(spans) and spans[at][1] <= start:
+        while at < len(covered) and covered[at][1] <= start:
             at += 1
-        kind = next((k for a, b, k in spans[at : at + 4] if a < end and b > start), None)
-        left = _LEFT.findall(text[max(0, start - _LEFT_CHARS) : start].rpartition("\n")[2])[-2:]
-        if left and end - start >= 6:
+        if end - start >= LEAST_CHARS and (at == len(covered) or covered[at][0] >= end):
+            out.append((start, end, None))
+    return sorted(out, key=lambda x: x[:2])
+
+
+def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
+    """Instances with their patterns; kind is null where it is not known."""
+    out = []
+    seen, left = 0, []  # the words of the line before `seen`
+    for start, end, kind in _instances(text, base):
+        if start > seen:
+            line = text.rfind("\n", seen, start) + 1
+            if line:
+                seen, left = line, []
+            left = (left + _LEFT.findall(text, seen, start))[-2:]
+            seen = start
+        if left:
             token = text[start:end]
-            out.append({"start": start, "end": end, "token": token, "pattern": " ".join([*left, _form(token)]).lower(), "kind": kind})
+            words = {left[-1].lower(), " ".join(left).lower()}
+            form = _form(token)
+            patterns = sorted(words | {f"{w} <{form}>" for w in words})
+            out.append({"start": start, "end": end, "token": token, "patterns": patterns, "kind": kind})
     return out
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_CANDIDATES = "array<struct<start:long,end:long,token:string,pattern:string,kind:string>>"
+_CANDIDATES = "array<struct<start:long,end:long,token:string,patterns:array<string>,kind:string>>"
 _ARROW_CANDIDATES = pa.list_(
-    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.string()), ("pattern", pa.string()), ("kind", pa.string())])
+    pa.struct([("start", pa.int64()), ("end", pa.int64()), ("token", pa.string()), ("patterns", pa.list_(pa.string())), ("kind", pa.string())])
 )
 
 
@@ -138,38 +163,38 @@ def _scan(batches):
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 found.append(candidates(text, spans))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("row_key"), pa.array(base, _ARROW_SPANS), pa.array(found, _ARROW_CANDIDATES)],
-                names=["doc_id", "row_key", "base", "candidates"],
+                [part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array(base, _ARROW_SPANS), pa.array(found, _ARROW_CANDIDATES)],
+                names=["doc_id", "k1", "k2", "base", "candidates"],
             )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), key.alias("row_key"))
+KEY = ["k1", "k2"]
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of id and text: equal rows have one key, others their own."""
+    row = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return [F.xxhash64(*row).alias("k1"), F.xxhash64(F.lit("k2"), *row).alias("k2")]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row_key, base spans and candidates of every row, stored."""
+    """doc_id, k1, k2, base spans and candidates of every row, stored."""
     prepare(docs)
-    rows = _keyed(docs, id_col, text_col)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row_key long, base {_SPANS.simpleString()}, candidates {_CANDIDATES}"
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *_key(id_col, text_col))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, k1 long, k2 long, base {_SPANS.simpleString()}, candidates {_CANDIDATES}"
     return stored(rows.mapInArrow(_scan, schema), "pii_scan")
 
 
-def bootstrap(
-    scanned: DataFrame, *, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
-) -> DataFrame:
-    """row_key and spans (kind, start, end) of the discovered entities."""
-    tokens = stored(
-        scanned.select("row_key", F.explode("candidates").alias("c")).select("row_key", "c.*").distinct(), "pii_candidates"
-    )
-    edges = tokens.groupBy("pattern", "token").agg(
+def bootstrap(scanned: DataFrame, *, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """k1, k2 and spans (kind, start, end) of the discovered entities."""
+    each = scanned.select(*KEY, F.explode("candidates").alias("c")).select(*KEY, "c.*").distinct()
+    tokens = stored(each, "pii_candidates")
+    edges = tokens.select(F.explode("patterns").alias("pattern"), "token", "kind").groupBy("pattern", "token").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("kind").isNotNull().cast("double")).alias("score"), F.max("kind").alias("kind")
     )
-    edges = stored(edges, "pii_edges")
-    patterns = None
-    for _ in range(rounds):
-        known = F.col("score") >= 0.5
+    edges, patterns, before = stored(edges, "pii_edges"), None, None
+    while True:
+        known = F.col("score") >= KNOWN
         scored = edges.groupBy("pattern").agg(
             (F.sum(F.col("n") * F.col("score")) / (F.sum("n") + SMOOTHING)).alias("confidence"),
             F.sum(known.cast("long")).alias("support"),
@@ -178,6 +203,11 @@ def bootstrap(
         patterns = stored(
             scored.where((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence)).drop("support"), "pii_patterns"
         )
+        # scores never fall, so equal numbers are equal sets
+        state = (patterns.count(), edges.where(known).count())
+        if state == before or not state[0]:
+            break
+        before = state
         miss = F.greatest(1 - F.col("confidence"), F.lit(1e-6))
         reached = edges.join(patterns, "pattern").groupBy("token").agg(
             (1 - F.exp(F.sum(F.log(miss)))).alias("reached"), F.max("pattern_kind").alias("reached_kind")
@@ -194,14 +224,15 @@ def bootstrap(
             "pii_edges",
         )
     new = tokens.where("kind is null").drop("kind")
-    by_pattern = new.join(patterns, "pattern").select("row_key", "start", "end", F.col("pattern_kind").alias("kind"))
+    place = [*KEY, "start", "end"]
+    by_pattern = new.select(*place, F.explode("patterns").alias("pattern")).join(patterns, "pattern").select(*place, F.col("pattern_kind").alias("kind"))
     instances = stored(
         edges.where(F.col("score") >= min_confidence).groupBy("token").agg(F.max("kind").alias("kind")), "pii_instances"
     )
-    by_token = new.join(instances, "token").select("row_key", "start", "end", "kind")
-    each = by_pattern.unionByName(by_token).groupBy("row_key", "start", "end").agg(F.max("kind").alias("kind"))
+    by_token = new.select(*place, "token").join(instances, "token").select(*place, "kind")
+    spans = by_pattern.unionByName(by_token).groupBy(*place).agg(F.max("kind").alias("kind"))
     found = F.struct(F.concat(F.lit("found_"), F.col("kind")).alias("kind"), "start", "end")
-    return stored(each.groupBy("row_key").agg(F.array_sort(F.collect_list(found)).alias("found")), "pii_found")
+    return stored(spans.groupBy(*KEY).agg(F.array_sort(F.collect_list(found)).alias("found")), "pii_found")
 
 
 def _joined(spans):
@@ -211,7 +242,7 @@ def _joined(spans):
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, counts of the base kinds, base_sha256, spans (base, then found)."""
     scanned = scan(docs, id_col, text_col)
-    out = scanned.select("doc_id", "row_key", "base").join(bootstrap(scanned), "row_key", "left")
+    out = scanned.select("doc_id", *KEY, "base").join(bootstrap(scanned), KEY, "left")
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS]
     everything = F.concat("base", F.coalesce("found", F.array().cast(_SPANS)))
     return out.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(everything).alias("spans"))
@@ -238,11 +269,10 @@ def _replace(batches):
 def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in brackets; other columns unchanged."""
     columns = docs.columns
+    others = [F.col(f"`{c}`") for c in columns if c != text_col]
     found = bootstrap(scan(docs, id_col, text_col))
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns if c != text_col], F.lit(0).alias("_pad")).alias("kept"),
-        F.col(f"`{text_col}`").alias("text"),
-        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("row_key"),
-    ).join(found, "row_key", "left")
+    # the columns ride along one level down, beside a field that is there in any case
+    row = F.struct(F.lit(0).alias("pad"), *([F.struct(*others).alias("row")] if others else []))
+    rows = docs.select(row.alias("kept"), F.col(f"`{text_col}`").alias("text"), *_key(id_col, text_col)).join(found, KEY, "left")
     done = rows.select("kept", "text", "found").mapInArrow(_replace, T.StructType(rows.select("kept", "text").schema.fields))
-    return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"kept.`{c}`").alias(c) for c in columns])
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"kept.row.`{c}`").alias(c) for c in columns])

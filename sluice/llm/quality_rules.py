@@ -38,13 +38,21 @@ BINS = 16
 FEATURES = ("n_words", "mean_word", "symbols", "marks", "capitals", "digits", "dup_lines", "repeats", "distinct_words")
 
 
+_OWN = {*BASE_COUNTS, "_f", "_text", "_words", "_lines", "_grams", "_sorted", "_marks", "_capitals", "_digits", "_distinct", "_n_lines"}
+
+
 def _matched(pattern: str) -> Column:
     return (F.length("_text") - F.length(F.regexp_replace("_text", pattern, ""))).cast("long")
 
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds the base counts of the whole text, n_words .. n_repeat_words, and
-    the column _f (a struct of FEATURES)."""
+    the column _f (a struct of FEATURES); columns of these names give way."""
+    if {c.lower() for c in docs.columns} & _OWN:
+        # the columns ride along in a struct, out of the way of the names used here
+        held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("text"))
+        others = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c.lower() not in (*BASE_COUNTS, "_f")]
+        return with_counts(held).select(*others, *BASE_COUNTS, "_f")
     t = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     t = t.withColumn("_words", F.array_remove(F.split("_text", SPACES), ""))
     t = t.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))

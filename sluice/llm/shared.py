@@ -32,6 +32,14 @@ def prepare(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def free_name(columns: list[str], name: str = "_pad") -> str:
+    """`name`, with as many underscores as make it none of the columns (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _local(uri: str) -> str | None:
     parts = urlparse(uri)
     return unquote(parts.path) if parts.scheme in ("", "file") else None

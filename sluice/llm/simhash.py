@@ -20,8 +20,9 @@ join of two stored tables that the adaptive skew join can split.
 Edge cases: null and empty texts have fingerprint zero and link like any
 other; fewer than `shingle` words are one shingle; ties of a bit count give 0;
 a null doc_id is a row of its own group's members but never names a component
-unless all ids of the component are null; repeated rows stay; an empty table
-gives an empty result; other columns are ignored.
+(null if all ids of the component are null); different texts under one id have
+a component each; repeated rows stay; an empty table gives an empty result;
+other columns are ignored by `simhash_groups` and kept by `simhash_near_dedup`.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected_components
 from .shared import prepare, stored
@@ -72,7 +74,8 @@ def _fingerprints(shingle: int):
                 raw = LOWER[data[offs[i] : offs[j]]].tobytes()
                 for k in range(i, j):
                     out[k] = fingerprint(raw[offs[k] - offs[i] : offs[k + 1] - offs[i]], shingle)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+            more = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in more), pa.array(out.view(np.int64))], names=[*more, "fp"])
 
     return run
 
@@ -182,35 +185,55 @@ def similarity_edges(nodes: DataFrame, radius: int = 3, bucket_limit: int = BUCK
         free = {x: [i for i in range(BITS) if not (x % (1 << 64)) >> i & 1] for xs in finer.values() for x in xs}
 
 
+def _groups(rows: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """The rows' columns but `text`, and fp, c (the component's number) and component_id."""
+    prepare(rows)
+    kept = T.StructType([f for f in rows.schema.fields if f.name != "text"]).add("fp", "long")
+    prints = stored(rows.mapInArrow(_fingerprints(shingle), kept), "simhash_fingerprints")
+    # a fingerprint is a node by itself, so rows that share an id keep their own components
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash_nodes")
+    edges = similarity_edges(nodes.select(F.col("fp").alias("node"), "fp"), radius)
+    named = nodes.join(connected_components(edges), F.col("fp") == F.col("node"), "left")
+    named = stored(named.select("fp", "low", F.coalesce("component", "fp").alias("c")), "simhash_named")
+    lowest = named.groupBy("c").agg(F.min("low").alias("component_id"))
+    component = stored(named.select("fp", "c").join(lowest, "c"), "simhash_components")
+    return prints.join(component, "fp")
+
+
 def simhash_groups(
     docs: DataFrame, shingle: int = 3, radius: int = 3, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest
     doc_id reachable over links."""
-    prepare(docs)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    prints = stored(rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "simhash_fingerprints")
-    # a node is named by the smallest doc_id of its fingerprint; one without any id does not join others
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash_nodes")
-    edges = similarity_edges(nodes.where("node is not null"), radius)
-    component = nodes.join(connected_components(edges), "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
-    return prints.join(stored(component, "simhash_components"), "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    groups = _groups(rows, shingle, radius)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def simhash_near_dedup(
     docs: DataFrame, shingle: int = 3, radius: int = 3, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The document with the smallest id of each component; rows that share
-    that id and its text are one document, a null id is always kept."""
-    groups = simhash_groups(docs, shingle, radius, id_col=id_col, text_col=text_col)
-    stay = stored(
-        groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("fingerprint").alias("fp")).select(F.col("doc_id").alias("_stay")),
-        "simhash_stay",
-    )
-    key = F.col(f"`{id_col}`").cast("long")
-    kept = docs.join(stay, key == F.col("_stay"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(key.isNull()))
+    """One document of each component: the one with the smallest id, of several
+    texts under that id the one with the smallest digest, of rows that repeat
+    id and text one. Another text under the id of a row that goes or stays is
+    judged by its own component; rows without an id are always kept."""
+    number = docs[f"`{id_col}`"].cast("long")
+    digest = F.sha2(F.coalesce(docs[f"`{text_col}`"], F.lit("")), 256)
+    rows = docs.select(number.alias("doc_id"), docs[f"`{text_col}`"].alias("text"), digest.alias("digest"))
+    groups = stored(_groups(rows, shingle, radius).where("doc_id = component_id").groupBy("c", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")), "simhash_firsts")
+    first = groups.groupBy("c").agg(F.min(F.struct("doc_id", "digest", "n")).alias("s")).select("s.*")
+    first = stored(first, "simhash_stay")
+    once, more = first.where("n = 1"), first.where("n > 1")
+
+    def staying(these: DataFrame) -> DataFrame:
+        return docs.join(these, (number == these["doc_id"]) & (digest == these["digest"]), "left_semi")
+
+    out = staying(once).unionByName(docs.where(number.isNull()))
+    if more.isEmpty():
+        return out
+    # rows that repeat id and text: one of each
+    whole = staying(more)
+    columns = whole.columns
+    held = whole.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), number.alias("i"), digest.alias("d"))
+    one = held.dropDuplicates(["i", "d"])
+    return out.unionByName(one.select(*[F.col("row").getField(c).alias(c) for c in columns]))

@@ -90,6 +90,16 @@ def simhash(rows, shingle=3, radius=3):
     return [(doc, f"{p:016x}", low.get(find(p))) for doc, p in prints]
 
 
+def simhash_kept(rows):
+    """One (id, text) of each component: the smallest id, then the smallest digest; all rows without an id."""
+    group = [c for _, _, c in simhash(list(enumerate(t for _, t in rows)))]
+    first = {}
+    for (doc, text), c in zip(rows, group):
+        if doc is not None:
+            first.setdefault(c, []).append((doc, sha(text or ""), text))
+    return [(d, t) for d, _, t in (min(x, key=lambda r: r[:2]) for x in first.values())] + [r for r in rows if r[0] is None]
+
+
 def quality_counts(text):
     w = SPACED.findall(text or "")
     grams = Counter(zip(w, w[1:], w[2:]))

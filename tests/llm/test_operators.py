@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import byte_bpe, decontaminate, kneser_ney, pii, quality_rules, simhash, substring_dedup, token_store, toxicity, url_templates
+from sluice.llm import byte_bpe, decontaminate, kneser_ney, minhash, pii, quality_rules, simhash, substring_dedup, token_store, toxicity, url_templates
 
 from . import brute
 
@@ -260,16 +260,107 @@ def test_pii_base(docs, rows, empty):
     assert pii.redact(empty).columns == empty.columns
 
 
+def _spans(df):
+    return {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+
+
+def _at(text, part, kind):
+    return f"{kind}:{text.index(part)}:{text.index(part) + len(part)}"
+
+
 def test_pii_discovers_by_context(spark):
     """Seeds share a left context with identifiers of another form."""
     rows = [(i, f"note {i}. call phone: +1 555 123-{1000 + i} today") for i in range(20)]
-    rows += [(100, "call phone: 555-123-4444 today"), (101, "room 555-123-4444 and x77-999-1234")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
-    assert got[0].startswith("phone:")
+    more = [(100, "call phone: 555-123-4444 today"), (101, "room 555-123-4444 and x77-999-1234")]
+    df = spark.createDataFrame(rows + more, "doc_id long, text string")
+    got = _spans(df)
+    assert got[0] == _at(rows[0][1], "+1 555 123-1000", "phone")
+    # by its context, and then anywhere by itself; the other token has neither
+    assert got[100] == _at(more[0][1], "555-123-4444", "found_phone")
+    assert got[101] == _at(more[1][1], "555-123-4444", "found_phone")
     out = {r.doc_id: r.text for r in pii.redact(df).collect()}
-    assert out[0] == "note 0. call phone: [PHONE] today"
-    assert "found_" not in got[101].replace("found_phone:5:17", "")
+    assert out[0] == "note 0. call phone: [PHONE] today" and out[100] == "call phone: [PHONE] today"
+    assert out[101] == "room [PHONE] and x77-999-1234"
+
+
+def test_pii_seeds_are_all_base_entities(spark):
+    """Emails without a digit and cards in groups of four seed contexts of one word."""
+    names = ["ann", "bob", "cid", "dan", "eve", "fay", "gus", "hal", "ida", "jon"]
+    rows = [(i, f"{n} writes mailto {n}.doe@example.com") for i, n in enumerate(names)]
+    cards = []
+    for i in range(12):
+        digits = f"4{i:03d}0000{7 * i:07d}"
+        check = next(c for c in "0123456789" if pii._luhn(digits + c))
+        cards.append(" ".join((digits + check)[k : k + 4] for k in range(0, 16, 4)))
+    rows += [(50 + i, f"w{i} karte {c}") for i, c in enumerate(cards)]
+    rows += [(90, "other words before mailto user77.local"), (91, "x karte 4999-8888")]
+    got = _spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got[0] == _at(rows[0][1], "ann.doe@example.com", "email")
+    assert got[90] == _at("other words before mailto user77.local", "user77.local", "found_email")
+    assert all(got[50 + i] == _at(f"w{i} karte {c}", c, "card") for i, c in enumerate(cards))
+    assert got[91] == _at("x karte 4999-8888", "4999-8888", "found_card")
+    found = pii.candidates("mail to: john.doe@example.com today, card 4111 1111 1111 1111", pii.base_spans("mail to: john.doe@example.com today, card 4111 1111 1111 1111"))
+    assert [(c["token"], c["kind"]) for c in found] == [("john.doe@example.com", "email"), ("4111 1111 1111 1111", "card")]
+    assert "card" in found[1]["patterns"] and "today card" in found[1]["patterns"]
+
+
+def test_pii_goes_on_until_nothing_is_new(spark):
+    """Each context is learned from the identifiers that the one before discovered: five rounds."""
+    rows, n = [], 0
+    for i in range(48):
+        rows.append((n := n + 1, f"alpha user{i}@mail.org"))
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    for k, (w, v) in enumerate(zip(words, words[1:])):
+        for i in range(6):
+            # each token stands once under its own word, and often under the next
+            rows.append((n := n + 1, f"{w} id{k}-{i}777"))
+            rows += [(n := n + 1, f"{v} id{k}-{i}777") for _ in range(6)]
+    rows.append((last := n + 1, "zeta lone-90210"))
+    got = _spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got[last] == _at("zeta lone-90210", "lone-90210", "found_email")
+    assert all("found_email" in s or s.startswith("email") for s in got.values())
+
+
+def test_pii_left_words_are_those_of_the_whole_line():
+    filler = "-" * 5000
+    one = pii.candidates(f"first second {filler} tok1234 {filler} tok5678\nthird tok9999 tok8888", [])
+    assert [(c["token"], [p for p in c["patterns"] if "<" not in p]) for c in one] == [
+        ("tok1234", ["first second", "second"]),
+        ("tok5678", ["second tok", "tok"]),
+        ("tok9999", ["third"]),
+        ("tok8888", ["third tok", "tok"]),
+    ]
+    # many base entities may lie before a token, and one may hold it
+    text = " ".join(f"1.2.3.{i}" for i in range(9)) + " a 10.0.0.1:8080 z9999"
+    base = pii.base_spans(text)
+    assert all(c["kind"] == "ip" or c["token"] in ("8080", "z9999") for c in pii.candidates(text, base))
+
+
+def test_clashing_names_pass_through(spark):
+    text = "one two three four five six seven eight nine ten eleven a@b.example"
+    df = spark.createDataFrame([(1, text, "x", "y", "z", "w", "v", "u")], "doc_id long, text string, _stay string, _ string, _pad string, _words string, n_words string, row string")
+    bench = spark.createDataFrame([(1, "other words here")], "item_id long, text string")
+    for out in (simhash.simhash_near_dedup(df), minhash.minhash_near_dedup(df), decontaminate.decontaminate(df, bench), pii.redact(df)):
+        row = out.first()
+        assert out.columns == df.columns and tuple(row[2:]) == ("x", "y", "z", "w", "v", "u")
+    kept = byte_bpe.encode(df, public_tokenizers.path("byte_bpe_50k.tiktoken")).select("kept.*").first()
+    assert (kept["_pad"], kept["_"], kept["_words"]) == ("z", "y", "w")
+    counted = quality_rules.with_counts(df)
+    assert counted.columns == ["doc_id", "text", "_stay", "_", "_pad", "_words", "row", *quality_rules.BASE_COUNTS, "_f"]
+    assert counted.first()["_words"] == "w" and counted.first()["n_words"] == 12
+
+
+def test_simhash_near_dedup_judges_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = b.replace("b39", "b39 b40 b41")
+    link = brute.simhash([(0, b), (1, near)])
+    assert len({x[2] for x in link}) == 1, "the near copy must link"
+    rows = [(3, b, "p"), (5, a, "q"), (5, near, "r"), (5, c, "s"), (5, c, "s2"), (None, b, "t"), (9, a, "u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, more string")
+    got = sorted(((r.doc_id, r.text, r.more) for r in simhash.simhash_near_dedup(df).collect()), key=str)
+    # both texts of 5 that repeat no other stay, once each; so does the row without an id
+    assert [(d, t) for d, t, _ in got] == sorted([(3, b), (5, a), (5, c), (None, b)], key=str)
+    same(simhash.simhash_groups(df), brute.simhash([r[:2] for r in rows]))
 
 
 def test_kneser_ney(docs, rows, empty):
@@ -323,9 +414,11 @@ def test_kneser_ney_counts_beyond_32_bits(tmp_path):
     assert all((x == y).all() for x, y in zip(back, (v, u, w, big), strict=True))
     *_, n = kneser_ney._summed(*(np.concatenate([x, y]) for x, y in zip(back, (v, u, w, big), strict=True)))
     assert n.tolist() == [6, 2 * ((1 << 32) + 5), 1 << 51]
-    kneser_ney._save(str(tmp_path), "f", kneser_ney._narrow(n), kneser_ney._narrow(np.array([1, 200])), np.zeros(0, np.int64))
-    with kneser_ney.Mapped(str(tmp_path), "f") as (a, b, c):
-        assert a.tolist() == n.tolist() and b.tolist() == [1, 200] and b.itemsize == 1 and len(c) == 0
+    kneser_ney._save(str(tmp_path), "f", *kneser_ney._thin_counts(n), kneser_ney._thin_ids(u[u.argsort()]), np.zeros(0, np.int64))
+    with kneser_ney.Mapped(str(tmp_path), "f") as (*counts, ids, c):
+        assert kneser_ney._counts_at(np.array([2, 0, 1]), *counts).tolist() == [n[2], n[0], n[1]] and len(c) == 0
+        hit, p = kneser_ney._Ids(ids, 3).find(np.array([(1 << 32) - 2, 5, 0]), np.zeros(3, int), np.full(3, 3))
+        assert hit.tolist() == [True, False, True] and p.tolist() == [2, 0]
     with kneser_ney.Mapped(str(tmp_path), "none") as none:
         assert none is None
 
@@ -360,8 +453,8 @@ def test_decontaminate_removes_spans(spark):
 def test_simhash(docs, rows, empty):
     same(simhash.simhash_groups(docs), brute.simhash(rows))
     assert simhash.simhash_groups(empty).count() == 0
-    kept = [r.doc_id for r in simhash.simhash_near_dedup(docs).collect()]
-    assert sorted(d for d in kept if d is not None) == sorted({c for d, _, c in brute.simhash(rows) if d is not None and c == d})
+    kept = [(r.doc_id, r.text) for r in simhash.simhash_near_dedup(docs).collect()]
+    assert sorted(kept, key=str) == sorted(brute.simhash_kept(rows), key=str)
 
 
 def test_covering_masks_miss_no_pair():
