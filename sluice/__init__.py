@@ -38,7 +38,8 @@ from .operators.validate import (
 from .plans.job import JobResult, run_job
 from .rules import ColumnRule, TableRules
 from .session import ship_package, shared_dir
-from .sources.readers import csv_options_from_config, read_sources, read_table
-from .sources.sinks import read_batches, write_batch, write_quarantine, write_table
+from .sources.commits import commits, drop_uncommitted, publish, read_committed
+from .sources.readers import csv_options_from_config, read_by_name, read_sources, read_table
+from .sources.sinks import read_batches, write_batch, write_bucketed, write_quarantine, write_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]

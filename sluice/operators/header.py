@@ -42,9 +42,11 @@ def check_header(columns: list[str], rules: TableRules) -> dict[str, str]:
     return renames
 
 
-def conform_header(df: DataFrame, rules: TableRules) -> DataFrame:
-    """Rename header variants to rule names and keep only rule columns, in rule order."""
+def conform_header(df: DataFrame, rules: TableRules, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rename header variants to rule names and keep only rule columns, in rule
+    order, and those of ``keep`` that are there."""
     renames = check_header(df.columns, rules)
+    more = [c for c in keep if c in df.columns and c not in rules.names]
     if renames:
         df = df.withColumnsRenamed(renames)
-    return df.select(*rules.names)
+    return df.select(*rules.names, *more)

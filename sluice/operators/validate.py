@@ -34,9 +34,12 @@ ERROR_COLUMN = "validation_error"
 FAILED_PREFIX = "Failed columns: "
 FAILED_SEPARATOR = ", "
 FAILED_FALLBACK = "Validation failed"
+MALFORMED_REASON = "Malformed record"
 
 FAILED_LIST_COLUMN = "failed_columns"
 VALID_FLAG = "is_valid"
+MASK_COLUMN = "failed_mask"
+EVIDENCE_COLUMN = "raw_record"  # as the reader names it
 
 ON_UNKNOWN = ("quarantine", "drop")
 
@@ -119,6 +122,18 @@ def failed_columns(col_verdicts: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(~v, F.lit(n)) for n, v in col_verdicts]))
 
 
+def failed_mask(col_verdicts: list[tuple[str, Column]]) -> Column:
+    """Bit i is set if the i-th rule column fails (63 columns at most)."""
+    if len(col_verdicts) > 63:
+        raise ValueError(f"a mask holds 63 columns, not {len(col_verdicts)}")
+    bits = [F.when(~v, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, (_, v) in enumerate(col_verdicts)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long"))
+
+
+def mask_names(mask: int, rules: TableRules) -> list[str]:
+    return [n for i, n in enumerate(rules.names) if mask >> i & 1]
+
+
 def failed_message(col_verdicts: list[tuple[str, Column]]) -> Column:
     """``"Failed columns: A, B"`` in rule order, else ``"Validation failed"``."""
     if not col_verdicts:
@@ -169,21 +184,35 @@ def annotate(
     on_unknown: str = "quarantine",
     conform: bool = True,
     with_failed_list: bool = False,
+    with_mask: bool = False,
+    reject_malformed: bool = False,
 ) -> DataFrame:
     """Rule columns + ``is_valid`` + ``validation_error`` (null on valid rows).
 
     One projection, so both sides of the split can come from one scan (for
-    instance one write partitioned by ``is_valid``).
+    instance one write partitioned by ``is_valid``). A ``raw_record`` column
+    (the text of malformed lines) is carried along to the invalid rows; with
+    ``reject_malformed`` a line that has one is invalid for that. ``with_mask``
+    adds ``failed_mask``, the failed columns as bits.
     """
     if conform:
-        df = conform_header(df, rules)
+        df = conform_header(df, rules, (EVIDENCE_COLUMN,))
+    evidence = EVIDENCE_COLUMN in df.columns and EVIDENCE_COLUMN not in rules.names
     cv = verdicts(rules, on_unknown)
-    ok = row_verdict(cv)
+    ok, message = row_verdict(cv), failed_message(cv)
+    if reject_malformed and evidence:
+        malformed = F.col(EVIDENCE_COLUMN).isNotNull()
+        message = F.concat_ws("; ", F.when(~ok, message), F.when(malformed, F.lit(MALFORMED_REASON)))
+        ok = ok & ~malformed
     cols = [F.col(n) for n in rules.names]
     cols.append(ok.alias(VALID_FLAG))
-    cols.append(F.when(~ok, failed_message(cv)).alias(ERROR_COLUMN))
+    cols.append(F.when(~ok, message).alias(ERROR_COLUMN))
     if with_failed_list:
         cols.append(F.when(~ok, failed_columns(cv)).alias(FAILED_LIST_COLUMN))
+    if with_mask:
+        cols.append(failed_mask(cv).alias(MASK_COLUMN))
+    if evidence:
+        cols.append(F.col(EVIDENCE_COLUMN))
     return df.select(*cols)
 
 
@@ -197,7 +226,7 @@ def split_annotated(
     """Split an :func:`annotate` result into (valid, invalid)."""
     flag = F.col(VALID_FLAG)
     valid = annotated.where(flag).select(*rules.names)
-    extra = [c for c in (ERROR_COLUMN, FAILED_LIST_COLUMN) if c in annotated.columns]
+    extra = [c for c in (ERROR_COLUMN, FAILED_LIST_COLUMN, EVIDENCE_COLUMN) if c in annotated.columns and c not in rules.names]
     invalid = annotated.where(~flag).select(*rules.names, *extra)
     if cast:
         valid = cast_declared(valid, rules)
@@ -228,6 +257,14 @@ def validate(
     return split_annotated(annotated, rules, cast=cast, cast_invalid=cast_invalid)
 
 
+def failure_combinations(annotated: DataFrame, rules: TableRules) -> DataFrame:
+    """failed_columns (in rule order, comma-joined; '' if none) and n_rows of
+    every combination that occurs in an ``annotate(..., with_mask=True)`` frame."""
+    counted = annotated.groupBy(MASK_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+    names = [F.when(F.col(MASK_COLUMN).bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(rules.names)]
+    return counted.select(F.concat_ws(",", *names).alias("failed_columns"), "n_rows")
+
+
 ROW_ENTRY = "__row__"
 
 

@@ -21,6 +21,13 @@ means recomputing its blocks from the source.
 column rules but share a primary key, and then rows whose foreign key no valid
 row of the parent has, are quarantined with that reason. The annotated inputs
 that take part are written once before, as the checks read them several times.
+
+The counts of every combination of failed columns come from the same metrics:
+a bit mask per row, counted exactly by a frequent-items aggregate as long as
+fewer combinations occur than it tracks.
+
+With ``commit`` the quarantine and the result appear at one point (see
+``sluice.sources.commits``); a job that fails before leaves neither.
 """
 
 from __future__ import annotations
@@ -35,10 +42,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keys import ForeignKey, reject_duplicates, reject_orphans
-from ..operators.validate import VALID_FLAG, annotate, split_annotated
+from ..operators.validate import MASK_COLUMN, VALID_FLAG, annotate, mask_names, split_annotated
 from ..rules import TableRules
 from ..session import scratch, staged, staging_path
-from ..sources.sinks import new_batch_id, write_batch, write_quarantine
+from ..sources.commits import commit as commit_batch
+from ..sources.commits import write_attempt
+from ..sources.sinks import QUARANTINE_DIR, new_batch_id, write_batch, write_quarantine
 
 log = logging.getLogger(__name__)
 
@@ -51,14 +60,22 @@ class JobResult:
     output_path: str
     quality: dict[str, dict[str, float]] = field(default_factory=dict)
     published_rows: int | None = None
+    # per input: (failed columns, rows) of each combination that failed, the commonest first
+    failures: dict[str, list[tuple[tuple[str, ...], int]]] = field(default_factory=dict)
+
+
+TRACKED = 1 << 17
 
 
 def _quality_observation(name: str) -> Observation:
     return Observation(f"quality_{name}")
 
 
-def _quality_metrics(flag) -> list:
+def _quality_metrics(annotated: DataFrame) -> list:
+    flag = F.col(VALID_FLAG)
+    masks = [F.expr(f"approx_top_k({MASK_COLUMN}, {TRACKED // 2}, {TRACKED})").alias("masks")] if MASK_COLUMN in annotated.columns else []
     return [
+        *masks,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(flag).alias("valid"),
         F.count_if(~flag).alias("invalid"),
@@ -80,7 +97,7 @@ def stage_annotated(
     """
     path = path or staging_path(spark, name)
     if observation is not None:
-        annotated = annotated.observe(observation, *_quality_metrics(F.col(VALID_FLAG)))
+        annotated = annotated.observe(observation, *_quality_metrics(annotated))
     annotated.write.mode("overwrite").partitionBy(VALID_FLAG).parquet(path)
     # partition values come back as text; the filter on the cast still prunes directories
     schema = StructType([f for f in annotated.schema.fields if f.name != VALID_FLAG]).add(VALID_FLAG, "string")
@@ -133,6 +150,8 @@ def run_job(
     cleanup: bool = True,
     unique: Iterable[str] = (),
     references: Mapping[str, Iterable[ForeignKey]] | None = None,
+    reject_malformed: bool = False,
+    commit: bool = False,
 ) -> JobResult:
     """Run one batch of a rule-driven job and publish it.
 
@@ -140,7 +159,9 @@ def run_job(
     a callable receives the invalid frames instead; None ignores them.
     ``cleanup`` removes the staged tables once the batch is published (or the
     job failed). ``unique`` names the inputs whose primary key is checked,
-    ``references`` the foreign keys per input.
+    ``references`` the foreign keys per input. ``reject_malformed`` makes lines
+    with a ``raw_record`` invalid. ``commit`` publishes the quarantine and the
+    result at one point, to be read with ``read_committed``.
     Any error aborts the job and propagates.
     """
     if stage not in STAGES:
@@ -153,20 +174,24 @@ def run_job(
     with scratch(spark, keep=not cleanup):
         return _run(
             spark, sources, rules, transform, output_base, output_name, fmt, batch_id, on_invalid, on_unknown, stage,
-            quarantine_cast, unique, references,
+            quarantine_cast, unique, references, reject_malformed, commit,
         )
 
 
 def _run(
     spark, sources, rules, transform, output_base, output_name, fmt, batch_id, on_invalid, on_unknown, stage,
-    quarantine_cast, unique, references,
+    quarantine_cast, unique, references, reject_malformed, commit,
 ) -> JobResult:
     valid: dict[str, DataFrame] = {}
     invalid: dict[str, DataFrame] = {}
     observations: dict[str, Observation] = {}
     uncounted: dict[str, DataFrame] = {}
     persisted: list[DataFrame] = []
-    checked = check_keys({n: annotate(df, rules[n], on_unknown=on_unknown) for n, df in sources.items()}, rules, unique, references)
+    annotated_all = {
+        n: annotate(df, rules[n], on_unknown=on_unknown, with_mask=len(rules[n]) < 64, reject_malformed=reject_malformed)
+        for n, df in sources.items()
+    }
+    checked = check_keys(annotated_all, rules, unique, references)
     for name, annotated in checked.items():
         tr = rules[name]
         obs = _quality_observation(name)
@@ -180,7 +205,7 @@ def _run(
                 persisted.append(annotated)
             if on_invalid == "write":
                 # the quarantine job evaluates every row's verdict anyway: count there
-                observed = annotated.observe(obs, *_quality_metrics(F.col(VALID_FLAG)))
+                observed = annotated.observe(obs, *_quality_metrics(annotated))
                 observations[name] = obs
             else:
                 observed = annotated
@@ -191,7 +216,11 @@ def _run(
         invalid[name] = iv.invalid
 
     try:
-        if on_invalid == "write":
+        attempt, tables = None, [output_name]
+        if on_invalid == "write" and commit:
+            named = {f"{QUARANTINE_DIR}/{n}": df for n, df in invalid.items()}
+            attempt, tables = write_attempt(named, output_base, batch_id, fmt), [*tables, *named]
+        elif on_invalid == "write":
             write_quarantine(invalid, output_base, batch_id, fmt)
         elif callable(on_invalid):
             on_invalid(invalid)
@@ -200,18 +229,27 @@ def _run(
 
         result = transform(valid)
         out_obs = Observation("published")
-        write_batch(result, output_base, output_name, batch_id, fmt, observation=out_obs)
-        counts = {name: df.agg(*_quality_metrics(F.col(VALID_FLAG))).first().asDict() for name, df in uncounted.items()}
+        if commit:
+            attempt = write_attempt({output_name: result}, output_base, batch_id, fmt, observations={output_name: out_obs}, attempt=attempt)
+            commit_batch(spark, output_base, batch_id, attempt, tables, fmt)
+        else:
+            write_batch(result, output_base, output_name, batch_id, fmt, observation=out_obs)
+        counts = {name: df.agg(*_quality_metrics(df)).first().asDict() for name, df in uncounted.items()}
     finally:
         for df in persisted:
             df.unpersist()
 
     counts |= {name: dict(obs.get) for name, obs in observations.items()}
     quality: dict[str, dict[str, float]] = {}
+    failures: dict[str, list[tuple[tuple[str, ...], int]]] = {}
     for name in sources:
         q = counts[name]
+        masks = q.pop("masks", None) or []
+        failures[name] = [(tuple(mask_names(m["item"], rules[name])), m["count"]) for m in masks if m["item"]]
+        if len(masks) >= TRACKED // 2:
+            log.warning("%s: more than %d combinations of failed columns; their counts are bounds", name, TRACKED // 2)
         q["invalid_rate"] = (q["invalid"] / q["rows"]) if q["rows"] else 0.0
         quality[name] = q
         log.info("%s: %s", name, quality[name])
     published = out_obs.get.get("rows")
-    return JobResult(batch_id, f"{output_base}/{output_name}", quality, published)
+    return JobResult(batch_id, f"{output_base}/{output_name}", quality, published, failures)

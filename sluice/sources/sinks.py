@@ -1,12 +1,18 @@
 """Sinks (K1-K6): batch-partitioned publication and quarantine.
 
-A batch is a Hive-style partition ``<base>/<name>/batch_date=<id>``. It is
-written with ``partitionBy("batch_date")`` and dynamic partition overwrite,
-so a rerun of the same batch id replaces only that batch and sibling
+A batch is a Hive-style folder ``<base>/<name>/batch_date=<id>``. A rerun of the
+same batch id replaces that folder only, also by an empty frame, and sibling
 batches are kept. Spark's commit protocol makes the write all-or-nothing
-per task, and a lost executor's tasks are simply re-run. An empty frame
-creates no partition directory, so an empty quarantine leaves no trace
-without a separate emptiness check (no extra job).
+per task, and a lost executor's tasks are simply re-run. An empty frame (a
+quarantine without rows) writes an empty batch, without a check before.
+
+Readers of these folders may meet a batch that is being replaced, or a
+quarantine whose result is still missing; ``sluice.sources.commits`` publishes
+several tables at one point instead.
+
+Published text may hold line breaks, so it is read in multi-line mode, where a
+file is one task. Text files are therefore bounded when written, by
+``TEXT_RECORDS_PER_FILE`` records each.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ BATCH_ID_FORMAT = "%Y%m%d_%H%M%S"
 QUARANTINE_DIR = "invalid"
 TEXT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 TEXT_DATE_FORMAT = "yyyy-MM-dd"
+TEXT_RECORDS_PER_FILE = 500_000
 FORMAT_WRITE_OPTIONS: dict[str, dict[str, str]] = {
     "csv": {
         "header": "true",
@@ -40,6 +47,7 @@ FORMAT_WRITE_OPTIONS: dict[str, dict[str, str]] = {
         "ignoreTrailingWhiteSpace": "false",
         "timestampFormat": TEXT_TIMESTAMP_FORMAT,
         "dateFormat": TEXT_DATE_FORMAT,
+        "maxRecordsPerFile": str(TEXT_RECORDS_PER_FILE),
     },
     "json": {
         "ignoreNullFields": "false",
@@ -82,6 +90,17 @@ def write_table(
     writer.save(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """``df`` as a parquet table in ``buckets`` files' worth of key hashes,
+    sorted by key, with rows of null keys left out: a join on these keys needs no
+    exchange of it. ``buckets`` should be no fewer than the session's shuffle
+    partitions, or Spark may shuffle both sides to gain tasks."""
+    spark = df.sparkSession
+    known = df.where(" and ".join(f"`{k}` is not null" for k in keys)).repartition(buckets, *keys)
+    known.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def batch_path(base: str, name: str, batch_id: str) -> str:
     return posixpath.join(base, name, f"{BATCH_COLUMN}={batch_id}")
 
@@ -150,8 +169,8 @@ def read_batches(
     """Read a published table back (K6); ``batch_date`` is discovered from the
     directory names as text. Filtering on it prunes partitions at the scan.
 
-    A table with no batch yet (an empty quarantine writes none) reads as an
-    empty frame when ``schema`` is given.
+    A table without rows in any batch reads as an empty frame when ``schema``
+    is given.
     """
     opts = {"basePath": posixpath.join(base, name)}
     f = fmt.lower()
