@@ -1,10 +1,11 @@
 """URL filter by path templates, in DataFrame expressions only.
 
 Each host has a tree of path segments. Segments that vary by form (numbers,
-hex strings, mixed ids) become wildcards at once; a branch point with many
-different children becomes one wildcard child, down to the deepest path. Branches whose share of
-blocked pages does not differ significantly from their siblings' are merged
-into a wildcard too, at every depth, the deepest first. Every url that an explicit rule judges is a labelled
+hex strings, mixed ids) become wildcards at once; a branch point with more than
+24 different children (counted exactly) becomes one wildcard child, down to the
+deepest path. Branches whose share of blocked pages does not differ
+significantly from their siblings' are merged into a wildcard too, at every
+depth that has siblings, the deepest first; jobs run for such depths only. Every url that an explicit rule judges is a labelled
 example. A template is rejected if its purity, the share of blocked examples
 smoothed towards the same template over all hosts (a host without examples
 keeps literal names, so merged branches count under theirs too) and then towards the whole
@@ -22,8 +23,6 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,31 +84,33 @@ def _paths(pages: DataFrame) -> DataFrame:
     )
 
 
+def _wide_depths(paths: DataFrame) -> list[int]:
+    """Depths at which some host has more than MANY_CHILDREN different segments:
+    no branch point elsewhere can have as many."""
+    each = paths.select("host", F.posexplode("segments").alias("depth", "segment")).distinct()
+    found = each.groupBy("host", "depth").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_CHILDREN)
+    return sorted(r["depth"] for r in found.select("depth").distinct().collect())
+
+
 def _generalise(paths: DataFrame) -> DataFrame:
-    """`template` (segments) of every path: level by level, branch points with
-    many children become wildcards. A path is done at its last segment, or
-    where too few paths are left below its branch point for any wildcard."""
-    going, done, depth = paths.withColumn("template", F.expr("slice(segments, 1, 0)")), [], 0
-    while True:
-        points = going.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("paths"), F.approx_count_distinct(F.get("segments", F.lit(depth))).alias("children")
-        )
-        points = points.where(F.col("paths") > MANY_CHILDREN).select("host", "template", (F.col("children") > MANY_CHILDREN).alias("wide"))
-        child = F.when(F.col("wide"), F.lit("*")).otherwise(F.get("segments", F.lit(depth)))
-        rest = F.expr(f"slice(segments, {depth + 1}, size(segments))")
-        ends = (F.size("segments") <= depth) | F.col("wide").isNull()
+    """`template` (segments) of every path: from the first segments down, the
+    children of a branch point with many become a wildcard. Only depths that can
+    have such a point are looked at, whatever the length of the paths."""
+    out = paths.withColumn("template", F.col("segments"))
+    for depth in _wide_depths(paths):
+        prefix = F.expr(f"slice(template, 1, {depth})")
+        below = out.where(F.size("template") > depth).select("host", prefix.alias("prefix"), F.get("segments", F.lit(depth)).alias("child"))
+        points = below.distinct().groupBy("host", "prefix").agg(F.count(F.lit(1)).alias("children"))
+        points = stored(points.where(F.col("children") > MANY_CHILDREN).select("host", "prefix", F.lit(True).alias("wide")), "url_points")
+        general = F.expr(f"concat(slice(template, 1, {depth}), array('*'), slice(template, {depth + 2}, size(template)))")
         out = stored(
-            going.join(stored(points, "url_points"), ["host", "template"], "left")
-            .withColumn("template", F.when(ends, F.concat("template", rest)).otherwise(F.concat("template", F.array(child))))
-            .withColumn("ends", ends)
-            .drop("wide"),
+            out.withColumn("prefix", prefix)
+            .join(points, ["host", "prefix"], "left")
+            .withColumn("template", F.when(F.col("wide") & (F.size("template") > depth), general).otherwise(F.col("template")))
+            .drop("prefix", "wide"),
             "url_paths",
         )
-        done.append(out.where("ends").drop("ends"))
-        going, depth = out.where(~F.col("ends")).drop("ends"), depth + 1
-        if going.isEmpty():
-            break
-    return stored(reduce(DataFrame.unionByName, done), "url_templates")
+    return out
 
 
 def _joined(template: str) -> Column:
@@ -141,12 +142,22 @@ def _merge_level(stats: DataFrame, depth: int) -> DataFrame:
     return both.where((rest_n > 0) & (F.abs(gap) <= _Z * error)).select("host", "merged", "general")
 
 
+def _sibling_depths(stats: DataFrame) -> list[int]:
+    """Depths at which two templates with examples, of one host and length and
+    alike before, differ: elsewhere a segment has no siblings to merge with."""
+    some = stats.where("examples > 0").select("host", F.size("template").alias("size"), "template")
+    each = some.select("host", "size", "template", F.posexplode("template").alias("depth", "segment"))
+    # equal hashes of different beginnings can only add a depth to look at
+    before = F.expr("xxhash64(slice(template, 1, depth))")
+    found = each.groupBy("host", "size", "depth", before.alias("before")).agg(F.min("segment").alias("a"), F.max("segment").alias("b"))
+    return sorted(r["depth"] for r in found.where("a <> b").select("depth").distinct().collect())
+
+
 def _merge(stats: DataFrame) -> DataFrame:
     """`merged` template per (host, template): from the deepest segments up,
     literal branches join their similar siblings as wildcards."""
     out = stats.withColumn("merged", F.col("template"))
-    deepest = stats.where("examples > 0").agg(F.max(F.size("template"))).first()[0] or 0
-    for depth in reversed(range(deepest)):
+    for depth in reversed(_sibling_depths(stats)):
         step = stored(_merge_level(out, depth), "url_step")
         if step.isEmpty():
             continue
