@@ -62,7 +62,7 @@ class Tokenizers:
         import sentencepiece
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = _Pieces(a_path)
+        self.a = _Pieces(a_path, special_as_text=True)
         letters = _byte_letters()
         vocab = self.a.tokenizer.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocab.values()) + 1)

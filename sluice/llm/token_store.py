@@ -91,6 +91,21 @@ class EliasFano:
             need -= int(counts[-1])
             byte += len(block)
 
+    def select(self, i: int, j: int) -> np.ndarray:
+        """Values i .. j-1: the upper bits from the sample before i on, as far as needed."""
+        j = min(j, self.n)
+        if i >= j:
+            return np.zeros(0, np.int64)
+        at = int(self.samples[i // SAMPLE])
+        skip, byte, found, ones = i % SAMPLE, at // 8, 0, []
+        while found < skip + j - i:
+            bits = np.flatnonzero(np.unpackbits(self.high[byte : byte + 1024], bitorder="little")) + 8 * byte
+            bits = bits[bits >= at]
+            ones.append(bits)
+            found, byte = found + len(bits), byte + 1024
+        upper = np.concatenate(ones)[skip : skip + j - i] - np.arange(i, j)
+        return ((upper.astype(np.uint64) << np.uint64(self.low_bits)) | self._low(i, j)).astype(np.int64)
+
     def all(self) -> np.ndarray:
         out = np.empty(self.n, np.uint64)
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
@@ -128,12 +143,21 @@ class Shard:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.ends.get(i - 1) if i else 0 : self.ends.get(i)]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [int(k) + self.first_key for k in self.keys.all()]
+    def bounds(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of documents i .. j-1, by select."""
+        ends = self.ends.select(i, j)
+        return np.concatenate([[self.ends.get(i - 1) if i else 0], ends[:-1]]), ends
+
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        """Ids of documents i .. j-1; null ids come first."""
+        some = self.keys.select(max(i - self.nulls, 0), max(j - self.nulls, 0)) + self.first_key
+        return [None] * (min(j, self.nulls) - min(i, self.nulls)) + some.tolist()
 
 
 class PieceEncoder:
-    """tokenizers' ids of whole texts, through a bounded cache of pieces."""
+    """tokenizers' ids of whole texts, through a bounded cache of pieces. A text
+    that holds a special token's string goes to the library whole, unless such
+    strings are to be plain text."""
 
     CACHED = 1_800_000
     LONG = 48
@@ -142,14 +166,16 @@ class PieceEncoder:
     _cut = re.compile(r" (?=\S)")
     _pairs = ("  ", " \n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         line = self._ids(["\n"])[0]
         self.line = line[0] if len(line) == 1 else None
@@ -188,6 +214,16 @@ class PieceEncoder:
         return text.split(" ") if plain or not self._odd.search(text) else self._cut.split(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
+        if not whole:
+            return self._encode(texts)
+        apart = set(whole)
+        out = self._encode(["" if k in apart else t for k, t in enumerate(texts)])
+        for k, ids in zip(whole, self._ids([texts[k] for k in whole]), strict=True):
+            out[k] = np.array(ids, dtype=self.dtype).tobytes()
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._split(t) for t in texts]
         heads = [c[0] for c in cut]
         self._learn({h for h in heads if h not in self.first}, self.first, "")
@@ -280,7 +316,8 @@ def write_token_store(
     folder = folder or shared_folder(spark, "token_shards")
     rows = (
         docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-        .repartitionByRange("doc_id")
+        # the rows of one id, or of none, may be more than a shard takes
+        .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
     manifest = stored(rows.mapInArrow(_write(tokenizer, folder, end_id), _MANIFEST), "token_manifest")
@@ -293,17 +330,14 @@ def _read(batches):
     for batch in batches:
         for row in batch.to_pylist():
             shard = Shard(row["uri"])
-            ends = shard.ends.all().astype(np.int64)
-            starts = np.concatenate([[0], ends[:-1]])
-            ids = shard.doc_ids()
-            for i in range(0, len(ends), 4096):
-                j = min(i + 4096, len(ends))
-                crcs = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts[i:j], ends[i:j], strict=True)]
+            for i in range(0, shard.ends.n, 4096):
+                starts, ends = shard.bounds(i, i + 4096)
+                crcs = [zlib.crc32(shard.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[i:j], pa.int64()),
-                        pa.array(starts[i:j] + row["start"]),
-                        pa.array(ends[i:j] - starts[i:j]),
+                        pa.array(shard.doc_ids(i, i + len(ends)), pa.int64()),
+                        pa.array(starts + row["start"]),
+                        pa.array(ends - starts),
                         pa.array(crcs, pa.int64()),
                     ],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
@@ -326,7 +360,8 @@ def token_documents(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(row["uri"])
-                for i, key in enumerate(shard.doc_ids()):
+                for i in range(shard.ends.n):
+                    key = shard.doc_ids(i, i + 1)[0]
                     ids = pa.array([shard.document(i).astype(np.int32)], pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), ids], names=["doc_id", "ids"])
 
