@@ -230,6 +230,82 @@ def url(u):
     return host, path, *best
 
 
+def url_verdicts(urls, rules, many=24, smoothing=8.0, cut=0.5):
+    """(template, verdict) by trees in plain dictionaries."""
+    def form(s):
+        tail = (re.search(r"[.][A-Za-z]{2,5}$", s) or [""])[0]
+        stem = s[: len(s) - len(tail)]
+        if re.search("^[0-9]+$", stem):
+            return "{n}" + tail
+        if re.search("^[0-9a-fA-F-]{8,}$", stem):
+            return "{hex}" + tail
+        return "{id}" + tail if re.search("[0-9]", stem) and len(stem) >= 6 else s
+
+    def parts(u):
+        host, path, *_ = url(u)
+        best = (None, None)
+        for verdict, rule in rules:
+            h, p = rule.split("/", 1)
+            if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(rule) > len(best[0] or ""):
+                best = (rule, verdict)
+        return host, tuple(form(s) for s in path.split("/") if s), *best
+
+    rows = [parts(u) for u in urls]
+    template = {(h, p): list(p) for h, p, *_ in rows}
+    for d in range(max(len(p) for _, p in template)):
+        children = defaultdict(set)
+        for (h, p), t in template.items():
+            if len(p) > d:
+                children[h, tuple(t[:d])].add(p[d])
+        for (h, p), t in template.items():
+            if len(p) > d and len(children[h, tuple(t[:d])]) > many:
+                t[d] = "*"
+    stats = defaultdict(lambda: [0, 0])  # examples, blocked
+    for h, p, rule, verdict in rows:
+        x = stats[h, tuple(template[h, p])]
+        x[0] += rule is not None
+        x[1] += verdict == "block"
+    merged = {k: k[1] for k in stats}
+    for d in reversed(range(max(len(t) for _, t in stats))):
+        branch, pooled = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+        for (h, t), x in stats.items():
+            m = merged[h, t]
+            if len(m) > d and x[0] and m[d] != "*" and not re.match(r"\{(n|hex|id)\}", m[d]):
+                for k in (0, 1):
+                    branch[h, m][k] += x[k]
+        for (h, m), x in branch.items():
+            for k in (0, 1):
+                pooled[h, (*m[:d], "*", *m[d + 1 :])][k] += x[k]
+        joins = {}
+        for (h, m), (n, b) in branch.items():
+            g = (*m[:d], "*", *m[d + 1 :])
+            all_n, all_b = pooled[h, g]
+            if all_n > n:
+                share = all_b / all_n
+                gap = b / n - (all_b - b) / (all_n - n)
+                if abs(gap) <= 1.96 * math.sqrt(share * (1 - share) * (1 / n + 1 / (all_n - n))):
+                    joins[h, m] = g
+        for k in merged:
+            merged[k] = joins.get((k[0], merged[k]), merged[k])
+    by_host, general = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for (h, t), x in stats.items():
+        m = merged[h, t]
+        for k in (0, 1):
+            by_host[h, m][k] += x[k]
+            general[m][k] += x[k]
+            if t != m:
+                general[t][k] += x[k]
+    total = [sum(x[k] for x in stats.values()) for k in (0, 1)]
+    prior = total[1] / max(total[0], 1)
+    out = []
+    for h, p, _, verdict in rows:
+        m = merged[h, tuple(template[h, p])]
+        over_all = (general[m][1] + smoothing * prior) / (general[m][0] + smoothing)
+        purity = (by_host[h, m][1] + smoothing * over_all) / (by_host[h, m][0] + smoothing)
+        out.append(("".join(f"/{s}" for s in m), verdict or ("block" if purity > cut else "allow")))
+    return out
+
+
 def _nearest_links(ids, linked):
     """Smallest id reachable, by position; null ids never name a group."""
     group = list(range(len(ids)))

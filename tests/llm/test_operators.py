@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,39 +100,60 @@ def test_substring_dedup_of_repeats_inside_a_document(spark):
         same(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select(cols), want)
 
 
-def test_token_store(docs, rows, empty):
+def test_token_store(docs, rows, empty, spark):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(path)  # as it comes: a special token's string is that token
+    more = [(20_000, "a <|endoftext|>"), (20_001, "<|endoftext|><|endoftext|> b\n"), (None, "x <|endoftext|> y")]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    rows = [*rows, *more]
     manifest = token_store.write_token_store(docs, path)
     got = token_store.read_token_store(manifest).orderBy("start").collect()
     assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
-    want = sorted(
-        (((d is not None), d or 0, len(i) + 1, zlib.crc32(b"".join(x.to_bytes(4, "little") for x in [*i, 0]))) for d, i in ((d, t.encode(x or "", add_special_tokens=False).ids) for d, x in rows))
-    )
-    assert sorted(((r.doc_id is not None), r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in got) == want
+    ids = [(d, [*t.encode(x or "", add_special_tokens=False).ids, 0]) for d, x in rows]
+    assert [i for d, i in ids if d == 20_000] == [[64, 220, 50256, 0]]
+    key = lambda r: (r[0] is not None, *(x or 0 for x in r))
+    want = sorted(((d, len(i), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in i))) for d, i in ids), key=key)
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=key) == want
     at = 0
     for r in got:
         assert r.start == at
         at += r.n_tokens
-    one = token_store.token_documents(docs.sparkSession, manifest).where("doc_id = 10010").first()
-    assert one.ids == [*t.encode(EDGE_TEXTS[10 - 60], add_special_tokens=False).ids, 0] if len(EDGE_TEXTS) > 60 else one.ids[-1] == 0
+    every = token_store.token_documents(spark, manifest).collect()
+    assert sorted(((r.doc_id, list(r.ids)) for r in every), key=str) == sorted(ids, key=str)
     assert token_store.read_token_store(token_store.write_token_store(empty, path)).count() == 0
 
 
-def test_pieces_match_the_library():
-    import numpy as np
-    import public_tokenizers
+def test_token_store_reads_by_select_alone(spark, monkeypatch):
+    """One id on all rows is spread over shards, and no table of all ends is made."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(7, f"text {i}") for i in range(400)], "doc_id long, text string")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_store.write_token_store(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert manifest.count() > 1
+    monkeypatch.delattr(token_store.EliasFano, "all")
+    rows = manifest.toPandas().to_dict("records")
+    read = [b.to_pylist() for b in token_store._read([pa.RecordBatch.from_pylist(rows)])]
+    assert sum(map(len, read)) == 400 and {r["doc_id"] for b in read for r in b} == {7}
+
 
-    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+def test_pieces_match_the_library():
     rng = random.Random(5)
     parts = [" ", "  ", "\n", "\t", "\u3000", "\x85", "\x1c", "a", "it's", "'ll", "\u00e9", "\u65e5\u672c", "12", "#$", "<|endoftext|>", "\x00", "."]
-    for _ in range(50):
-        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(40)]
-        want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
-        assert encoder.encode(texts) == [np.array(e.ids, dtype=encoder.dtype).tobytes() for e in want]
+    for plain in (False, True):
+        encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), special_as_text=plain)
+        seen = 0
+        for _ in range(50):
+            texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(40)]
+            want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+            assert encoder.encode(texts) == [np.array(e.ids, dtype=encoder.dtype).tobytes() for e in want]
+            seen += sum(50256 in e.ids for e in want)
+        assert bool(seen) != plain
 
 
 def test_elias_fano():
@@ -144,6 +166,10 @@ def test_elias_fano():
         f = token_store.EliasFano.build(values)
         assert f.all().tolist() == values
         assert all(f.get(i) == values[i] for i in range(0, len(values), 31))
+        for _ in range(8):
+            i = rng.randint(0, len(values))
+            j = rng.randint(i, len(values) + 3)
+            assert f.select(i, j).tolist() == values[i:j]
 
 
 def _tiktoken():
@@ -213,6 +239,43 @@ def test_url_templates_deep_paths(spark):
     assert got["c.org", "/loop" * 300].template == "/loop" * 300 and got["c.org", ""].template == ""
 
 
+def test_url_templates_jobs_do_not_follow_the_length_of_paths(spark, monkeypatch):
+    """A labelled url of a thousand segments costs no more stored tables than one of five."""
+    rules = (("block", "a.com/"),)
+    stored, tables = url_templates.stored, []
+    monkeypatch.setattr(url_templates, "stored", lambda df, name: tables.append(name) or stored(df, name))
+    urls = [f"http://a.com/x/{i}" for i in range(30)] + ["http://a.com/y/z"]
+    counts, deep = [], {}
+    for n in (5, 1000):
+        tables.clear()
+        df = spark.createDataFrame(list(enumerate([*urls, "http://a.com/" + "/".join(f"s{k}x" for k in range(n))])), "page_id long, url string")
+        deep[n] = {r.path: r for r in url_templates.judge_urls(df, rules=rules).collect()}
+        counts.append(len(tables))
+    assert counts[0] == counts[1]
+    assert all(r.verdict == "block" for r in deep[1000].values())
+
+
+def test_url_templates_count_children_exactly(spark):
+    for children, template in ((24, "/p/c3/x"), (25, "/p/*/x")):
+        urls = [f"http://h.org/p/c{i}/x" for i in range(children)] + ["http://h.org/p/c3/y/deep"]
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = {r.path: r.template for r in url_templates.judge_urls(df).collect()}
+        assert got["/p/c3/x"] == template
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_url_verdicts_equal_the_plain_version(spark, seed):
+    rng = random.Random(seed)
+    names = ["buy", "read", "shop", "news", "a", "b", "7", "42", "deadbeef01", "item99x", "x.html", "5.html"]
+    hosts = ["a.com", "b.com", "c.org", "d.net"]
+    urls = [f"http://{rng.choice(hosts)}/" + "/".join(rng.choice(names) for _ in range(rng.randint(0, 5))) for _ in range(500)]
+    urls += [f"http://c.org/wide/w{chr(97 + i % 26)}{chr(97 + i // 26)}/{rng.choice(names)}" for i in range(40)] + [None, "x", "http://"]
+    rules = (("block", "a.com/buy/"), ("allow", "a.com/"), ("block", "b.com/shop/"), ("allow", "b.com/news/"), ("block", "a.com/shop/a/"))
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    got = url_templates.judge_urls(df, rules=rules).select("page_id", "template", "verdict")
+    same(got, [(i, *x) for i, x in enumerate(brute.url_verdicts(urls, rules))])
+
+
 def test_url_templates_merge_at_every_depth(spark):
     """Similar branches below the first segment share a template; one that differs stays apart."""
     rules = (("block", "a.com/shop/"), ("allow", "a.com/shop/cart/"), ("block", "a.com/shop/cart/z/"))
