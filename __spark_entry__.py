@@ -495,12 +495,12 @@ def q_parse_dates(spark, sf):
 def q_constant_and_projection(spark, sf):
     return (
         _claim(spark, sf)
-        .withColumnsRenamed({"CREATION_DATE": "CLAIM_CREATION_DATE", "CONTRAT_ID": "CONTRACT_ID_FROM_CLAIM"})
+        .withColumnsRenamed({"CREATION_DATE": "claim_created", "CONTRAT_ID": "claimed_contract"})
         .select(
             F.lit(C.SOURCE_SYSTEM_LABEL).alias("CONTRACT_SOURCE_SYSTEM"),
             "CLAIM_ID",
-            "CONTRACT_ID_FROM_CLAIM",
-            "CLAIM_CREATION_DATE",
+            "claimed_contract",
+            "claim_created",
         )
     )
 
@@ -675,21 +675,21 @@ _BASE = _with(
        TRY_CAST(CLAIM_TYPE AS INTEGER) AS CLAIM_TYPE, DATE_OF_LOSS, TRY_CAST(AMOUNT AS DECIMAL(16,5)) AS AMOUNT,
        CREATION_DATE FROM claim_flag WHERE v_row)""",
     """joined AS (
-  SELECT c.SOURCE_SYSTEM, c.CLAIM_ID, c.CONTRACT_SOURCE_SYSTEM, c.CONTRACT_ID AS CONTRACT_ID_FROM_CLAIM,
-         c.CLAIM_TYPE, c.DATE_OF_LOSS, c.AMOUNT, c.CREATION_DATE AS CLAIM_CREATION_DATE,
-         k.CONTRACT_ID AS CONTRACT_ID_FROM_CONTRACT, k.CREATION_DATE AS CONTRACT_CREATION_DATE
+  SELECT c.SOURCE_SYSTEM, c.CLAIM_ID, c.CONTRACT_SOURCE_SYSTEM, c.CONTRACT_ID AS claimed_contract,
+         c.CLAIM_TYPE, c.DATE_OF_LOSS, c.AMOUNT, c.CREATION_DATE AS claim_created,
+         k.CONTRACT_ID AS matched_contract, k.CREATION_DATE AS contract_created
   FROM claim_valid c LEFT JOIN contract_valid k
     ON c.CONTRACT_SOURCE_SYSTEM = k.SOURCE_SYSTEM AND c.CONTRACT_ID = k.CONTRACT_ID
 )""",
     f"""transactions AS (
   SELECT 'Europe 3' AS CONTRACT_SOURCE_SYSTEM,
-         CONTRACT_ID_FROM_CONTRACT AS CONTRACT_SOURCE_SYSTEM_ID,
+         matched_contract AS CONTRACT_SOURCE_SYSTEM_ID,
          TRY_CAST(regexp_replace(CLAIM_ID, '^[A-Za-z_]+', '') AS INTEGER) AS SOURCE_SYSTEM_ID,
          CASE CLAIM_TYPE WHEN 1 THEN 'Private' WHEN 2 THEN 'Corporate' ELSE 'Unknown' END AS TRANSACTION_TYPE,
          CASE WHEN CLAIM_ID LIKE 'CL%' THEN 'COINSURANCE' WHEN CLAIM_ID LIKE 'RX%' THEN 'REINSURANCE' END AS TRANSACTION_DIRECTION,
          CAST(AMOUNT AS DECIMAL(16,5)) AS CONFORMED_VALUE,
          CAST(try_strptime(DATE_OF_LOSS, '%d.%m.%Y') AS DATE) AS BUSINESS_DATE,
-         try_strptime(CLAIM_CREATION_DATE, '%d.%m.%Y %H:%M') AS CREATION_DATE,
+         try_strptime(claim_created, '%d.%m.%Y %H:%M') AS CREATION_DATE,
          TIMESTAMP '{RUN_TS}' AS SYSTEM_TIMESTAMP,
          CASE WHEN CLAIM_ID IS NULL OR CLAIM_ID = '' THEN 'UNKNOWN_HASH' ELSE md5(CLAIM_ID) END AS NSE_ID
   FROM joined
@@ -910,8 +910,8 @@ SELECT CONTRACT_ID,
        try_strptime(CREATION_DATE, '%d.%m.%Y %H:%M') AS CREATED_AT
 FROM raw_contract""",
     "constant_and_projection": f"""{_BASE}
-SELECT 'Europe 3' AS CONTRACT_SOURCE_SYSTEM, CLAIM_ID, CONTRAT_ID AS CONTRACT_ID_FROM_CLAIM,
-       CREATION_DATE AS CLAIM_CREATION_DATE FROM raw_claim""",
+SELECT 'Europe 3' AS CONTRACT_SOURCE_SYSTEM, CLAIM_ID, CONTRAT_ID AS claimed_contract,
+       CREATION_DATE AS claim_created FROM raw_claim""",
 }
 
 

@@ -83,17 +83,17 @@ def join_claims_to_contracts(
     """Claim ⟕ contract on (CONTRACT_SOURCE_SYSTEM = SOURCE_SYSTEM, CONTRACT_ID).
 
     Clashing names are disambiguated before the join: the claim's
-    ``CONTRACT_ID``/``CREATION_DATE`` become ``CONTRACT_ID_FROM_CLAIM`` /
-    ``CLAIM_CREATION_DATE``; of the contract only ``CONTRACT_ID`` (as
-    ``CONTRACT_ID_FROM_CONTRACT``) and ``CREATION_DATE`` (as
-    ``CONTRACT_CREATION_DATE``) are kept.
+    ``CONTRACT_ID``/``CREATION_DATE`` become ``claimed_contract`` /
+    ``claim_created``; of the contract only ``CONTRACT_ID`` (as
+    ``matched_contract``) and ``CREATION_DATE`` (as
+    ``contract_created``) are kept.
     """
-    c = claim.withColumnsRenamed({"CONTRACT_ID": "CONTRACT_ID_FROM_CLAIM", "CREATION_DATE": "CLAIM_CREATION_DATE"})
+    c = claim.withColumnsRenamed({"CONTRACT_ID": "claimed_contract", "CREATION_DATE": "claim_created"})
     return left_join_on_keys(
         c,
         contract,
-        [("CONTRACT_SOURCE_SYSTEM", "SOURCE_SYSTEM"), ("CONTRACT_ID_FROM_CLAIM", "CONTRACT_ID")],
-        right_columns={"CONTRACT_ID": "CONTRACT_ID_FROM_CONTRACT", "CREATION_DATE": "CONTRACT_CREATION_DATE"},
+        [("CONTRACT_SOURCE_SYSTEM", "SOURCE_SYSTEM"), ("claimed_contract", "CONTRACT_ID")],
+        right_columns={"CONTRACT_ID": "matched_contract", "CREATION_DATE": "contract_created"},
         skew=skew,
     )
 
