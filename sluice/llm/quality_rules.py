@@ -230,8 +230,9 @@ def learn(
         if not grown:
             break
         rule = _prune(grown, [c for c in cells if c[3]])
-        covered = _totals([c for c in cells if _holds(c[0], rule)])
-        if _precision(*covered) < min_precision or covered[0] < min_bad:
+        # judged on the part that it was not grown on
+        judged = _totals([c for c in cells if c[3] and _holds(c[0], rule)])
+        if _precision(*judged) < min_precision or judged[0] < min_bad:
             break
         rules.append(tuple(Condition(FEATURES[f], up, float(cuts[FEATURES[f]][b - 1])) for f, up, b in rule))
         cells = [c for c in cells if not _holds(c[0], rule)]
