@@ -57,6 +57,16 @@ def decontaminate(rows, items, n=10):
     return out
 
 
+def hit_words(rows, items, n=10):
+    """The positions of the words inside benchmark windows, per document."""
+    windows = {tuple(w[i : i + min(n, len(w))]) for _, t in items if (w := ALNUM.findall(lower(t))) for i in range(len(w) - min(n, len(w)) + 1)}
+    sizes, out = {len(k) for k in windows}, []
+    for _, text in rows:
+        w = ALNUM.findall(lower(text))
+        out.append({p for k in sizes for i in range(len(w) - k + 1) if tuple(w[i : i + k]) in windows for p in range(i, i + k)})
+    return out
+
+
 def simhash(rows, shingle=3, radius=3):
     import xxhash
 
@@ -117,6 +127,77 @@ def quality_counts(text):
     return len(w), sum(map(len, w)), symbols, dup, len(covered), failed
 
 
+def quality_features(text):
+    t = text or ""
+    n, chars, symbols, dup, repeats, _ = quality_counts(t)
+    words, letters = max(n, 1), max(chars, 1)
+    count = lambda p: len(re.findall(p, t))
+    lines = sum(bool(SPACED.search(x)) for x in t.split("\n"))
+    return {
+        "n_words": float(n),
+        "mean_word": chars / words,
+        "symbols": symbols / letters,
+        "marks": count("[!?]") / letters,
+        "capitals": count("[A-Z]") / letters,
+        "digits": count("[0-9]") / letters,
+        "dup_lines": dup / max(lines, 1),
+        "repeats": repeats / words,
+        "distinct_words": len(set(SPACED.findall(t))) / words,
+    }
+
+
+def quality_list(rows, bins, min_bad=5, min_precision=0.9):
+    """Sequential covering over (features, label, held part) rows, without bins or counts."""
+    names = list(rows[0][0])
+    cuts = {}
+    for f in names:
+        cuts[f] = set()
+        for y in {r[1] for r in rows}:
+            v = sorted(r[0][f] for r in rows if r[1] == y)
+            cuts[f] |= {v[max(math.ceil(k / bins * len(v)) - 1, 0)] for k in range(bins + 1)}
+        cuts[f] = sorted(cuts[f])
+
+    def meets(x, rule):
+        return all((x[f] >= t) == up for f, up, t in rule)
+
+    def count(some):
+        bad = sum(r[1] == 0 for r in some)
+        return bad, len(some) - bad
+
+    def precision(some):
+        bad, good = count(some)
+        return (bad + 1) / (bad + good + 2)
+
+    out = []
+    while True:
+        rule, inside = [], [r for r in rows if not r[2]]
+        while True:
+            bad, good = count(inside)
+            if not good or bad < min_bad:
+                break
+            before, best = math.log2(bad / (bad + good)), (0.0, None)
+            for f in names:
+                for t in cuts[f]:
+                    below = [r for r in inside if r[0][f] < t]
+                    for up, (x, y) in ((False, count(below)), (True, tuple(a - b for a, b in zip((bad, good), count(below))))):
+                        if x >= min_bad and x * (math.log2(x / (x + y)) - before) > best[0] + 1e-9:
+                            best = (x * (math.log2(x / (x + y)) - before), (f, up, t))
+            if best[1] is None:
+                break
+            rule.append(best[1])
+            inside = [r for r in inside if meets(r[0], rule[-1:])]
+        if not rule:
+            return out
+        held_part = [r for r in rows if r[2]]
+        covered = lambda k: [r for r in held_part if meets(r[0], k)]
+        while len(rule) > 1 and precision(covered(rule[:-1])) >= precision(covered(rule)):
+            rule = rule[:-1]
+        if precision(covered(rule)) < min_precision or count(covered(rule))[0] < min_bad:
+            return out
+        out.append(rule)
+        rows = [r for r in rows if not meets(r[0], rule)]
+
+
 def pii(text):
     text = text or ""
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
