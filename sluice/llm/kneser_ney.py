@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from .shared import map_file, prepare, shared_folder, stored, write_file
 from .text import LOWER, SPACED, U64, combine, find_words, hash_words, mix, row_chunks, signed, text_buffer
 
-TOKENS_PER_SHARD = 1_000_000
+TOKENS_PER_SHARD = 2_000_000
 ROWS_PER_FILE = 1_000_000
 FLUSH_TOKENS = 1_000_000
 _END = np.int64(-0x61C8864680B583EB)  # the end token, beside the word hashes
@@ -117,9 +117,10 @@ class Mapped:
                 _MAPPED[self.uri] = map_file(self.uri)
             except FileNotFoundError:  # a shard without rows
                 _MAPPED[self.uri] = None
-        raw = self.raw = _MAPPED[self.uri]
-        if raw is None:
+        self.raw = _MAPPED[self.uri]
+        if self.raw is None:
             return None
+        raw = self.raw.view(np.ndarray)
         n = int(raw[:8].view("<i8")[0])
         out, at = [], 8 + 16 * n
         for k in range(n):
@@ -147,7 +148,7 @@ def _write_words(folder: str):
             return
         w, c = np.concatenate(w), np.concatenate(c)
         part = TaskContext.get().partitionId()
-        name = _save(folder, f"words-{part}", w, c)
+        name = _save(folder, f"words-{part}", w, *_thin_counts(c))
         yield pa.RecordBatch.from_pylist(
             [{"part": part, "name": name, "n": len(w), "first": int(w[0]), "last": int(w[-1])}], schema=_arrow(_WORD_FILES)
         )
@@ -172,10 +173,10 @@ class Vocabulary:
             a, b = np.searchsorted(words, f["first"]), np.searchsorted(words, f["last"], side="right")
             if a == b:
                 continue
-            with Mapped(self.folder, f["name"]) as (known, c):
+            with Mapped(self.folder, f["name"]) as (known, *c):
                 at = np.searchsorted(known, words[a:b])
                 hit = known[at] == words[a:b]
-                ids[a:b][hit], counts[a:b][hit] = at[hit] + base, c[at[hit]]
+                ids[a:b][hit], counts[a:b][hit] = at[hit] + base, _counts_at(at[hit], *c)
         return ids, counts
 
 
@@ -225,13 +226,36 @@ def _sums(counts: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.add.reduceat(counts, at) if len(at) else counts[:0]
 
 
-def _summed(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray):
-    """Triples in order of (v, u, w), each once."""
+def _summed(v: np.ndarray, u: np.ndarray, w: np.ndarray, n: np.ndarray | None = None):
+    """Triples in order of (v, u, w), each once, with the sums of n (none: their numbers)."""
     context = _high(v, u)
-    order = np.lexsort((w, context))
-    v, u, w, n = v[order], u[order], w[order], n[order]
-    at = _starts(v, u, w)
-    return v[at], u[at], w[at], _sums(n, at)
+    order = np.argsort(context)
+    known = context[order]
+    new = np.r_[True, known[1:] != known[:-1]] if len(known) else np.zeros(0, dtype=bool)
+    rank = np.empty(len(order), dtype=np.uint64)
+    rank[order] = np.cumsum(new) - 1
+    known = known[new]
+    key = rank << U64(32) | w.astype(U64)
+    if n is None:
+        key = np.sort(key)
+        at = _starts(key)
+        n = np.diff(np.r_[at, len(key)])
+        key = key[at]
+    else:
+        key, n = _by_key(key, n)
+    context = known[key >> U64(32)]
+    return (context >> U64(32)).astype(np.int64), _low(context), _low(key), n
+
+
+def _low(key: np.ndarray) -> np.ndarray:
+    return (key & U64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _by_key(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    at = _starts(key)
+    return key[at], _sums(n, at)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -267,7 +291,7 @@ def _count_triples(vocab, sharding, order: int):
 
         def flush():
             v, u, w = (np.concatenate([h[k] for h in held]) for k in range(3))
-            v, u, w, n = _summed(v, u, w, np.ones(len(v), np.int64))
+            v, u, w, n = _summed(v, u, w)
             shard = deal.of(v, u, w)
             by = np.argsort(shard, kind="stable")
             shard, v, u, w, n = (x[by] for x in (shard, v, u, w, n))
@@ -298,9 +322,79 @@ def _stats(counts: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return [_sums(x.astype(np.int64), at) for x in (counts, counts == 1, counts == 2, counts >= 3)]
 
 
-def _narrow(counts: np.ndarray) -> np.ndarray:
-    """Counts in as few bytes as their largest needs."""
-    return counts.astype(np.min_scalar_type(int(counts.max())) if len(counts) else np.uint8)
+def _thin_ids(x: np.ndarray) -> np.ndarray:
+    """Ids in as many byte planes as the largest needs, the low one first."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+
+
+def _least(x: np.ndarray) -> np.ndarray:
+    """In the least number of bytes that holds the largest."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
+def _thin_counts(n: np.ndarray) -> list[np.ndarray]:
+    """A byte a count; 255 stands for a larger one, found by its place."""
+    large = np.flatnonzero(n >= 255)
+    return [np.minimum(n, 255).astype(np.uint8), large.astype("<u4" if len(n) < 1 << 32 else "<u8"), n[large].astype("<u8")]
+
+
+def _thin_stats(stats: list[np.ndarray]) -> list[np.ndarray]:
+    """The distinct rows of statistics, one after the other, and each row's number among them."""
+    rows = np.stack(stats, axis=1)
+    hashed = combine(*(s.astype(U64) for s in stats))
+    _, first, back = np.unique(hashed, return_index=True, return_inverse=True)
+    if (rows[first][back] != rows).any():  # two rows of one hash
+        distinct, back = np.unique(rows, axis=0, return_inverse=True)
+    else:
+        distinct = rows[first]
+    return [distinct.ravel(), back.astype(np.min_scalar_type(max(len(distinct) - 1, 0)))]
+
+
+class _Ids:
+    """Reads `_thin_ids`."""
+
+    def __init__(self, planes: np.ndarray, n: int):
+        self.planes = planes.reshape(-1, n) if n else planes.reshape(1, 0)
+
+    def at(self, p: np.ndarray) -> np.ndarray:
+        out = self.planes[0][p].astype(np.int64)
+        for k in range(1, len(self.planes)):
+            out |= self.planes[k][p].astype(np.int64) << (8 * k)
+        return out
+
+    def find(self, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the wanted are in their ascending stretch [low, high), and where."""
+        found = low.copy()
+        on = np.flatnonzero(low < high)
+        a, b, want = low[on], high[on], wanted[on]
+        while len(on):
+            middle = (a + b) >> 1
+            less = self.at(middle) < want
+            a, b = np.where(less, middle + 1, a), np.where(less, b, middle)
+            open_ = a < b
+            if not open_.all():
+                found[on[~open_]] = a[~open_]
+                on, a, b, want = on[open_], a[open_], b[open_], want[open_]
+        inside = np.flatnonzero(found < high)
+        hit = np.zeros(len(wanted), dtype=bool)
+        hit[inside] = self.at(found[inside]) == wanted[inside]
+        return hit, found[hit]
+
+
+def _stretch(start: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return start[p].astype(np.int64), start[p + 1].astype(np.int64)
+
+
+def _counts_at(p: np.ndarray, counts: np.ndarray, large: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = counts[p].astype(np.int64)
+    more = np.flatnonzero(out == 255)
+    out[more] = values[np.searchsorted(large, p[more])]
+    return out
+
+
+def _stats_at(p: np.ndarray, distinct: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return distinct.reshape(-1, 4)[number[p]]
 
 
 _MERGED = "kind string, a long, b long, n long, n1 long, n2 long, n3 long"
@@ -330,20 +424,28 @@ def _merge(folder: str, sharding, order: int, start: int):
             x, y, z, count = v[inner], u[inner], w[inner], n[inner]
             at = _starts(x, y)
             stats = _stats(count, at)
-            place = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(x)]))
-            _save(folder, f"triples-{shard}", _high(x[at], y[at]), *stats, _high(place, z), _narrow(count))
+            middle = _starts(x[at])
+            _save(
+                folder,
+                f"triples-{shard}",
+                _least(x[at][middle]),
+                _least(np.r_[middle, len(at)]),
+                _thin_ids(y[at]),
+                *_thin_stats(stats),
+                _thin_ids(np.r_[at, len(z)]),
+                _thin_ids(z),
+                *_thin_counts(count),
+            )
             hot = deal.is_hot(x[at])
             out.append(_rows("context", x[at][hot], y[at][hot], *(s[hot] for s in stats)))
             out.append(_counts_of_counts("triples", count))
-        by = np.lexsort((w, v))
-        v, w, n = v[by], w[by], np.where(inner, 1, n)[by]
-        at = _starts(v, w)
-        v, w, n = v[at], w[at], _sums(n, at)
+        key, n = _by_key(_high(v, w), np.where(inner, 1, n))
+        v, w = (key >> U64(32)).astype(np.int64), _low(key)
         hot = deal.is_hot(v)
         out.append(_rows("pair", v[hot], w[hot], n[hot]))
         v, w, n = v[~hot], w[~hot], n[~hot]
         at = _starts(v)
-        _save(folder, f"pairs-{shard}", v[at], *_stats(n, at), _high(v, w), _narrow(n))
+        _save(folder, f"pairs-{shard}", _least(v[at]), _least(np.r_[at, len(v)]), *_thin_stats(_stats(n, at)), _thin_ids(w), *_thin_counts(n))
         out.append(_counts_of_counts("pairs", n))
         word, before = np.unique(w, return_counts=True)
         out.append(_rows("word", word, np.zeros(len(word)), before))
@@ -366,13 +468,13 @@ def _save_group(folder: str, name: str, make):
 def _sorted_contexts(part, a, b, *stats):
     key = _high(a, b)
     by = np.argsort(key)
-    return key[by], *(s[by] for s in stats)
+    return key[by], *_thin_stats([s[by] for s in stats])
 
 
 def _sorted_pairs(part, a, b, n):
     key = _high(a, b)
     by = np.argsort(key)
-    return key[by], _narrow(n[by])
+    return key[by], *_thin_counts(n[by])
 
 
 def _sorted_stats(part, a, *stats):
@@ -385,7 +487,7 @@ def _dense(size: int):
         first = part * size
         total = np.zeros(size, dtype=np.int64)
         total[a - first] = n
-        return (total,)
+        return (_least(total),)
 
     return make
 
@@ -441,9 +543,9 @@ class Model:
         gamma = (d[1] * ones + d[2] * twos + d[3] * (size - ones - twos)) / types
         return np.maximum(cont - d[np.minimum(cont, 3)], 0) / types + gamma / (size + 1)
 
-    def _by_file(self, rows: np.ndarray, part: np.ndarray, name: str):
-        """(rows, arrays) of each file that some of the rows are in."""
-        by = np.argsort(part, kind="stable")
+    def _by_file(self, rows: np.ndarray, part: np.ndarray, v: np.ndarray, name: str):
+        """(rows, arrays) of each file that some of the rows are in; by v, as the arrays are."""
+        by = np.argsort(part << 32 | v[rows])
         rows, part = rows[by], part[by]
         at = _starts(part) if len(part) else []
         for a, b in zip(at, np.r_[at[1:], len(part)].astype(int) if len(part) else [], strict=True):
@@ -468,13 +570,13 @@ class Model:
         stats, count = np.zeros((len(v), 4), np.int64), np.zeros(len(v), np.int64)
         hot = self.sharding.is_hot(v)
         cold = np.flatnonzero(~hot & (v >= 0))
-        for rows, (ctx, *own, keys, n) in self._by_file(cold, _part(mix(v[cold].astype(U64)), self.sharding.shards), "pairs"):
-            hit, p = self._at(ctx, v[rows])
-            for k, s in enumerate(own):
-                stats[rows[hit], k] = s[p]
-            hit, p = self._at(keys, _high(v[rows], np.maximum(w[rows], 0)))
-            hit, p = hit & (w[rows] >= 0), p[(w[rows] >= 0)[hit]]
-            count[rows[hit]] = n[p]
+        for rows, (known, start, *own, words, n, large, values) in self._by_file(cold, _part(mix(v[cold].astype(U64)), self.sharding.shards), v, "pairs"):
+            hit, p = self._at(known, v[rows])
+            rows = rows[hit]
+            stats[rows] = _stats_at(p, *own)
+            # an unknown word is in no stretch
+            hit, p = _Ids(words, len(n)).find(w[rows], *_stretch(start, p))
+            count[rows[hit]] = _counts_at(p, n, large, values)
         warm = np.flatnonzero(hot)
         with Mapped(self.folder, "hot-0") as found:
             if found and len(warm):
@@ -482,34 +584,34 @@ class Model:
                 for k, s in enumerate(found[1:]):
                     stats[warm[hit], k] = s[p]
         warm = warm[w[warm] >= 0]
-        for rows, (keys, n) in self._by_file(warm, _hash_part_of(v[warm], w[warm], self.sums["pair_files"]), "hotpairs"):
+        for rows, (keys, *n) in self._by_file(warm, _hash_part_of(v[warm], w[warm], self.sums["pair_files"]), v, "hotpairs"):
             hit, p = self._at(keys, _high(v[rows], w[rows]))
-            count[rows[hit]] = n[p]
+            count[rows[hit]] = _counts_at(p, *n)
         return self._interpolated(self.d["pairs"], stats, count, low)
 
     def triple(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, low: np.ndarray) -> np.ndarray:
         """p(w | u v) of triples of ids, given p(w | v); -1 is unknown."""
-        start = len(self.words)
+        begin = len(self.words)
         stats, count = np.zeros((len(v), 4), np.int64), np.zeros(len(v), np.int64)
-        known = (u >= 0) & (v >= 0) & ((u != start) | (v != start))
+        known = (u >= 0) & (v >= 0) & ((u != begin) | (v != begin))
         hot = self.sharding.is_hot(v) & known
         # of an unknown word the context's statistics alone count; a hot context has them elsewhere
         rows = np.flatnonzero(known & (~hot | (w >= 0)))
-        z = np.maximum(w, 0)
-        for rows, (ctx, *own, keys, n) in self._by_file(rows, self.sharding.of(v[rows], u[rows], z[rows]), "triples"):
-            hit, p = self._at(ctx, _high(v[rows], u[rows]))
-            for k, s in enumerate(own):
-                stats[rows[hit], k] = s[p]
+        shard = self.sharding.of(v[rows], u[rows], np.maximum(w[rows], 0))
+        for rows, (middle, start, before, *own, first, words, n, large, values) in self._by_file(rows, shard, v, "triples"):
+            hit, p = self._at(middle, v[rows])
+            rows = rows[hit]
+            hit, p = _Ids(before, len(own[1])).find(u[rows], *_stretch(start, p))
             rows = rows[hit]
-            hit, q = self._at(keys, _high(p, z[rows]))
-            hit, q = hit & (w[rows] >= 0), q[(w[rows] >= 0)[hit]]
-            count[rows[hit]] = n[q]
+            stats[rows] = _stats_at(p, *own)
+            first = _Ids(first, len(own[1]) + 1)
+            hit, q = _Ids(words, len(n)).find(w[rows], first.at(p), first.at(p + 1))
+            count[rows[hit]] = _counts_at(q, n, large, values)
         warm = np.flatnonzero(hot)
         stats[warm] = 0
-        for rows, (ctx, *own) in self._by_file(warm, _hash_part_of(v[warm], u[warm], self.sums["context_files"]), "contexts"):
+        for rows, (ctx, *own) in self._by_file(warm, _hash_part_of(v[warm], u[warm], self.sums["context_files"]), v, "contexts"):
             hit, p = self._at(ctx, _high(v[rows], u[rows]))
-            for k, s in enumerate(own):
-                stats[rows[hit], k] = s[p]
+            stats[rows[hit]] = _stats_at(p, *own)
         return self._interpolated(self.d["triples"], stats, count, low)
 
     def score(self, tokens: np.ndarray, ends: np.ndarray):
