@@ -57,13 +57,16 @@ def _chunks(batch: pa.RecordBatch):
         yield ids[i:j].astype(np.int64), hash_words(part, starts, ends), first, (i, j)
 
 
-def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
-    out, have = x, 1
+def _sliding_first_min(x: np.ndarray, width: int) -> np.ndarray:
+    """The position of the smallest of each `width` values in a row, the leftmost of equals."""
+    at, have = np.arange(len(x)), 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out[: len(out) - step], out[step:])
+        right = x[step:] < x[: len(x) - step]
+        at = np.where(right, at[step:], at[: len(at) - step])
+        x = np.where(right, x[step:], x[: len(x) - step])
         have += step
-    return out
+    return at
 
 
 def _runs(words: np.ndarray, first: np.ndarray, size: int, half: int):
@@ -75,17 +78,8 @@ def _runs(words: np.ndarray, first: np.ndarray, size: int, half: int):
         return z, np.zeros(0, U64), z, z, z, None
     grams = Grams(words)
     halves = grams.every(half)
-    pos = np.arange(len(halves), dtype=U64)
-    low = U64((1 << 24) - 1)
-    # order by 40 bits of the hash, ties to the left; chunks longer than 2**24 words compare in two keys
-    if len(halves) <= int(low):
-        chosen = (_sliding_min((mix(halves) & ~low) | pos, size - half + 1) & low).astype(np.int64)
-    else:
-        rank = np.empty(len(halves), dtype=np.int64)
-        rank[np.lexsort((pos, mix(halves)))] = np.arange(len(halves))
-        back = np.empty(len(halves), dtype=np.int64)
-        back[rank] = np.arange(len(halves))
-        chosen = back[_sliding_min(rank, size - half + 1)]
+    # by all 64 bits, so equal windows choose alike whatever the chunk's length
+    chosen = _sliding_first_min(mix(halves), size - half + 1)
     row = np.searchsorted(first, np.arange(n), side="right") - 1
     inside = np.flatnonzero(np.arange(n) + size <= first[row + 1])
     if not len(inside):
