@@ -100,6 +100,15 @@ def test_substring_dedup_of_repeats_inside_a_document(spark):
         same(substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select(cols), want)
 
 
+def test_substring_dedup_speakers_by_all_bits():
+    rng = np.random.default_rng(3)
+    for high in (4, 1 << 62):
+        x = rng.integers(0, high, 500, dtype=np.uint64)
+        for width in (1, 2, 7, 26):
+            want = [i + int(np.argmin(x[i : i + width])) for i in range(len(x) - width + 1)]
+            assert substring_dedup._sliding_first_min(x, width).tolist() == want
+
+
 def test_token_store(docs, rows, empty, spark):
     from tokenizers import Tokenizer
 
