@@ -253,6 +253,50 @@ def q_job_failure_combinations(spark, sf):
     return spark.createDataFrame(rows, "table_name string, failed_columns string, n_rows long")
 
 
+def q_job_row_counts(spark, sf):
+    """The row counts of a whole job, collected during its own writes."""
+    result = run_job(
+        spark,
+        {"contract": _contract(spark, sf), "claim": _claim(spark, sf)},
+        C.RULES,
+        lambda valid: C.claims_transform(valid, digest="md5", run_ts=RUN_TS),
+        output_base=shared_dir(spark, "job_counts"),
+        fmt="parquet",
+        batch_id=BATCH_ID,
+    )
+    rows = [(name, q["rows"], q["valid"], q["invalid"], q["unknown"]) for name, q in result.quality.items()]
+    rows.append(("TRANSACTIONS", result.published_rows, result.published_rows, 0, 0))
+    return spark.createDataFrame(rows, "table_name string, n_rows long, n_valid long, n_invalid long, n_unknown long")
+
+
+def q_invalid_handler(spark, sf):
+    """A job whose invalid rows go to a handler of the caller's, not to the quarantine."""
+    path = shared_dir(spark, "invalid_handler")
+
+    def handle(invalid):
+        parts = [df.groupBy("validation_error").count().withColumn("table_name", F.lit(name)) for name, df in invalid.items()]
+        write_table(parts[0].unionByName(parts[1]), posixpath.join(path, "handled"))
+
+    run_job(
+        spark,
+        {"contract": _contract(spark, sf), "claim": _claim(spark, sf)},
+        C.RULES,
+        lambda valid: valid["contract"],
+        output_base=posixpath.join(path, "out"),
+        fmt="parquet",
+        on_invalid=handle,
+    )
+    handled = read_table(spark, posixpath.join(path, "handled"), "parquet")
+    return handled.select("table_name", "validation_error", F.col("count").alias("n_rows"))
+
+
+def q_no_rule_passthrough(spark, sf):
+    """Columns without a check: every row is valid, nulls and empty texts too."""
+    rules = TableRules.from_dict("contract", {"CONTRACT_TYPE": {}, "CONTRACT_ID": {"description": "kept as it is"}})
+    out = validate(_contract(spark, sf), rules)
+    return out.valid.withColumn("side", F.lit("valid")).unionByName(out.invalid.drop("validation_error").withColumn("side", F.lit("invalid")))
+
+
 def q_claims_job_committed(spark, sf):
     """Quarantine and result of the job, published at one commit."""
     out = shared_dir(spark, "claims_job_committed")
@@ -518,6 +562,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_by_name": q_csv_by_name,
     "failure_combinations": q_failure_combinations,
     "job_failure_combinations": q_job_failure_combinations,
+    "job_row_counts": q_job_row_counts,
+    "invalid_handler": q_invalid_handler,
+    "no_rule_passthrough": q_no_rule_passthrough,
     "claims_job_committed": q_claims_job_committed,
     "claims_file_stream": q_claims_file_stream,
     "json_roundtrip": _roundtrip("json"),
@@ -826,6 +873,19 @@ FROM lines WHERE raw_record IS NOT NULL OR CAST(c_nationkey AS INTEGER) > 19""",
 SELECT {", ".join(f"NULLIF({c}, '') AS {c}" for c in _CONTRACT_SPECS)} FROM contract_named""",
     "failure_combinations": _combinations_sql(),
     "job_failure_combinations": f"SELECT * FROM ({_combinations_sql()}) WHERE failed_columns <> ''",
+    "job_row_counts": f"""{_BASE}
+SELECT 'contract' AS table_name, count(*) AS n_rows, count(*) FILTER (WHERE v_row) AS n_valid,
+       count(*) FILTER (WHERE NOT v_row) AS n_invalid, 0 AS n_unknown FROM contract_flag
+UNION ALL
+SELECT 'claim', count(*), count(*) FILTER (WHERE v_row), count(*) FILTER (WHERE NOT v_row), 0 FROM claim_flag
+UNION ALL
+SELECT 'TRANSACTIONS', count(*), count(*), 0, 0 FROM transactions""",
+    "invalid_handler": f"""{_BASE}
+SELECT 'contract' AS table_name, {_message_sql(_CONTRACT_SPECS)} AS validation_error, count(*) AS n_rows
+FROM contract_flag WHERE NOT v_row GROUP BY 2
+UNION ALL
+SELECT 'claim', {_message_sql(_CLAIM_SPECS)}, count(*) FROM claim_flag WHERE NOT v_row GROUP BY 2""",
+    "no_rule_passthrough": f"{_BASE}\nSELECT CONTRACT_TYPE, CONTRACT_ID, 'valid' AS side FROM contract_named",
     "claims_job_committed": f"""{_BASE}
 SELECT 'result' AS part, NSE_ID AS what, '{BATCH_ID}' AS batch_date FROM transactions
 UNION ALL
