@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import default_if_blank
-from ..session import shared_dir, ship_package
+from ..session import remove_path, shared_dir, ship_package
 from .joins import SkewSalt, left_join_on_keys
 
 
@@ -215,7 +215,10 @@ def resolve_keys(
 ANSWER_SCHEMA = "answered boolean, value string"
 
 
-def _answer_partition(calls: Calls, resolver: Callable[[object], object], folder: str, flush: int):
+_MOST_HELD = 100_000
+
+
+def _answer_partition(calls: Calls, resolver: Callable[[object], object], folder: str, flush: int, flush_seconds: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -230,6 +233,7 @@ def _answer_partition(calls: Calls, resolver: Callable[[object], object], folder
                     done.update(pq.read_table(f, columns=["key"]).column("key").to_pylist())
         kept: list[tuple] = []
         counts = {"called": 0, "failed": 0}
+        written = time.monotonic()
 
         def write(key_type: pa.DataType) -> None:
             if not kept:
@@ -257,8 +261,10 @@ def _answer_partition(calls: Calls, resolver: Callable[[object], object], folder
                 counts["called"] += 1
                 counts["failed"] += not answered
                 kept.append((key, answered, None if value is None else str(value)))
-                if len(kept) >= flush:
+                due = time.monotonic() - written >= flush_seconds or len(kept) >= _MOST_HELD
+                if len(kept) >= flush and due:
                     write(key_type)
+                    written = time.monotonic()
         finally:
             write(key_type)  # also when the task fails: its next attempt goes on from here
         yield pa.RecordBatch.from_pylist([counts])
@@ -299,12 +305,15 @@ class KeyStore:
         calls: Calls = Calls(),
         partitions: int | None = None,
         flush: int = 100,
+        flush_seconds: float = 5.0,
         again: bool = False,
     ) -> dict[str, int]:
         """Ask for the distinct, non-null ``keys`` without an answer, at once.
 
-        Returns how many were called and failed. A task writes its answers
-        every ``flush`` keys, and what it has when it fails."""
+        Returns how many were called and failed. A task writes its answers when
+        it has ``flush`` and ``flush_seconds`` have passed since it last did
+        (so a fast resolver does not make a file per hundred keys), and what it
+        has when it ends or fails. A killed worker loses what it had not written."""
         ship_package(self.spark)  # the resolver runs in the executors' Python workers
         known = self.table()
         if again:
@@ -313,11 +322,27 @@ class KeyStore:
         # by key hash: a task that runs again has the same keys
         fresh = fresh.repartition(partitions, "key") if partitions else fresh.repartition("key")
         folder = posixpath.join(self.path, uuid.uuid4().hex)
-        run = fresh.mapInArrow(_answer_partition(calls, resolver, folder, flush), "called long, failed long")
+        run = fresh.mapInArrow(_answer_partition(calls, resolver, folder, flush, flush_seconds), "called long, failed long")
         total = run.agg(F.sum("called").alias("called"), F.sum("failed").alias("failed")).first()
         return {"called": total["called"] or 0, "failed": total["failed"] or 0}
 
 
+    def compact(self, files: int = 1) -> None:
+        """The same answers in ``files`` files; call it while no run writes to
+        the store. The new files are there before the old ones go."""
+        try:
+            listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.path).select("path")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return
+        old = [r["run"] for r in listed.select(F.regexp_extract("path", "([0-9a-f]{32})/[^/]*(?:/[^/]*)?$", 1).alias("run")).distinct().collect()]
+        self.table().repartition(files, "key").write.parquet(posixpath.join(self.path, uuid.uuid4().hex))
+        for run in old:
+            if run:
+                remove_path(self.spark, posixpath.join(self.path, run))
+
+
 def enrich_by_key(
     df: DataFrame,
     key: str,

@@ -64,6 +64,22 @@ def test_a_store_is_shared_by_jobs_and_only_new_keys_are_called(spark, tmp_path)
     assert other.table().count() == 8
 
 
+def test_a_fast_resolver_writes_few_files_and_a_store_is_compacted(spark, tmp_path):
+    store = KeyStore(spark, str(tmp_path / "store"))
+    store.compact()  # nothing there yet
+    store.resolve(_keys(spark, 900), "k", str.upper, partitions=3, flush=10)
+    store.resolve(_keys(spark, 950), "k", str.upper, partitions=3)
+
+    def files():
+        return [f for _, _, names in os.walk(tmp_path / "store") for f in names if f.endswith(".parquet") and not f.startswith(".")]
+
+    assert len(files()) <= 6
+    before = sorted(map(tuple, store.table().collect()))
+    store.compact()
+    assert len(files()) == 1 and sorted(map(tuple, store.table().collect())) == before and len(before) == 950
+    assert store.resolve(_keys(spark, 950), "k", str.upper) == {"called": 0, "failed": 0}
+
+
 def test_a_task_that_runs_again_calls_only_the_rest(tmp_path):
     """A worker that dies in the middle: what its task had written is not asked again."""
     import subprocess
@@ -80,7 +96,7 @@ spark.sparkContext.setLogLevel("OFF")
 service = Counting({str(tmp_path / "calls")!r}, crash_on="k030")
 keys = spark.range(40).select(F.format_string("k%03d", "id").alias("k"))
 store = KeyStore(spark, {str(tmp_path / "store")!r})
-store.resolve(keys, "k", service, partitions=1, flush=1)
+store.resolve(keys, "k", service, partitions=1, flush=1, flush_seconds=0)
 assert store.table().count() == 40
 """
     done = subprocess.run(["timeout", "200", sys.executable, "-c", code], capture_output=True, text=True)
