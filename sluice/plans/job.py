@@ -111,15 +111,19 @@ def check_keys(
     unique: Iterable[str] = (),
     references: Mapping[str, Iterable[ForeignKey]] | None = None,
 ) -> dict[str, DataFrame]:
-    """The annotated inputs with their key verdicts; parents before children."""
+    """The annotated inputs with their key verdicts; parents before children.
+
+    An input that is checked is written once before its first check."""
     references = {name: list(keys) for name, keys in (references or {}).items()}
     unique = set(unique)
     used = unique | set(references) | {fk.parent for keys in references.values() for fk in keys}
     if unknown := used - set(annotated):
         raise ValueError(f"no inputs for the keys of: {sorted(unknown)}")
     out = dict(annotated)
+    for name in sorted(unique | set(references)):
+        out[name] = staged(out[name], "annotated")
     for name in unique:
-        out[name] = reject_duplicates(staged(out[name], "annotated"), rules[name])
+        out[name] = reject_duplicates(out[name], rules[name])
     left = dict(references)
     while left:
         ready = [n for n, keys in left.items() if not any(fk.parent in left and fk.parent != n for fk in keys)]
@@ -127,9 +131,8 @@ def check_keys(
             raise ValueError(f"references in a circle: {sorted(left)}")
         for name in ready:
             for fk in left.pop(name):
-                out[name] = staged(out[name], "annotated")
-                parent = out[name] if fk.parent == name else staged(out[fk.parent], "annotated")
-                out[name] = reject_orphans(out[name], parent.where(VALID_FLAG), fk)
+                parent = out[fk.parent].where(VALID_FLAG).select(*fk.parent_columns)
+                out[name] = reject_orphans(out[name], parent, fk)
     return out
 
 
