@@ -1,6 +1,5 @@
 """Each operator against its plain version, on sample rows and on edge cases."""
 
-import hashlib
 import math
 import random
 import zlib
