@@ -174,8 +174,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         line = self._ids(["\n"])[0]
         self.line = line[0] if len(line) == 1 else None
@@ -214,7 +213,7 @@ class PieceEncoder:
         return text.split(" ") if plain or not self._odd.search(text) else self._cut.split(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [k for k, t in enumerate(texts) if self.special and self.special.search(t)]
+        whole = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
         if not whole:
             return self._encode(texts)
         apart = set(whole)
