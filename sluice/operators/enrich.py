@@ -28,6 +28,7 @@ import uuid
 from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -89,6 +90,9 @@ class Retry:
         return False, None
 
 
+_NO_MORE = object()
+
+
 class BreakerOpen(Exception):
     """The service failed too often in a row and ``on_open`` is "raise"."""
 
@@ -116,24 +120,28 @@ class Calls:
 
     def run(self, resolver: Callable[[object], object], keys: Iterable[object]) -> Iterator[tuple[object, bool, object | None]]:
         """(key, answered, answer) of the keys asked, in order."""
-        failures, waiting = 0, iter(keys)
-        with ThreadPoolExecutor(self.at_once) as pool:
-            under_way: deque = deque()
-            is_open = False
+        failures, is_open, waiting = 0, False, iter(keys)
+        # one call at a time needs no threads
+        pool = ThreadPoolExecutor(self.at_once) if self.at_once > 1 else None
+        under_way: deque = deque()
+        try:
             while True:
                 while not is_open and len(under_way) < self.at_once:
-                    try:
-                        key = next(waiting)
-                    except StopIteration:
+                    key = next(waiting, _NO_MORE)
+                    if key is _NO_MORE:
                         break
-                    under_way.append((key, pool.submit(self.retry.outcome, resolver, key)))
+                    call = pool.submit(self.retry.outcome, resolver, key).result if pool else partial(self.retry.outcome, resolver, key)
+                    under_way.append((key, call))
                 if not under_way:
                     break
                 key, call = under_way.popleft()
-                answered, value = call.result()
+                answered, value = call()
                 yield key, answered, value
                 failures = 0 if answered else failures + 1
                 is_open = is_open or (self.max_failures is not None and failures >= self.max_failures)
+        finally:
+            if pool:
+                pool.shutdown()
         if is_open and self.on_open == "raise":
             raise BreakerOpen(f"{failures} failures in a row")
 

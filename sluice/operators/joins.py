@@ -8,8 +8,9 @@ forced, so a right side that grows with the data is never broadcast blindly.
 Skew: when one key holds a large share of the left rows, AQE's skew-join
 handling splits the oversized left partition (left outer joins allow
 splitting the left side). ``SkewSalt`` adds an explicit alternative that
-does not depend on runtime statistics. The keys are counted first (one
-partially aggregated pass, stored), then the rows go three ways:
+does not depend on runtime statistics. A right side of counted, few rows is
+broadcast, and no left row moves. Otherwise the keys are counted (one partially
+aggregated pass, stored), then the rows go three ways:
 
 * Rows of hot keys never meet the shuffle of their key. The list of hot keys
   is broadcast: a key is hot from ``min_rows`` rows, or from the share of all
@@ -37,6 +38,7 @@ from ..functions.columns import default_if_blank
 from ..session import staged
 
 _KEEPS_LEFT = ("left", "left_outer", "leftouter", "full", "full_outer", "fullouter", "outer")
+_RIGHT_MAY_BE_BROADCAST = ("inner", "left", "left_outer", "leftouter", "left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti")
 _INNER = {"right": "inner", "right_outer": "inner", "rightouter": "inner", "full": "left", "full_outer": "left",
           "fullouter": "left", "outer": "left"}
 
@@ -44,8 +46,8 @@ _INNER = {"right": "inner", "right_outer": "inner", "rightouter": "inner", "full
 @dataclass(frozen=True)
 class SkewSalt:
     """A key is hot from ``min_rows`` left rows; a salt takes about as many,
-    and a hot key has ``buckets`` salts at least. At most ``broadcast_rows`` hot
-    keys, or right rows of hot keys, are broadcast."""
+    and a hot key has ``buckets`` salts at least. At most ``broadcast_rows``
+    right rows, hot keys, or right rows of hot keys, are broadcast."""
 
     buckets: int = 32
     min_rows: int = 1_000_000
@@ -87,6 +89,8 @@ def _join_salted(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys:
 
 
 def _split_join(left: DataFrame, r: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], how: str, skew: SkewSalt) -> DataFrame:
+    if how in _RIGHT_MAY_BE_BROADCAST and r.limit(skew.broadcast_rows + 1).count() <= skew.broadcast_rows:
+        return left.join(F.broadcast(r), _on(left, lkeys, r, rkeys), how)
     hot = F.broadcast(_hot_keys(left, lkeys, skew))
     names = [f"__hot{i}" for i in range(len(lkeys))]
     marked = left.join(hot, _on(left, lkeys, hot, names), "left").drop(*names)
@@ -124,7 +128,8 @@ def left_join_on_keys(
     is a plain equi-join, so later filters reach the left scan. With
     ``split_nulls`` the null-key rows of a join that keeps left rows pass
     beside the join instead of being shuffled to one partition. With ``skew``
-    the left keys are counted by a job at once (see the module's notes).
+    the right rows, and beyond a bound the left keys, are counted by a job at
+    once (see the module's notes).
     """
     rkeys = [f"__rk{i}" for i in range(len(keys))]
     rsel = [F.col(rk).alias(rkeys[i]) for i, (_, rk) in enumerate(keys)]

@@ -27,7 +27,7 @@ def test_salted_join_equals_plain_join_on_a_hot_key(spark):
     )  # key 7 twice on the right: fan-out must survive salting
     plain = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"})
     salted = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"},
-                               skew=SkewSalt(buckets=8, min_rows=100))
+                               skew=SkewSalt(buckets=8, min_rows=100, broadcast_rows=50))
     a, b = plain.collect(), salted.collect()
     assert len(a) == len(b) == n + n // 3 + 1  # key 7: 1001 left rows, each matched twice
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
@@ -103,7 +103,7 @@ def test_enrich_by_key_partitions(spark, partitions):
 def test_lookup_and_enrich_with_salting_match_plain(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("k"))
     lk = spark.range(40).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v"))
-    salt = SkewSalt(buckets=4, min_rows=100)
+    salt = SkewSalt(buckets=4, min_rows=100, broadcast_rows=10)
     a = lookup_join(df, lk, "k", "k", "v", "name").collect()
     b = lookup_join(df, lk, "k", "k", "v", "name", skew=salt).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(b) == 2000

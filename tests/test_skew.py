@@ -1,5 +1,6 @@
 """A key holding a third of all rows must not land in one join task."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.joins import SkewSalt, _hot_keys, left_join_on_keys
@@ -29,7 +30,7 @@ def test_salting_spreads_a_hot_key_over_sort_merge_tasks(spark):
         right = spark.range(-1, n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
         plain = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"})
         salted = left_join_on_keys(
-            left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=16, min_rows=1000)
+            left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=16, min_rows=1000, broadcast_rows=100)
         )
         assert "SortMergeJoin" in plan_text(salted, "simple")
         assert _max_share(plain) > 0.33  # the hot key sits in one task
@@ -52,7 +53,7 @@ def test_null_keys_of_kept_left_rows_are_spread(spark):
             F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k"), F.col("id").alias("v")
         )  # a third of the rows have a null key
         right = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        for skew in (None, SkewSalt(buckets=16, min_rows=1000)):
+        for skew in (None, SkewSalt(buckets=16, min_rows=1000, broadcast_rows=100), SkewSalt(buckets=16, min_rows=1000, broadcast_rows=10)):
             out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=skew, split_nulls=skew is None)
             assert _max_share(out) < 0.15
             rows = out.collect()
@@ -75,3 +76,55 @@ def test_a_later_filter_reaches_the_left_scan(spark, tmp_path):
     left, right = spark.read.parquet(str(tmp_path / "l")), spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("w"))
     plan = plan_text(left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}).where("v > 90"), "simple")
     assert "GreaterThan(v,90)" in plan
+
+
+def _static(spark):
+    """Plans without broadcast by size and without AQE; returns what to restore."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def test_a_small_right_side_moves_no_left_row(spark):
+    old = _static(spark)
+    try:
+        left = spark.range(3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+        right = spark.range(5).select(F.col("id").alias("k"), F.col("id").alias("w"))
+        out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt())
+        assert "Exchange hashpartitioning" not in plan_text(out, "simple")
+        assert out.count() == 3000 and out.where("w is null").count() == sum(1 for i in range(3000) if i % 7 > 4)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "right", "full", "left_anti", "left_semi"])
+@pytest.mark.parametrize("bound", [3, 60, 10_000])
+def test_every_kind_of_join_by_every_way(spark, how, bound):
+    """Few right rows broadcast, hot keys' right rows broadcast, or hot rows salted: the plain join's rows."""
+    left = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 70).alias("k"), F.lit("same").alias("v")
+    )
+    right = spark.range(50, 150).select((F.col("id") % 90).alias("k"), F.col("id").alias("w")).unionByName(
+        spark.range(8).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("w"))
+    ).unionByName(spark.createDataFrame([(None, 5)], "k long, w long"))
+    columns = {} if how in ("left_anti", "left_semi") else {"w": "w"}
+    plain = left_join_on_keys(left, right, [("k", "k")], right_columns=columns, how=how)
+    split = left_join_on_keys(left, right, [("k", "k")], right_columns=columns, how=how, skew=SkewSalt(buckets=4, min_rows=100, broadcast_rows=bound))
+    assert split.columns == plain.columns
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """100,000 equal rows, and too many right rows to broadcast: the salts number the rows."""
+    old = _static(spark)
+    try:
+        left = spark.range(100_000).select(F.lit(7).cast("long").alias("k"), F.lit("x").alias("v"))
+        right = spark.range(40).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("w"))
+        out = left_join_on_keys(left, right, [("k", "k")], right_columns={"w": "w"}, skew=SkewSalt(buckets=32, min_rows=1000, broadcast_rows=20))
+        assert _max_share(out) < 0.2 and out.count() == 4_000_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
