@@ -27,3 +27,24 @@ def test_json_batch_is_compressed(spark, tmp_path):
     got = E.q_json_batch_readback(spark, sf)
     assert all(f.endswith(".json.gz") for f in _files(got))
     assert sorted(got.drop("batch_date").collect(), key=str) == sorted(E.q_claims_transactions(spark, sf).collect(), key=str)
+
+
+def test_epochs_do_not_shuffle_the_contracts(spark, tmp_path, monkeypatch):
+    plans = []
+    transform = E.C.claims_transform
+
+    def seen(data, **more):
+        out = transform(data, **more)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(E.C, "claims_transform", seen)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = E.q_claims_stream(spark, _tables(spark, tmp_path))
+        assert got.count() and all(f.endswith(".csv.gz") for f in _files(got))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # the claims move to the buckets of the contracts, which stay
+    assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)
