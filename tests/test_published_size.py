@@ -3,6 +3,7 @@ import os
 
 import __spark_entry__ as E
 from sluice.sources import sinks
+from sluice.sources import sinks
 
 
 def _tables(spark, path, rows=12):
@@ -48,3 +49,12 @@ def test_epochs_do_not_shuffle_the_contracts(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # the claims move to the buckets of the contracts, which stay
     assert plans and all(p.count("Exchange hashpartitioning") == 1 for p in plans)
+
+
+def test_epochs_do_not_grow_with_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sinks.FORMAT_WRITE_OPTIONS["csv"], "maxRecordsPerFile", "1")
+    got = E.q_claims_file_stream(spark, _tables(spark, tmp_path))
+    root = _files(got)[0].split("/out/")[0]
+    raw = [f for f in os.listdir(os.path.join(root, "in")) if f.startswith("part-")]
+    assert len(raw) == 2  # one task, two headers
+    assert got.count() == E.q_claims_transactions(spark, str(tmp_path)).count()
