@@ -58,3 +58,11 @@ def test_epochs_do_not_grow_with_the_rows_of_a_task(spark, tmp_path, monkeypatch
     raw = [f for f in os.listdir(os.path.join(root, "in")) if f.startswith("part-")]
     assert len(raw) == 2  # one task, two headers
     assert got.count() == E.q_claims_transactions(spark, str(tmp_path)).count()
+
+
+def test_csv_job_batch_is_compressed(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    got = E.q_claims_job_csv(spark, sf)
+    files = _files(got)
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert got.count() == E.q_claims_transactions(spark, sf).count()
