@@ -154,6 +154,16 @@ class Shard:
         return [None] * (min(j, self.nulls) - min(i, self.nulls)) + some.tolist()
 
 
+def _byte_chars() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class PieceEncoder:
     """tokenizers' ids of whole texts, through a bounded cache of pieces. A text
     that holds a special token's string goes to the library whole, unless such
@@ -161,7 +171,10 @@ class PieceEncoder:
 
     CACHED = 1_800_000
     LONG = 48
-    LINE = 256
+    LINE = 1024
+    MARKS = ".,:;!?"
+    # letters below U+0250 are letters to any Unicode version; longer words are not kept
+    _word = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]{1,47})([.,:;!?]?)")
     _odd = re.compile(r" (?=\s|\Z)")
     _cut = re.compile(r" (?=\S)")
     _pairs = ("  ", " \n", " \t", " \r", " \v", " \f", " \x1c", " \x1d", " \x1e", " \x1f")
@@ -178,28 +191,103 @@ class PieceEncoder:
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         line = self._ids(["\n"])[0]
         self.line = line[0] if len(line) == 1 else None
+        self.words = self._word_encoder()
+        self.marks = {c: np.array(ids, dtype=self.dtype).tobytes() for c, ids in zip(self.MARKS, self._ids(list(self.MARKS)), strict=True)}
         self.first: dict[str, bytes] = {}
         self.inner: dict[str, bytes] = {}
 
+    def _word_encoder(self):
+        """The library's model behind a plain split at line breaks, for words that
+        the pattern leaves whole; None if the file's own steps are others."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        steps = self.tokenizer.pre_tokenizer
+        if self.line is None or self.tokenizer.normalizer is not None or not isinstance(steps, pre_tokenizers.ByteLevel):
+            return None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if steps.add_prefix_space or not steps.use_regex or any(t.replace(" ", "").isalpha() for t in added):
+            return None
+        words = Tokenizer(self.tokenizer.model)
+        words.pre_tokenizer = pre_tokenizers.Split(_BYTE_CHARS[10], "isolated")
+        return words if words.token_to_id(_BYTE_CHARS[10]) == self.line else None
+
+    def _learn_pairs(self, pieces: list[str]) -> list[str]:
+        """Ids of new pieces of two such words with a line break between, which is
+        a token of its own before a letter; returns the other pieces."""
+        pairs, other = [], []
+        for p in pieces:
+            a, line, b = p.partition("\n")
+            pair = line and self._word.fullmatch(a) and self._word.fullmatch(b)
+            (pairs if pair else other).append((p, a, b) if pair else p)
+        self._learn_words({a for _, a, _ in pairs if a not in self.inner}, self.inner, _BYTE_CHARS[32])
+        self._learn_words({b for *_, b in pairs if b not in self.first}, self.first, "")
+        line = np.array([self.line], dtype=self.dtype).tobytes()
+        for p, a, b in pairs:
+            if a in self.inner and b in self.first:
+                self.inner[p] = self.inner[a] + line + self.first[b]
+            else:
+                other.append(p)
+        return other
+
+    def _learn_words(self, pieces, known: dict[str, bytes], lead: str) -> list[str]:
+        """Ids of new words of letters and at most one mark, which is a token of
+        its own after a letter; returns the other pieces."""
+        other, marked, new = [], [], {}
+        match = self._word.fullmatch
+        for p in pieces:
+            found = match(p)
+            if found is None:
+                other.append(p)
+                continue
+            word, mark = found.groups()
+            if mark:
+                marked.append((p, word, mark))
+            if word not in known:
+                new[word] = None
+        words = list(new)
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_CHARS) for w in words]
+        line = _BYTE_CHARS[10]
+        for i in range(0, len(words), self.LINE):
+            text = lead + (line + lead).join(shown[i : i + self.LINE])
+            ids = self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            if not self._cut_line(ids, words[i : i + self.LINE], known):
+                other += words[i : i + self.LINE]
+        late = []
+        for p, word, mark in marked:
+            if word in known:
+                known[p] = known[word] + self.marks[mark]
+            else:
+                late.append(p)
+        return other + late
+
+    def _cut_line(self, ids: list[int], part: list[str], known: dict[str, bytes]) -> bool:
+        """The ids of a line of pieces, cut at the line breaks' ids."""
+        ids = np.array(ids, dtype=self.dtype)
+        cuts = np.flatnonzero(ids == self.line).tolist()
+        if len(cuts) != len(part) - 1:
+            return False
+        raw, width, at = ids.tobytes(), ids.itemsize, 0
+        for p, cut in zip(part, [*cuts, len(ids)], strict=True):
+            known[p] = raw[width * at : width * cut]
+            at = cut + 1
+        return True
+
     def _learn(self, pieces, known: dict[str, bytes], lead: str) -> None:
         """Ids of new pieces. Those without white space go in lines of many:
         no token crosses a line break before a space, and its id is in no such
         piece, so the ids are cut at it."""
         pieces = list(pieces)
+        if self.words is not None:
+            pieces = self._learn_words(pieces, known, _BYTE_CHARS[32] if lead else "")
+            if lead:
+                pieces = self._learn_pairs(pieces)
         if lead and self.line is not None:
             plain = [p for p in pieces if p.split() == [p]]
             pieces = [p for p in pieces if p.split() != [p]]
             for i in range(0, len(plain), self.LINE):
                 part = plain[i : i + self.LINE]
-                ids = np.array(self._ids([lead + f"\n{lead}".join(part)])[0], dtype=self.dtype)
-                cuts = np.flatnonzero(ids == self.line).tolist()
-                if len(cuts) != len(part) - 1:
+                if not self._cut_line(self._ids([lead + f"\n{lead}".join(part)])[0], part, known):
                     pieces += part
-                    continue
-                raw, width, at = ids.tobytes(), ids.itemsize, 0
-                for p, cut in zip(part, [*cuts, len(ids)], strict=True):
-                    known[p] = raw[width * at : width * cut]
-                    at = cut + 1
         for i in range(0, len(pieces), 4096):
             part = pieces[i : i + 4096]
             for p, ids in zip(part, self._ids([lead + p for p in part]), strict=True):
@@ -232,7 +320,7 @@ class PieceEncoder:
             ids = list(map(get, c))
             ids[0] = self.first[c[0]]
             if None in ids:
-                new.update((p, None) for p, x in zip(c, ids, strict=True) if x is None)
+                new.update(dict.fromkeys([p for p, x in zip(c, ids, strict=True) if x is None]))
                 again.append(k)
             else:
                 ids = b"".join(ids)

@@ -133,6 +133,25 @@ def test_token_store(docs, rows, empty, spark):
     assert token_store.read_token_store(token_store.write_token_store(empty, path)).count() == 0
 
 
+def test_words_reach_the_library_once_whatever_their_mark():
+    encoder = token_store.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    given = []
+
+    class Recorder:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    texts = ["a glorbn, glorbn. glorbn! glorbn\nquaxen; glorbn", "b glorbn? it's glorbn.\nQuaxen, 7glorbn", "c straßö: é, ×a. a÷b,\nglorbn"]
+    want = [e.ids for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    encoder.words, encoder.tokenizer = Recorder(encoder.words), Recorder(encoder.tokenizer)
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == want
+    assert sum(t.count("glorbn") for t in given) == 3  # itself, after a digit, and in a piece with two sorts of marks
+
+
 def test_token_store_reads_by_select_alone(spark, monkeypatch):
     """One id on all rows is spread over shards, and no table of all ends is made."""
     path = public_tokenizers.path("byte_bpe_50k.json")
