@@ -49,6 +49,7 @@ from __future__ import annotations
 import mmap
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -201,6 +202,15 @@ def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> U64(32)) % U64(parts)).astype(np.int64)
 
 
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`np.unique(x, return_inverse=True)`, by hashing: only the distinct values are sorted."""
+    number, some = pd.factorize(x)
+    order = np.argsort(some)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return some[order], rank[number]
+
+
 def _previous(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
     """The id before each token; the start mark at a text's first."""
     out = np.empty_like(ids)
@@ -303,7 +313,7 @@ def _count_triples(vocab, sharding, order: int):
 
         for batch in batches:
             for *_, tokens, ends in _tokens(batch):
-                distinct, back = np.unique(tokens, return_inverse=True)
+                distinct, back = _distinct(tokens)
                 ids = words.find(distinct)[0][back]
                 v = _previous(ids, ends, len(words))
                 held.append((v, _previous(v, ends, len(words)) if order == 3 else np.zeros_like(v), ids))
@@ -617,7 +627,7 @@ class Model:
     def score(self, tokens: np.ndarray, ends: np.ndarray):
         """Per text: n_tokens, n_known, base_score, score."""
         size = len(self.words)
-        distinct, back = np.unique(tokens, return_inverse=True)
+        distinct, back = _distinct(tokens)
         ids, counts = self.words.find(distinct)
         base = np.log10((counts + 0.1) / (self.tokens + 0.1 * (size + 1)))
         low = self.unigram(ids)
@@ -629,7 +639,7 @@ class Model:
         p = self.pair(v, ids[d], low[d])
         if self.order == 3:
             code = (_previous(before, ends, size) + 1) * len(some) + again
-            some3, again3 = np.unique(code, return_inverse=True)
+            again3, some3 = pd.factorize(code)  # in any order: the lookups sort by file
             u, pair = some3 // len(some) - 1, some3 % len(some)
             p, again = self.triple(u, v[pair], ids[d][pair], p[pair]), again3
         p = np.log10(p)

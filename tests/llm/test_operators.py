@@ -469,6 +469,13 @@ def test_kneser_ney_order_3(docs, rows, empty, monkeypatch, shard):
     assert kneser_ney.lm_scores(empty, order=3).count() == 0
 
 
+def test_distinct_words_are_numbered_in_order():
+    rng = np.random.default_rng(3)
+    for x in (rng.integers(-(1 << 62), 1 << 62, 50)[rng.integers(0, 50, 2000)], np.zeros(0, np.int64), np.array([7, -7, 7])):
+        for got, want in zip(kneser_ney._distinct(x), np.unique(x, return_inverse=True), strict=True):
+            assert got.tolist() == want.tolist()
+
+
 def test_kneser_ney_many_shards(docs, rows, monkeypatch):
     """The same scores when counts are dealt over many shards and flushed often."""
     real = kneser_ney.fit
