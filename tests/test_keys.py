@@ -206,3 +206,41 @@ def test_key_set_of_typed_columns(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     got = KeySet(table, ("k",)).mark(df, "found").collect()
     assert {(r.k, r.found) for r in got} == {(1, True), (2, False), (None, False)}
+
+
+@pytest.mark.parametrize(
+    "sizes, ways",
+    [
+        ({"broadcast_keys": 20, "hot_rows": 20}, ["cleared_keys"]),  # the filter's errors are few
+        ({"broadcast_keys": 0, "hot_rows": 1, "keys_per_word": 10_000}, ["cleared_keys", "Union"]),  # one word: it holds all keys
+        ({"broadcast_keys": 0, "hot_rows": 1, "max_words": 0}, ["Union"]),  # no filter
+    ],
+)
+def test_many_failing_keys_are_marked_by_every_way(spark, monkeypatch, sizes, ways):
+    from sluice.operators import keys as K
+
+    stage, names = K.staged, []
+    monkeypatch.setattr(K, "staged", lambda df, name: names.append(name) or stage(df, name))
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), str(rng.randrange(900)), None, str(i)) for i in range(2000)]
+    df = _parcels(spark, [*rows, (None, "0", None, "n"), ("a", None, None, "m"), ("a", "", None, "e"), ("a", "", None, "f")])
+    n = {}
+    for d, p, _, _ in rows:
+        n[d, p] = n.get((d, p), 0) + 1
+    marked = duplicate_keys(df, ["DEPOT", "PARCEL_NO"]).mark(df, "twice", **sizes)
+    assert marked.columns == [*df.columns, "twice"]
+    got = marked.collect()
+    assert len(got) == 2004 and all(r.twice == (n.get((r.DEPOT, r.PARCEL_NO), 0) > 1) for r in got)
+    assert [w for w in ("cleared_keys", "Union") if w in names or w in plan_text(marked, "simple")] == ways
+
+
+def test_rows_of_many_failing_keys_are_not_shuffled(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(9000).select(F.expr("cast(id % 6000 as string)").alias("K"), "id")
+        marked = duplicate_keys(df, ["K"]).mark(df, "twice", broadcast_keys=500)
+        assert marked.where("twice").count() == 6000 and marked.count() == 9000
+        assert "Exchange hashpartitioning" not in plan_text(marked, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
