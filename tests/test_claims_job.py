@@ -185,3 +185,29 @@ def test_empty_inputs_pass_in_every_stage(spark, tmp_path):
         )
         assert result.published_rows == 0
         assert spark.read.parquet(f"{result.output_path}/batch_date=B1").count() == 0
+
+
+def test_a_recomputing_job_forms_a_derived_text_once(spark, tmp_path):
+    """The filter on the verdict stays above the source's columns and its own."""
+    import __spark_entry__ as E
+    from sluice.plans.fixtures import raw_claim
+
+    lines = [(i, 3, 1 + i % 4, 10.0 + i, "R", dt.datetime(1998, 1, 1 + i % 28)) for i in range(1, 40)]
+    claim = raw_claim(spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate timestamp"))
+    plans = []
+
+    def keep(valid):
+        both = valid["claim"].alias("a").join(valid["claim"].alias("b"), "CLAIM_ID").select("a.*")  # read twice in one query
+        plans.append((plan_text(valid["claim"], "simple"), both))
+        return both
+
+    result = run_job(spark, {"claim": claim}, {"claim": E.C.CLAIM_RULES}, keep, output_base=str(tmp_path), fmt="parquet")
+    plan, both = plans[0]
+    assert plan.count("date_format(") == 2  # one per derived column
+    assert result.quality["claim"]["rows"] == 39 and result.published_rows == result.quality["claim"]["valid"] == both.count() > 0
+    handled = []
+    run_job(
+        spark, {"claim": claim}, {"claim": E.C.CLAIM_RULES}, lambda v: v["claim"], output_base=str(tmp_path / "2"), fmt="parquet",
+        on_invalid=lambda invalid: handled.append(invalid["claim"].count()),
+    )
+    assert handled == [39 - result.published_rows]

@@ -197,3 +197,27 @@ def test_quality_report_drop_mode_leaves_unknown_uncounted(spark):
     drop = {r.column_name: r.n_failed for r in quality_report(df, CLAIM_RULES, on_unknown="drop").collect()}
     assert quarantine["CLAIM_TYPE"] == 1 and quarantine["__row__"] == 1
     assert drop["CLAIM_TYPE"] == 0 and drop["__row__"] == 0  # the NULL verdict is neither pass nor fail
+
+
+def test_sure_texts_are_those_the_parser_takes(ansi_spark):
+    """The expression before the parser adds no text to those that parse, and skips it for plain ones."""
+    from sluice.operators.validate import sure_pattern
+
+    days = ["00", "01", "09", "28", "29", "30", "31", "32", "1", " 1", "1a"]
+    months = ["00", "01", "02", "04", "12", "13", "2"]
+    years = ["1899", "1900", "2000", "2023", "2024", "2099", "2100", "0000", "20", "20240"]
+    texts = [f"{d}.{m}.{y}" for d in days for m in months for y in years]
+    texts += ["01.02.2024\n", "01-02-2024", "01.02.2024 ", "", None, "٠١.02.2024", "x01.02.2024"]
+    rule = ColumnRule("D", True, type="date", date_format="dd.MM.yyyy")
+    df = ansi_spark.createDataFrame([(t,) for t in texts], "D string")
+    parsed = F.try_to_date("D", "dd.MM.yyyy").isNotNull()
+    sure = F.col("D").rlike(sure_pattern("dd.MM.yyyy"))
+    rows = df.select("D", column_verdict(rule).alias("v"), F.coalesce(parsed, F.lit(False)).alias("p"), F.coalesce(sure, F.lit(False)).alias("s")).collect()
+    assert all(r.v == r.p and (r.p or not r.s) for r in rows)
+    assert {r.D for r in rows if r.s} >= {"01.02.2024", "28.12.1900", "09.04.2099"}
+    stamps = [f"{d} {h}" for d in ("05.06.2024", "31.04.2024", "29.02.2024") for h in ("00:00", "23:59", "24:00", "12:60", "1:00", "12:00 ", "12:00\n")]
+    stamp = ColumnRule("D", True, type="timestamp", timestamp_format="dd.MM.yyyy HH:mm")
+    at = F.try_to_timestamp("D", F.lit("dd.MM.yyyy HH:mm")).isNotNull()
+    got = ansi_spark.createDataFrame([(t,) for t in stamps], "D string").select(column_verdict(stamp).alias("v"), at.alias("p")).collect()
+    assert all(r.v == r.p for r in got)
+    assert sure_pattern("yyyy-MM-dd HH:mm:ss") and not any(map(sure_pattern, ["yyyyMMdd", "d.M.yyyy", "dd.MM.yy", "dd.MM.yyyy mm", "dd.MM.yyyy'T'HH:mm", ""]))
